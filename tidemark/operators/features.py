@@ -18,7 +18,7 @@ def group_mean(df: DataFrame, value: str, group: str, date: str = "date", key: s
     return F.avg(value).over(w), F.size(F.collect_set(key).over(w))
 
 
-def rel_strength(df: DataFrame, n: int = 20, value: str = "close", group: str = "sector", out: str = "rel_strength_20d") -> DataFrame:
+def rel_strength(df: DataFrame, n: int = 20, value: str = "close", group: str = "sector", out: str = "rel_strength") -> DataFrame:
     """Own change over n sessions less the group's mean; NULL in a group of one."""
     moved = pct_change(df, value, n, by(), "_ret")
     mean, members = group_mean(moved, "_ret", group)
@@ -45,7 +45,7 @@ def panel_features(panel: DataFrame, window: int = 252, valuation_window: int =
         "short_ratio": lagged_ratio("short_balance", "shares_outstanding", w, short_lag),
         "valuation_band": band(rolling_percentile("pbr", w, valuation_window)),
     })
-    made = rel_strength(made, strength_days)
+    made = rel_strength(made, strength_days, out="rel_strength_20d")
     scores = {f"{f}_z": rolling_z(f, w, window) for f in FEATURES if f != "valuation_band"}
     return made.withColumns(scores | {"valuation_band_z": F.col("valuation_band")})
 

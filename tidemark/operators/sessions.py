@@ -6,11 +6,13 @@ import datetime as dt
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import Window
+from pyspark.sql import Window, WindowSpec
 
 from tidemark.operators.asof import asof_next
 
-_ALL = Window.orderBy("session_date")  # a calendar has some thousand rows, whatever the data's size
+def _all() -> WindowSpec:
+    """A calendar has some thousand rows, whatever the data's size."""
+    return Window.orderBy("session_date")
 
 
 def sessions_of(dates: DataFrame, date: str = "date", open_at: str = "9 hours", close_at: str = "15 hours 30 minutes") -> DataFrame:
@@ -28,7 +30,7 @@ def trading_days(calendar: DataFrame, start: dt.date | str, end: dt.date | str,
 
 def with_neighbours(calendar: DataFrame) -> DataFrame:
     """Sessions with the one before and after."""
-    return calendar.select("*", F.lag("session_date").over(_ALL).alias("previous_date"), F.lead("session_date").over(_ALL).alias("next_date"))
+    return calendar.select("*", F.lag("session_date").over(_all()).alias("previous_date"), F.lead("session_date").over(_all()).alias("next_date"))
 
 
 def is_trading_day(df: DataFrame, calendar: DataFrame, date: str = "date") -> DataFrame:
