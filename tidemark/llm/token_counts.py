@@ -25,6 +25,12 @@ SPACE = "▁"
 GRAIN = 1 / 32
 _UNKNOWN_COST = 10.0  # fixed value of the tokenizer: below the least score of a piece
 _REMEMBERED = 400_000
+_FLOAT = struct.Struct("<f")
+
+
+def _single(x: float) -> float:
+    """As a 32-bit float holds it."""
+    return _FLOAT.unpack(_FLOAT.pack(x))[0]
 
 
 def unigram_pieces(model_path: str) -> list[Piece]:
@@ -51,9 +57,9 @@ class Counter:
         usable = [p for p in pieces if p.kind in (NORMAL, USER) and p.text]
         self._find = ahocorasick.Automaton()
         for p in usable:
-            self._find.add_word(p.text, (len(p.text), p.score))
+            self._find.add_word(p.text, (len(p.text), _single(p.score)))
         self._find.make_automaton()
-        self.unknown = min((p.score for p in usable), default=0.0) - _UNKNOWN_COST
+        self.unknown = _single(_single(min((p.score for p in usable), default=0.0)) - _UNKNOWN_COST)
         self.by_bytes = sum(p.kind == BYTE for p in pieces) == 256
         # Cut where no piece can lie across: before a space mark that follows anything else, and around line ends.
         self.cuts = all(SPACE not in p.text.lstrip(SPACE) and "\n" not in p.text for p in usable) and self.by_bytes
@@ -81,7 +87,6 @@ class Counter:
         return pieces, score
 
     def _best(self, text: str) -> tuple[float, int]:
-        single = struct.Struct("<f")
         size = len(text)
         best, pieces, loose = [0.0] * (size + 1), [0] * (size + 1), [False] * (size + 1)
         done = 0  # all ends up to here are settled
@@ -91,14 +96,14 @@ class Counter:
             top, n, unknown, reached, alone = 0.0, 0, False, False, False
             for length, score in found:
                 start = end - length
-                now = score + best[start]
+                now = _single(score + best[start])
                 alone |= length == 1
                 if not reached or now > top:
-                    top, n, unknown, reached = single.unpack(single.pack(now))[0], pieces[start] + 1, False, True
+                    top, n, unknown, reached = now, pieces[start] + 1, False, True
             if not alone:
-                now = self.unknown + best[end - 1]
+                now = _single(self.unknown + best[end - 1])
                 if not reached or now > top:
-                    top, unknown = single.unpack(single.pack(now))[0], True
+                    top, unknown = now, True
                     n = pieces[end - 1] + (len(text[end - 1].encode("utf-8")) if self.by_bytes else int(not loose[end - 1]))
             best[end], pieces[end], loose[end] = top, n, unknown
 
