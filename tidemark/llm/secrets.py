@@ -30,8 +30,8 @@ _ACCESS = re.compile(r"AKIA[A-Z0-9]+")
 _HEX = re.compile(r"[0-9a-f]{24,}")
 ASSIGN_LEAST, ACCESS_LEAST = 6, 20
 
-_SYMBOLS = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/_=-"
-_SIZE = len(_SYMBOLS) + 1  # 0 is what stands before a run
+_SYMBOLS = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789"
+_SIZE = len(_SYMBOLS) + 1  # 0 is what stands before a run, and every separator within one: identifiers are words between separators
 _PLACE = np.zeros(256, np.uint8)
 for _i, _c in enumerate(_SYMBOLS):
     _PLACE[ord(_c)] = _i + 1
@@ -113,7 +113,7 @@ def train(docs: DataFrame, text_col: str = "text", smoothing: float = 0.5, **lim
 
     counts = map_rows(pick(docs, text=text_col), make, "label int, cell int, n long").groupBy("label", "cell").agg(F.sum("n").alias("n"))
     table = np.full((2, _SIZE, _SIZE), smoothing)
-    for r in counts.toLocalIterator():  # 2 * 68 * 68 cells at most
+    for r in counts.toLocalIterator():  # 2 * 63 * 63 cells at most
         table[r.label, r.cell // _SIZE, r.cell % _SIZE] += r.n
     table[:, :, 0] = 0
     table /= table.sum(axis=2, keepdims=True)
