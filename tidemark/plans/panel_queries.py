@@ -360,9 +360,9 @@ def _(s, d):
     return sessions.visible_as_of(panel(s, d), "1995-03-01 06:30:00").select("date", "ticker", "close")
 
 
-@query("in_window", f"{_P} SELECT date, ticker FROM panel WHERE date BETWEEN DATE '1994-01-01' AND DATE '1994-03-31'")
+@query("in_window", f"{_P} SELECT date, ticker FROM panel WHERE date BETWEEN DATE '1996-01-01' AND DATE '1996-03-31'")
 def _(s, d):
-    return panel(s, d).where("date BETWEEN '1994-01-01' AND '1994-03-31'").select("date", "ticker")
+    return panel(s, d).where("date BETWEEN '1996-01-01' AND '1996-03-31'").select("date", "ticker")
 
 
 @query("next_session", f"{_PS} SELECT session_date, previous_date, next_date FROM sessions")
