@@ -55,7 +55,7 @@ def first_n_per_bucket(rows: DataFrame, n: int = 25, least: float = 0.5) -> Data
             t = set(r.tokens)
             if not any(t and s and len(t & s) / len(t | s) >= least for _, s in held):
                 held.append((r.article_id, t))
-        return pd.DataFrame({"bucket": [group["bucket"].iloc[0]] * len(held), "article_id": [a for a, _ in held], "place": range(1, len(held) + 1)})
+        return pd.DataFrame({"bucket": pd.Series([group["bucket"].iloc[0]] * len(held), dtype=object), "article_id": [a for a, _ in held], "place": range(1, len(held) + 1)})
 
     return rows.groupBy("bucket").applyInPandas(walk, "bucket string, article_id long, place int")
 

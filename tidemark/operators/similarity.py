@@ -65,7 +65,7 @@ def similarity_pairs(vectors: DataFrame, least: float, key: str = "ticker", item
                     out["a"].append(min(li[r], ri[s]))
                     out["b"].append(max(li[r], ri[s]))
                     out["cosine"].append(float(c[r, s]))
-        out[key] = [group[key].iloc[0]] * len(out["a"])
+        out[key] = pd.Series([group[key].iloc[0]] * len(out["a"]), dtype=object)
         return pd.DataFrame(out)
 
     kinds = {f.name: f.dataType for f in vectors.schema}
