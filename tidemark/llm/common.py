@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import uuid
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -11,6 +10,8 @@ import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tidemark.operators.storage import shared_folder, written  # noqa: F401  for the operators
+
 #: Rows of an Arrow batch that are turned into Python objects at once.
 SLICE = 512
 #: Words whose hashes a task remembers before it starts afresh.
@@ -52,26 +53,6 @@ def _arrow_schema(spark: SparkSession, schema: str) -> pa.Schema:
     return to_arrow_schema(StructType.fromDDL(schema))
 
 
-def shared_folder(spark: SparkSession) -> str:
-    """A new folder in the storage that the driver and all executors share.
-
-    That is what ``spark.checkpoint.dir`` names. Where it isn't set (local tests), the warehouse is used
-    and the setting is made.
-    """
-    base = spark.conf.get("spark.checkpoint.dir", None)
-    if not base:
-        base = spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/_shared"
-        spark.conf.set("spark.checkpoint.dir", base)
-    return f"{base.rstrip('/')}/{uuid.uuid4().hex}"
-
-
-def written(df: DataFrame) -> DataFrame:
-    """Write to the shared folder and read again: lineage is cut, and a lost executor loses nothing."""
-    spark, schema, path = df.sparkSession, df.schema, shared_folder(df.sparkSession)
-    df.write.parquet(path)
-    return spark.read.schema(schema).parquet(path)
-
-
 def crc32_of(column: Column) -> Column:
     return F.crc32(F.encode(F.coalesce(column, F.lit("")), "UTF-8"))
 
@@ -115,38 +96,3 @@ def distinct(values: np.ndarray) -> np.ndarray:
         return values
     values = np.sort(values)
     return values[np.concatenate(([True], values[1:] != values[:-1]))]
-
-
-def connected_components(edges: DataFrame) -> DataFrame:
-    """(node, component) from edges (a, b) of longs; the component is its smallest node.
-
-    Alternates two star operations, each a minimum per node and an equi-join, until nothing changes
-    (a number of rounds that grows as the logarithm of the diameter). Every round is written to shared
-    storage; the driver only sees a count and a checksum. No edges give no rows; loops and repeats do
-    no harm, and edges with a null end are left out.
-    """
-    spark = edges.sparkSession
-    now = written(_small_star(edges.select(F.col("a").alias("u"), F.col("b").alias("v")).where("u <> v").distinct()))
-    seen = None
-    while True:
-        state = tuple(now.agg(F.count("*"), F.coalesce(F.sum(F.xxhash64("u", "v").cast("decimal(38,0)")), F.lit(0))).first())
-        if state == seen or state[0] == 0:
-            break
-        seen = state
-        now = written(_small_star(_large_star(now)))
-    return now.select(F.col("u").alias("node"), F.col("v").alias("component")).union(
-        now.select(F.col("v").alias("node"), F.col("v").alias("component")).distinct()
-    ) if state[0] else spark.createDataFrame([], "node long, component long")
-
-
-def _large_star(edges: DataFrame) -> DataFrame:
-    both = edges.union(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
-    least = both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m"))
-    return both.join(least, "u").where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
-
-
-def _small_star(edges: DataFrame) -> DataFrame:
-    down = edges.select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).where("u <> v")
-    least = down.groupBy("u").agg(F.min("v").alias("m"))
-    moved = down.join(least, "u").where("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v"))
-    return moved.union(least.select("u", F.col("m").alias("v"))).distinct()

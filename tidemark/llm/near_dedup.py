@@ -16,16 +16,8 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import (
-    WordHashes,
-    connected_components,
-    distinct,
-    map_rows,
-    pick,
-    shingles,
-    space_words,
-    written,
-)
+from tidemark.llm.common import WordHashes, distinct, map_rows, pick, shingles, space_words, written
+from tidemark.operators.graph import connected_components
 
 #: A block of a candidate cluster that one task solves holds about so many bytes of text and so many rows.
 BLOCK_BYTES, BLOCK_ROWS = 4 << 20, 4096
@@ -151,7 +143,7 @@ def near_duplicates(
     keyed = map_rows(classes.select("node", "registers"), make, "node long, keys array<long>").select("node", F.explode("keys").alias("key"))
     hubs = keyed.groupBy("key").agg(F.min("node").alias("hub"), F.count("*").alias("n")).where("n > 1").select("key", "hub")
     pointers = keyed.join(hubs, "key").where("node <> hub").select(F.col("node").alias("a"), F.col("hub").alias("b")).distinct()
-    clusters = connected_components(pointers)
+    clusters = connected_components(written(pointers))
     labels = _labels(clusters, base, classes, k, percent, bands * rows)
     return (
         all_rows.select("doc_id", "n_shingles", "set_key")
@@ -169,8 +161,9 @@ def near_duplicates(
 
 def _labels(clusters: DataFrame, base: DataFrame, classes: DataFrame, k: int, percent: int, size: int) -> DataFrame:
     """(node, label) of the members of the clusters."""
+    # Ids of clusters grow with the documents, so the texts always meet them by a shuffle, at any size.
     members = written(
-        clusters.join(base, F.col("node") == F.col("doc_id"))
+        base.join(clusters.hint("merge"), F.col("node") == F.col("doc_id"))
         .join(classes.select("node", "registers"), "node")
         .select("node", "component", "text", "registers")
     )
@@ -179,10 +172,12 @@ def _labels(clusters: DataFrame, base: DataFrame, classes: DataFrame, k: int, pe
     )
     own = F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int")
     others = F.transform(F.sequence(F.lit(0), F.col("blocks") - 1), lambda i: F.struct(F.least(i, "own").alias("x"), F.greatest(i, "own").alias("y")))
-    dealt = members.join(extent, "component").withColumn("own", own).withColumn("pair", F.explode(others))
+    # Only clusters of several blocks are looked up; then rows are dealt by pair of blocks, never by cluster.
+    sized = members.join(extent.where("blocks > 1"), "component", "left").withColumn("blocks", F.coalesce("blocks", F.lit(1)))
+    dealt = sized.withColumn("own", own).withColumn("pair", F.explode(others)).select("component", "blocks", "pair.x", "pair.y", "node", "text", "registers")
     solve = _solver(k, percent, size)
     found = written(
-        dealt.select("component", "blocks", "pair.x", "pair.y", "node", "text", "registers")
+        dealt.repartition("component", "x", "y")
         .groupBy("component", "x", "y")
         .applyInPandas(solve, "node long, label long, blocks int")
     )
