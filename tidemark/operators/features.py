@@ -67,3 +67,13 @@ def z_scores_for(features: DataFrame, keys: DataFrame, names: tuple[str, ...] =
     """keys (date, ticker) with a map of their scores, all NULL where there is no row."""
     found = keys.join(features.select("date", "ticker", *[f"{n}_z" for n in names]), ["date", "ticker"], "left")
     return found.select("date", "ticker", F.map_from_arrays(F.array(*map(F.lit, names)), F.array(*[F.nanvl(f"{n}_z", F.lit(None).cast("double")) for n in names])).alias("z"))
+
+
+def revision_change(df: DataFrame, days: int, value: str = "value") -> DataFrame:
+    """(date, ticker, change) against the last row at least so many days before."""
+    from tidemark.operators.asof import asof_prior
+
+    left = df.select("ticker", F.date_sub("date", days).alias("_at"), "date", value)
+    right = df.select("ticker", F.col("date").alias("_d"), F.col(value).alias("_then"))
+    got = asof_prior(left, right, ["ticker"], "_at", "_d", ["_then"])
+    return got.select("date", "ticker", (safe_ratio(value, "_then") - 1).alias("change"))

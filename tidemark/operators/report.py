@@ -77,3 +77,11 @@ def ratings_table(rated: DataFrame) -> DataFrame:
     place = F.row_number().over(Window.partitionBy("date").orderBy(F.desc(F.abs("score")), "ticker"))
     return rated.select("date", place.alias("place"), "ticker", "rating", signed("score").alias("score"), signed_percent("weight_coverage", 0).alias("coverage"), F.coalesce(F.nullif("missing", F.lit("")), F.lit("—")).alias("missing"))
 
+
+
+def capped_messages(rows: DataFrame, key: str, message: str, order: str, most: int = 3) -> DataFrame:
+    """(key, message): the first few messages in order, and how many more there are."""
+    ranked = rows.select(key, message, F.row_number().over(Window.partitionBy(key).orderBy(order)).alias("r"))
+    got = ranked.groupBy(key).agg(F.array_sort(F.collect_list(F.when(F.col("r") <= most, F.struct("r", message)))).alias("m"), F.count("*").alias("n"))
+    more = F.when(F.col("n") > most, F.concat(F.lit(", "), F.col("n") - most, F.lit(" more"))).otherwise("")
+    return got.select(key, F.concat(F.array_join(F.transform("m", lambda x: x[message]), ", "), more).alias("message"))

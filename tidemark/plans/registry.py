@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tidemark.plans import agreement_queries, article_queries, panel_queries, quality_queries, text_queries  # noqa: F401  they register
+from tidemark.plans import agreement_queries, article_queries, job_queries, panel_queries, quality_queries, text_queries  # noqa: F401  they register
 from tidemark.plans.names import ORACLES, QUERIES, Query
 
 
