@@ -4,7 +4,6 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import Window
 
 from tidemark.llm.common import crc32_of, map_rows, pick, written
 
@@ -32,26 +31,26 @@ def shard_by_bytes(
     )
     laid = slim.repartitionByRange("digest", "text_crc32", "doc_id").sortWithinPartitions("digest", "text_crc32", "doc_id")
     run = written(map_rows(laid, _running, "doc_id long, size long, text_crc32 long, digest long, part int, before long, place long"))
-    parts = run.groupBy("part").agg(F.sum("size").alias("bytes"), F.count("*").alias("rows"))
-    order = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)  # one row for each partition
-    begins = parts.select(
-        "part", F.coalesce(F.sum("bytes").over(order), F.lit(0)).alias("first_byte"), F.coalesce(F.sum("rows").over(order), F.lit(0)).alias("first_row")
-    )
-    line = run.join(begins, "part").select(
+    spark = docs.sparkSession
+    begins, byte, row = [], 0, 0
+    for p in sorted(run.groupBy("part").agg(F.sum("size").alias("bytes"), F.count("*").alias("rows")).collect()):  # a row for each partition
+        begins.append((p.part, byte, row))
+        byte, row = byte + p.bytes, row + p.rows
+    starts = spark.createDataFrame(begins, "part int, first_byte long, first_row long")
+    line = run.join(F.broadcast(starts), "part").select(
         "doc_id", "size", "text_crc32", "digest", (F.col("first_byte") + F.col("before")).alias("at"), (F.col("first_row") + F.col("place")).alias("row")
     )
-    total = parts.agg(F.sum("bytes")).first()[0] or 0
-    cuts = _snapped(line, [total * i // shards for i in range(1, shards)], group_share * total / shards)
-    shard = sum((F.col("at") >= c).cast("int") for c in cuts) if cuts else F.lit(0)
+    shard = sum(((F.col("at") >= c).cast("int") for c in _snapped(line, [byte * i // shards for i in range(1, shards)], group_share * byte / shards)), F.lit(0))
     placed = line.withColumn("shard", shard)
-    firsts = placed.groupBy("shard").agg(F.min("row").alias("first_row"))  # a row for each shard
-    return placed.join(F.broadcast(firsts), "shard").select(
+    firsts = {r.shard: r.first_row for r in placed.groupBy("shard").agg(F.min("row").alias("first_row")).collect()}  # a row for each shard
+    first = F.element_at(F.create_map(*[F.lit(x).cast("long") for pair in firsts.items() for x in pair]), F.col("shard").cast("long")) if firsts else F.lit(0)
+    return placed.select(
         "doc_id",
         "size",
         "text_crc32",
         F.lit("bytes").alias("law"),
         "shard",
-        (F.col("row") - F.col("first_row")).alias("slot"),
+        (F.col("row") - first).alias("slot"),
         F.lit(None).cast("int").alias("grown_shard"),
     )
 
@@ -78,9 +77,9 @@ def _snapped(line: DataFrame, cuts: list[int], most: float) -> list[int]:
     """Each cut at a row's beginning; one row per cut reaches the driver."""
     if not cuts:
         return []
-    inside = [(F.col("at") < c) & (F.col("at") + F.col("size") > c) | (F.col("at") == c) for c in cuts]
-    hit = line.where(F.array_contains(F.array(*inside), True)).select("digest", "text_crc32").distinct()
-    groups = line.join(F.broadcast(hit), ["digest", "text_crc32"]).groupBy("digest", "text_crc32")
+    inside = [(F.col("at") <= c) & (F.col("at") + F.col("size") > c) for c in cuts]
+    cut = [r.digest for r in line.where(F.array_contains(F.array(*inside), True)).select("digest").distinct().collect()]
+    groups = line.where(F.col("digest").isin(cut)).groupBy("digest", "text_crc32")
     spans = groups.agg(F.min("at").alias("a"), F.max(F.col("at") + F.col("size")).alias("b")).collect()
     out = []
     for c in cuts:
