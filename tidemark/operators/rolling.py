@@ -23,8 +23,7 @@ def rolling_sum_ratio(num: str | Column, den: str | Column, over: WindowSpec, si
 def rolling_z(value: str | Column, over: WindowSpec, size: int = 252) -> Column:
     """Standard score against the size rows strictly before; NULL unless all are there and they vary."""
     w, x = over.rowsBetween(-size, -1), col(value)
-    mean, spread = F.avg(x).over(w), F.stddev_samp(x).over(w)
-    return F.when((F.count(x).over(w) == size) & (spread > 0), F.try_divide(x - mean, spread))
+    return F.when(F.count(x).over(w) == size, F.try_divide(x - F.avg(x).over(w), F.stddev_samp(x).over(w)))
 
 
 def rolling_percentile(value: str | Column, over: WindowSpec, size: int = 756) -> Column:
