@@ -115,7 +115,7 @@ def near_duplicates(
     1. Equal sets become one class (a minimum per set key), so copies are never compared.
     2. Each bucket of classes points to its smallest class; components of these pointers are candidate
        clusters. No pair of a bucket is written out.
-    3. A cluster is dealt to blocks of bounded bytes; a task per pair of blocks walks it (see _solve) and
+    3. A cluster is dealt to blocks of bounded bytes; a task per pair of blocks walks it (see _walk) and
        returns a label per member. Clusters of one block, nearly all, are done; labels of larger ones
        are joined by another run of components.
 

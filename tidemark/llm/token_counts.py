@@ -18,7 +18,7 @@ import struct
 from pyspark.sql import DataFrame
 
 from tidemark.llm.common import map_rows, pick
-from tidemark.llm.sp_model import BYTE, CONTROL, NORMAL, UNKNOWN, UNUSED, USER, Piece, pieces_of
+from tidemark.llm.sp_model import BYTE, NORMAL, USER, Piece, pieces_of
 
 SPACE = "▁"
 #: Scores are multiples of this in the default vocabulary; sums below 2**24 of it are exact as 32-bit floats.
@@ -149,5 +149,3 @@ def count_tokens(docs: DataFrame, pieces: list[Piece], id_col: str = "doc_id", t
 
     return map_rows(pick(docs, doc_id=id_col, text=text_col), make, "doc_id long, n_chars long, n_tokens long, score double")
 
-
-__all__ = ["Counter", "count_tokens", "unigram_pieces", "CONTROL", "UNKNOWN", "UNUSED"]
