@@ -1,6 +1,6 @@
 """License scans: templates retrieved by MinHash bands over overlapping windows, verified by containment.
 
-For a template of n words a text is read in windows of 2n words that begin every n words, so that
+For a template of n words a text is read in windows of 2n words that begin at most n words apart, so that
 whatever stretch of n words holds the template lies whole in a window. A window with the share c of the
 template's shingles has a Jaccard similarity of at least c / (3 - c) with it; bands of one register each
 then miss it with probability (1 - c / (3 - c)) ** BANDS, below 1e-8 at c = 0.8.
@@ -19,6 +19,8 @@ from tidemark.llm.common import WordHashes, distinct, map_rows, pick, shingles
 
 #: Bands of one register each, words of a shingle, and the share of a template's shingles that a match has.
 BANDS, WORDS, LEAST = 64, 3, 0.8
+#: Shingles of a text whose values are held at once.
+BLOCK = 4096
 
 # Notices of public licenses, as they are commonly written in short form.
 TEMPLATES = {
@@ -47,22 +49,19 @@ class Matcher:
     def __init__(self, templates: Mapping[str, str], bands: int = BANDS, k: int = WORDS, least: float = LEAST, seed: int = 11):
         draw = np.random.default_rng(seed)
         self.k, self.least, self._hashes = k, least, WordHashes()
-        self._times = draw.integers(0, 1 << 63, bands, np.uint64) | np.uint64(1)
-        self._plus = draw.integers(0, 1 << 63, bands, np.uint64)
+        self._times = draw.integers(0, 1 << 32, bands, np.uint32) | np.uint32(1)
+        self._plus = draw.integers(0, 1 << 32, bands, np.uint32)
         self.by_length: dict[int, dict[str, np.ndarray]] = defaultdict(dict)
         for name, text in sorted(templates.items()):
             words = words_of(text)
             if words:
                 self.by_length[len(words)][name] = distinct(shingles(words, k, self._hashes))
-        self._bands = {n: np.stack([self._low(self._values(s)) for s in group.values()]) for n, group in self.by_length.items()}
+        self._names = {n: list(group) for n, group in self.by_length.items()}
+        self._bands = {n: np.stack([self._values(s).min(axis=0) for s in group.values()]) for n, group in self.by_length.items()}
 
     def _values(self, hashes: np.ndarray) -> np.ndarray:
-        x = (hashes[:, None] ^ self._plus) * self._times
-        return x ^ (x >> np.uint64(29))
-
-    @staticmethod
-    def _low(values: np.ndarray) -> np.ndarray:
-        return values.min(axis=0)
+        """A row of band values for each hash."""
+        return (hashes >> np.uint64(32)).astype(np.uint32)[:, None] * self._times + self._plus
 
     def matches(self, text: str | None) -> list[tuple[str, int, int, float]]:
         """(name, first word, last word exclusive, containment) of verified windows, the best per template."""
@@ -70,18 +69,26 @@ class Matcher:
         if len(words) < self.k:
             return []
         h = shingles(words, self.k, self._hashes)
-        values = self._values(h)
+        reach = 2 * max(self.by_length, default=0)
         best: dict[str, tuple[str, int, int, float]] = {}
-        for n, group in self.by_length.items():
-            starts = np.arange(0, max(1, len(h)), n)
-            low = np.minimum.reduceat(values, starts, axis=0)  # of each stretch of n shingles
-            both = np.minimum(low, np.vstack([low[1:], low[-1:]]))  # a window is two stretches
-            alike = (both[:, None, :] == self._bands[n][None]).any(axis=2)
-            for place, which in zip(*np.nonzero(alike), strict=True):
-                name, a = list(group)[which], int(starts[place])
-                share = float(np.isin(group[name], h[a : a + 2 * n]).mean())
-                if share >= self.least and (name not in best or share > best[name][3]):
-                    best[name] = (name, a, min(len(words), a + 2 * n + self.k - 1), share)
+        for block in range(0, len(h), BLOCK):
+            values = self._values(h[block : block + BLOCK + reach])
+            begins = min(BLOCK, len(h) - block)
+            for n, group in self.by_length.items():
+                stretches = -(-begins // n) + 1  # a window is two stretches of n shingles; the last may lie beyond the text
+                part = values[: stretches * n]
+                whole = len(part) // n
+                low = np.full((stretches, len(self._times)), np.iinfo(np.uint32).max, np.uint32)
+                part[: whole * n].reshape(whole, n, values.shape[1]).min(axis=1, out=low[:whole])
+                if len(part) > whole * n:
+                    part[whole * n :].min(axis=0, out=low[whole])
+                both = np.minimum(low[:-1], low[1:])
+                alike = np.stack([(both == bands).any(axis=1) for bands in self._bands[n]], axis=1)
+                for place, which in zip(*np.nonzero(alike), strict=True):
+                    name, a = self._names[n][which], block + int(place) * n
+                    share = float(np.isin(group[name], h[a : a + 2 * n]).mean())
+                    if share >= self.least and (name not in best or share > best[name][3]):
+                        best[name] = (name, a, min(len(words), a + 2 * n + self.k - 1), share)
         return [best[n] for n in sorted(best)]
 
 
