@@ -55,6 +55,22 @@ def test_token_counts_break_ties_as_the_tokenizer_does():
             assert counter.count(t)[0] == len(sp.encode(t)), (pieces, t)
 
 
+def test_token_counts_break_ties_on_the_grain():
+    import sentencepiece
+
+    draw = random.Random(4)
+    for _ in range(60):
+        words = {draw.choice(["▁", ""]) + "".join(draw.choice("abc") for _ in range(draw.randint(1, 4))) for _ in range(12)} | {"a"}
+        pieces = [sp_model.Piece("<unk>", 0.0, sp_model.UNKNOWN), *[sp_model.Piece(f"<0x{b:02X}>", 0.0, sp_model.BYTE) for b in range(256)]]
+        pieces += [sp_model.Piece(w, draw.choice([-1.0, -2.0, -2.5, -3.0])) for w in sorted(words)]
+        sp = sentencepiece.SentencePieceProcessor(model_proto=sp_model.model_file(pieces, sp_model.UNIGRAM, dummy_prefix=True, escape=True, byte_fallback=True))
+        counter = token_counts.Counter(pieces)
+        assert counter.cuts
+        for _ in range(30):
+            t = "".join(draw.choice("abcdé漢 ") for _ in range(draw.randint(1, 40)))
+            assert counter.count(t) == (len(sp.encode(t)), counter._best("▁" + t.replace(" ", "▁"))[0]), (pieces, t)
+
+
 def test_bpe_ids_and_round_trip(spark, corpus):
     import tiktoken
 
@@ -124,6 +140,15 @@ def test_licenses_as_brute_force_finds_them(spark, corpus):
         assert set(got[i].licenses.split(",")) - {""} == want, i
 
 
+def test_licenses_anywhere_in_long_texts():
+    matcher = licenses.Matcher(licenses.TEMPLATES)
+    filler = [f"w{i}" for i in range(3 * licenses.BLOCK)]
+    for name, text in licenses.TEMPLATES.items():
+        for at in (0, 17, licenses.BLOCK - 40, licenses.BLOCK - 5, licenses.BLOCK, licenses.BLOCK + 3, len(filler)):
+            found = {m[0]: m for m in matcher.matches(" ".join([*filler[:at], text, *filler[at:]]))}
+            assert found[name][3] == 1.0 and found[name][1] <= at < found[name][2], (name, at)
+
+
 def test_toxicity_learns_from_other_folds(spark):
     import zlib
 

@@ -63,7 +63,7 @@ class Counter:
         self.by_bytes = sum(p.kind == BYTE for p in pieces) == 256
         # Cut where no piece can lie across: before a space mark that follows anything else, and around line ends.
         self.cuts = all(SPACE not in p.text.lstrip(SPACE) and "\n" not in p.text for p in usable) and self.by_bytes
-        self.cuts &= all((p.score / GRAIN).is_integer() for p in usable) and not any(p.kind == USER for p in pieces)
+        self.cuts &= all((p.score / GRAIN).is_integer() and p.score <= 0 for p in usable) and not any(p.kind == USER for p in pieces)
         self._chunk = re.compile(f"{SPACE}*[^{SPACE}\n]+|{SPACE}+|\n")
         self._seen: dict[str, tuple[float, int]] = {}
 
@@ -78,15 +78,41 @@ class Counter:
                 if (known := seen.get(chunk)) is None:
                     if len(seen) >= _REMEMBERED:
                         seen.clear()
-                    known = seen[chunk] = self._best(chunk)
+                    known = seen[chunk] = self._exact(chunk)
                 score += known[0]
                 pieces += known[1]
-            if abs(score) < GRAIN * (1 << 24):
+            if abs(score + self.unknown) < GRAIN * (1 << 24):
                 return pieces, score
         score, pieces = self._best(text)
         return pieces, score
 
+    def _exact(self, text: str) -> tuple[float, int]:
+        """As _best for scores on the grain, whose sums need no rounding, and a vocabulary with bytes."""
+        size, unknown = len(text), self.unknown
+        best, pieces = [0.0] * (size + 1), [0] * (size + 1)
+        end, top, n, longest, alone = 0, 0.0, 0, 0, True  # the end whose candidates are being seen; before it all is settled
+        for last, (length, score) in self._find.iter(text):
+            if last >= end:
+                if not alone and (other := best[end - 1] + unknown) > top:
+                    top, n = other, pieces[end - 1] + len(text[end - 1].encode("utf-8"))
+                best[end], pieces[end] = top, n
+                while end < last:  # ends of no piece
+                    end += 1
+                    best[end], pieces[end] = best[end - 1] + unknown, pieces[end - 1] + len(text[end - 1].encode("utf-8"))
+                end, top, longest, alone = last + 1, -math.inf, 0, False
+            start = end - length
+            now = best[start] + score
+            if now > top or (now == top and length > longest):
+                top, n, longest = now, pieces[start] + 1, length
+            if length == 1:
+                alone = True
+        if not alone and (other := best[end - 1] + unknown) > top:
+            top, n = other, pieces[end - 1] + len(text[end - 1].encode("utf-8"))
+        rest = text[end:]
+        return top + unknown * len(rest), n + len(rest.encode("utf-8"))
+
     def _best(self, text: str) -> tuple[float, int]:
+        """The best way through a whole text, its sums held as 32-bit floats."""
         size = len(text)
         best, pieces, loose = [0.0] * (size + 1), [0] * (size + 1), [False] * (size + 1)
         done = 0  # all ends up to here are settled
