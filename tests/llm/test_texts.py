@@ -149,6 +149,35 @@ def test_licenses_anywhere_in_long_texts():
             assert found[name][3] == 1.0 and found[name][1] <= at < found[name][2], (name, at)
 
 
+def test_licenses_of_one_family_are_told_apart(spark):
+    notice = "This program is free software; you can redistribute it and/or modify it under the terms of the GNU {} as published by the Free Software Foundation; either version {} of the License, or (at your option) any later version."
+    texts = {
+        "This work is licensed under the GNU General Public License, version 2": "GPL-2.0",
+        "This work is licensed under the GNU General Public License, version 3": "GPL-3.0",
+        "This work is licensed under the GNU General Public License, version 4": "",
+        notice.format("General Public License", 2): "GPL-2.0-notice",
+        notice.format("General Public License", 3): "GPL-3.0-notice",
+        notice.format("Lesser General Public License", 2.1).replace("program", "library"): "LGPL-2.1-notice",
+        notice.format("Lesser General Public License", 3): "LGPL-3.0-notice",
+        notice.format("Affero General Public License", 3): "AGPL-3.0-notice",
+        "This work is licensed under the GNU Affero General Public License, version 3": "AGPL-3.0",
+        "This work is licensed under the GNU Lesser General Public License, version 3. See the GNU General Public License for more": "LGPL-3.0",
+        "This work is licensed under a Creative Commons Attribution-NonCommercial 4.0 International License": "CC-BY-NC-4.0-notice",
+        "This work is licensed under a Creative Commons Attribution-ShareAlike 4.0 International License": "CC-BY-SA-4.0-notice",
+        "Licensed under CC BY-NC-SA 4.0": "CC-BY-NC-SA-4.0",
+        "Released under the ISC License": "ISC",
+        licenses.FAMILIES["Unlicense"]: "Unlicense",
+        licenses.FAMILIES["CC0-1.0-notice"]: "CC0-1.0-notice",
+        "This work is licensed under the GNU General Public License, version 3. This work is licensed under the GNU General Public License, version 2": "GPL-2.0,GPL-3.0",
+    }
+    got = {r.doc_id: r for r in licenses.scan(docs(spark, [f"lorem ipsum dolor {t} sit amet " * 2 for t in texts])).collect()}
+    for i, (t, want) in enumerate(texts.items()):
+        assert got[i].licenses == want and got[i].n_licenses == len(want.split(",")) * bool(want), t
+    matcher = licenses.Matcher(licenses.KNOWN)
+    for name, t in licenses.KNOWN.items():
+        assert [m[0] for m in matcher.matches(t)] == ([name] if name != "Apache-2.0-notice" else ["Apache-2.0", name]), name
+
+
 def test_toxicity_learns_from_other_folds(spark):
     import zlib
 

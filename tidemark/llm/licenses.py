@@ -4,6 +4,10 @@ For a template of n words a text is read in windows of 2n words that begin at mo
 whatever stretch of n words holds the template lies whole in a window. A window with the share c of the
 template's shingles has a Jaccard similarity of at least c / (3 - c) with it; bands of one register each
 then miss it with probability (1 - c / (3 - c)) ** BANDS, below 1e-8 at c = 0.8.
+
+Notices of one family share most of their words. Where a template's shingles are, but for some, those of
+another template too, a match has to hold one of these, about where the template has it: GPL version 2
+isn't GPL version 3, and a version that no template knows is neither.
 """
 
 from __future__ import annotations
@@ -19,7 +23,7 @@ from tidemark.llm.common import WordHashes, distinct, map_rows, pick, shingles
 
 #: Bands of one register each, words of a shingle, and the share of a template's shingles that a match has.
 BANDS, WORDS, LEAST = 64, 3, 0.8
-#: Shingles of a text whose values are held at once.
+#: Shingles of a text that are looked up at once.
 BLOCK = 4096
 
 # Notices of public licenses, as they are commonly written in short form.
@@ -36,6 +40,47 @@ TEMPLATES = {
     "MPL-2.0": "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0",
 }
 
+_GNU = {
+    "GPL-1.0": ("General", "1"), "GPL-2.0": ("General", "2"), "GPL-3.0": ("General", "3"), "LGPL-2.0": ("Library General", "2"), "LGPL-2.1": ("Lesser General", "2.1"),
+    "LGPL-3.0": ("Lesser General", "3"), "AGPL-3.0": ("Affero General", "3"),
+}
+_CC = {"BY": "Attribution", "BY-SA": "Attribution-ShareAlike", "BY-NC": "Attribution-NonCommercial", "BY-ND": "Attribution-NoDerivatives", "BY-NC-SA": "Attribution-NonCommercial-ShareAlike", "BY-NC-ND": "Attribution-NonCommercial-NoDerivatives"}
+_SHARED = "you can redistribute it and/or modify it under the terms of the GNU"
+
+# Neighbouring versions and families of the above, and other licenses that are common.
+FAMILIES = {
+    **{n: f"This work is licensed under the GNU {kind} Public License, version {v}" for n, (kind, v) in _GNU.items()},
+    **{
+        f"{n}-notice": f"This {'library' if n.startswith('LGPL') else 'program'} is free software: {_SHARED} {kind} Public License as published by the Free Software Foundation, either version {v} of the License, or (at your option) any later version"
+        for n, (kind, v) in _GNU.items()
+    },
+    **{
+        f"{n}-only-notice": f"This {'library' if n.startswith('LGPL') else 'program'} is free software; {_SHARED} {kind} Public License version {v} as published by the Free Software Foundation"
+        for n, (kind, v) in _GNU.items()
+    },
+    **{f"CC-{n}-4.0-notice": f"This work is licensed under a Creative Commons {full} 4.0 International License" for n, full in _CC.items()},
+    **{f"CC-{n}-3.0-notice": f"This work is licensed under a Creative Commons {full.replace('Derivatives', 'Derivs')} 3.0 Unported License" for n, full in _CC.items()},
+    **{f"CC-{n}-{v}": f"Licensed under CC {n} {v}" for n in _CC for v in ("3.0", "4.0")},
+    "CC0-1.0": "Licensed under CC0 1.0 Universal",
+    "CC0-1.0-notice": "To the extent possible under law, the author has waived all copyright and related or neighboring rights to this work",
+    "Apache-1.1": "Licensed under the Apache License, Version 1.1",
+    "MIT-licensed": "Licensed under the MIT License",
+    "BSD-released": "Released under the BSD License",
+    "ISC": "Released under the ISC License",
+    "ISC-text": "Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted, provided that the above copyright notice and this permission notice appear in all copies",
+    "0BSD-text": "Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted. THE SOFTWARE IS PROVIDED \"AS IS\" AND THE AUTHOR DISCLAIMS ALL WARRANTIES",
+    "Unlicense": "This is free and unencumbered software released into the public domain",
+    "MPL-1.1": "The contents of this file are subject to the Mozilla Public License Version 1.1",
+    "EPL-1.0": "This program and the accompanying materials are made available under the terms of the Eclipse Public License v1.0",
+    "EPL-2.0": "This program and the accompanying materials are made available under the terms of the Eclipse Public License 2.0",
+    "BSL-1.0": "Distributed under the Boost Software License, Version 1.0",
+    "Zlib-text": "Permission is granted to anyone to use this software for any purpose, including commercial applications, and to alter it and redistribute it freely, subject to the following restrictions",
+    "WTFPL": "Do What The Fuck You Want To Public License",
+    "Artistic-2.0": "Released under the Artistic License 2.0",
+}
+#: All that a scan knows. A name that is in TEMPLATES keeps its wording, and a wording its first name.
+KNOWN = TEMPLATES | {n: t for n, t in FAMILIES.items() if n not in TEMPLATES and t not in TEMPLATES.values()}
+
 _WORD = re.compile(rb"[0-9a-z\x80-\xff]+")
 
 
@@ -52,47 +97,76 @@ class Matcher:
         self._times = draw.integers(0, 1 << 32, bands, np.uint32) | np.uint32(1)
         self._plus = draw.integers(0, 1 << 32, bands, np.uint32)
         self.by_length: dict[int, dict[str, np.ndarray]] = defaultdict(dict)
+        self._offsets: dict[str, np.ndarray] = {}
         for name, text in sorted(templates.items()):
             words = words_of(text)
             if words:
-                self.by_length[len(words)][name] = distinct(shingles(words, k, self._hashes))
+                self.by_length[len(words)][name], self._offsets[name] = np.unique(shingles(words, k, self._hashes), return_index=True)
+        every = {name: s for group in self.by_length.values() for name, s in group.items()}
+        self._all = distinct(np.concatenate([*every.values()])) if every else np.empty(0, np.uint64)
+        #: Of each template, its shingles that tell it from another one that has at least the share ``least`` of them, but not all.
+        self._own = {name: [own for other, o in every.items() if other != name and (own := ~np.isin(s, o)).any() and own.mean() <= 1 - least + 1e-9] for name, s in every.items()}
         self._names = {n: list(group) for n, group in self.by_length.items()}
         self._bands = {n: np.stack([self._values(s).min(axis=0) for s in group.values()]) for n, group in self.by_length.items()}
+        self._fewest = {n: least * min(map(len, group.values())) for n, group in self.by_length.items()}
 
     def _values(self, hashes: np.ndarray) -> np.ndarray:
         """A row of band values for each hash."""
         return (hashes >> np.uint64(32)).astype(np.uint32)[:, None] * self._times + self._plus
 
+    def _known(self, h: np.ndarray) -> np.ndarray:
+        """Places whose shingle some template has."""
+        out = []
+        for at in range(0, len(h), BLOCK):
+            part = h[at : at + BLOCK]
+            slot = np.searchsorted(self._all, part)
+            slot[slot == len(self._all)] = 0
+            out.append(np.nonzero(self._all[slot] == part)[0] + at)
+        return np.concatenate(out)
+
+    def _told(self, name: str, n: int, window: np.ndarray) -> bool:
+        """Whether the window has, for each template much like this one, a shingle that the other lacks, in line with half of its shingles."""
+        if not self._own[name]:
+            return True
+        mine = self.by_length[n][name]
+        slot = np.searchsorted(mine, window)
+        slot[slot == len(mine)] = 0
+        place = np.nonzero(mine[slot] == window)[0]
+        slot = slot[place]
+        shift = place - self._offsets[name][slot]
+        for at in np.unique(shift):
+            here = np.unique(slot[np.abs(shift - at) <= max(2, n // 4)])
+            if 2 * len(here) >= len(mine) and all(own[here].any() for own in self._own[name]):
+                return True
+        return False
+
     def matches(self, text: str | None) -> list[tuple[str, int, int, float]]:
-        """(name, first word, last word exclusive, containment) of verified windows, the best per template."""
+        """(name, first word, last word exclusive, containment) of verified windows, the best per template.
+
+        A window with fewer known shingles than a match must have can't be one, so only the others are sketched.
+        """
         words = words_of(text)
-        if len(words) < self.k:
+        if len(words) < self.k or not len(self._all):
             return []
         h = shingles(words, self.k, self._hashes)
-        reach = 2 * max(self.by_length, default=0)
+        known = self._known(h)
         best: dict[str, tuple[str, int, int, float]] = {}
-        for block in range(0, len(h), BLOCK):
-            values = self._values(h[block : block + BLOCK + reach])
-            begins = min(BLOCK, len(h) - block)
-            for n, group in self.by_length.items():
-                stretches = -(-begins // n) + 1  # a window is two stretches of n shingles; the last may lie beyond the text
-                part = values[: stretches * n]
-                whole = len(part) // n
-                low = np.full((stretches, len(self._times)), np.iinfo(np.uint32).max, np.uint32)
-                part[: whole * n].reshape(whole, n, values.shape[1]).min(axis=1, out=low[:whole])
-                if len(part) > whole * n:
-                    part[whole * n :].min(axis=0, out=low[whole])
-                both = np.minimum(low[:-1], low[1:])
-                alike = np.stack([(both == bands).any(axis=1) for bands in self._bands[n]], axis=1)
-                for place, which in zip(*np.nonzero(alike), strict=True):
-                    name, a = self._names[n][which], block + int(place) * n
-                    share = float(np.isin(group[name], h[a : a + 2 * n]).mean())
-                    if share >= self.least and (name not in best or share > best[name][3]):
+        for n, group in self.by_length.items():
+            if len(known) < self._fewest[n]:
+                continue
+            held = np.bincount(known // n, minlength=-(-len(h) // n) + 1)  # a window is two stretches of n shingles; the last may lie beyond the text
+            for a in (np.nonzero(held[:-1] + held[1:] >= self._fewest[n])[0] * n).tolist():
+                window = h[a : a + 2 * n]
+                alike = (self._values(window).min(axis=0) == self._bands[n]).any(axis=1)
+                for which in np.nonzero(alike)[0].tolist():
+                    name = self._names[n][which]
+                    share = float(np.isin(group[name], window).mean())
+                    if share >= self.least and (name not in best or share > best[name][3]) and self._told(name, n, window):
                         best[name] = (name, a, min(len(words), a + 2 * n + self.k - 1), share)
         return [best[n] for n in sorted(best)]
 
 
-def scan(docs: DataFrame, templates: Mapping[str, str] = TEMPLATES, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def scan(docs: DataFrame, templates: Mapping[str, str] = KNOWN, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(doc_id, n_licenses, licenses, best) for each row: matched names in order, comma-joined, and the best containment.
 
     Whole texts. Null and empty texts and those of fewer words than a shingle match nothing (best 0). No
