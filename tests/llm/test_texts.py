@@ -321,6 +321,18 @@ def test_contamination_without_items_or_documents(spark):
     assert decontamination.contamination(docs(spark, []), spark.createDataFrame([(1, "a")], "item_id long, text string")).collect() == []
 
 
+@pytest.mark.parametrize("block", [1 << 20, 8])
+def test_contamination_gives_each_row_its_own(spark, monkeypatch, block):
+    monkeypatch.setattr(decontamination, "BLOCK_BYTES", block)
+    items = [(1, "a b c"), (2, "d e f"), (3, "g h i")]
+    rows = [(None, "x a b c"), (None, "d e f"), (None, None), (7, "a b c d e f"), (7, "a b c d e f"), (7, "no such words here"), (8, "g h i")]
+    bench = spark.createDataFrame(items, "item_id long, text string")
+    got = decontamination.contamination(spark.createDataFrame(rows, "doc_id long, text string"), bench).collect()
+    want = [(i, *_leaks(t, items)) for i, t in rows]
+    assert len(list(decontamination.item_blocks(bench))) == (1 if block > 8 else 2)
+    assert sorted((r.doc_id or 0, r.n_words, r.n_hit, r.n_items, r.items_sha256) for r in got) == sorted((i or 0, n, h, len(f), decontamination.digest(sorted(f))) for i, n, h, f in want)
+
+
 def test_proximity(spark):
     items = [("1", "alpha beta gamma")]
     index = decontamination.build_index(docs(spark, ["gamma x alpha y beta", "alpha " + "x " * 30 + "beta gamma"]), decontamination.vocabulary(items))
