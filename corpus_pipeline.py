@@ -11,9 +11,9 @@ from tidemark.llm.common import written
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
 
 
-def _without(docs: DataFrame, ids: DataFrame) -> DataFrame:
-    """docs but the rows whose doc_id is among the ids; rows without an id stay."""
-    return docs.join(ids.select("doc_id").distinct(), "doc_id", "left_anti").select(*COLUMNS)
+def _numbered(docs: DataFrame) -> DataFrame:
+    """docs, written once with a number for each row: what is decided on a row holds for that row, whatever its id."""
+    return written(docs.select(*COLUMNS, F.monotonically_increasing_id().alias("_row")))
 
 
 def toxic_out(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -22,21 +22,31 @@ def toxic_out(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     Scoring needs no shuffle, so the decision is made where the text is.
     """
     model = toxicity.train(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
-    return _without(docs, toxicity.score(docs, model).where("predicted = 1"))
+    return toxicity.accepted(docs.select(*COLUMNS), model)
 
 
 def near_duplicates_out(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each group of near-duplicates (five-word shingles, 0.8) the document with the smallest id stays, once."""
-    groups = near_dedup.near_duplicates(docs, k=5)
-    left = _without(docs, groups.where("NOT kept"))
-    own = F.when(F.col("doc_id").isNull(), F.monotonically_increasing_id())
-    return left.withColumn("_own", own).dropDuplicates(["doc_id", "_own"]).select(*COLUMNS)
+    """Of each group of near-duplicates (five-word shingles, 0.8) the document with the smallest id stays, once.
+
+    Rows without an id take part and come after those that have one. Texts without words are like no
+    other; of those, rows of one id with equal texts stay once.
+    """
+    rows = _numbered(docs)
+    blank = F.coalesce(F.col("text").rlike(r"^[\x20\x09-\x0D]*\z"), F.lit(True))
+    again = blank & F.col("doc_id").isNotNull()
+    groups = near_dedup.near_duplicates(rows, id_col="_row", k=5).select(F.col("doc_id").alias("_row"), "component_id")
+    own = rows.select("_row", "doc_id", again.alias("again"), F.when(again, F.sha2(F.encode("text", "UTF-8"), 256)).alias("digest"))
+    first = own.join(groups, "_row").groupBy(
+        F.when(~F.col("again"), F.col("component_id")).alias("group"), F.when(F.col("again"), F.col("doc_id")).alias("id"), "digest"
+    ).agg(F.min(F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "_row")).alias("first"))
+    return rows.join(first.select("first._row"), "_row", "left_semi").select(*COLUMNS)
 
 
 def contaminated_out(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that hold a ten-word window of a benchmark item go."""
-    found = decontamination.contamination(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
-    return _without(docs, found.where("contaminated"))
+    rows = _numbered(docs)
+    found = decontamination.contamination(rows, spark.read.parquet(f"{sf_dir}/benchmark.parquet"), id_col="_row").where("contaminated")
+    return rows.join(found.select(F.col("doc_id").alias("_row")), "_row", "left_anti").select(*COLUMNS)
 
 
 def secrets_masked(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -46,10 +56,10 @@ def secrets_masked(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 
 def encoded(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """(doc_id, n_tokens, ids) of every document."""
+    """(doc_id, n_tokens, ids) of every document; ids are decoded again, and NULL where that doesn't give the text."""
     import public_tokenizers
 
-    return byte_bpe.encode(docs, public_tokenizers.path("byte_bpe_multi_50k.tiktoken"), public_tokenizers.PATTERN).select("doc_id", "n_tokens", "ids")
+    return byte_bpe.encode(docs, public_tokenizers.path("byte_bpe_multi_50k.tiktoken"), public_tokenizers.PATTERN, checked=True).select("doc_id", "n_tokens", "ids")
 
 
 STAGES = [

@@ -57,6 +57,40 @@ def test_stages_do_what_they_say(spark):
     assert len(got) == len(texts) and all(r.ids == plain.encode_ordinary(texts[r.doc_id]) and r.n_tokens == len(r.ids) for r in got)
 
 
+def test_rows_are_judged_by_their_texts_not_their_ids(spark, monkeypatch):
+    docs = spark.read.parquet(f"{SF}/documents.parquet")
+    toxic, near, leaks, _, bpe = (stage for _, stage in corpus_pipeline.STAGES)
+    texts = {r.doc_id: r.text for r in docs.collect()}
+    make = lambda rows: spark.createDataFrame([(i, t, "en", "s", len(t or "")) for i, t in rows], docs.schema)
+    kept = lambda stage, rows: sorted((r.doc_id or -1, r.text or "") for r in stage(spark, make(rows), SF).collect())
+
+    labels = spark.read.parquet(f"{SF}/labels.parquet")
+    model = toxicity.train(docs, labels)
+    monkeypatch.setattr(toxicity, "train", lambda *_: model)
+    bad = texts[next(r.doc_id for r in toxicity.score(docs, model).where("predicted = 1").collect())]
+    good = "a wholly plain sentence about the weather of a day in spring"
+    assert kept(toxic, [(None, bad), (5, bad), (5, good), (None, good)]) == [(-1, good), (5, good)]
+
+    leak = " ".join(spark.read.parquet(f"{SF}/benchmark.parquet").first().text.split()[:20])
+    assert kept(leaks, [(None, leak), (5, leak), (5, good), (None, good)]) == [(-1, good), (5, good)]
+
+    one, two = " ".join(f"w{i}" for i in range(40)), " ".join(f"v{i}" for i in range(40))
+    rows = [(3, one), (3, two), (9, one), (None, one), (None, one + " end"), (4, ""), (4, ""), (4, None), (None, ""), (6, "")]
+    assert kept(near, rows) == sorted([(3, one), (3, two), (4, ""), (4, ""), (-1, ""), (6, "")])
+    assert kept(near, [(None, two), (None, two)]) == [(-1, two)]
+
+    from tidemark.llm.byte_bpe import ByteBpe
+
+    assert [r.n_tokens is None for r in bpe(spark, make([(1, good)]), SF).collect()] == [False]
+    step = []
+    monkeypatch.setattr(ByteBpe, "decode", lambda self, ids: b"?")
+    from tidemark.llm import byte_bpe
+
+    monkeypatch.setattr(byte_bpe, "map_rows", lambda df, make, schema: step.append(make()) or df)
+    byte_bpe.encode(make([(1, good)]), public_tokenizers.path("byte_bpe_multi_50k.tiktoken"), public_tokenizers.PATTERN, checked=True)
+    assert step[0]({"doc_id": [1], "text": [good]}) == {"doc_id": [1], "ids": [None], "n_tokens": [None]}
+
+
 def test_run_is_its_stages(spark):
     assert corpus_pipeline.run(spark, SF).columns == ["doc_id", "n_tokens", "ids"]
     assert corpus_pipeline.ORACLE_SQL is None

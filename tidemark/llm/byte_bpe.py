@@ -77,15 +77,21 @@ class ByteBpe:
         return b"".join(map(self._bytes_of.__getitem__, np.frombuffer(ids, "<u4").tolist()))
 
 
-def encode(docs: DataFrame, ranks_path: str, pattern: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(doc_id, ids array<int>, n_tokens) for each row; null and empty texts have no ids."""
+def encode(docs: DataFrame, ranks_path: str, pattern: str, id_col: str = "doc_id", text_col: str = "text", checked: bool = False) -> DataFrame:
+    """(doc_id, ids array<int>, n_tokens) for each row; null and empty texts have no ids.
+
+    With checked, ids are decoded again, and where that doesn't give the text both are NULL.
+    """
 
     def make():
         bpe = ByteBpe(read_ranks(ranks_path), pattern)
 
         def step(c):
-            ids = [np.frombuffer(bpe.encode(t), "<u4").astype(np.int32) for t in c["text"]]
-            return {"doc_id": c["doc_id"], "ids": ids, "n_tokens": [len(x) for x in ids]}
+            coded = [bpe.encode(t) for t in c["text"]]
+            if checked:
+                coded = [x if bpe.decode(x) == (t or "").encode("utf-8") else None for x, t in zip(coded, c["text"], strict=True)]
+            ids = [None if x is None else np.frombuffer(x, "<u4").astype(np.int32) for x in coded]
+            return {"doc_id": c["doc_id"], "ids": ids, "n_tokens": [None if x is None else len(x) for x in ids]}
 
         return step
 

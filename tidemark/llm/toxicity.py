@@ -8,11 +8,12 @@ weights tell which sentences offend.
 from __future__ import annotations
 
 import re
-from collections.abc import Iterable
+from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -149,6 +150,22 @@ def _probabilities(text: str | None, bias: float, weights: _Weights) -> np.ndarr
     return 1 / (1 + np.exp(-z))
 
 
+def _score(text: str | None, bias: float, weights: _Weights) -> float:
+    return float(-np.expm1(np.log1p(-np.minimum(_probabilities(text, bias, weights), 1 - 1e-15)).sum()))
+
+
+def accepted(docs: DataFrame, model: Model, text_col: str = "text", threshold: float = 0.5) -> DataFrame:
+    """The rows of docs below the threshold, all columns as they are; decided row by row, so ids don't matter. No shuffle."""
+    place = docs.columns.index(text_col)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        weights = _Weights(model.weights)
+        for batch in batches:
+            yield batch.filter(pa.array([_score(t.as_py(), model.bias, weights) < threshold for t in batch.column(place)], pa.bool_()))
+
+    return docs.mapInArrow(run, docs.schema)
+
+
 def score(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str = "text", threshold: float = 0.5) -> DataFrame:
     """(doc_id, held_out, score, predicted) for each row; whole texts, no shuffle.
 
@@ -160,7 +177,7 @@ def score(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str =
         weights = _Weights(model.weights)
 
         def step(c):
-            scores = [float(-np.expm1(np.log1p(-np.minimum(_probabilities(t, model.bias, weights), 1 - 1e-15)).sum())) for t in c["text"]]
+            scores = [_score(t, model.bias, weights) for t in c["text"]]
             return {"doc_id": c["doc_id"], "score": scores, "predicted": [int(s >= threshold) for s in scores]}
 
         return step
