@@ -3,6 +3,7 @@
 import hashlib
 import random
 import re
+from collections import Counter
 
 import numpy as np
 import pytest
@@ -291,27 +292,49 @@ def _leaks(text, items, width=10):
     return len(words), len(hit), found
 
 
-def test_contamination_as_brute_force_finds_it(spark, monkeypatch):
+def _near(text, items, width, slack):
+    """Items of which a passage has all its words within width + slack words of the text."""
+    words, found = decontamination.words_of(text), set()
+    for item, t in items:
+        w = decontamination.words_of(t)
+        n = min(width, len(w))
+        for a in {*range(0, len(w) - n + 1, width), len(w) - n} if w else ():
+            need = Counter(w[a : a + n])
+            if any(not need - Counter(words[p : p + n + slack]) for p in range(len(words))):
+                found.add(str(item))
+    return found
+
+
+def _said(r):
+    return r.n_words, r.n_hit, r.n_items, r.contaminated, r.items_sha256, r.n_near
+
+
+def _wanted(text, items):
+    n, hit, found = _leaks(text, items)
+    return n, hit, len(found), hit > 0, decontamination.digest(sorted(found)), len(_near(text, items, 10, 2))
+
+
+@pytest.mark.parametrize("block", [1 << 20, 60])
+def test_contamination_as_brute_force_finds_it(spark, monkeypatch, block):
     draw = random.Random(2)
     vocab = [f"t{i}" for i in range(12)] + ["Ünder", "漢字"]
-    items = [(i, " ".join(draw.choice(vocab) for _ in range(n))) for i, n in enumerate([25, 10, 4, 1, 14, 30])] + [(10, None), (11, "...")]
+    items = [(i, " ".join(draw.choice(vocab) for _ in range(n))) for i, n in enumerate([25, 10, 4, 1, 14, 30])] + [(10, None), (11, "..."), (13, "t1 " * 12)]
     items += [items[0], (12, items[4][1])]
-    texts = [*ODD, *(t for _, t in items if t)]
+    texts = [*ODD, *(t for _, t in items if t), "t1 " * 40]
     for _ in range(60):
         body = [draw.choice(vocab) for _ in range(draw.randint(5, 80))]
         if draw.random() < 0.7:
-            w = draw.choice(items[:6])[1].split()
-            body[draw.randrange(len(body)) : 0] = w[draw.randrange(len(w)) :]
+            w = draw.choice(items[:6])[1].split()[draw.randrange(20) :]
+            if draw.random() < 0.5:
+                w.insert(draw.randrange(len(w) + 1), "between")
+            body[draw.randrange(len(body)) : 0] = w
         texts.append(draw.choice([" ", ", ", "\n"]).join(body).upper() if draw.random() < 0.3 else " ".join(body))
     bench = spark.createDataFrame(items, "item_id long, text string")
-    monkeypatch.setattr(decontamination, "SEGMENT_WORDS", 400)
-    want = {i: _leaks(t, items) for i, t in enumerate(texts)}
-    for block in (1 << 20, 60):
-        monkeypatch.setattr(decontamination, "BLOCK_BYTES", block)
-        got = {r.doc_id: r for r in decontamination.contamination(docs(spark, texts), bench).collect()}
-        for i, (n, hit, found) in want.items():
-            r = got[i]
-            assert (r.n_words, r.n_hit, r.n_items, r.contaminated, r.items_sha256) == (n, hit, len(found), hit > 0, decontamination.digest(sorted(found))), i
+    for name, value in (("SEGMENT_WORDS", 400), ("BLOCK_BYTES", block), ("_WINDOWS", 7), ("_PAIRS", 50)):
+        monkeypatch.setattr(decontamination, name, value)
+    got = {r.doc_id: r for r in decontamination.contamination(docs(spark, texts), bench).collect()}
+    for i, t in enumerate(texts):
+        assert _said(got[i]) == _wanted(t, items), (i, t)
 
 
 def test_contamination_without_items_or_documents(spark):
@@ -328,13 +351,15 @@ def test_contamination_gives_each_row_its_own(spark, monkeypatch, block):
     rows = [(None, "x a b c"), (None, "d e f"), (None, None), (7, "a b c d e f"), (7, "a b c d e f"), (7, "no such words here"), (8, "g h i")]
     bench = spark.createDataFrame(items, "item_id long, text string")
     got = decontamination.contamination(spark.createDataFrame(rows, "doc_id long, text string"), bench).collect()
-    want = [(i, *_leaks(t, items)) for i, t in rows]
     assert len(list(decontamination.item_blocks(bench))) == (1 if block > 8 else 2)
-    assert sorted((r.doc_id or 0, r.n_words, r.n_hit, r.n_items, r.items_sha256) for r in got) == sorted((i or 0, n, h, len(f), decontamination.digest(sorted(f))) for i, n, h, f in want)
+    assert sorted((r.doc_id or 0, *_said(r)) for r in got) == sorted((i or 0, *_wanted(t, items)) for i, t in rows)
 
 
-def test_proximity(spark):
-    items = [("1", "alpha beta gamma")]
-    index = decontamination.build_index(docs(spark, ["gamma x alpha y beta", "alpha " + "x " * 30 + "beta gamma"]), decontamination.vocabulary(items))
-    got = {r.doc_id: r.items for r in decontamination.search(index, decontamination.Phrases.of(items, 10), slack=2).collect()}
-    assert got == {0: ["1"], 1: []}
+def test_one_index_serves_several_test_sets(spark):
+    index = decontamination.written(decontamination.build_index(docs(spark, ["gamma x alpha y beta", "alpha " + "x " * 30 + "beta gamma", "alpha beta gamma"])))
+    found = lambda text, slack: {r.row: (r.hits, r.near) for r in decontamination.search(index, [("1", text)], 10, slack).collect()}
+    place = {r.doc: r.row for r in index.selectExpr("explode(arrays_zip(rows, doc_ids)) r").selectExpr("r.rows row", "r.doc_ids doc").collect()}
+    assert found("alpha beta gamma", 2) == {place[0]: ([], ["1"]), place[2]: ([0, 1, 2], ["1"])}
+    assert found("alpha beta gamma", 1) == {place[2]: ([0, 1, 2], ["1"])}
+    assert found("beta gamma", None) == {place[1]: ([31, 32], []), place[2]: ([1, 2], [])}
+    assert found("unheard of", 3) == {}

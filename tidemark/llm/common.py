@@ -33,7 +33,7 @@ def map_rows(df: DataFrame, make: Callable[[], Callable[[dict[str, list]], dict[
     ``make`` is called once a task, so what it sets up (tokenizers, caches) is shared by the task's
     rows. The rows stream: memory holds one Arrow batch and one slice.
     """
-    target = _arrow_schema(df.sparkSession, schema)
+    target = arrow_schema(df.sparkSession, schema)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         step = make()
@@ -46,7 +46,7 @@ def map_rows(df: DataFrame, make: Callable[[], Callable[[dict[str, list]], dict[
     return df.mapInArrow(run, schema)
 
 
-def _arrow_schema(spark: SparkSession, schema: str) -> pa.Schema:
+def arrow_schema(spark: SparkSession, schema: str) -> pa.Schema:
     from pyspark.sql.pandas.types import to_arrow_schema
     from pyspark.sql.types import StructType
 

@@ -60,10 +60,26 @@ WITH d AS (
   SELECT doc_id, count(DISTINCT p) AS n_hit FROM (SELECT doc_id, unnest(range(i, i + width)) AS p FROM found) GROUP BY doc_id
 ), items AS (
   SELECT doc_id, count(DISTINCT item) AS n_items, string_agg(DISTINCT item, ',' ORDER BY item) AS ids FROM found GROUP BY doc_id
+), passages AS (
+  SELECT DISTINCT item, a, least(len(ws), 10) AS width, ws[a:a + least(len(ws), 10) - 1] AS p
+  FROM (SELECT item, ws, unnest(list_concat(range(1, greatest(len(ws) - 9, 1) + 1, 10), [greatest(len(ws) - 9, 1)])) AS a FROM b WHERE len(ws) > 0)
+), needs AS (
+  SELECT item, a, width, len(list_distinct(p)) AS k, t, count(*) AS need FROM (SELECT *, unnest(p) AS t FROM passages) GROUP BY ALL
+), words AS (
+  SELECT doc_id, unnest(range(1, len(ws) + 1)) AS i, unnest(ws) AS t FROM d
+), able AS (
+  SELECT doc_id, item, a FROM (SELECT DISTINCT doc_id, t FROM words) JOIN needs USING (t) GROUP BY doc_id, item, a, k HAVING count(*) = k
+), places AS (
+  SELECT doc_id, item, a, width, k, need, t, i FROM able JOIN needs USING (item, a) JOIN words USING (doc_id, t)
+), full_terms AS (
+  SELECT x.doc_id, x.item, x.a, x.i, x.k FROM places x JOIN places y ON y.doc_id = x.doc_id AND y.item = x.item AND y.a = x.a AND y.i BETWEEN x.i AND x.i + x.width + 1
+  GROUP BY x.doc_id, x.item, x.a, x.i, x.k, y.t, y.need HAVING count(*) >= y.need
+), near AS (
+  SELECT doc_id, count(DISTINCT item) AS n_near FROM (SELECT doc_id, item FROM full_terms GROUP BY doc_id, item, a, i, k HAVING count(*) = k) GROUP BY doc_id
 )
 SELECT d.doc_id, CAST(len(ws) AS BIGINT) AS n_words, CAST(coalesce(n_hit, 0) AS BIGINT) AS n_hit, CAST(coalesce(n_items, 0) AS BIGINT) AS n_items,
-  sha256(coalesce(ids, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
-FROM d LEFT JOIN hits USING (doc_id) LEFT JOIN items USING (doc_id)
+  sha256(coalesce(ids, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated, CAST(coalesce(n_near, 0) AS BIGINT) AS n_near
+FROM d LEFT JOIN hits USING (doc_id) LEFT JOIN items USING (doc_id) LEFT JOIN near USING (doc_id)
 """
 
 SQL = {"op4_warc": _WARC, "op7_near_dedup": _NEAR, "op8_decontamination": _LEAKS}
