@@ -51,13 +51,17 @@ def pages(spark):
 
 
 def test_archives_return_what_was_written(spark, pages, tmp_path):
-    made = warc.write_archives(pages, f"file://{tmp_path}/a", warc.Layout(archive_bytes=8000)).collect()
+    table = warc.write_archives(pages, f"{tmp_path}/a", warc.Layout(archive_bytes=8000))
+    made = table.collect()
     assert sum(m.records for m in made) == 201 and len(made) > 2
+    left = tmp_path / "a" / "part-00000-999999-0000.warc.zst"  # as an attempt would leave it that was lost
+    left.write_bytes(b"half")
+    assert warc.archives_in(spark, f"{tmp_path}/a").count() == len(made) + 1
     html = {r.page_id: (r.html or "").encode() for r in pages.collect()}
     last = {}
     for i, h in html.items():
         last[h] = max(last.get(h, -1), i)
-    read = warc.read_archives(spark, f"file://{tmp_path}/a").collect()
+    read = warc.read_archives(table).collect()
     assert sorted(r.page_id for r in read) == sorted([*html, 7])
     for r in read:
         h = html[r.page_id]
@@ -68,14 +72,17 @@ def test_archives_return_what_was_written(spark, pages, tmp_path):
     import pathlib
     import struct
 
-    first = sorted(pathlib.Path(tmp_path, "a").glob("*.zst"))[0].read_bytes()
-    assert struct.unpack("<I", first[:4])[0] == warc.SKIPPABLE
+    left.unlink()
+    for path in pathlib.Path(tmp_path, "a").glob("*.zst"):
+        magic, size = struct.unpack("<II", path.read_bytes()[:8])
+        assert magic == warc.SKIPPABLE and size > 0
+    assert warc.read_archives(warc.archives_in(spark, f"{tmp_path}/a")).count() == 201
 
 
 def test_a_dictionary_makes_records_smaller(spark):
     import zstandard
 
-    records = [warc._record({"page_id": i, "url": f"http://h/{i}", "html": "<html><head><title>page</title></head><body>" + hashlib.md5(bytes([i])).hexdigest() * 20, "refers_to": None, "payload_digest": "D" * 32}, "d") for i in range(120)]
+    records = [warc._record({"page_id": i, "url": f"http://h/{i}", "html": "<html><head><title>page</title></head><body>" + hashlib.md5(bytes([i])).hexdigest() * 20, "refers_to": None, "digest": "0d" * 20}, "d") for i in range(120)]
     d = warc._dictionary(records, warc.Layout())
     assert d
     with_it, without = zstandard.ZstdCompressor(dict_data=zstandard.ZstdCompressionDict(d)), zstandard.ZstdCompressor()
@@ -85,8 +92,22 @@ def test_a_dictionary_makes_records_smaller(spark):
 def test_no_pages_and_null_ids(spark):
     schema = "page_id long, url string, html string"
     assert warc.archived(spark.createDataFrame([], schema)).collect() == []
-    got = warc.archived(spark.createDataFrame([(None, None, "a"), (5, None, "a")], schema)).collect()
-    assert sorted((r.page_id or 0, r.record_type) for r in got) == [(0, "response"), (5, "response")]
+    rows = [(None, None, "a"), (5, None, "a"), (3, None, "a"), (None, None, "b"), (None, None, "b"), (7, None, None), (8, None, ""), (8, None, "")]
+    got = warc.archived(spark.createDataFrame(rows, schema)).collect()
+    want = [(0, "response", 0), (0, "response", 0), (0, "revisit", 5), (3, "revisit", 5), (5, "response", 0), (7, "revisit", 8), (8, "response", 0), (8, "response", 0)]
+    assert sorted((r.page_id or 0, r.record_type, r.refers_to or 0) for r in got) == want
+
+
+@pytest.mark.parametrize("bodies", [["x"], ["x" * 50_000] + ["y"] * 3, [hashlib.sha512(bytes([i])).hexdigest() for i in range(40)], ["z" * (3 << 20)] + ["<p>page</p>" * 20] * 200])
+def test_every_archive_has_a_dictionary(spark, tmp_path, bodies):
+    import zstandard
+
+    records = [warc._record({"page_id": i, "url": "", "html": h, "refers_to": None, "digest": hashlib.sha1(h.encode()).hexdigest()}, "d") for i, h in enumerate(bodies)]
+    d = warc._dictionary(records, warc.Layout())
+    assert 0 < len(d) <= warc.Layout.dictionary_bytes
+    made = warc._archive(records, f"file://{tmp_path}/one.warc.zst", warc.Layout())
+    got = warc.read_archives(spark.createDataFrame([(made["path"],)], "path string")).collect()
+    assert [bytes(r.payload).decode() for r in sorted(got, key=lambda r: r.page_id)] == bodies
 
 
 def _sketch(text, k=5, fraction=0.25):

@@ -10,8 +10,8 @@ WITH p AS (
   FROM p
 )
 SELECT page_id, CAST(payload_bytes AS BIGINT) AS payload_bytes, payload_digest,
-  CASE WHEN page_id < last THEN 'revisit' ELSE 'response' END AS record_type,
-  CASE WHEN page_id < last THEN last END AS refers_to
+  CASE WHEN last IS NOT NULL AND page_id IS DISTINCT FROM last THEN 'revisit' ELSE 'response' END AS record_type,
+  CASE WHEN page_id IS DISTINCT FROM last THEN last END AS refers_to
 FROM r
 """
 

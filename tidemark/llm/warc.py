@@ -16,74 +16,74 @@ from dataclasses import dataclass
 
 import pyarrow as pa
 import pyarrow.fs
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
-from tidemark.llm.common import pick, shared_folder
+from tidemark.llm.common import arrow_schema, pick, shared_folder, written
 
 # Fixed values of the public formats.
 SKIPPABLE = 0x184D2A5D
 REVISIT_PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
-_BASE32 = "ABCDEFGHIJKLMNOPQRSTUVWXYZ234567"
 
 
 @dataclass(frozen=True)
 class Layout:
-    """archive_bytes: plain bytes after which a task begins another archive; sample_bytes: how much of
-    its first records the dictionary is built from; dictionary_bytes: the most that it may hold."""
+    """archive_bytes: plain bytes after which a task begins another archive; sample_bytes, piece_bytes: how
+    much of its records, evenly spaced over all of it, and of each of them at most, the dictionary is built
+    from; dictionary_bytes: the most that it may hold."""
 
     archive_bytes: int = 64 << 20
     sample_bytes: int = 2 << 20
+    piece_bytes: int = 16 << 10
     dictionary_bytes: int = 64 << 10
     level: int = 3
     date: str = "2024-01-01T00:00:00Z"
 
 
-def payload_digest(payload: Column) -> Column:
-    """Bare upper-case base32 SHA-1: five-bit groups of the digest, 40 bits at a time."""
-    groups = F.transform(
-        F.sequence(F.lit(0), F.lit(3)), lambda i: F.conv(F.substring(F.sha1(payload), i * 10 + 1, 10), 16, 10).cast("long")
-    )
-    letter = lambda n, j: F.substring(F.lit(_BASE32), F.shiftright(n, 35 - 5 * j).bitwiseAND(31).cast("int") + 1, F.lit(1))
-    return F.array_join(F.transform(groups, lambda n: F.concat(*[letter(n, j) for j in range(8)])), "")
-
-
 def with_revisits(pages: DataFrame) -> DataFrame:
-    """pages (page_id, url, html) with payload_digest and refers_to (null: the record is a response).
+    """pages (page_id, url, html) with digest (SHA-1 in hexadecimal) and refers_to (null: the record is a response).
 
-    Of equal payloads the largest page_id is the response. Payloads stay where their rows are: the
-    decision is made on ids and digests alone, and only the ids that revisit are joined back.
+    Of equal payloads the largest page_id is the response and all others revisit it, null ids among them;
+    where all ids are null there is none to refer to. The decision is made on ids and digests alone: a row
+    for each repeated payload is written, and Spark brings it to the payloads by a broadcast where that
+    table is below its threshold, else by one shuffle of the payloads, in which AQE splits hot digests.
     """
-    html = F.coalesce("html", F.lit(""))
-    digested = pages.withColumn("payload_digest", payload_digest(F.encode(html, "UTF-8")))
-    ids = digested.select("page_id", "payload_digest").where("page_id IS NOT NULL")
-    last = ids.groupBy("payload_digest").agg(F.max("page_id").alias("refers_to"), F.count("*").alias("n")).where("n > 1")
-    revisits = ids.join(last.drop("n"), "payload_digest").where("page_id < refers_to").distinct()
-    return digested.join(revisits, ["page_id", "payload_digest"], "left")
+    digested = pages.withColumn("digest", F.sha1(F.encode(F.coalesce("html", F.lit("")), "UTF-8")))
+    repeated = digested.groupBy("digest").agg(F.max("page_id").alias("last"), F.count("*").alias("n")).where("n > 1 AND last IS NOT NULL")
+    return digested.join(written(repeated.drop("n")), "digest", "left").withColumn("refers_to", F.when(~F.col("page_id").eqNullSafe(F.col("last")), F.col("last"))).drop("last")
 
 
 def write_archives(pages: DataFrame, folder: str, layout: Layout = Layout(), id_col: str = "page_id", url_col: str = "url", html_col: str = "html") -> DataFrame:
-    """Write an archive or more per task into folder and return (path, records, bytes) of each.
+    """Write an archive or more per task into folder, at once, and return the written table (path, records, bytes) of them.
 
-    Files are written under a name of their attempt and renamed when whole, so that a lost executor
-    leaves no half archive under a final name. Null html is an empty payload, null url an empty target;
-    a null page_id is a response that nothing refers to, and repeated rows of the responding id are all
-    responses. No rows give no archive.
+    Names hold the task's attempt, and the table lists only what attempts that finished have written: a
+    lost, repeated or speculative task may leave files behind, but none that the table knows. folder is
+    taken on Spark's own default filesystem. Null html is an empty payload, null url an empty target;
+    repeated rows of the responding id are all responses. No rows give no archive.
     """
+    place = _qualified(pages.sparkSession, folder)
     rows = with_revisits(pick(pages, page_id=id_col, url=url_col, html=html_col))
-    return rows.mapInArrow(lambda batches: _write(batches, folder, layout), "path string, records long, bytes long")
+    return written(rows.mapInArrow(lambda batches: _write(batches, place, layout), "path string, records long, bytes long"))
+
+
+def _qualified(spark: SparkSession, folder: str) -> str:
+    """The folder as a full URI, so that tasks mean the same place as Spark does; raises if they can't open it."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    uri = path.getFileSystem(spark._jsc.hadoopConfiguration()).makeQualified(path).toUri().toString()
+    uri = "file://" + uri.removeprefix("file:") if uri.startswith("file:/") and not uri.startswith("file://") else uri
+    pa.fs.FileSystem.from_uri(uri)
+    return uri
 
 
 def _write(batches: Iterator[pa.RecordBatch], folder: str, layout: Layout) -> Iterator[pa.RecordBatch]:
     from pyspark import TaskContext
 
-    context, serial, held, size, done = TaskContext.get(), 0, [], 0, []
+    context, held, size, done = TaskContext.get(), [], 0, []
 
     def flush() -> None:
-        nonlocal serial, held, size
-        done.append(_archive(held, f"{folder}/part-{context.partitionId():05d}-{serial:04d}.warc.zst", context.taskAttemptId(), layout))
-        serial, held, size = serial + 1, [], 0
+        nonlocal held, size
+        done.append(_archive(held, f"{folder}/part-{context.partitionId():05d}-{context.taskAttemptId()}-{len(done):04d}.warc.zst", layout))
+        held, size = [], 0
 
     for batch in batches:
         for row in batch.to_pylist():
@@ -97,37 +97,38 @@ def _write(batches: Iterator[pa.RecordBatch], folder: str, layout: Layout) -> It
     yield pa.RecordBatch.from_pylist(done, schema=pa.schema([("path", pa.string()), ("records", pa.int64()), ("bytes", pa.int64())]))
 
 
-def _archive(records: list[bytes], path: str, attempt: int, layout: Layout) -> dict:
+def _archive(records: list[bytes], path: str, layout: Layout) -> dict:
     import zstandard
 
     dictionary = _dictionary(records, layout)
-    made = zstandard.ZstdCompressor(level=layout.level, dict_data=zstandard.ZstdCompressionDict(dictionary) if dictionary else None, write_checksum=True)
-    data = b"".join([struct.pack("<II", SKIPPABLE, len(dictionary)), dictionary, *map(made.compress, records)])
-    store, place = pa.fs.FileSystem.from_uri(path) if "://" in path or path.startswith("file:") else (pa.fs.LocalFileSystem(), path)
+    made = zstandard.ZstdCompressor(level=layout.level, dict_data=zstandard.ZstdCompressionDict(dictionary), write_checksum=True)
+    store, place = pa.fs.FileSystem.from_uri(path)
     store.create_dir(place.rpartition("/")[0], recursive=True)
-    with store.open_output_stream(f"{place}.{attempt}.tmp") as out:
-        out.write(data)
-    store.move(f"{place}.{attempt}.tmp", place)
-    return {"path": path, "records": len(records), "bytes": len(data)}
+    size = 8 + len(dictionary)
+    with store.open_output_stream(place, compression=None) as out:
+        out.write(struct.pack("<II", SKIPPABLE, len(dictionary)) + dictionary)
+        for record in records:
+            frame = made.compress(record)
+            out.write(frame)
+            size += len(frame)
+    return {"path": path, "records": len(records), "bytes": size}
 
 
 def _dictionary(records: list[bytes], layout: Layout) -> bytes:
-    """From the first records, up to the layout's bytes; archives too small to learn from have an empty one."""
+    """Built from the first piece of records that are evenly spaced over the archive.
+
+    Where these are too few, or have too little in common, for the library to train on, their beginnings
+    themselves are the dictionary's content.
+    """
     import zstandard
 
-    samples, size = [], 0
-    for r in records:
-        if size >= layout.sample_bytes:
-            break
-        samples.append(r[: layout.sample_bytes - size])
-        size += len(samples[-1])
-    most = min(layout.dictionary_bytes, size // 16)
-    if len(samples) < 8 or most < 1024:
-        return b""
+    total = sum(min(len(r), layout.piece_bytes) for r in records)
+    samples = [r[: layout.piece_bytes] for r in records[:: -(-total // layout.sample_bytes)]]
+    most = max(256, min(layout.dictionary_bytes, total // 16))
     try:
         return zstandard.train_dictionary(most, samples, k=256, d=8).as_bytes()
-    except zstandard.ZstdError:  # the library refuses samples without anything in common
-        return b""
+    except zstandard.ZstdError:
+        return b"".join(r[: max(1, most // len(samples))] for r in samples)[:most]
 
 
 def _record(row: dict, date: str) -> bytes:
@@ -138,7 +139,7 @@ def _record(row: dict, date: str) -> bytes:
         ("WARC-Record-ID", "<urn:page:none>" if row["page_id"] is None else f"<urn:page:{row['page_id']}>"),
         ("WARC-Date", date),
         ("WARC-Target-URI", re.sub(r"[\x00-\x20\x7f]", lambda m: f"%{ord(m[0]):02X}", row["url"] or "")),
-        ("WARC-Payload-Digest", f"sha1:{row['payload_digest']}"),
+        ("WARC-Payload-Digest", f"sha1:{base64.b32encode(bytes.fromhex(row['digest'])).decode()}"),
         ("Content-Type", "application/http; msgtype=response"),
     ]
     if row["refers_to"] is None:
@@ -152,44 +153,48 @@ def _record(row: dict, date: str) -> bytes:
 READ = "page_id long, url string, payload_bytes long, payload_digest string, record_type string, refers_to long, payload binary"
 
 
-def read_archives(spark: SparkSession, folder: str, payloads: bool = True) -> DataFrame:
-    """A row for each record of the archives in folder: what READ names; payload is null in revisits.
+def archives_in(spark: SparkSession, folder: str) -> DataFrame:
+    """(path) of the archives that a folder holds, for archives that have no table."""
+    return spark.read.format("binaryFile").option("pathGlobFilter", "*.warc.zst").load(folder).select("path")
 
-    Payloads of responses are digested anew and must agree with their headers. An archive is one input
-    row, bounded by the layout that it was written with; its frames are read as a stream.
-    """
-    files = spark.read.format("binaryFile").option("pathGlobFilter", "*.warc.zst").load(folder).select("content")
-    fields = T.StructType.fromDDL(READ)
-    if not payloads:
-        fields = T.StructType(fields.fields[:-1])
-    from pyspark.sql.pandas.types import to_arrow_schema
 
-    target = to_arrow_schema(fields)
+def read_archives(archives: DataFrame, payloads: bool = True, parts: int | None = None) -> DataFrame:
+    """A row for each record of the archives (path): what READ names; payload is null in revisits.
+
+    Payloads of responses are digested anew and must agree with their headers. Tasks read archives as
+    streams, so that memory holds a few records; ``parts`` tasks, by default one for each archive up to
+    ten thousand.
+    """
+    fields = READ if payloads else READ.rpartition(",")[0]
+    target = arrow_schema(archives.sparkSession, fields)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for content in batch.column(0):
-                held = []
-                for record in _parsed(content.as_buffer(), payloads):
-                    held.append(record)
-                    if len(held) == 256:
-                        yield pa.RecordBatch.from_pylist(held, schema=target)
-                        held = []
+            for path in batch.column(0).to_pylist():
+                store, place = pa.fs.FileSystem.from_uri(path)
+                held, size = [], 0
+                with store.open_input_stream(place, compression=None) as data:
+                    for record in _parsed(data, payloads):
+                        held.append(record)
+                        size += len(record.get("payload") or b"")
+                        if len(held) == 256 or size > 8 << 20:
+                            yield pa.RecordBatch.from_pylist(held, schema=target)
+                            held, size = [], 0
                 if held:
                     yield pa.RecordBatch.from_pylist(held, schema=target)
 
-    return files.mapInArrow(run, fields)
+    parts = parts or max(1, min(10_000, archives.count()))
+    return archives.select("path").repartition(parts).mapInArrow(run, fields)
 
 
 def _parsed(data, payloads: bool) -> Iterator[dict]:
     import zstandard
 
-    view = memoryview(data)
-    magic, size = struct.unpack("<II", view[:8])
+    magic, size = struct.unpack("<II", data.read(8))
     if magic != SKIPPABLE:
         raise ValueError("an archive must begin with its dictionary's frame")
-    dictionary = zstandard.ZstdCompressionDict(bytes(view[8 : 8 + size])) if size else None
-    body = zstandard.ZstdDecompressor(dict_data=dictionary).stream_reader(view[8 + size :], read_across_frames=True)
+    dictionary = zstandard.ZstdCompressionDict(data.read(size)) if size else None
+    body = zstandard.ZstdDecompressor(dict_data=dictionary).stream_reader(data, read_across_frames=True)
     lines = io.BufferedReader(body, 1 << 16)
     while lines.readline():  # the version line
         head = dict(_headers(lines))
@@ -222,12 +227,5 @@ def _headers(lines) -> Iterator[tuple[str, str]]:
 
 
 def archived(pages: DataFrame) -> DataFrame:
-    """pages written to new archives in shared storage and read back, without payloads.
-
-    The ids of a lost or failed task's archives never show: they carry final names only when whole.
-    """
-    spark = pages.sparkSession
-    folder = shared_folder(spark)
-    if not write_archives(pages, folder).agg(F.sum("records")).first()[0]:
-        return spark.createDataFrame([], T.StructType(T.StructType.fromDDL(READ).fields[:-1]))
-    return read_archives(spark, folder, payloads=False)
+    """pages written to new archives in shared storage and read back, without payloads."""
+    return read_archives(write_archives(pages, shared_folder(pages.sparkSession)), payloads=False)
