@@ -1,8 +1,10 @@
 """Token counts, BPE, secrets, licenses, toxicity, near-duplicates and decontamination against plain code."""
 
 import hashlib
+import math
 import random
 import re
+import time
 from collections import Counter
 
 import numpy as np
@@ -117,6 +119,44 @@ def test_secret_patterns_and_models(spark, corpus):
     assert all(clean[i] == t for i, t in enumerate(texts) if not got[i].spans)
 
 
+def test_secret_spans_in_long_texts_and_parts_of_runs():
+    draw = random.Random(9)
+    key = lambda n: "".join(draw.choice("ABCDEFGHJKMNPQRSTUVWXYZabcdefghijkmnopqrstuvwxyz0123456789") for _ in range(n))
+    ratio = np.full((63, 63), 2.0)
+    ratio[:, 0] = 0
+    model = secrets.Markov(ratio)
+    for _ in range(300):
+        pieces = [draw.choice([key(draw.randint(1, 30)), "AKIA" + "A" * draw.randint(10, 30), "ab12" * draw.randint(3, 9), f"token={key(draw.randint(3, 20))}", "-", "_", "/"]) for _ in range(draw.randint(1, 12))]
+        text = "".join(p + draw.choice(["", "", " "]) for p in pieces)
+        base, want, taken = secrets.base_spans(text), [], set()
+        for a, b, _ in base:
+            taken |= set(range(a, b))
+        for m in re.finditer("[A-Za-z0-9+/_=-]+", "".join(" " if i in taken else c for i, c in enumerate(text))):
+            inner = [r for r in re.finditer("[A-Za-z0-9+/_=-]{12,}", text) if r.start() <= m.start() and m.end() <= r.end()]
+            if len(m[0]) >= 12 and inner and 2.0 * sum(c.isalnum() for c in m[0]) >= 14:
+                want.append((m.start(), m.end(), "random"))
+        assert [s for s in secrets.find_spans(text, model) if s[2] == "random"] == want, text
+        assert [s for s in secrets.find_spans(text, model) if s[2] != "random"] == base
+    began = time.time()
+    assert len(secrets.find_spans("\n".join(hashlib.md5(bytes([i % 256])).hexdigest() for i in range(50_000)), model)) == 50_000
+    assert time.time() - began < 5
+
+
+def test_secret_models_tell_keys_from_words(spark, corpus):
+    draw = random.Random(10)
+    model = secrets.train(docs(spark, corpus))
+    letters = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789"
+    keys = ["".join(draw.choice(letters) for _ in range(draw.randint(16, 40))) for _ in range(2000)]
+    words = sorted({w for t in corpus for w in re.findall("[A-Za-z]{4,12}", t or "")})
+    names = [draw.choice(["_", "-", ""]).join(draw.choice(words) for _ in range(3)) for _ in range(2000)]
+    names = [n for n in names if len(n) >= 12]
+    assert (model.scores(keys) >= model.least_ratio).mean() >= 0.95
+    assert (model.scores(names) >= model.least_ratio).mean() <= 0.02
+    extra = spark.createDataFrame([(1, f"key {keys[0]} end", 1), (1, f"key {keys[0]} end", 2), (None, None, 3)], "doc_id long, text string, spans int")
+    got = secrets.scan(extra, model).collect()
+    assert len(got) == 3 and got[0] == got[1] and got[2].spans == ""
+
+
 def test_secret_models_without_samples(spark):
     empty = docs(spark, [])
     model = secrets.train(empty)
@@ -129,16 +169,44 @@ def test_licenses_as_brute_force_finds_them(spark, corpus):
     got = {r.doc_id: r for r in licenses.scan(docs(spark, texts)).collect()}
     for i, name in enumerate(licenses.TEMPLATES):
         assert name in got[i].licenses.split(","), name
-    matcher = licenses.Matcher(licenses.TEMPLATES)
     for i, t in enumerate(texts):
-        words, want = licenses.words_of(t), set()
-        sh = [tuple(words[a : a + 3]) for a in range(len(words) - 2)]
-        for name, text in licenses.TEMPLATES.items():
-            w = licenses.words_of(text)
-            mine = {tuple(w[a : a + 3]) for a in range(len(w) - 2)}
-            if any(len(mine & set(sh[a : a + 2 * len(w)])) >= matcher.least * len(mine) for a in range(0, len(sh), len(w))):
-                want.add(name)
-        assert set(got[i].licenses.split(",")) - {""} == want, i
+        assert set(got[i].licenses.split(",")) - {""} == _licensed(t, licenses.TEMPLATES), i
+
+
+def _licensed(text, templates, least=0.8):
+    """Templates of which some stretch of twice their words, wherever it begins, has enough shingles."""
+    words, found = licenses.words_of(text), set()
+    sh = [tuple(words[a : a + 3]) for a in range(len(words) - 2)]
+    for name, t in templates.items():
+        w = licenses.words_of(t)
+        mine = {tuple(w[a : a + 3]) for a in range(len(w) - 2)}
+        if any(len(mine & set(sh[a : a + 2 * len(w)])) >= least * len(mine) for a in range(len(sh))):
+            found.add(name)
+    return found
+
+
+def test_licenses_edited_and_stretched_at_any_offset(spark):
+    draw = random.Random(6)
+    own = lambda p, n: [f"{p}{draw.randrange(10 * n)}" for _ in range(n)]
+    table = spark.createDataFrame([(f"t{n}", " ".join(own(f"a{n}x", n)), 1) for n in (8, 24, 42, 400, 2500)] + [(None, "x", 2), ("none", None, 3)], "name string, text string, n int")
+    templates = licenses.templates_of(table)
+    assert sorted(templates) == ["t24", "t2500", "t400", "t42", "t8"]
+    texts = []
+    for name, t in templates.items():
+        w = t.split()
+        for k in range(42 if len(w) < 100 else 6):
+            copy = list(w)
+            for _ in range(draw.randint(0, max(1, len(w) // 14))):  # edits; about half are too many
+                copy[draw.randrange(len(copy))] = "edited"
+            at = draw.randrange(len(copy))
+            copy[at:at] = own("b", draw.randint(0, len(w)))  # a stretch in its middle
+            texts.append(" ".join(own("c", k * (1 if len(w) < 100 else len(w) // 5)) + copy + own("d", draw.randrange(60))))
+    got = {r.doc_id: r for r in licenses.scan(docs(spark, texts), templates).collect()}
+    want = [_licensed(t, templates) for t in texts]
+    assert [set(got[i].licenses.split(",")) - {""} for i in range(len(texts))] == want
+    assert 30 < sum(map(bool, want)) < len(want) - 10
+    with pytest.raises(ValueError):
+        licenses.templates_of(spark.createDataFrame([("big", "x " * (9 << 20))], "name string, text string"))
 
 
 def test_licenses_anywhere_in_long_texts():
@@ -204,6 +272,19 @@ def test_toxicity_learns_from_other_folds(spark):
     assert [got[i].score for i in (5000, 5001, 5002)] == [0.0] * 3
     where = toxicity.locate(df.where("doc_id = 0"), model).collect()
     assert where and all(any(b in rows[0][1][w.start : w.end] for b in bad) for w in where)
+    place = lambda w: 0.0 + sum(float(model.weights[f]) for f in toxicity.features(w))
+    for i, text in rows[:300] + [(5000, None)]:  # the noisy-or of sentences, plainly
+        spans, clean, bad_ones = [(m.start(), m.end()) for m in re.finditer(r"[^.!?\n]+", text or "") if re.search(r"[^\W_]", m[0])], 1.0, []
+        for a, b in spans:
+            p = 1 / (1 + math.exp(-model.bias - sum(map(place, set(re.findall(r"[^\W_]+", text[a:b].lower()))))))
+            clean *= 1 - p
+            bad_ones += [f"{a}:{b}"] * (p >= 0.5)
+        assert got[i].score == pytest.approx(1 - clean, abs=1e-6) and got[i].offending == ",".join(bad_ones) and got[i].n_offending == len(bad_ones)
+        assert got[i].predicted == int(got[i].score >= 0.5)
+    few = toxicity.train(df, lab.where("doc_id < 60"))
+    assert np.any(few.weights)  # a small sample still learns
+    twice = toxicity.score(df.where("doc_id = 0").union(df.where("doc_id = 0")), model).collect()
+    assert len(twice) == 2 and twice[0] == twice[1]
     flat = toxicity.train(df, lab.where("toxic = 0"))
     assert {r.predicted for r in toxicity.score(df, flat).collect()} == {0}
 

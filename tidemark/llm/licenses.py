@@ -1,9 +1,11 @@
 """License scans: templates retrieved by MinHash bands over overlapping windows, verified by containment.
 
-For a template of n words a text is read in windows of 2n words that begin at most n words apart, so that
-whatever stretch of n words holds the template lies whole in a window. A window with the share c of the
-template's shingles has a Jaccard similarity of at least c / (3 - c) with it; bands of one register each
-then miss it with probability (1 - c / (3 - c)) ** BANDS, below 1e-8 at c = 0.8.
+A template of n words matches where some stretch of 2n shingles, wherever it begins, holds the share LEAST
+of its shingles. A text is read in windows of 3n shingles that begin n apart, so that every such stretch
+lies whole in a window. A window with the share c of the template's shingles has a Jaccard similarity of at
+least c / (4 - c) with it; bands of one register each, looked up in a table from band and value to
+templates, then miss it with probability (1 - c / (4 - c)) ** BANDS, 1e-8 at c = 0.8. In a window that the
+table returns, every stretch that begins with a shingle of the template is counted exactly.
 
 Notices of one family share most of their words. Where a template's shingles are, but for some, those of
 another template too, a match has to hold one of these, about where the template has it: GPL version 2
@@ -12,17 +14,20 @@ isn't GPL version 3, and a version that no template knows is neither.
 
 from __future__ import annotations
 
+import re
 from collections import defaultdict
-from collections.abc import Mapping
+from collections.abc import Iterator, Mapping
 
 import numpy as np
-import re
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from tidemark.llm.common import WordHashes, distinct, map_rows, pick, shingles
 
 #: Bands of one register each, words of a shingle, and the share of a template's shingles that a match has.
 BANDS, WORDS, LEAST = 64, 3, 0.8
+#: Bytes of templates that a scan takes; they go to every task.
+TEMPLATE_BYTES = 16 << 20
 #: Shingles of a text that are looked up at once.
 BLOCK = 4096
 
@@ -107,13 +112,42 @@ class Matcher:
         #: Of each template, its shingles that tell it from another one that has at least the share ``least`` of them, but not all.
         self._own = {name: [own for other, o in every.items() if other != name and (own := ~np.isin(s, o)).any() and own.mean() <= 1 - least + 1e-9] for name, s in every.items()}
         self._names = {n: list(group) for n, group in self.by_length.items()}
-        self._bands = {n: np.stack([self._values(s).min(axis=0) for s in group.values()]) for n, group in self.by_length.items()}
+        self._table = {n: self._banded(group) for n, group in self.by_length.items()}
         self._fewest = {n: least * min(map(len, group.values())) for n, group in self.by_length.items()}
 
     def _values(self, hashes: np.ndarray) -> np.ndarray:
         """A row of band values for each hash."""
         return (hashes >> np.uint64(32)).astype(np.uint32)[:, None] * self._times + self._plus
 
+    def _keys(self, hashes: np.ndarray) -> np.ndarray:
+        """Of a set: the least value of each band, with the band's number above it."""
+        return self._values(hashes).min(axis=0).astype(np.uint64) | (np.arange(len(self._times), dtype=np.uint64) << np.uint64(32))
+
+    def _banded(self, group: Mapping[str, np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+        """The table from band and value to templates: sorted keys, and the template of each."""
+        keys = np.concatenate([self._keys(s) for s in group.values()])
+        order = np.argsort(keys, kind="stable")
+        return keys[order], np.repeat(np.arange(len(group)), len(self._times))[order]
+
+    def _retrieved(self, n: int, window: np.ndarray) -> list[str]:
+        """Templates of n words that share a band with the window."""
+        keys, which = self._table[n]
+        mine = self._keys(window)
+        low, high = np.searchsorted(keys, mine), np.searchsorted(keys, mine, "right")
+        return [self._names[n][i] for i in sorted({i for a, b in zip(low.tolist(), high.tolist(), strict=True) for i in which[a:b].tolist()})]
+
+    def _stretches(self, name: str, n: int, window: np.ndarray) -> Iterator[tuple[int, float]]:
+        """(begin, share) of the stretches of 2n shingles with enough of the template; each begins with a shingle of it."""
+        mine = self.by_length[n][name]
+        slot = np.minimum(np.searchsorted(mine, window), len(mine) - 1)
+        at = np.nonzero(mine[slot] == window)[0]
+        slot = slot[at]
+        ends = np.searchsorted(at, at + 2 * n)
+        for i in np.nonzero((at < n) & (ends - np.arange(len(at)) >= self.least * len(mine) - 1e-9))[0].tolist():
+            share = len(np.unique(slot[i : ends[i]])) / len(mine)
+            if share >= self.least:
+                yield int(at[i]), share
+
     def _known(self, h: np.ndarray) -> np.ndarray:
         """Places whose shingle some template has."""
         out = []
@@ -141,9 +175,9 @@ class Matcher:
         return False
 
     def matches(self, text: str | None) -> list[tuple[str, int, int, float]]:
-        """(name, first word, last word exclusive, containment) of verified windows, the best per template.
+        """(name, first word, last word exclusive, containment) of the best verified stretch per template, the first of equal ones.
 
-        A window with fewer known shingles than a match must have can't be one, so only the others are sketched.
+        A window with fewer known shingles than a match must have can't hold one, so only the others are sketched.
         """
         words = words_of(text)
         if len(words) < self.k or not len(self._all):
@@ -151,26 +185,34 @@ class Matcher:
         h = shingles(words, self.k, self._hashes)
         known = self._known(h)
         best: dict[str, tuple[str, int, int, float]] = {}
-        for n, group in self.by_length.items():
+        for n in self.by_length:
             if len(known) < self._fewest[n]:
                 continue
-            held = np.bincount(known // n, minlength=-(-len(h) // n) + 1)  # a window is two stretches of n shingles; the last may lie beyond the text
-            for a in (np.nonzero(held[:-1] + held[1:] >= self._fewest[n])[0] * n).tolist():
-                window = h[a : a + 2 * n]
-                alike = (self._values(window).min(axis=0) == self._bands[n]).any(axis=1)
-                for which in np.nonzero(alike)[0].tolist():
-                    name = self._names[n][which]
-                    share = float(np.isin(group[name], window).mean())
-                    if share >= self.least and (name not in best or share > best[name][3]) and self._told(name, n, window):
-                        best[name] = (name, a, min(len(words), a + 2 * n + self.k - 1), share)
+            held = np.bincount(known // n, minlength=-(-len(h) // n) + 2)
+            for first in (np.nonzero(held[:-2] + held[1:-1] + held[2:] >= self._fewest[n])[0] * n).tolist():
+                window = h[first : first + 3 * n]
+                for name in self._retrieved(n, window):
+                    for at, share in self._stretches(name, n, window):
+                        if (name not in best or share > best[name][3]) and self._told(name, n, window[at : at + 2 * n]):
+                            best[name] = (name, first + at, min(len(words), first + at + 2 * n + self.k - 1), share)
         return [best[n] for n in sorted(best)]
 
 
+def templates_of(table: DataFrame, name_col: str = "name", text_col: str = "text") -> dict[str, str]:
+    """Templates from a table (name, text) such as full license texts; raises beyond TEMPLATE_BYTES. Null names and texts are left out."""
+    rows = pick(table, name=name_col, text=text_col).dropna()
+    size = rows.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    if size > TEMPLATE_BYTES:
+        raise ValueError(f"{size} bytes of templates; a scan takes {TEMPLATE_BYTES}")
+    return {r.name: r.text for r in rows.orderBy("name", "text").collect()}
+
+
 def scan(docs: DataFrame, templates: Mapping[str, str] = KNOWN, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(doc_id, n_licenses, licenses, best) for each row: matched names in order, comma-joined, and the best containment.
 
     Whole texts. Null and empty texts and those of fewer words than a shingle match nothing (best 0). No
-    shuffle: the templates, a fixed list, go to every task. Rows may repeat; other columns aren't looked at.
+    shuffle: the templates, of bounded size, go to every task; templates_of reads them from a table. Rows
+    may repeat; other columns aren't looked at.
     """
 
     def make():

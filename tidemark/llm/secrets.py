@@ -1,7 +1,7 @@
 """Secret scans: fixed patterns, and runs of characters that look random.
 
 Two first-order character models, one of random strings and one of ordinary identifiers, are compared by
-log-likelihood ratio on every long run of key characters that no pattern has matched.
+log-likelihood ratio on every run of key characters, or part of one, that no pattern has matched.
 """
 
 from __future__ import annotations
@@ -42,12 +42,13 @@ class Markov:
     """Log-probabilities of the next symbol for both models, and what a run must reach to be a secret."""
 
     ratio: np.ndarray  # random minus ordinary, [before, next]
-    least_length: int = 20
+    least_length: int = 12  # shorter runs hold too little to tell
     least_ratio: float = 14.0  # odds of a million to one
 
-    def score(self, run: str) -> float:
-        x = _PLACE[np.frombuffer(run.encode("ascii"), np.uint8)]
-        return float(self.ratio[np.concatenate(([0], x[:-1])), x].sum())
+    def scores(self, runs: list[str]) -> np.ndarray:
+        x = _PLACE[np.frombuffer("\n".join(["", *runs]).encode("ascii"), np.uint8)]
+        begins = np.cumsum([0, *[len(r) + 1 for r in runs[:-1]]])
+        return np.add.reduceat(self.ratio[x[:-1], x[1:]], begins)
 
 
 def base_spans(text: str) -> list[tuple[int, int, str]]:
@@ -67,22 +68,43 @@ def _order(span: tuple) -> tuple:
 
 
 def find_spans(text: str | None, model: Markov) -> list[tuple[int, int, str]]:
-    """The patterns' spans and, where none of them reaches, runs that the models call random."""
+    """The patterns' spans, and of what they leave of each run the parts that the models call random."""
     if not text:
         return []
     found = base_spans(text)
-    taken = [(a, b) for a, b, _ in found]
-    for m in re.finditer(f"[A-Za-z0-9+/_=-]{{{model.least_length},}}", text):
-        if not any(a < m.end() and m.start() < b for a, b in taken) and model.score(m[0]) >= model.least_ratio:
-            found.append((m.start(), m.end(), "random"))
+    parts = _uncovered(text, found, model.least_length)
+    if parts:
+        random = model.scores([text[a:b] for a, b in parts]) >= model.least_ratio
+        found += [(a, b, "random") for (a, b), yes in zip(parts, random.tolist(), strict=True) if yes]
     return sorted(found, key=_order)
 
 
+def _uncovered(text: str, spans: list[tuple[int, int, str]], least: int) -> list[tuple[int, int]]:
+    """Parts of runs outside all spans, in one pass over both; spans come in order of their starts."""
+    out, i, reach = [], 0, 0
+    for m in re.finditer(f"[A-Za-z0-9+/_=-]{{{least},}}", text):
+        at, end = max(m.start(), reach), m.end()
+        while i < len(spans) and spans[i][0] < end:
+            if spans[i][0] - at >= least:
+                out.append((at, spans[i][0]))
+            reach = max(reach, spans[i][1])
+            at = max(at, reach)
+            i += 1
+        if end - at >= least:
+            out.append((at, end))
+    return out
+
+
+def likely_key(value: str) -> bool:
+    """A label for the random model: of some length, with letters and digits; words given as passwords are none."""
+    return len(value) >= 12 and any(c.isdigit() for c in value) and any(c.isalpha() for c in value)
+
+
 def train(docs: DataFrame, text_col: str = "text", smoothing: float = 0.5, **limits) -> Markov:
     """Both models from labelled samples taken from all of docs.
 
-    Label random: what the patterns match (values, keys and digests). Label ordinary: every run of key
-    characters outside those matches. Each task counts transitions of its own texts and returns at most
+    Label random: what the patterns match (values, keys and digests), if it has some length, letters and
+    digits. Label ordinary: every run of key characters outside the matches. Each task counts transitions of its own texts and returns at most
     two square tables; their sums, some thousand cells, are all that reaches the driver. Without samples
     a model is even over all symbols. Null texts count as empty.
     """
@@ -97,7 +119,8 @@ def train(docs: DataFrame, text_col: str = "text", smoothing: float = 0.5, **lim
                 at = 0
                 for start, end, kind in base_spans(text):
                     run = _ASSIGN.match(text, start)[2] if kind == "assign" else text[start:end]
-                    keys.append(run)
+                    if likely_key(run):
+                        keys.append(run)
                     if start > at:
                         plain.append(text[at:start])
                     at = max(at, end)

@@ -26,8 +26,8 @@ BITS = 20
 SAMPLE_PER_CLASS = 4000
 #: Besides itself a word has its beginnings of these lengths as features, so that inflected forms share weight.
 BEGINNINGS = (3, 4, 5, 6)
-#: Features that fewer sampled documents have carry no weight.
-LEAST_DOCS = 10
+#: Features that a smaller share of the sampled documents have carry no weight.
+LEAST_SHARE = 1 / 800
 ROUNDS, RATE, SHRINK = 100, 0.1, 1e-4
 
 _SENTENCE = re.compile(r"[^.!?\n]+")
@@ -67,7 +67,7 @@ def sentences(text: str | None) -> list[tuple[int, int]]:
 
 def _sentence_words(text: str | None) -> list[set[str]]:
     """Distinct lower-case words of each sentence that has some."""
-    return [w for part in _SENTENCE.findall((text or "").lower()) if (w := set(_WORD.findall(part)))]
+    return [w for part in _SENTENCE.findall(text or "") if (w := set(_WORD.findall(part.lower())))]
 
 
 def held_out(doc_id: Column) -> Column:
@@ -120,7 +120,7 @@ def _fit(bags: pd.DataFrame) -> pd.DataFrame:
         of_word = [features(w) for w in vocabulary]
         owner, place = np.repeat(np.arange(len(of_word)), [len(f) for f in of_word]), np.concatenate(of_word)
         docs_with = np.bincount(np.concatenate([[vocabulary[w] for w in words] for words in bags["words"]]), minlength=len(of_word))
-        common = np.bincount(place, docs_with[owner], 1 << BITS)[place] >= LEAST_DOCS
+        common = np.bincount(place, docs_with[owner], 1 << BITS)[place] >= LEAST_SHARE * len(bags)
         owner, (names, place) = owner[common], np.unique(place[common], return_inverse=True)
         sentence, doc_of = np.repeat(np.arange(len(counts)), counts), np.repeat(np.arange(len(parts)), parts)
         begins = np.concatenate(([0], np.cumsum(parts)[:-1]))
@@ -150,8 +150,12 @@ def _probabilities(text: str | None, bias: float, weights: _Weights) -> np.ndarr
     return 1 / (1 + np.exp(-z))
 
 
+def _noisy_or(p: np.ndarray) -> float:
+    return float(-np.expm1(np.log1p(-np.minimum(p, 1 - 1e-15)).sum()))
+
+
 def _score(text: str | None, bias: float, weights: _Weights) -> float:
-    return float(-np.expm1(np.log1p(-np.minimum(_probabilities(text, bias, weights), 1 - 1e-15)).sum()))
+    return _noisy_or(_probabilities(text, bias, weights))
 
 
 def accepted(docs: DataFrame, model: Model, text_col: str = "text", threshold: float = 0.5) -> DataFrame:
@@ -167,23 +171,31 @@ def accepted(docs: DataFrame, model: Model, text_col: str = "text", threshold: f
 
 
 def score(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str = "text", threshold: float = 0.5) -> DataFrame:
-    """(doc_id, held_out, score, predicted) for each row; whole texts, no shuffle.
+    """(doc_id, held_out, score, predicted, n_offending, offending) for each row; whole texts, no shuffle.
 
-    Null and empty texts, and those without words, hold no sentence and score 0. A null id isn't held
-    out. Rows may repeat; other columns are not looked at.
+    offending joins start:end of the sentences at or above the threshold, n_offending of them (code points,
+    end exclusive). Null and empty texts, and those without words, hold no sentence and score 0. A null id
+    isn't held out. Repeated rows have equal rows; other columns are not looked at.
     """
 
     def make():
         weights = _Weights(model.weights)
 
         def step(c):
-            scores = [_score(t, model.bias, weights) for t in c["text"]]
-            return {"doc_id": c["doc_id"], "score": scores, "predicted": [int(s >= threshold) for s in scores]}
+            out = {"doc_id": c["doc_id"], "score": [], "predicted": [], "n_offending": [], "offending": []}
+            for text in c["text"]:
+                p = _probabilities(text, model.bias, weights)
+                offending = [f"{a}:{b}" for (a, b), x in zip(sentences(text), p, strict=True) if x >= threshold] if (p >= threshold).any() else []
+                out["score"].append(s := _noisy_or(p))
+                out["predicted"].append(int(s >= threshold))
+                out["n_offending"].append(len(offending))
+                out["offending"].append(",".join(offending))
+            return out
 
         return step
 
-    out = map_rows(pick(docs, doc_id=id_col, text=text_col), make, "doc_id long, score double, predicted int")
-    return out.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), "score", "predicted")
+    out = map_rows(pick(docs, doc_id=id_col, text=text_col), make, "doc_id long, score double, predicted int, n_offending long, offending string")
+    return out.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), "score", "predicted", "n_offending", "offending")
 
 
 def locate(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str = "text", threshold: float = 0.5) -> DataFrame:
