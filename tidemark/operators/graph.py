@@ -5,15 +5,15 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.operators.storage import written
+from tidemark.operators.storage import discard, written
 
 
 def connected_components(edges: DataFrame) -> DataFrame:
     """(node, component) from edges (a, b) of longs; the component is its smallest node.
 
     Alternates two star operations, each a minimum per node and an equi-join, until nothing changes
-    (rounds grow as the logarithm of the diameter). Every round is written to shared storage; the driver
-    sees a count and a checksum. No edges give no rows, loops and repeats do no harm, edges with a null
+    (rounds grow as the logarithm of the diameter). Every round is written to shared storage, and the one
+    before it deleted; the driver sees a count and a checksum. No edges give no rows, loops and repeats do no harm, edges with a null
     end are left out.
     """
     spark = edges.sparkSession
@@ -24,7 +24,8 @@ def connected_components(edges: DataFrame) -> DataFrame:
         if state == seen or state[0] == 0:
             break
         seen = state
-        now = written(_small_star(_large_star(now)))
+        before, now = now, written(_small_star(_large_star(now)))
+        discard(before)
     if not state[0]:
         return spark.createDataFrame([], "node long, component long")
     roots = now.select(F.col("v").alias("node"), F.col("v").alias("component")).distinct()

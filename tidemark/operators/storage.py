@@ -10,10 +10,19 @@ from pyspark.sql import DataFrame, SparkSession
 def shared_folder(spark: SparkSession) -> str:
     """A new folder in the storage that the driver and all executors share.
 
-    That is what ``spark.checkpoint.dir`` names; where it is unset, as in local tests, a folder of the warehouse.
+    That is what ``spark.checkpoint.dir`` names. Where it is unset a local master takes a folder of its
+    warehouse; on a cluster that could be a disk that only the driver sees, so it is an error.
     """
-    base = spark.conf.get("spark.checkpoint.dir", None) or spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/_shared"
-    return f"{base.rstrip('/')}/{uuid.uuid4().hex}"
+    return f"{_base(spark)}/{uuid.uuid4().hex}"
+
+
+def _base(spark: SparkSession) -> str:
+    base = spark.conf.get("spark.checkpoint.dir", None)
+    if not base:
+        if not spark.sparkContext.master.startswith("local"):
+            raise RuntimeError("spark.checkpoint.dir must name a folder that the driver and all executors share")
+        base = spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/_shared"
+    return base.rstrip("/")
 
 
 def written(df: DataFrame) -> DataFrame:
@@ -21,3 +30,12 @@ def written(df: DataFrame) -> DataFrame:
     spark, schema, path = df.sparkSession, df.schema, shared_folder(df.sparkSession)
     df.write.parquet(path)
     return spark.read.schema(schema).parquet(path)
+
+
+def discard(table: DataFrame) -> None:
+    """Delete what ``written`` wrote, when nothing will read it again; other tables are left alone."""
+    spark = table.sparkSession
+    for folder in {f.rpartition("/")[0] for f in table.inputFiles()}:
+        if _base(spark).rpartition(":")[2].lstrip("/") == folder.rpartition("/")[0].partition(":")[2].lstrip("/"):
+            path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+            path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
