@@ -328,26 +328,40 @@ def test_near_duplicates_are_exact(spark, k):
         assert (got[i].component_id, got[i].n_shingles, got[i].kept) == (label[i], len(sets[i]), label[i] == i), texts[i]
 
 
-def test_near_duplicates_over_several_blocks(spark, monkeypatch):
+@pytest.mark.parametrize("shape", ["copies of one", "chain", "three groups", "strangers"])
+def test_near_duplicates_over_several_blocks(spark, monkeypatch, shape):
     monkeypatch.setattr(near_dedup, "BLOCK_ROWS", 16)
+    monkeypatch.setattr(near_dedup, "PIVOTS", 3)
     draw = random.Random(8)
-    base = [f"w{draw.randrange(900)}" for _ in range(120)]
     texts = []
-    for _ in range(90):
-        copy = list(base)
-        for _ in range(draw.randint(1, 7)):
-            copy[draw.randrange(len(copy))] = f"x{draw.randrange(900)}"
-        texts.append(" ".join(copy))
+    if shape == "chain":  # each is linked with its neighbours alone
+        words = [f"w{i}" for i in range(900)]
+        texts = [" ".join(words[6 * i : 6 * i + 70]) for i in range(100)]
+        draw.shuffle(texts)
+    else:
+        bases = [[f"{'abc'[g] if shape == 'three groups' else 'w'}{draw.randrange(900)}" for _ in range(120)] for g in range(3)]
+        for i in range(90):
+            copy = list(bases[i % 3 if shape == "three groups" else 0])
+            for _ in range(draw.randint(1, 7) if shape != "strangers" else 9):
+                copy[draw.randrange(len(copy))] = f"x{draw.randrange(900)}"
+            texts.append(" ".join(copy))
+        if shape == "three groups":  # so much of each other that buckets are shared
+            texts = [t + " " + " ".join(f"s{j}" for j in range(150)) for t in texts]
     got = {r.doc_id: r.component_id for r in near_dedup.near_duplicates(docs(spark, texts), k=2).collect()}
     label, _ = _components(texts, 2)
     assert [got[i] for i in range(len(texts))] == label
 
 
-def test_near_duplicates_of_nothing_and_of_null_ids(spark):
+def test_near_duplicates_of_nothing_and_of_odd_ids(spark):
     assert near_dedup.near_duplicates(docs(spark, [])).collect() == []
-    df = spark.createDataFrame([(None, "a b c d e f"), (4, "a b c d e f"), (4, "a b c d e f")], "doc_id long, text string")
-    got = near_dedup.near_duplicates(df).collect()
-    assert sorted((r.doc_id or 0, r.component_id or 0, r.kept) for r in got) == [(0, 0, True), (4, 4, True), (4, 4, True)]
+    same, other = "a b c d e f", "g h i j k l m n"
+    said = lambda rows: sorted((r.doc_id or 0, r.component_id or 0, r.kept) for r in near_dedup.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string")).collect())
+    assert said([(None, same), (4, same), (4, same)]) == [(0, 0, True), (4, 4, True), (4, 4, True)]
+    # One id with two texts: each row has the component of its own text.
+    near = " ".join(f"w{i}" for i in range(60))
+    rows = [(7, near), (7, other), (3, near + " end"), (9, other), (5, "g h i j k l m n x x x x")]
+    assert said(rows) == [(3, 3, True), (5, 5, True), (7, 3, False), (7, 7, True), (9, 7, False)]
+    assert len(said([(1, near)] * 400 + [(2, near + " end")] * 3)) == 403
 
 
 def test_sketches_estimate_and_merge():

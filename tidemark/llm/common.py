@@ -6,14 +6,15 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.operators.storage import shared_folder, written  # noqa: F401  for the operators
+from tidemark.operators.storage import discard, shared_folder, written  # noqa: F401  for the operators
 
-#: Rows of an Arrow batch that are turned into Python objects at once.
-SLICE = 512
+#: Rows of an Arrow batch, and bytes of their texts, that are turned into Python objects at once.
+SLICE, SLICE_BYTES = 512, 8 << 20
 #: Words whose hashes a task remembers before it starts afresh.
 REMEMBERED = 400_000
 
@@ -28,7 +29,7 @@ def pick(df: DataFrame, **columns: str) -> DataFrame:
 
 
 def map_rows(df: DataFrame, make: Callable[[], Callable[[dict[str, list]], dict[str, list]]], schema: str, rows: int = SLICE) -> DataFrame:
-    """Run a function over column lists of at most ``rows`` rows.
+    """Run a function over column lists of at most ``rows`` rows and about SLICE_BYTES of texts.
 
     ``make`` is called once a task, so what it sets up (tokenizers, caches) is shared by the task's
     rows. The rows stream: memory holds one Arrow batch and one slice.
@@ -38,14 +39,26 @@ def map_rows(df: DataFrame, make: Callable[[], Callable[[dict[str, list]], dict[
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         step = make()
         for batch in batches:
-            for at in range(0, batch.num_rows, rows):
-                part = batch.slice(at, rows)
+            for part in _slices(batch, rows):
                 out = step({n: c.to_pylist() for n, c in zip(part.schema.names, part.columns, strict=True)})
                 yield pa.RecordBatch.from_arrays([pa.array(out[f.name], f.type) for f in target], schema=target)
 
     return df.mapInArrow(run, schema)
 
 
+def _slices(batch: pa.RecordBatch, rows: int) -> Iterator[pa.RecordBatch]:
+    size = np.zeros(batch.num_rows, np.int64)
+    for c in batch.columns:
+        if pa.types.is_string(c.type) or pa.types.is_binary(c.type):
+            size += pc.fill_null(pc.binary_length(c), 0).to_numpy(zero_copy_only=False)
+    total, at = np.cumsum(size), 0
+    while at < batch.num_rows:
+        full = int(np.searchsorted(total, (total[at - 1] if at else 0) + SLICE_BYTES, "right"))
+        to = min(at + rows, batch.num_rows, max(at + 1, full))
+        yield batch.slice(at, to - at)
+        at = to
+
+
 def arrow_schema(spark: SparkSession, schema: str) -> pa.Schema:
     from pyspark.sql.pandas.types import to_arrow_schema
     from pyspark.sql.types import StructType

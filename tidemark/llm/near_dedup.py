@@ -16,11 +16,13 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import WordHashes, distinct, map_rows, pick, shingles, space_words, written
+from tidemark.llm.common import WordHashes, discard, distinct, map_rows, pick, shingles, space_words, written
 from tidemark.operators.graph import connected_components
 
 #: A block of a candidate cluster that one task solves holds about so many bytes of text and so many rows.
-BLOCK_BYTES, BLOCK_ROWS = 4 << 20, 4096
+BLOCK_BYTES, BLOCK_ROWS = 4 << 20, 512
+#: Members of a large cluster, at most, that all its blocks are compared with first.
+PIVOTS = 8
 
 
 class SetSketch:
@@ -81,7 +83,7 @@ def _band_keys(registers: np.ndarray, bands: int) -> np.ndarray:
 
 
 def sketches(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", k: int = 5, size: int = 288) -> DataFrame:
-    """(doc_id, n_shingles, set_key binary, registers binary): equal sets have equal keys.
+    """(doc_id, text_hash, n_shingles, set_key binary, registers binary): equal sets have equal keys.
 
     Null and empty texts have no shingles, fewer than k words one.
     """
@@ -93,6 +95,7 @@ def sketches(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", k:
             sets = [distinct(shingles(space_words(t), k, hashes)) for t in c["text"]]
             return {
                 "doc_id": c["doc_id"],
+                "text_hash": c["text_hash"],
                 "n_shingles": [len(s) for s in sets],
                 "set_key": [xxhash.xxh3_128_digest(s.tobytes()) for s in sets],
                 "registers": [sketch.registers(s).tobytes() for s in sets],
@@ -100,7 +103,12 @@ def sketches(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", k:
 
         return step
 
-    return map_rows(pick(docs, doc_id=id_col, text=text_col), make, "doc_id long, n_shingles long, set_key binary, registers binary")
+    return map_rows(_hashed(docs, id_col, text_col), make, "doc_id long, text_hash long, n_shingles long, set_key binary, registers binary")
+
+
+def _hashed(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    """(doc_id, text, text_hash): rows that share an id are told apart by their texts."""
+    return pick(docs, doc_id=id_col, text=text_col).withColumn("text_hash", F.xxhash64("text"))
 
 
 def near_duplicates(
@@ -115,21 +123,20 @@ def near_duplicates(
     1. Equal sets become one class (a minimum per set key), so copies are never compared.
     2. Each bucket of classes points to its smallest class; components of these pointers are candidate
        clusters. No pair of a bucket is written out.
-    3. A cluster is dealt to blocks of bounded bytes; a task per pair of blocks walks it (see _walk) and
-       returns a label per member. Clusters of one block, nearly all, are done; labels of larger ones
-       are joined by another run of components.
+    3. A cluster of one block of bounded size is walked in one task (see _walk). Of a larger one each block
+       is walked with a few pivots that all blocks share; what that leaves apart from the cluster's largest
+       group is then compared with all its blocks. Labels are joined by another run of components.
 
     Null and empty texts have no shingles and are linked with nothing. A null id takes no part, and is its
-    own component (null) and kept. Repeated rows of an id give equal rows. No rows give no rows; other
-    columns are not looked at.
+    own component (null) and kept. Rows of one id with different texts each take part with their own text;
+    repeated rows give equal rows. No rows give no rows; other columns are not looked at.
     """
-    base = pick(docs, doc_id=id_col, text=text_col)
+    base = _hashed(docs, id_col, text_col)
     all_rows = written(sketches(base, k=k, size=bands * rows))
-    classes = written(
-        all_rows.where("n_shingles > 0 AND doc_id IS NOT NULL")
-        .groupBy("set_key")
-        .agg(F.min("doc_id").alias("node"), F.first("n_shingles").alias("n"), F.first("registers").alias("registers"))
+    one = all_rows.where("n_shingles > 0 AND doc_id IS NOT NULL").groupBy("set_key").agg(
+        F.min(F.struct("doc_id", "text_hash")).alias("least"), F.first("registers").alias("registers")
     )
+    classes = written(one.select(F.monotonically_increasing_id().alias("node"), "set_key", "least.doc_id", "least.text_hash", "registers"))
 
     def make():
         def step(c):
@@ -142,59 +149,92 @@ def near_duplicates(
 
     keyed = map_rows(classes.select("node", "registers"), make, "node long, keys array<long>").select("node", F.explode("keys").alias("key"))
     hubs = keyed.groupBy("key").agg(F.min("node").alias("hub"), F.count("*").alias("n")).where("n > 1").select("key", "hub")
-    pointers = keyed.join(hubs, "key").where("node <> hub").select(F.col("node").alias("a"), F.col("hub").alias("b")).distinct()
-    clusters = connected_components(written(pointers))
-    labels = _labels(clusters, base, classes, k, percent, bands * rows)
-    return (
+    pointers = written(keyed.join(hubs, "key").where("node <> hub").select(F.col("node").alias("a"), F.col("hub").alias("b")).distinct())
+    clusters = connected_components(pointers)
+    discard(pointers)
+    labels = _labels(_members(clusters, base, classes), k, percent, bands * rows)
+    found = (
         all_rows.select("doc_id", "n_shingles", "set_key")
-        .join(classes.select("set_key", "node"), "set_key", "left")
+        .join(classes.select("set_key", "node", F.col("doc_id").alias("least")), "set_key", "left")
         .join(labels, "node", "left")
-        .select(
-            "doc_id",
-            "n_shingles",
-            F.when(F.col("n_shingles") > 0, F.coalesce("label", "node", "doc_id")).otherwise(F.col("doc_id")).alias("component_id"),
-        )
-        .withColumn("component_id", F.when(F.col("doc_id").isNotNull(), F.col("component_id")))
-        .withColumn("kept", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True)))
     )
+    component = F.when(F.col("doc_id").isNotNull() & (F.col("n_shingles") > 0), F.coalesce("component_id", "least")).otherwise(F.col("doc_id"))
+    out = found.select("doc_id", "n_shingles", component.alias("component_id"))
+    return out.withColumn("kept", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True)))
 
 
-def _labels(clusters: DataFrame, base: DataFrame, classes: DataFrame, k: int, percent: int, size: int) -> DataFrame:
-    """(node, label) of the members of the clusters."""
-    # Ids of clusters grow with the documents, so the texts always meet them by a shuffle, at any size.
-    members = written(
-        base.join(clusters.hint("merge"), F.col("node") == F.col("doc_id"))
-        .join(classes.select("node", "registers"), "node")
-        .select("node", "component", "text", "registers")
-    )
-    extent = members.groupBy("component").agg(
-        F.greatest(F.ceil(F.sum(F.octet_length("text")) / BLOCK_BYTES), F.ceil(F.count("*") / BLOCK_ROWS)).cast("int").alias("blocks")
-    )
-    own = F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int")
-    others = F.transform(F.sequence(F.lit(0), F.col("blocks") - 1), lambda i: F.struct(F.least(i, "own").alias("x"), F.greatest(i, "own").alias("y")))
-    # Only clusters of several blocks are looked up; then rows are dealt by pair of blocks, never by cluster.
-    sized = members.join(extent.where("blocks > 1"), "component", "left").withColumn("blocks", F.coalesce("blocks", F.lit(1)))
-    dealt = sized.withColumn("own", own).withColumn("pair", F.explode(others)).select("component", "blocks", "pair.x", "pair.y", "node", "text", "registers")
-    solve = _solver(k, percent, size)
-    found = written(
-        dealt.repartition("component", "x", "y")
-        .groupBy("component", "x", "y")
-        .applyInPandas(solve, "node long, label long, blocks int")
-    )
-    joined = connected_components(found.where("blocks > 1").select(F.col("node").alias("a"), F.col("label").alias("b")))
-    return found.where("blocks = 1").select("node", "label").union(joined.select("node", F.col("component").alias("label")))
+def _members(clusters: DataFrame, base: DataFrame, classes: DataFrame) -> DataFrame:
+    """(node, component, doc_id, text, registers) of the clusters' members, written.
 
+    Ids of members are written first: Spark broadcasts them below its threshold, else texts and ids are shuffled.
+    """
+    wanted = written(clusters.join(classes.select("node", "doc_id", "text_hash"), "node"))
+    texts = base.join(wanted, ["doc_id", "text_hash"]).select("node", "component", "doc_id", "text").dropDuplicates(["node"])
+    members = written(texts.join(classes.select("node", "registers"), "node"))
+    discard(wanted)
+    return members
+
+
+def _labels(members: DataFrame, k: int, percent: int, size: int) -> DataFrame:
+    """(node, component_id) of the members."""
+    least = lambda n, per: F.ceil(n / per)
+    blocks = F.greatest(least(F.sum(F.octet_length("text")), BLOCK_BYTES), least(F.count("*"), BLOCK_ROWS)).cast("int").alias("blocks")
+    # Only clusters of several blocks are in this table, so it is small beside the members.
+    large = written(members.groupBy("component").agg(blocks).where("blocks > 1"))
+    solved = lambda dealt, *keys: _solved(dealt, keys, k, percent, size)
+    alone = written(solved(members.join(large, "component", "left_anti"), "component"))
+    found = alone.select("node", F.col("least").alias("component_id"))
+    if large.isEmpty():
+        discard(members)
+        return found
+    slot = lambda seed, n: F.pmod(F.xxhash64("node", F.lit(seed)), n).cast("int")
+    several = members.join(large, "component").withColumn("own", slot(1, F.col("blocks")))
+    chosen = several.groupBy("component", slot(2, F.lit(PIVOTS)).alias("slot")).agg(F.min("node").alias("node")).select("node")
+    pivots = several.join(written(chosen), "node", "left_semi").withColumn("own", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+    edges = written(solved(several.unionByName(pivots), "component", "own"))
+    groups = _joined(edges)
+    tagged = several.join(groups, "node", "left").withColumn("group", F.coalesce("group", "node"))
+    sizes = tagged.groupBy("component", "group").agg(F.count("*").alias("n"), F.sum(F.octet_length("text")).alias("bytes"))
+    # Clusters that are still in several groups, with the largest; the others' members are the rest.
+    open_ = sizes.groupBy("component").agg(
+        F.max(F.struct("n", "group", "bytes")).alias("top"), F.sum("n").alias("n"), F.sum("bytes").alias("bytes")
+    ).where("n > top.n")
+    parts = F.greatest(least(F.col("bytes") - F.col("top.bytes"), BLOCK_BYTES), least(F.col("n") - F.col("top.n"), BLOCK_ROWS)).cast("int")
+    open_ = written(open_.select("component", F.col("top.group").alias("main"), parts.alias("parts")))
+    if not open_.isEmpty():
+        left = tagged.join(open_, "component")
+        rest = left.where("group <> main").withColumn("part", slot(3, F.col("parts"))).withColumn("own", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+        every = left.withColumn("part", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
+        edges = edges.unionByName(written(solved(every.unionByName(rest), "component", "own", "part")))
+        groups = _joined(edges)
+    joined = written(members.join(large, "component", "left_semi").join(groups, "node", "left").select("node", "doc_id", F.coalesce("group", "node").alias("group")).distinct())
+    discard(members)
+    smallest = written(joined.groupBy("group").agg(F.min("doc_id").alias("component_id")))
+    return found.union(joined.join(smallest, "group").select("node", "component_id"))
+
+
+def _joined(edges: DataFrame) -> DataFrame:
+    """(node, group) of the nodes that have a link."""
+    return connected_components(edges.select(F.col("node").alias("a"), F.col("label").alias("b"))).withColumnRenamed("component", "group")
+
+
+def _solved(dealt: DataFrame, keys: tuple[str, ...], k: int, percent: int, size: int) -> DataFrame:
+    """(node, label, least): for each node of a block the node with the smallest id that links reach there, and that id.
+
+    The number of partitions is stated, as Python work behind few bytes would be coalesced into a few long tasks.
+    """
 
-def _solver(k: int, percent: int, size: int):
     def solve(group: pd.DataFrame) -> pd.DataFrame:
-        group = group.drop_duplicates("node").sort_values("node", ignore_index=True)
+        group = group.drop_duplicates("node").sort_values(["doc_id", "node"], ignore_index=True)
         hashes = WordHashes()
         sets = [distinct(shingles(space_words(t), k, hashes)) for t in group["text"]]
         registers = np.frombuffer(b"".join(group["registers"]), np.uint16).reshape(len(group), -1)
         label = _walk(sets, registers, SetSketch(size), percent)
-        return pd.DataFrame({"node": group["node"], "label": group["node"].to_numpy()[label], "blocks": group["blocks"]})
+        return pd.DataFrame({"node": group["node"], "label": group["node"].to_numpy()[label], "least": group["doc_id"].to_numpy()[label]})
 
-    return solve
+    parts = int(dealt.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    dealt = dealt.select(*keys, "node", "doc_id", "text", "registers").repartition(parts, *keys)
+    return dealt.groupBy(*keys).applyInPandas(solve, "node long, label long, least long")
 
 
 def _walk(sets: list[np.ndarray], registers: np.ndarray, sketch: SetSketch, percent: int) -> np.ndarray:
