@@ -1,4 +1,8 @@
-"""A corpus pipeline of five stages; each reads what the one before it wrote."""
+"""A corpus pipeline of five stages; each reads what the one before it wrote.
+
+Stages keep the columns of documents; further columns, whatever their names, are left out. Empty tables give
+empty ones, and rows that repeat or have no id are judged each by its own text.
+"""
 
 from __future__ import annotations
 
@@ -16,10 +20,16 @@ def _numbered(docs: DataFrame) -> DataFrame:
     return written(docs.select(*COLUMNS, F.monotonically_increasing_id().alias("_row")))
 
 
+def _without(rows: DataFrame, dropped: DataFrame) -> DataFrame:
+    """rows less the numbers in dropped. These are written first: Spark broadcasts them below its threshold, so that
+    texts stay where they are, and shuffles both sides beyond it."""
+    return rows.join(written(dropped.select("_row")), "_row", "left_anti").select(*COLUMNS)
+
+
 def toxic_out(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the toxicity model rejects go; it learns from the labels' training folds.
 
-    Scoring needs no shuffle, so the decision is made where the text is.
+    Scoring needs no shuffle, and each row is dropped where it is read. Null and empty texts score 0 and stay.
     """
     model = toxicity.train(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
     return toxicity.accepted(docs.select(*COLUMNS), model)
@@ -35,18 +45,20 @@ def near_duplicates_out(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Da
     blank = F.coalesce(F.col("text").rlike(r"^[\x20\x09-\x0D]*\z"), F.lit(True))
     again = blank & F.col("doc_id").isNotNull()
     groups = near_dedup.near_duplicates(rows, id_col="_row", k=5).select(F.col("doc_id").alias("_row"), "component_id")
-    own = rows.select("_row", "doc_id", again.alias("again"), F.when(again, F.sha2(F.encode("text", "UTF-8"), 256)).alias("digest"))
-    first = own.join(groups, "_row").groupBy(
-        F.when(~F.col("again"), F.col("component_id")).alias("group"), F.when(F.col("again"), F.col("doc_id")).alias("id"), "digest"
-    ).agg(F.min(F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "_row")).alias("first"))
-    return rows.join(first.select("first._row"), "_row", "left_semi").select(*COLUMNS)
+    copy = F.concat_ws(":", F.lit("again"), "doc_id", F.sha2(F.encode("text", "UTF-8"), 256))
+    own = rows.select("_row", "doc_id", F.when(again, copy).alias("copy")).join(groups, "_row")
+    own = written(own.select("_row", "doc_id", F.coalesce("copy", F.concat_ws(":", F.lit("group"), "component_id")).alias("group")))
+    first = F.min(F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "_row"))
+    firsts = written(own.groupBy("group").agg(first.alias("first"), F.count("*").alias("n")).where("n > 1").select("group", F.col("first._row").alias("first")))
+    return _without(rows, own.join(firsts, "group").where("_row <> first"))
 
 
 def contaminated_out(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that hold a ten-word window of a benchmark item go."""
+    """Documents that hold a ten-word window of a benchmark item go; null and empty texts hold none."""
     rows = _numbered(docs)
-    found = decontamination.contamination(rows, spark.read.parquet(f"{sf_dir}/benchmark.parquet"), id_col="_row").where("contaminated")
-    return rows.join(found.select(F.col("doc_id").alias("_row")), "_row", "left_anti").select(*COLUMNS)
+    index = written(decontamination.build_index(rows, row_col="_row"))
+    found = decontamination.contaminated_rows(index, spark.read.parquet(f"{sf_dir}/benchmark.parquet")).where("size(hits) > 0")
+    return _without(rows, found.select(F.col("row").alias("_row")))
 
 
 def secrets_masked(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -70,7 +82,7 @@ STAGES = [
     ("byte-level BPE", encoded),
 ]
 
-#: A trained model and sketches aren't SQL's to say; tests hold every stage against plain code instead.
+#: Trained models and a tokenizer aren't SQL's to say; tests hold every stage against plain code instead.
 ORACLE_SQL = None
 
 
