@@ -8,7 +8,7 @@ import pytest
 import xxhash
 from pyspark.sql import functions as F
 
-from tidemark.llm import fingerprints, sharding, warc
+from tidemark.llm import common, fingerprints, sharding, warc
 
 DOCS = "doc_id long, text string, lang string, source string, n_chars long, size string, part string"
 
@@ -40,10 +40,51 @@ def test_a_small_group_isnt_cut_and_a_large_one_is(spark):
     assert len({r.shard for r in rows if r.doc_id >= 5000}) > 2
 
 
+@pytest.mark.parametrize("share", [0.0, 0.2])
+def test_shards_are_cut_as_plain_code_cuts_them(spark, share):
+    texts = [(i, None if i % 50 == 3 else f"text {i * 7 % 60} " * (1 + i % 60 % 7)) for i in range(700)]
+    got = {r.doc_id: (r.shard, r.slot) for r in sharding.shard_by_bytes(docs(spark, texts).repartition(7), 8, group_share=share).collect()}
+    signed = lambda h: h - ((h >> 63) << 64)
+    rows = sorted((signed(xxhash.xxh64_intdigest((t or "").encode(), 42)), zlib.crc32((t or "").encode()), i, len((t or "").encode()) + 1) for i, t in texts)
+    begins, at = [], 0
+    for r in rows:
+        begins.append(at)
+        at += r[3]
+    cuts = []
+    for k in range(1, 8):
+        c = at * k // 8
+        for digest in {r[0] for r in rows}:
+            a = min(b for b, r in zip(begins, rows) if r[0] == digest)
+            b = max(b + r[3] for b, r in zip(begins, rows) if r[0] == digest)
+            if a < c < b:
+                near = a if c - a <= b - c else b
+                c = near if abs(near - c) <= share * at / 8 else c
+                break
+        cuts.append(c)
+    want, slots = {}, [0] * 8
+    for b, r in zip(begins, rows):
+        shard = sum(b >= c for c in cuts)
+        want[r[2]] = (shard, slots[shard])
+        slots[shard] += 1
+    assert got == want
+
+
 def test_no_rows_have_no_shards(spark):
     assert sharding.shard_by_bytes(docs(spark, [])).collect() == []
 
 
+@pytest.mark.parametrize("bits", [1 << 26, 1 << 16])
+def test_maps_rule_out_no_partner(spark, monkeypatch, bits):
+    monkeypatch.setattr(common, "FILTER_BITS", bits)
+    df = spark.range(20_000).withColumn("t", F.when(F.col("id") % 7 != 0, F.concat(F.lit("t"), "id")))
+    keys = df.where("id % 5 = 0 AND t IS NOT NULL")
+    got = common.with_maybe(df, keys, "id", "t").select("id", "_maybe").collect()
+    held = {r.id for r in keys.collect()}
+    assert len(got) == 20_000 and all(r._maybe for r in got if r.id in held)
+    assert sum(r._maybe for r in got if r.id not in held) <= (5 if bits > 1 << 20 else 2500)
+    assert not any(r._maybe for r in common.with_maybe(df, keys.limit(0), "id", "t").collect())
+
+
 @pytest.fixture(scope="module")
 def pages(spark):
     rows = [(i, f"http://h/{i}\r\nX: y", None if i % 10 == 0 else f"<p>{'word ' * (i % 13)}é</p>") for i in range(200)]

@@ -15,6 +15,8 @@ from tidemark.operators.storage import discard, shared_folder, written  # noqa:
 
 #: Rows of an Arrow batch, and bytes of their texts, that are turned into Python objects at once.
 SLICE, SLICE_BYTES = 512, 8 << 20
+#: Bits of the map that tells which rows of a large table may have a partner in a join: 2000 parts of 4 KB, 8 MB.
+FILTER_BITS = 2000 << 15
 #: Words whose hashes a task remembers before it starts afresh.
 REMEMBERED = 400_000
 
@@ -66,6 +68,22 @@ def arrow_schema(spark: SparkSession, schema: str) -> pa.Schema:
     return to_arrow_schema(StructType.fromDDL(schema))
 
 
+def with_maybe(df: DataFrame, keys_of: DataFrame, *keys: str) -> DataFrame:
+    """df with ``_maybe``: false where its keys are surely not among those of keys_of.
+
+    The keys' hashes set bits of a map of FILTER_BITS bits, whatever their number, so what is broadcast has a
+    fixed size: rows that can't meet a partner needn't be shuffled for a join. With very many keys the map
+    fills up and rules out less.
+    """
+    place = F.pmod(F.xxhash64(*keys), F.lit(FILTER_BITS))
+    bits = keys_of.select(place.alias("_place")).select(F.shiftright("_place", 15).alias("_part"), F.col("_place").bitwiseAND(0x7FFF).alias("_bit"))
+    maps = written(bits.groupBy("_part").agg(F.bitmap_construct_agg("_bit").alias("_map")))
+    marked = df.withColumn("_place", place).withColumns({"_part": F.shiftright("_place", 15), "_bit": F.col("_place").bitwiseAND(0x7FFF)})
+    byte = "cast(conv(hex(substring(_map, cast(_bit div 8 AS int) + 1, 1)), 16, 10) AS int)"
+    is_set = F.coalesce(F.expr(f"shiftright({byte}, cast(_bit % 8 AS int)) & 1 = 1"), F.lit(False))
+    return marked.join(F.broadcast(maps), "_part", "left").withColumn("_maybe", is_set).drop("_place", "_part", "_bit", "_map")
+
+
 def crc32_of(column: Column) -> Column:
     return F.crc32(F.encode(F.coalesce(column, F.lit("")), "UTF-8"))
 

@@ -16,7 +16,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import WordHashes, discard, distinct, map_rows, pick, shingles, space_words, written
+from tidemark.llm.common import WordHashes, discard, distinct, map_rows, pick, shingles, space_words, with_maybe, written
 from tidemark.operators.graph import connected_components
 
 #: A block of a candidate cluster that one task solves holds about so many bytes of text and so many rows.
@@ -166,10 +166,12 @@ def near_duplicates(
 def _members(clusters: DataFrame, base: DataFrame, classes: DataFrame) -> DataFrame:
     """(node, component, doc_id, text, registers) of the clusters' members, written.
 
-    Ids of members are written first: Spark broadcasts them below its threshold, else texts and ids are shuffled.
+    Ids of members grow with the documents, so they meet the texts by a shuffle at any size; a map of fixed
+    size rules out nearly all texts of other documents first.
     """
     wanted = written(clusters.join(classes.select("node", "doc_id", "text_hash"), "node"))
-    texts = base.join(wanted, ["doc_id", "text_hash"]).select("node", "component", "doc_id", "text").dropDuplicates(["node"])
+    likely = with_maybe(base, wanted, "doc_id", "text_hash").where("_maybe")
+    texts = likely.join(wanted.hint("merge"), ["doc_id", "text_hash"]).select("node", "component", "doc_id", "text").dropDuplicates(["node"])
     members = written(texts.join(classes.select("node", "registers"), "node"))
     discard(wanted)
     return members
