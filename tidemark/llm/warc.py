@@ -19,7 +19,7 @@ import pyarrow.fs
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import arrow_schema, pick, shared_folder, written
+from tidemark.llm.common import arrow_schema, pick, shared_folder, with_maybe, written
 
 # Fixed values of the public formats.
 SKIPPABLE = 0x184D2A5D
@@ -44,13 +44,17 @@ def with_revisits(pages: DataFrame) -> DataFrame:
     """pages (page_id, url, html) with digest (SHA-1 in hexadecimal) and refers_to (null: the record is a response).
 
     Of equal payloads the largest page_id is the response and all others revisit it, null ids among them;
-    where all ids are null there is none to refer to. The decision is made on ids and digests alone: a row
-    for each repeated payload is written, and Spark brings it to the payloads by a broadcast where that
-    table is below its threshold, else by one shuffle of the payloads, in which AQE splits hot digests.
+    where all ids are null there is none to refer to. The decision is made on ids and digests alone, and a
+    row for each repeated payload is written. Payloads that a map of fixed size tells to be single stay
+    where they are; the others meet that table, by one shuffle if it is too large for a broadcast.
     """
     digested = pages.withColumn("digest", F.sha1(F.encode(F.coalesce("html", F.lit("")), "UTF-8")))
     repeated = digested.groupBy("digest").agg(F.max("page_id").alias("last"), F.count("*").alias("n")).where("n > 1 AND last IS NOT NULL")
-    return digested.join(written(repeated.drop("n")), "digest", "left").withColumn("refers_to", F.when(~F.col("page_id").eqNullSafe(F.col("last")), F.col("last"))).drop("last")
+    repeated = written(repeated.drop("n"))
+    marked = with_maybe(digested, repeated, "digest")
+    single = marked.where("NOT _maybe").withColumn("last", F.lit(None).cast("long"))
+    both = single.unionByName(marked.where("_maybe").join(repeated, "digest", "left"))
+    return both.withColumn("refers_to", F.when(~F.col("page_id").eqNullSafe(F.col("last")), F.col("last"))).drop("last", "_maybe")
 
 
 def write_archives(pages: DataFrame, folder: str, layout: Layout = Layout(), id_col: str = "page_id", url_col: str = "url", html_col: str = "html") -> DataFrame:
