@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.llm import byte_bpe, decontamination, near_dedup, secrets, toxicity
-from tidemark.llm.common import written
+from tidemark.llm.common import with_maybe, written
 
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
 
@@ -21,9 +21,11 @@ def _numbered(docs: DataFrame) -> DataFrame:
 
 
 def _without(rows: DataFrame, dropped: DataFrame) -> DataFrame:
-    """rows less the numbers in dropped. These are written first: Spark broadcasts them below its threshold, so that
-    texts stay where they are, and shuffles both sides beyond it."""
-    return rows.join(written(dropped.select("_row")), "_row", "left_anti").select(*COLUMNS)
+    """rows less the numbers in dropped. Texts stay where they are but for those that a map of fixed size can't rule out."""
+    dropped = written(dropped.select("_row"))
+    marked = with_maybe(rows, dropped, "_row")
+    kept = marked.where("NOT _maybe").unionByName(marked.where("_maybe").join(dropped.hint("merge"), "_row", "left_anti"))
+    return kept.select(*COLUMNS)
 
 
 def toxic_out(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
