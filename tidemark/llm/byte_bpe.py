@@ -9,6 +9,7 @@ from __future__ import annotations
 
 import base64
 import hashlib
+from functools import lru_cache
 
 import numpy as np
 from pyspark.sql import DataFrame
@@ -16,8 +17,8 @@ from pyspark.sql import DataFrame
 from tidemark.llm.common import map_rows, pick
 from tidemark.llm.sp_model import BPE, UNKNOWN, Piece, model_file
 
-#: Bytes of pre-tokens whose ids a task remembers before it starts afresh.
-_REMEMBERED = 400_000
+#: Pre-tokens whose ids a worker remembers before it starts afresh, and characters of the longest that it remembers.
+_REMEMBERED, _LONGEST = 400_000, 64
 #: The character that stands for byte b has this code point plus b.
 _SHIFT = 0x3400
 _TO_CHARS = {b: _SHIFT + b for b in range(256)}
@@ -38,7 +39,7 @@ def unmapped(text: str) -> bytes:
 
 
 class ByteBpe:
-    """Encoder and decoder of one vocabulary; one per task."""
+    """Encoder and decoder of one vocabulary."""
 
     def __init__(self, ranks: dict[bytes, int], pattern: str):
         import regex
@@ -63,20 +64,29 @@ class ByteBpe:
         if len(seen) + len(new) > _REMEMBERED:
             seen.clear()
             new = list(dict.fromkeys(parts))
+        long: dict[str, bytes] = {}  # of this text alone
         if new:
             raw = [p.encode("utf-8") for p in new]
             split = [i for i, b in enumerate(raw) if b not in self._ranks]
             for p, b in zip(new, raw, strict=True):
                 if b in self._ranks:
-                    seen[p] = self._ranks[b].to_bytes(4, "little")
+                    (seen if len(p) <= _LONGEST else long)[p] = self._ranks[b].to_bytes(4, "little")
             for i, ids in zip(split, self._model.encode([mapped(raw[i]) for i in split], num_threads=1), strict=True):
-                seen[new[i]] = self._rank_of[ids].astype("<u4").tobytes()
+                (seen if len(new[i]) <= _LONGEST else long)[new[i]] = self._rank_of[ids].astype("<u4").tobytes()
+        if long:
+            return b"".join([long[p] if p in long else seen[p] for p in parts])
         return b"".join(map(seen.__getitem__, parts))
 
     def decode(self, ids: bytes) -> bytes:
         return b"".join(map(self._bytes_of.__getitem__, np.frombuffer(ids, "<u4").tolist()))
 
 
+@lru_cache(maxsize=2)
+def shared(ranks_path: str, pattern: str) -> ByteBpe:
+    """One for all tasks that a worker runs."""
+    return ByteBpe(read_ranks(ranks_path), pattern)
+
+
 def encode(docs: DataFrame, ranks_path: str, pattern: str, id_col: str = "doc_id", text_col: str = "text", checked: bool = False) -> DataFrame:
     """(doc_id, ids array<int>, n_tokens) for each row; null and empty texts have no ids.
 
@@ -84,7 +94,7 @@ def encode(docs: DataFrame, ranks_path: str, pattern: str, id_col: str = "doc_id
     """
 
     def make():
-        bpe = ByteBpe(read_ranks(ranks_path), pattern)
+        bpe = shared(ranks_path, pattern)
 
         def step(c):
             coded = [bpe.encode(t) for t in c["text"]]
@@ -102,7 +112,7 @@ def decode(encoded: DataFrame, ranks_path: str, pattern: str, id_col: str = "doc
     """(doc_id, text) from ids; bytes that are no UTF-8 become replacement marks, null ids a null text."""
 
     def make():
-        bpe = ByteBpe(read_ranks(ranks_path), pattern)
+        bpe = shared(ranks_path, pattern)
         text = lambda ids: None if ids is None else bpe.decode(np.array(ids, "<u4").tobytes()).decode("utf-8", "replace")
         return lambda c: {"doc_id": c["doc_id"], "text": [text(x) for x in c["ids"]]}
 
@@ -117,7 +127,7 @@ def digests(docs: DataFrame, ranks_path: str, pattern: str, id_col: str = "doc_i
     """
 
     def make():
-        bpe = ByteBpe(read_ranks(ranks_path), pattern)
+        bpe = shared(ranks_path, pattern)
 
         def step(c):
             ids = [bpe.encode(t) for t in c["text"]]

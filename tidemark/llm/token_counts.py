@@ -24,7 +24,7 @@ SPACE = "▁"
 #: Scores are multiples of this in the default vocabulary; sums below 2**24 of it are exact as 32-bit floats.
 GRAIN = 1 / 32
 _UNKNOWN_COST = 10.0  # fixed value of the tokenizer: below the least score of a piece
-_REMEMBERED = 400_000
+_REMEMBERED, _LONGEST = 400_000, 64  # chunks that a task remembers, and characters of the longest of them
 _FLOAT = struct.Struct("<f")
 
 
@@ -76,9 +76,11 @@ class Counter:
             score, pieces, seen = 0.0, 0, self._seen
             for chunk in self._chunk.findall(text):
                 if (known := seen.get(chunk)) is None:
-                    if len(seen) >= _REMEMBERED:
-                        seen.clear()
-                    known = seen[chunk] = self._exact(chunk)
+                    known = self._exact(chunk)
+                    if len(chunk) <= _LONGEST:
+                        if len(seen) >= _REMEMBERED:
+                            seen.clear()
+                        seen[chunk] = known
                 score += known[0]
                 pieces += known[1]
             if abs(score + self.unknown) < GRAIN * (1 << 24):
