@@ -11,6 +11,6 @@ os.environ.setdefault("PYTHONPATH", os.path.dirname(os.path.dirname(os.path.absp
 def spark(tmp_path_factory):
     from tidemark.session import local_session
 
-    session = local_session(8)
+    session = local_session(os.environ.get("TEST_CORES", "8"))
     session.sparkContext.setLogLevel("ERROR")
     return session

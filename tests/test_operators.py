@@ -5,6 +5,7 @@ import datetime as dt
 import pytest
 from pyspark.sql import functions as F
 
+from tidemark.functions import columns
 from tidemark.operators import asof, entity, evaluation, features, labels, quality, rating, rolling, sessions, similarity
 from tidemark.sources import articles, versioned
 
@@ -28,11 +29,38 @@ def test_z_ends_before_the_row_and_needs_a_full_varying_window(spark):
 
 def test_percentile_counts_the_row_itself(spark):
     df = panel(spark, {"a": [1.0, 2.0, 3.0, 4.0], "b": [4.0, 3.0, 2.0, 1.0], "c": [1.0, 1.0, None, 1.0]})
-    got = df.withColumn("p", rolling.rolling_percentile("x", rolling.by(), 3))
+    got = rolling.with_rolling_percentile(df, "x", "p", 3)
     assert values(got, "p") == [None, None, 1.0, 1.0] and values(got, "p", "b") == [None, None, 0.0, 0.0]
     assert values(got, "p", "c") == [None] * 4
-    one = df.withColumn("p", rolling.rolling_percentile("x", rolling.by(), 1))
-    assert values(one, "p") == [None] * 4
+    one = rolling.with_rolling_percentile(df, "x", "p", 1)
+    assert values(one, "p") == [None] * 4 and one.columns == [*df.columns, "p"]
+
+
+def test_percentile_over_batches_is_brute_force(spark):
+    import random
+
+    draw = random.Random(4)
+    rows = {t: [draw.choice([None, *range(6)]) if draw.random() < 0.02 else float(draw.randrange(9)) for _ in range(n)] for t, n in (("a", 300), ("b", 7), ("c", 120))}
+    df = panel(spark, {t: [None if v is None else float(v) for v in vs] for t, vs in rows.items()})
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "11")
+    try:
+        got = rolling.with_rolling_percentile(df, "x", "p", 8).collect()
+    finally:
+        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+    for t, vs in rows.items():
+        want = [None if i < 7 or None in vs[i - 7 : i + 1] else (sum(v <= vs[i] for v in vs[i - 7 : i + 1]) - 1) / 7 for i in range(len(vs))]
+        assert [r.p for r in sorted((r for r in got if r.ticker == t), key=lambda r: r.date)] == [None if w is None else pytest.approx(w) for w in want]
+
+
+@pytest.mark.parametrize("n", [0, 1, 7, 400])
+def test_places_and_percentiles_over_ranges(spark, n):
+    import numpy as np
+
+    df = spark.createDataFrame([(i * 37 % 101, i) for i in range(n)], "v int, i int").repartition(5)
+    got = sorted((r.place, r.v, r.i) for r in rolling.placed(df, "place", F.desc("v"), "i").collect())
+    assert got == [(k + 1, v, i) for k, (v, i) in enumerate(sorted(((r.v, r.i) for r in df.collect()), key=lambda x: (-x[0], x[1])))]
+    at = {r.p: r.value for r in evaluation.score_percentiles(df.withColumn("score", F.col("v") - 50.0)).collect()}
+    assert at == {p: pytest.approx(np.quantile([abs(i * 37 % 101 - 50.0) for i in range(n)], p)) if n else None for p in (0.5, 0.75, 0.9, 0.95, 0.99)}
 
 
 def test_sums_come_before_the_ratio_and_zero_is_no_denominator(spark):
@@ -41,6 +69,12 @@ def test_sums_come_before_the_ratio_and_zero_is_no_denominator(spark):
     assert values(got, "r") == [None, 0.5] and values(got, "r", "b") == [None, None]
 
 
+def test_what_is_missing_prints_as_a_dash(spark):
+    df = spark.createDataFrame([(0.0123,), (None,)], "x double")
+    got = [tuple(r) for r in df.select(columns.signed_percent("x"), columns.shown("x"), columns.signed("x")).collect()]
+    assert got == [("+1.23%", "0.01", "+0.01"), ("—", "—", "—")]
+
+
 def test_lag_and_change_stay_within_a_key(spark):
     df = panel(spark, {"a": [1.0, 2.0, None, 4.0], "b": [8.0, 4.0, 2.0, 0.0]})
     got = rolling.pct_change(df, "x", 1, rolling.by(), "c")
@@ -176,7 +210,11 @@ def test_checks_are_rows(spark):
     assert quality.missing_ratio(df.limit(0), {"v": 1.0}).first().passed is False
     none = quality.summary(quality.not_empty(df, 1).limit(0)).first()
     assert none.ok is False and none.summary == "no checks ran"
-    assert quality.rating_config({"a": 1.0}, {"a": 2.0}, {"strong": 1, "moderate": 2, "weak": 0}, 2.0) == ["a is both active and deferred", "cuts are out of order", "floor lies outside 0 to 1"]
+    weights = spark.createDataFrame([("a", "1.0", True), ("a", "2.0", False), ("b", "much", True)], "feature string, weight string, active boolean")
+    cuts = lambda *v: spark.createDataFrame(list(zip(("strong", "moderate", "weak"), v, strict=True)), "cut string, threshold double")
+    got = {r.name: (r.passed, r.detail) for r in quality.rating_config(weights, cuts(1.0, 2.0, 0.5), 2.0).collect()}
+    assert got == {"numeric_weights": (False, "b"), "active_or_deferred": (False, "a"), "ordered_cuts": (False, "1.0 > 2.0 > 0.5"), "floor": (False, "2.0")}
+    assert all(r.passed for r in quality.rating_config(weights.where("weight = '1.0'"), cuts(2.0, 1.0, 0.4), 0.5).collect())
 
 
 def test_versions(spark, tmp_path):
@@ -210,9 +248,20 @@ def test_pubdates_and_runs(spark, tmp_path):
 
 
 def test_report_headers(spark):
-    t = spark.createDataFrame([("r", "head\nℹ 8.8% (기사 2432건)\n⚠ 수집 실패: a×2, b\n"), ("s", "plain")], "name string, text string")
-    got = {r.name: (r.ambiguous_pct, r.articles, r.failures) for r in articles.parse_report_headers(t).collect()}
-    assert got == {"r": (8.8, 2432, ["a×2", "b"]), "s": (None, None, [])}
+    text = "head\nℹ 엔티티 모호 비율: 8.8% (기사 12,432건)\n⚠ 수집 실패: kr_flow/schema×2, kr/flow (KeyError)\n⚠ 수집 실패: a/coverage\n⚠ 뉴스 유실: one feed\n"
+    rows = [("2026-08-12-evening.md", text), ("2026-08-12.md", "plain"), ("2026-08-13.md", "⚠ 미국 시세 벤더 불일치: A"), ("notes.md", text)]
+    got = articles.parse_report_headers(spark.createDataFrame(rows, "name string, text string"))
+    said = {r.name: (str(r.date), r.run, r.ambiguous_pct, r.articles, r.vendor_disagreement, r.news_gap) for r in got.collect()}
+    assert said == {
+        "2026-08-12-evening.md": ("2026-08-12", "evening", pytest.approx(0.088), 12432, False, "one feed"),
+        "2026-08-12.md": ("2026-08-12", "single", None, None, False, None), "2026-08-13.md": ("2026-08-13", "single", None, None, True, None),
+    }
+    items = [(r.raw, r["count"], r.classification) for r in articles.failure_items(got).orderBy("raw").collect()]
+    assert items == [("a/coverage", 1, "ambiguous"), ("kr/flow (KeyError)", 1, "unparsed"), ("kr_flow/schema×2", 2, "confirmed")]
+    assert sorted(r.name for r in articles.reports_for_session(got).collect()) == ["2026-08-12-evening.md", "2026-08-13.md"]
+    m = articles.ambiguous_means(got).first()
+    assert (m.simple, m.weighted, m.evening, m.n) == (pytest.approx(0.088), pytest.approx(0.088), pytest.approx(0.088), 1)
+    assert articles.ambiguous_means(got.limit(0)).first().simple is None
 
 
 def test_greedy_selection_and_scorer(spark):

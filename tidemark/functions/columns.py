@@ -27,23 +27,22 @@ def when_full(value: Column, present: Column, size: int) -> Column:
     return F.when(present == size, value)
 
 
-def pearson(n: Column, sx: Column, sy: Column, sxx: Column, syy: Column, sxy: Column) -> Column:
-    """Correlation from moments; NULL for fewer than two pairs or a constant side."""
-    cov, vx, vy = n * sxy - sx * sy, n * sxx - sx * sx, n * syy - sy * sy
-    return F.when((n >= 2) & (vx > 0) & (vy > 0), F.try_divide(cov, F.sqrt(vx) * F.sqrt(vy)))
+def formatted(pattern: str, value: Column) -> Column:
+    """A number by a pattern; an em dash where missing, which the pattern alone would print as cut text."""
+    return F.when(value.isNotNull(), F.format_string(pattern, value)).otherwise("—")
 
 
 def signed_percent(c: str | Column, digits: int = 2) -> Column:
     """+1.23%; an em dash where missing."""
-    return F.coalesce(F.format_string(f"%+.{digits}f%%", col(c) * 100), F.lit("—"))
+    return formatted(f"%+.{digits}f%%", col(c) * 100)
 
 
 def shown(c: str | Column, digits: int = 2) -> Column:
-    return F.coalesce(F.format_string(f"%.{digits}f", col(c).cast("double")), F.lit("—"))
+    return formatted(f"%.{digits}f", col(c).cast("double"))
 
 
 def signed(c: str | Column, digits: int = 2) -> Column:
-    return F.coalesce(F.format_string(f"%+.{digits}f", col(c).cast("double")), F.lit("—"))
+    return formatted(f"%+.{digits}f", col(c).cast("double"))
 
 
 def group_or_own(group: str | Column, key: str | Column) -> Column:

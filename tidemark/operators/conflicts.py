@@ -2,46 +2,80 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Sequence
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
-def mentions(lines: DataFrame, names: Mapping[str, str], text: str = "said_text") -> DataFrame:
-    """(doc_id, line, ticker) of each entity that a line names."""
-    hit = F.array_compact(F.array(*[F.when(F.contains(text, F.lit(n)), F.lit(t)) for t, n in names.items()]))
-    return lines.select("doc_id", "line", F.explode(hit).alias("ticker"))
-
-
 def consistency_report(verdicts: DataFrame) -> DataFrame:
     """(doc_id, checked, contradictions, ambiguous, ok) of attributed lines."""
     is_ = lambda v: F.count_if(F.col("verdict") == v)
     return verdicts.groupBy("doc_id").agg(F.count_if(F.col("verdict") != "ambiguous").alias("checked"), is_("contradicts").alias("contradictions"), is_("ambiguous").alias("ambiguous"), (is_("contradicts") == 0).alias("ok"))
 
 
-def label_conflicts(pairs: DataFrame, buckets: DataFrame) -> DataFrame:
-    """(article_id, flag): both sides of a same-event pair whose buckets differ, once each."""
-    side = lambda s: buckets.select(F.col("article_id").alias(s), F.col("bucket").alias(f"bucket_{s}"))
-    both = pairs.select("a", "b").join(side("a"), "a").join(side("b"), "b").where("bucket_a <> bucket_b")
-    return both.select(F.explode(F.array("a", "b")).alias("article_id")).distinct().withColumn("flag", F.lit("same event, other bucket"))
+# The words that the rules below look for, and the scores at which they speak.
+AUTHOR_LIKE = ("증권", "금융지주", "자산운용")
+OWN_NEWS = ("영업이익", "순이익", "실적", "출시", "협약", "MOU", "승진", "채용")
+AUTHOR_MARKERS = ("목표가", "목표주가", "투자의견", "제시했다", "평가했다", "진단했다", "분석이 나왔다", "전망했다", "대해")
+MARKET_STRUCTURE = ("초고수", "차익실현", "차익 실현", "수급", "매수세", "매도세", "공매도", "패시브", "지수 편입", "거래대금", "순매수", "순매도")
+PRICE_MOVE = ("폭락", "급등", "급락", "반등", "신고가", "신저가", "상한가", "하한가", "특징주")
+MARKET_CAUSE = ("외인", "외국인", "기관", "투자심리", "투자 심리", "동시호가", "투자주의", "수급")
+SIGN_CONFLICT, STRUCTURE_RELEVANCE, DETACHED_RELEVANCE, DETACHED_INTENSITY, AUTHOR_POLARITY = 0.4, 0.5, 0.3, 0.7, 0.2
+DIVERGENCE_SIMILARITY, DIVERGENCE_GAP = 0.35, 0.4
+
+
+def _holds(text: Column, words: Sequence[str]) -> Column:
+    return reduce(Column.__or__, [F.contains(text, F.lit(w)) for w in words])
+
+
+def is_author_mention(author_like: Sequence[str] = AUTHOR_LIKE, own_news: Sequence[str] = OWN_NEWS, markers: Sequence[str] = AUTHOR_MARKERS) -> Column:
+    """Whether a row (name, title, description) names a broker as the author of a view on others, not its own news."""
+    name, title = F.coalesce("name", F.lit("")), F.coalesce("title", F.lit(""))
+    own = _holds(title, own_news) & F.contains(title, F.substring(name, 1, 4))
+    return _holds(name, author_like) & ~own & _holds(F.concat_ws(" ", title, F.coalesce("description", F.lit(""))), markers)
+
+
+def label_conflicts(rows: DataFrame, pairs: DataFrame) -> DataFrame:
+    """(article_id, ticker, flag), once each, of labelled rows (article_id, ticker, bucket, name, title, description).
 
+    contradiction: both sides of a same-event pair (ticker, a, b) whose buckets differ; shared_sign: an
+    article of several entities that all are positive, or all negative; author_mention: a broker as author
+    in a row that isn't irrelevant.
+    """
+    side = lambda s: rows.select("ticker", F.col("article_id").alias(s), F.col("bucket").alias(f"bucket_{s}"))
+    both = pairs.select("ticker", "a", "b").join(side("a"), ["ticker", "a"]).join(side("b"), ["ticker", "b"]).where("bucket_a <> bucket_b")
+    against = both.select(F.explode(F.array("a", "b")).alias("article_id"), "ticker", F.lit("contradiction").alias("flag"))
+    one = rows.groupBy("article_id").agg(F.count("*").alias("n"), F.min("bucket").alias("lo"), F.max("bucket").alias("hi"), F.collect_set("ticker").alias("t"))
+    shared = one.where(F.col("n") > 1).where("lo = hi AND lo IN ('positive', 'negative')").select("article_id", F.explode("t").alias("ticker"), F.lit("shared_sign").alias("flag"))
+    author = rows.where((F.col("bucket") != "irrelevant") & is_author_mention()).select("article_id", "ticker", F.lit("author_mention").alias("flag"))
+    return against.unionByName(shared).unionByName(author).distinct()
 
-def shared_sign(rows: DataFrame, article: str = "article_id", bucket: str = "bucket") -> DataFrame:
-    """(article, flag): articles of several entities that all have one bucket."""
-    got = rows.groupBy(article).agg(F.count("*").alias("n"), F.countDistinct(bucket).alias("u")).where("n > 1 AND u = 1")
-    return got.select(article, F.lit("one bucket for several entities").alias("flag"))
 
+def score_conflicts(rows: DataFrame) -> DataFrame:
+    """(article_id, ticker, dimension, flag): scores against the bucket beside them, or against a rule.
 
-def score_conflicts(rows: DataFrame, keys: Sequence[str], value: str, low: str, high: str, relevance: str, intensity: str) -> DataFrame:
-    """(keys, flag): values outside their bucket's bounds, and intense ones of little relevance."""
-    branches = [("sign against bucket", (F.col(value) < F.col(low)) | (F.col(value) > F.col(high))), ("detached", (F.col(relevance) <= 0.3) & (F.col(intensity) >= 0.7))]
-    return reduce(DataFrame.unionByName, [rows.where(cond).select(*keys, F.lit(name).alias("flag")) for name, cond in branches])
+    rows (article_id, ticker, bucket, name, title, description, relevance, polarity, intensity); a score that
+    isn't there conflicts with nothing. Of the rules on relevance only the first that applies speaks; a
+    detached intensity is filed under both dimensions.
+    """
+    bucket, polarity, relevance, title = F.col("bucket"), F.col("polarity"), F.col("relevance"), F.coalesce("title", F.lit(""))
+    high = relevance >= STRUCTURE_RELEVANCE
+    price_only = _holds(title, PRICE_MOVE) & _holds(title, MARKET_CAUSE)
+    said = lambda dimension, flag: F.struct(F.lit(dimension).alias("dimension"), flag.alias("flag"))
+    sign = F.when((bucket == "positive") & (polarity <= 0) | (bucket == "negative") & (polarity >= 0), "sign against bucket").when((bucket == "irrelevant") & (F.abs(polarity) >= SIGN_CONFLICT), "polar though irrelevant")
+    author = F.when(is_author_mention() & (F.abs(polarity) >= AUTHOR_POLARITY), "polar though an author")
+    weight = F.when((bucket == "irrelevant") & high, "relevant though irrelevant").when(high & _holds(title, MARKET_STRUCTURE), "market structure").when(high & price_only, "price move")
+    detached = F.when((relevance <= DETACHED_RELEVANCE) & (F.col("intensity") >= DETACHED_INTENSITY), "detached")
+    every = F.array(said("polarity", sign), said("polarity", author), said("relevance", weight), said("relevance", detached), said("intensity", detached))
+    return rows.select("article_id", "ticker", F.explode(every).alias("c")).select("article_id", "ticker", "c.*").where("flag IS NOT NULL")
 
 
-def divergence(pairs: DataFrame, scores: DataFrame, value: str, least: float = 0.4) -> DataFrame:
-    """(a, b, gap): same-event pairs whose scores lie apart."""
-    side = lambda s: scores.select(F.col("article_id").alias(s), F.col(value).alias(f"v_{s}"))
-    got = pairs.select("a", "b").join(side("a"), "a").join(side("b"), "b").withColumn("gap", F.abs(F.col("v_a") - F.col("v_b")))
-    return got.where(F.col("gap") >= least).select("a", "b", "gap")
+def divergence(pairs: DataFrame, scores: DataFrame, dims: Sequence[str], least: float = DIVERGENCE_GAP) -> DataFrame:
+    """(article_id, ticker, dimension, against, gap): both sides of same-event pairs (ticker, a, b) whose scores lie apart."""
+    long = scores.select("article_id", "ticker", *dims).unpivot(["article_id", "ticker"], list(dims), "dimension", "value").where("value IS NOT NULL")
+    side = lambda s: long.select("ticker", "dimension", F.col("article_id").alias(s), F.col("value").alias(f"v_{s}"))
+    got = pairs.select("ticker", "a", "b").join(side("a"), ["ticker", "a"]).join(side("b"), ["ticker", "b", "dimension"]).withColumn("gap", F.abs(F.col("v_a") - F.col("v_b"))).where(F.col("gap") >= least)
+    turned = lambda x, y: got.select(F.col(x).alias("article_id"), "ticker", "dimension", F.col(y).alias("against"), "gap")
+    return turned("a", "b").unionByName(turned("b", "a"))

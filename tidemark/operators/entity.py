@@ -2,14 +2,86 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterable, Iterator
+
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql import Window
 
 #: What an excluded span is replaced by; no alias holds it.
 MASK = chr(0)
-#: Dictionaries up to so many bytes of forms go to every task; larger ones are joined in blocks of entries.
-BROADCAST_BYTES = 16 << 20
+#: Characters of forms that are looked for at a time; they go to every task.
+BLOCK_CHARS = 4 << 20
+_ENTRY = ("ticker", "aliases", "exclude", "ambiguous_parents")
+
+
+def containing(texts: DataFrame, forms: list[list[str]]) -> DataFrame:
+    """texts (id, text) with the number of each list of forms of which the text holds one, a row each.
+
+    All forms are one automaton, so a text is read once whatever their number; empty forms are left out.
+    The forms must be of bounded size. Null texts hold nothing.
+    """
+    from pyspark.sql.pandas.types import to_arrow_schema
+
+    out = T.StructType([*texts.schema.fields, T.StructField("entry", T.IntegerType())])
+    target = to_arrow_schema(out)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        import ahocorasick
+
+        owners: dict[str, list[int]] = {}
+        for i, mine in enumerate(forms):
+            for form in set(mine) - {""}:
+                owners.setdefault(form, []).append(i)
+        automaton = ahocorasick.Automaton()
+        for form, which in owners.items():
+            automaton.add_word(form, which)
+        automaton.make_automaton()
+        for batch in batches:
+            rows, entries = [], []
+            for r, text in enumerate(batch.column(1).to_pylist()):
+                found: set[int] = set()
+                for _, which in automaton.iter(text) if text and owners else ():
+                    found.update(which)
+                rows += [r] * len(found)
+                entries += sorted(found)
+            picked = batch.take(pa.array(rows, pa.int64()))
+            yield pa.RecordBatch.from_arrays([*[c if c.type == f.type else c.cast(f.type) for c, f in zip(picked.columns, target, strict=False)], pa.array(entries, pa.int32())], schema=target)
+
+    return texts.mapInArrow(run, out)
+
+
+def _blocks(rows: Iterable, forms) -> Iterator[tuple[list, list[list[str]]]]:
+    """Rows of a dictionary with their forms, in blocks of bounded size."""
+    held, said, size = [], [], 0
+    for row in rows:
+        held.append(row)
+        said.append(forms(row))
+        size += sum(map(len, said[-1]))
+        if size >= BLOCK_CHARS:
+            yield held, said
+            held, said, size = [], [], 0
+    yield held, said
+
+
+def touching(articles: DataFrame, entries: DataFrame, codes: bool = True) -> DataFrame:
+    """(article_id, text, ticker, aliases, exclude, ambiguous_parents) of each article and entry of which it holds a form.
+
+    Forms are aliases, ambiguous parents and, with codes, the ticker. The dictionary is a stated set, read
+    block after block; each block is looked for in all articles, and pairs meet their entry by its number.
+    """
+    text = articles.select("article_id", F.concat_ws(" ", F.coalesce("title", F.lit("")), F.coalesce("description", F.lit(""))).alias("text"))
+    known = entries.select(*_ENTRY)
+    schema = T.StructType([T.StructField("entry", T.IntegerType()), *known.schema.fields])
+    forms = lambda r: [f for f in (*(r.aliases or ()), *(r.ambiguous_parents or ()), *((str(r.ticker),) if codes and r.ticker is not None else ())) if f]
+    out = None
+    for held, said in _blocks(known.toLocalIterator(), forms):
+        dim = known.sparkSession.createDataFrame([(i, *r) for i, r in enumerate(held)], schema)
+        found = containing(text, said).join(F.broadcast(dim), "entry").drop("entry")
+        out = found if out is None else out.union(found)
+    return out
 
 
 def resolve_entities(articles: DataFrame, entries: DataFrame, codes: bool = True) -> DataFrame:
@@ -18,19 +90,13 @@ def resolve_entities(articles: DataFrame, entries: DataFrame, codes: bool = True
     entries: (ticker, aliases, exclude, ambiguous_parents), aliases in order of preference. Excluded
     spans are masked longest first; then the first alias found matches, else the six-digit code of the
     ticker if it stands in the text before and after masking, else a parent makes the pair ambiguous.
-    The dictionary is a dimension: below a checked size it is broadcast.
+    Only pairs that touch are masked and judged.
     """
-    text = articles.select("article_id", F.concat_ws(" ", F.coalesce("title", F.lit("")), F.coalesce("description", F.lit(""))).alias("text"))
-    size = entries.agg(F.sum(F.length(F.to_json(F.struct("aliases", "exclude", "ambiguous_parents"))))).first()[0] or 0
-    dim = F.broadcast(entries) if size <= BROADCAST_BYTES else entries
     none = F.array().cast("array<string>")
     ordered = F.array_sort(F.coalesce("exclude", none), lambda a, b: F.length(b) - F.length(a))
     masked = F.aggregate(ordered, F.col("text"), lambda t, e: F.replace(t, e, F.lit(MASK)))
-    hit = lambda c: F.get(F.filter(F.coalesce(c, none), lambda a: F.contains(F.col("masked"), a)), 0)
-    # Nearly all pairs touch nowhere; a cheap test on the raw text leaves few for masking.
-    forms = F.concat(F.coalesce("aliases", none), F.coalesce("ambiguous_parents", none), F.array(F.col("ticker").cast("string")) if codes else none)
-    near = text.join(dim, F.exists(forms, lambda a: F.contains(F.col("text"), a)))
-    made = near.withColumn("masked", masked).withColumns({"alias": hit("aliases"), "parent": hit("ambiguous_parents")})
+    hit = lambda c: F.get(F.filter(F.coalesce(c, none), lambda a: (a != "") & F.contains(F.col("masked"), a)), 0)
+    made = touching(articles, entries, codes).withColumn("masked", masked).withColumns({"alias": hit("aliases"), "parent": hit("ambiguous_parents")})
     bounded = lambda c: F.coalesce(F.rlike(F.col(c), F.concat(F.lit("(?<!\\d)"), F.col("ticker").cast("string"), F.lit("(?!\\d)"))), F.lit(False))
     code = F.col("ticker").cast("string").rlike("^\\d{6}$") & bounded("text") & bounded("masked") if codes else F.lit(False)
     kind = F.when(F.col("alias").isNotNull(), "alias").when(code, "code").when(F.col("parent").isNotNull(), "parent")
@@ -39,6 +105,26 @@ def resolve_entities(articles: DataFrame, entries: DataFrame, codes: bool = True
     return out.select("article_id", "ticker", F.when(F.col("match_type") == "parent", "ambiguous").otherwise("matched").alias("status"), form.alias("matched_form"), "match_type")
 
 
+def mentions(lines: DataFrame, entries: DataFrame, text: str = "said_text") -> DataFrame:
+    """(doc_id, line, ticker) of entities that a line names by code, canonical name or alias.
+
+    entries (ticker, canonical, aliases, exclude); an entry's excluded spans are masked before its own names
+    are looked for, so a longer name that isn't the entity's doesn't count.
+    """
+    as_articles = lines.select(F.struct("doc_id", "line").alias("article_id"), F.lit("").alias("title"), F.col(text).alias("description"))
+    none = F.array().cast("array<string>")
+    names = F.array_distinct(F.array_compact(F.concat(F.array(F.col("ticker").cast("string"), "canonical"), F.coalesce("aliases", none))))
+    found = touching(as_articles, entries.select("ticker", names.alias("aliases"), "exclude", none.alias("ambiguous_parents")), codes=False)
+    masked = F.aggregate(F.coalesce("exclude", none), F.col("text"), lambda t, e: F.replace(t, e, F.repeat(F.lit(MASK), F.length(e))))
+    named = found.withColumn("masked", masked).where(F.exists("aliases", lambda a: (a != "") & F.contains(F.col("masked"), a)))
+    return named.select("article_id.doc_id", "article_id.line", "ticker").distinct()
+
+
+def claimed_labels(lines: DataFrame, labels: list[str], text: str = "said_text") -> DataFrame:
+    """(doc_id, line, said): a row for each label that a line holds."""
+    return label_extraction(lines, labels, text).select("doc_id", "line", F.explode("said").alias("said"))
+
+
 def article_status(articles: DataFrame, resolved: DataFrame) -> DataFrame:
     """(article_id, status, n): matched before ambiguous before unmatched; n entities matched."""
     got = resolved.groupBy("article_id").agg(F.count_if(F.col("status") == "matched").alias("n"), F.count("*").alias("touched"))
@@ -102,7 +188,11 @@ def exclude_candidates(names: DataFrame, name: str = "name") -> DataFrame:
 
 def name_lookup(queries: DataFrame, listing: DataFrame, query: str = "query", name: str = "name") -> DataFrame:
     """(query, n, state, found): an exact name beats names that hold the query; none and several say so."""
-    got = F.broadcast(queries.select(query).distinct()).join(listing.select(name).distinct(), F.contains(F.col(name), F.col(query)))
+    listed, got = listing.select(F.col(name).alias("_id"), F.col(name)).distinct(), None
+    for held, said in _blocks(queries.select(query).distinct().dropna().toLocalIterator(), lambda r: [r[0]]):
+        dim = queries.sparkSession.createDataFrame([(i, r[0]) for i, r in enumerate(held)], f"entry int, `{query}` string")
+        found = containing(listed, said).join(F.broadcast(dim), "entry").select(query, name)
+        got = found if got is None else got.union(found)
     exact = F.max(F.when(F.col(name) == F.col(query), F.col(name)))
     counted = got.groupBy(query).agg(F.count("*").alias("n"), exact.alias("exact"), F.min(name).alias("only"))
     out = queries.select(query).distinct().join(counted, query, "left").withColumn("n", F.coalesce("n", F.lit(0)))

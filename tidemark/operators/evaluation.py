@@ -10,7 +10,7 @@ from pyspark.sql import Window
 
 from tidemark.functions.columns import safe_ratio
 from tidemark.operators.asof import asof_prior
-from tidemark.operators.rolling import by, cumulative_return, spearman
+from tidemark.operators.rolling import by, cumulative_return, running_total, spearman
 from tidemark.operators.sessions import with_neighbours
 
 
@@ -32,6 +32,22 @@ def paired(scores: DataFrame, returns: DataFrame, score: str = "score", value: s
     return both
 
 
+def paired_tail(pairs: DataFrame, n: int) -> DataFrame:
+    """The last n pairs of each ticker."""
+    place = F.row_number().over(Window.partitionBy("ticker").orderBy(F.desc("date")))
+    return pairs.withColumn("_k", place).where(F.col("_k") <= n).drop("_k")
+
+
+def shared_sessions(returns: DataFrame, benchmark: DataFrame) -> DataFrame:
+    """(date, p, b): both returns of the sessions that both have."""
+    return returns.select("date", F.col("ret").alias("p")).join(benchmark.select("date", F.col("ret").alias("b")), "date")
+
+
+def members(prices: DataFrame, held: DataFrame) -> DataFrame:
+    """Rows of prices of what was held on their date."""
+    return prices.join(held, ["date", "ticker"], "left_semi")
+
+
 def daily_ic(pairs: DataFrame, score: str = "score", value: str = "excess") -> DataFrame:
     """(date, n, ic): rank correlation per date; dates where it is undefined are dropped."""
     return spearman(pairs, score, value, "date").where("corr IS NOT NULL").select("date", "n", F.col("corr").alias("ic"))
@@ -101,7 +117,7 @@ def benchmark_returns(forward: DataFrame, ticker) -> DataFrame:
 
 def curve(returns: DataFrame, benchmark: DataFrame) -> DataFrame:
     """(date, portfolio, benchmark): both compounded over the sessions that both have."""
-    both = returns.select("date", F.col("ret").alias("p")).join(benchmark.select("date", F.col("ret").alias("b")), "date")
+    both = shared_sessions(returns, benchmark)
     w = Window.orderBy("date")  # a row a session
     return both.select("date", cumulative_return("p", w).alias("portfolio"), cumulative_return("b", w).alias("benchmark"))
 
@@ -121,9 +137,19 @@ def net_of_cost(held: DataFrame, returns: DataFrame, cost: float) -> DataFrame:
 
 
 def score_percentiles(scores: DataFrame, score: str = "score", points: Sequence[float] = (0.5, 0.75, 0.9, 0.95, 0.99)) -> DataFrame:
-    """(p, value) of absolute scores, linear between rows."""
-    at = scores.agg(F.percentile(F.abs(score), F.array(*[F.lit(float(p)) for p in points])).alias("v"))
-    return at.select(F.posexplode("v").alias("i", "value")).select(F.element_at(F.array(*[F.lit(float(p)) for p in points]), F.col("i") + 1).alias("p"), "value")
+    """(p, value) of absolute scores, linear between rows.
+
+    Distinct values are counted and laid out in ranges; only the two values beside each point are looked at.
+    """
+    known = scores.select(F.abs(score).alias("v")).where("v IS NOT NULL").groupBy("v").agg(F.count("*").alias("n"))
+    laid = running_total(known, "n", "before", "v")
+    total = known.agg(F.sum("n")).first()[0] or 0
+    place = [(float(p), (total - 1) * float(p)) for p in points]
+    lower = lambda at: F.max(F.when(F.col("before") <= F.floor(F.lit(at)), F.col("v")))
+    upper = lambda at: F.max(F.when(F.col("before") <= F.ceil(F.lit(at)), F.col("v")))
+    value = lambda at: lower(at) + (upper(at) - lower(at)) * (F.lit(at) - F.floor(F.lit(at)))
+    got = laid.agg(F.array(*[F.struct(F.lit(p).alias("p"), value(at).alias("value")) for p, at in place]).alias("r"))
+    return got.select(F.explode("r").alias("r")).select("r.*")
 
 
 def cut_point_table(scores: DataFrame, cuts: dict[str, float], score: str = "score") -> DataFrame:

@@ -7,29 +7,34 @@ from pyspark.sql import functions as F
 from pyspark.sql import Window
 
 from tidemark.functions.columns import group_or_own, safe_ratio
-from tidemark.operators.rolling import band, by, lagged_ratio, pct_change, rolling_percentile, rolling_spread, rolling_sum_ratio, rolling_z
+from tidemark.operators.rolling import band, by, lagged_ratio, pct_change, rolling_spread, rolling_sum_ratio, rolling_z, with_rolling_percentile
 
 FEATURES = ("foreign_flow_5d", "inst_flow_5d", "short_ratio", "valuation_band", "rel_strength_20d")
 
 
 def group_mean(df: DataFrame, value: str, group: str, date: str = "date", key: str = "ticker") -> tuple[Column, Column]:
-    """(mean over the date's group, number of distinct members there, those without a value included)."""
+    """(mean over the date's group, whether the group has several members there, those without a value included)."""
     w = Window.partitionBy(date, group)
-    return F.avg(value).over(w), F.size(F.collect_set(key).over(w))
+    return F.avg(value).over(w), F.min(key).over(w) < F.max(key).over(w)
+
+
+def group_mean_if_peers(df: DataFrame, value: str, group: str, out: str = "mean") -> DataFrame:
+    """df with the mean of the value over the date's group; NULL in a group of one."""
+    mean, peers = group_mean(df, value, group)
+    return df.withColumn(out, F.when(peers, mean))
 
 
 def rel_strength(df: DataFrame, n: int = 20, value: str = "close", group: str = "sector", out: str = "rel_strength") -> DataFrame:
     """Own change over n sessions less the group's mean; NULL in a group of one."""
-    moved = pct_change(df, value, n, by(), "_ret")
-    mean, members = group_mean(moved, "_ret", group)
-    return moved.withColumn(out, F.when(members > 1, F.col("_ret") - mean)).drop("_ret")
+    moved = group_mean_if_peers(pct_change(df, value, n, by(), "_ret"), "_ret", group, "_mean")
+    return moved.withColumn(out, F.col("_ret") - F.col("_mean")).drop("_ret", "_mean")
 
 
 def excess_return(df: DataFrame, value: str = "forward", group: str = "sector", out: str = "excess") -> DataFrame:
     """Value less its group's mean on the date; a group of one is measured against all of the date."""
-    mean, members = group_mean(df, value, group)
+    mean, peers = group_mean(df, value, group)
     everyone = F.avg(value).over(Window.partitionBy("date"))
-    return df.withColumn(out, F.col(value) - F.when(members > 1, mean).otherwise(everyone))
+    return df.withColumn(out, F.col(value) - F.when(peers, mean).otherwise(everyone))
 
 
 def panel_features(panel: DataFrame, window: int = 252, valuation_window: int = 756, short_lag: int = 3, flow_days: int = 5, strength_days: int = 20) -> DataFrame:
@@ -38,13 +43,13 @@ def panel_features(panel: DataFrame, window: int = 252, valuation_window: int =
     Everything per ticker shares one shuffle and sort; the group means take one more by date.
     """
     w = by()
-    base = panel.withColumn("sector", group_or_own("sector", "ticker"))
+    base = with_rolling_percentile(panel.withColumn("sector", group_or_own("sector", "ticker")), "pbr", "_percentile", valuation_window)
     made = base.withColumns({
         "foreign_flow_5d": rolling_sum_ratio("foreign_net", "trading_value", w, flow_days),
         "inst_flow_5d": rolling_sum_ratio("inst_net", "trading_value", w, flow_days),
         "short_ratio": lagged_ratio("short_balance", "shares_outstanding", w, short_lag),
-        "valuation_band": band(rolling_percentile("pbr", w, valuation_window)),
-    })
+        "valuation_band": band(F.col("_percentile")),
+    }).drop("_percentile")
     made = rel_strength(made, strength_days, out="rel_strength_20d")
     scores = {f"{f}_z": rolling_z(f, w, window) for f in FEATURES if f != "valuation_band"}
     return made.withColumns(scores | {"valuation_band_z": F.col("valuation_band")})

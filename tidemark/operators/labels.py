@@ -2,14 +2,16 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Sequence
+from collections.abc import Callable, Iterator, Mapping, Sequence
 
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window
 
-from tidemark.operators.rolling import spearman
+from tidemark.functions.columns import shown
+from tidemark.operators.rolling import running_total, spearman
+from tidemark.operators.storage import written
 
 
 def latest_wins(log: DataFrame, keys: Sequence[str], order: str) -> DataFrame:
@@ -29,35 +31,66 @@ def finalise_labels(rows: DataFrame, selection: DataFrame, keys: Sequence[str])
     return rows.drop("bucket").join(selection.select(*keys, "bucket"), list(keys))
 
 
+def seeded(seed: int, *keys: str):
+    """A stated random order of keys: the MD5 of their texts and the seed, joined by bars."""
+    return F.md5(F.encode(F.concat_ws("|", *[F.col(k).cast("string") for k in keys], F.lit(str(seed))), "UTF-8"))
+
+
 def stratified_round_robin(pairs: DataFrame, size: int, seed: int, group: str = "ticker", item: str = "article_id") -> DataFrame:
     """size rows dealt one a round from each group, larger groups first; within a group in a seeded order."""
-    place = F.row_number().over(Window.partitionBy(group).orderBy(F.xxhash64(item, group, F.lit(seed)), item))
+    place = F.row_number().over(Window.partitionBy(group).orderBy(seeded(seed, item, group), item))
     ranked = pairs.select(group, item, place.alias("round"), F.count("*").over(Window.partitionBy(group)).alias("n"))
     return ranked.orderBy("round", F.desc("n"), group).limit(size).drop("n")
 
 
 def seeded_sample(rows: DataFrame, size: int, seed: int, *keys: str) -> DataFrame:
-    return rows.orderBy(F.xxhash64(*keys, F.lit(seed)), *keys).limit(size)
+    """size rows in a seeded order."""
+    return rows.orderBy(seeded(seed, *keys), *keys).limit(size)
 
 
 def first_n_per_bucket(rows: DataFrame, n: int = 25, least: float = 0.5) -> DataFrame:
     """(bucket, article_id, place): in order, each bucket takes up to n rows that are no same event as one it holds.
 
-    rows (bucket, seq, article_id, tokens). Greedy, so a bucket is walked in order; only its first rows
-    matter until n are taken, and the walk keeps no more than those n.
+    rows (bucket, seq, article_id, tokens). Of rows of a bucket with equal tokens only the first can be
+    taken (rows without tokens are like no other), so these are found first. A bucket's rows then stream in
+    order through one task, which holds the n that it has taken.
     """
+    alike = F.when(F.size("tokens") > 0, F.array_sort("tokens"))
+    keyed = rows.select("bucket", "seq", "article_id", "tokens", F.coalesce(F.sha2(F.to_json(F.struct(alike)), 256), F.lit("")).alias("_set"), alike.isNull().alias("_bare"))
+    first = keyed.where("NOT _bare").groupBy("bucket", "_set").agg(F.min(F.struct("seq", "article_id", "tokens")).alias("r")).select("bucket", "r.*")
+    stream = first.unionByName(keyed.where("_bare").select(*first.columns)).repartition("bucket").sortWithinPartitions("bucket", "seq")
+
+    def walk(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        bucket, held = None, []
+        for batch in batches:
+            out = []
+            for r in batch.itertuples(index=False):
+                if r.bucket != bucket:
+                    bucket, held = r.bucket, []
+                if len(held) < n:
+                    t = set(() if r.tokens is None else r.tokens)
+                    if not any(t and s and len(t & s) / len(t | s) >= least for s in held):
+                        held.append(t)
+                        out.append((bucket, r.article_id, len(held)))
+            yield pd.DataFrame(out, columns=["bucket", "article_id", "place"])
+
+    return stream.mapInPandas(walk, "bucket string, article_id long, place int")
+
 
-    def walk(group: pd.DataFrame) -> pd.DataFrame:
-        held: list[tuple[object, set]] = []
-        for r in group.sort_values("seq").itertuples():
-            if len(held) == n:
-                break
-            t = set(r.tokens)
-            if not any(t and s and len(t & s) / len(t | s) >= least for _, s in held):
-                held.append((r.article_id, t))
-        return pd.DataFrame({"bucket": pd.Series([group["bucket"].iloc[0]] * len(held), dtype=object), "article_id": [a for a, _ in held], "place": range(1, len(held) + 1)})
+def label_set_checks(labels: DataFrame, bucket: str = "bucket", item: str = "doc_id", share: str = "toxic") -> DataFrame:
+    """(bucket, n, duplicates, share): rows of each bucket, those whose item repeats there, and the mean of a marked column."""
+    return labels.groupBy(bucket).agg(F.count("*").alias("n"), (F.count("*") - F.countDistinct(item)).alias("duplicates"), F.avg(share).alias(f"{share}_share"))
 
-    return rows.groupBy("bucket").applyInPandas(walk, "bucket string, article_id long, place int")
+
+def review_influence(reviewed: DataFrame, changed, most: float = 0.15) -> DataFrame:
+    """(n, share, within): the share of labels that a review has changed, and whether it stays within the limit."""
+    share = F.try_divide(F.count_if(changed).cast("double"), F.count("*"))
+    return reviewed.agg(F.count("*").alias("n"), share.alias("share"), (share <= most).alias("within"))
+
+
+def with_texts(labels: DataFrame, texts: DataFrame, key: str) -> DataFrame:
+    """Labels with the fields of the text that they are of; labels without one are left out."""
+    return labels.join(texts, key)
 
 
 def long_scores(rows: DataFrame, keys: Sequence[str], dims: Sequence[str]) -> DataFrame:
@@ -105,7 +138,9 @@ def cost_per_signal(attempts: DataFrame, example: str = "example") -> DataFrame:
 
 
 def mean_latency(attempts: DataFrame) -> DataFrame:
-    return attempts.groupBy("model").agg(F.avg("latency_s").alias("latency_s"), F.count("*").alias("calls"))
+    """(model, latency_s, calls, temperatures): the distinct temperatures that calls were made with, in order."""
+    temperatures = F.array_join(F.array_sort(F.collect_set("temperature")), ",") if "temperature" in attempts.columns else F.lit("")
+    return attempts.groupBy("model").agg(F.avg("latency_s").alias("latency_s"), F.count("*").alias("calls"), temperatures.alias("temperatures"))
 
 
 def gate_verdict(correlations: DataFrame, bar: float = 0.5) -> DataFrame:
@@ -114,6 +149,41 @@ def gate_verdict(correlations: DataFrame, bar: float = 0.5) -> DataFrame:
     return correlations.agg(F.bool_and(ok).alias("passed"), F.count("*").alias("pairs"), F.count_if(~ok).alias("below"))
 
 
+def model_bars(correlation: DataFrame, consistency: DataFrame, compliance: DataFrame, bars: Mapping[str, float], sigma: tuple[str, float], least_compliance: float) -> DataFrame:
+    """(model, passed, reasons): what keeps a model from being chosen, before cost may decide.
+
+    A dimension's correlation must exceed its bar, the deviation of one dimension must stay below sigma's,
+    compliance must exceed its bar; what wasn't measured doesn't pass.
+    """
+    name, most = sigma
+    c = correlation.groupBy("model").agg(F.map_from_entries(F.collect_list(F.struct("dimension", "corr"))).alias("c"))
+    got = compliance.select("model", "ratio").join(c, "model", "left").join(consistency.where(F.col("dimension") == name).select("model", "sd"), "model", "left")
+    low = lambda d, bar: F.when(~F.coalesce(F.col("c")[d] > bar, F.lit(False)), F.concat(F.lit(f"{d} correlation "), shown(F.col("c")[d], 2), F.lit(f" <= {bar}")))
+    loose = F.when(~F.coalesce(F.col("sd") < most, F.lit(False)), F.concat(F.lit(f"{name} deviation "), shown("sd", 3), F.lit(f" >= {most}")))
+    unmet = F.when(F.col("ratio").isNull(), "compliance unmeasured").when(F.col("ratio") <= least_compliance, F.concat(F.lit("compliance "), shown("ratio", 3), F.lit(f" <= {least_compliance}")))
+    reasons = F.array_compact(F.array(*[low(d, bar) for d, bar in bars.items()], loose, unmet))
+    return got.select("model", (F.size(reasons) == 0).alias("passed"), F.array_join(reasons, "; ").alias("reasons"))
+
+
+def shared_examples(attempts: DataFrame, example: str = "example") -> DataFrame:
+    """(model_a, model_b, n): examples that both of two models answered on their first pass."""
+    f = first_pass(attempts).select("model", example).distinct()
+    a, b = f.withColumnRenamed("model", "model_a"), f.withColumnRenamed("model", "model_b")
+    return a.join(b, example).where("model_a < model_b").groupBy("model_a", "model_b").agg(F.count("*").alias("n"))
+
+
+def answered(ok="ok", failure="failure"):
+    """Whether a call reached its model: transport failures are no answers."""
+    return F.col(ok) | (F.coalesce(F.col(failure), F.lit("")) != "transport")
+
+
+def latest_run_per_model(attempts: DataFrame, at: str = "run_at") -> DataFrame:
+    """Attempts of each model's last day of runs."""
+    days = attempts.withColumn("_day", F.to_date(at))
+    last = days.groupBy("model").agg(F.max("_day").alias("_day"))
+    return days.join(last, ["model", "_day"], "left_semi").drop("_day")
+
+
 def noise_floor(first: DataFrame, second: DataFrame, keys: Sequence[str], dims: Sequence[str]) -> DataFrame:
     """(dimension, n, mean_gap, max_gap) between two passes over the same examples."""
     a, b = long_scores(first, keys, dims).withColumnRenamed("value", "x"), long_scores(second, keys, dims).withColumnRenamed("value", "y")
@@ -128,15 +198,33 @@ def redo_influence(log: DataFrame, keys: Sequence[str], dimension: str = "dimens
     return marked.groupBy(*keys).agg(F.coalesce(F.bool_or("changed"), F.lit(False)).alias("c")).agg(F.count("*").alias("examples"), F.count_if("c").alias("redone"))
 
 
+def _counted(rows: DataFrame, score: str, label: str) -> DataFrame:
+    """(score, p, q): positives and negatives of each distinct score."""
+    known = rows.where(F.col(score).isNotNull() & F.col(label).isNotNull())
+    return known.groupBy(F.col(score).alias("score")).agg(F.count_if(F.col(label) == 1).alias("p"), F.count_if(F.col(label) != 1).alias("q"))
+
+
 def auc(rows: DataFrame, score: str = "score", label: str = "label") -> DataFrame:
     """(n_pos, n_neg, auc) by rank sum, ties shared; NULL without both classes."""
-    ranks = rows.where(F.col(score).isNotNull() & F.col(label).isNotNull()).groupBy(score).agg(F.count_if(F.col(label) == 1).alias("p"), F.count_if(F.col(label) != 1).alias("q"))
-    # Only distinct scores are laid in order, in range partitions would they be many.
-    below = F.coalesce(F.sum("q").over(Window.orderBy(score).rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
-    got = ranks.select("p", "q", (F.col("p") * (below + F.col("q") / 2)).alias("wins")).agg(F.sum("p").alias("n_pos"), F.sum("q").alias("n_neg"), F.sum("wins").alias("w"))
+    laid = running_total(_counted(rows, score, label), "q", "below", "score")
+    got = laid.agg(F.sum("p").alias("n_pos"), F.sum("q").alias("n_neg"), F.sum(F.col("p") * (F.col("below") + F.col("q") / 2)).alias("w"))
     return got.select("n_pos", "n_neg", F.try_divide("w", (F.col("n_pos") * F.col("n_neg")).cast("double")).alias("auc"))
 
 
+def best_threshold(rows: DataFrame, score: str = "score", label: str = "label") -> DataFrame:
+    """(threshold, youden, recall, specificity) of the score from which on calling a row positive serves best.
+
+    Youden's J is recall + specificity - 1; of equal ones the least threshold. No row without both classes.
+    """
+    laid = written(running_total(running_total(_counted(rows, score, label), "q", "q_below", "score"), "p", "p_below", "score"))
+    whole = laid.agg(F.sum("p").alias("np"), F.sum("q").alias("nq"))
+    got = laid.join(F.broadcast(whole), F.lit(True)).where("np > 0 AND nq > 0")
+    recall, specificity = (F.col("np") - F.col("p_below")) / F.col("np"), F.col("q_below") / F.col("nq")
+    judged = got.select("score", recall.alias("recall"), specificity.alias("specificity")).withColumn("youden", F.col("recall") + F.col("specificity") - 1)
+    best = judged.agg(F.max(F.struct("youden", (-F.col("score").cast("double")).alias("least"), "score", "recall", "specificity")).alias("b")).where("b IS NOT NULL")
+    return best.select(F.col("b.score").alias("threshold"), "b.youden", "b.recall", "b.specificity")
+
+
 def resume(todo: DataFrame, done: DataFrame, keys: Sequence[str]) -> DataFrame:
     """What of todo has no answer yet."""
     return todo.join(done.select(*keys).distinct(), list(keys), "left_anti")
@@ -156,19 +244,63 @@ def unwrap(parsed, required: Sequence[str]):
     return F.when((F.size(keys) == 1) & (F.size(whole) == 0), inner).otherwise(parsed)
 
 
-def score_batch(items: DataFrame, scorer: Callable[[str], dict[str, float] | None], dims: Sequence[str], text: str = "text") -> DataFrame:
-    """items with ``scores`` (map) and ``failure`` (NULL, or why there are none), by any Python scorer on Arrow batches."""
+def score_batch(items: DataFrame, scorer: Callable[..., dict[str, float] | None], dims: Sequence[str], text: str = "text", model: str | None = None) -> DataFrame:
+    """items with ``scores`` (map) and ``failure`` (NULL, or why there are none), by any Python scorer on Arrow batches.
+
+    scorer(text), or scorer(model, text) where a model column is named. A ConnectionError or TimeoutError is
+    a transport failure, an answer without all dims a schema failure, any other error fails by its name.
+    """
     schema = "scores map<string,double>, failure string"
 
-    @F.pandas_udf(schema)
-    def run(batch: pd.Series) -> pd.DataFrame:
-        out = []
-        for t in batch:
-            try:
-                got = scorer(t or "")
-                out.append((got, None) if got and all(d in got for d in dims) else (None, "schema"))
-            except Exception as e:  # a failure is a row of the result
-                out.append((None, type(e).__name__))
-        return pd.DataFrame(out, columns=["scores", "failure"])
-
-    return items.withColumn("_r", run(F.col(text))).select("*", "_r.scores", "_r.failure").drop("_r")
+    def one(*asked):
+        try:
+            got = scorer(*asked)
+            return (got, None) if got and all(d in got for d in dims) else (None, "schema")
+        except (ConnectionError, TimeoutError):
+            return None, "transport"
+        except Exception as e:  # a failure is a row of the result
+            return None, type(e).__name__
+
+    if model is None:
+
+        @F.pandas_udf(schema)
+        def run(batch: pd.Series) -> pd.DataFrame:
+            return pd.DataFrame([one(t or "") for t in batch], columns=["scores", "failure"])
+
+        scored = run(F.col(text))
+    else:
+
+        @F.pandas_udf(schema)
+        def run_model(models: pd.Series, batch: pd.Series) -> pd.DataFrame:
+            return pd.DataFrame([one(m, t or "") for m, t in zip(models, batch, strict=True)], columns=["scores", "failure"])
+
+        scored = run_model(F.col(model), F.col(text))
+    return items.withColumn("_r", scored).select("*", "_r.scores", "_r.failure").drop("_r")
+
+
+def scoring_run(
+    items: DataFrame, models: Sequence[str], repeats: int, scorer: Callable[[str, str], dict[str, float] | None], bounds: Mapping[str, tuple[float, float]], keys: Sequence[str], done: DataFrame | None = None, text: str = "text"
+) -> DataFrame:
+    """(keys, model, repeat, scores, failure, detail): every model's repeats on every item that have no answer yet.
+
+    done (keys, model, repeat, failure) is the log of earlier runs; a transport failure there is asked again.
+    Scores outside their bounds, or missing, are a schema failure, and detail names them.
+    """
+    calls = items.withColumn("model", F.explode(F.array(*map(F.lit, models)))).withColumn("repeat", F.explode(F.sequence(F.lit(0), F.lit(repeats - 1))))
+    if done is not None:
+        calls = resume(calls, done.where("failure IS NULL OR failure <> 'transport'"), [*keys, "model", "repeat"])
+    got = score_batch(calls, scorer, (), text, "model").withColumn("_wrong", F.when(F.col("scores").isNotNull(), out_of_range(F.col("scores"), dict(bounds))))
+    bad = F.coalesce(F.size("_wrong") > 0, F.lit(False))
+    return got.select(*keys, "model", "repeat", F.when(~bad, F.col("scores")).alias("scores"), F.when(bad, "schema").otherwise(F.col("failure")).alias("failure"), F.when(bad, F.array_join("_wrong", ",")).alias("detail"))
+
+
+def live_examples(articles: DataFrame, resolved: DataFrame, names: DataFrame, start: str, end: str, size: int = 300, seed: int = 11) -> DataFrame:
+    """(article_id, ticker, name, title, description) sampled from the window's articles, first copy of each id, that match an entity.
+
+    articles (article_id, day, title, description, published_at), resolved (article_id, ticker, status), names (ticker, name).
+    """
+    inside = articles.where(F.col("day").between(F.lit(start).cast("date"), F.lit(end).cast("date")))
+    first = inside.groupBy("article_id").agg(F.min_by(F.struct("title", "description"), F.struct("day", "published_at")).alias("a")).select("article_id", "a.*")
+    pairs = resolved.where("status = 'matched'").select("article_id", "ticker").distinct().join(first.select("article_id"), "article_id")
+    chosen = stratified_round_robin(pairs, size, seed).select("article_id", "ticker")
+    return chosen.join(first, "article_id").join(names.select("ticker", "name"), "ticker", "left").select("article_id", "ticker", F.coalesce("name", F.lit("")).alias("name"), "title", "description")

@@ -158,12 +158,102 @@ def duplicate_claims(df: DataFrame, value: str, owner: str) -> DataFrame:
     return df.groupBy(value).agg(F.array_join(F.array_sort(F.collect_set(F.col(owner).cast("string"))), ",").alias("owners"), F.countDistinct(owner).alias("_n")).where("_n > 1").drop("_n")
 
 
-def rating_config(weights: dict[str, float], deferred: dict[str, float], cuts: dict[str, float], floor: float) -> list[str]:
-    """What is wrong with a rating's parameters; nothing if the list is empty."""
-    wrong = [f"weight of {k} is no number" for k, v in {**weights, **deferred}.items() if not isinstance(v, int | float) or isinstance(v, bool)]
-    wrong += [f"{k} is both active and deferred" for k in sorted(weights.keys() & deferred.keys())]
-    if not cuts["strong"] > cuts["moderate"] > cuts["weak"] > 0:
-        wrong.append("cuts are out of order")
-    if not 0 <= floor <= 1:
-        wrong.append("floor lies outside 0 to 1")
-    return wrong
+def watchlist(entries: DataFrame, patterns: dict[str, str]) -> DataFrame:
+    """(market, ticker, fault) of entries (market, ticker, name): missing fields, markets and tickers of another form, repeats within a market."""
+    form = F.lit(False)
+    for market, pattern in patterns.items():
+        form = form | ((F.col("market") == market) & F.rlike("ticker", F.lit(pattern)))
+    bare = lambda c: F.coalesce(F.trim(F.col(c).cast("string")) == "", F.lit(True))
+    marked = entries.select("market", "ticker", F.array_compact(F.array(
+        F.when(bare("ticker"), "no ticker"), F.when(bare("name"), "no name"), F.when(~bare("ticker") & ~F.coalesce(form, F.lit(False)), "ticker's form"),
+    )).alias("faults"))
+    twice = entries.groupBy("market", "ticker").agg(F.count("*").alias("n")).where("n > 1 AND ticker IS NOT NULL").select("market", "ticker", F.lit("listed twice").alias("fault"))
+    return marked.select("market", "ticker", F.explode("faults").alias("fault")).distinct().unionByName(twice)
+
+
+def feeds(entries: DataFrame) -> DataFrame:
+    """(name, fault) of feeds (name, outlet, section, url, domain, enabled): missing fields, repeated names, shared URLs, other schemes, none enabled."""
+    need = ("name", "outlet", "section", "url", "domain")
+    lost = F.array_compact(F.array(*[F.when(F.col(c).isNull(), F.lit(c)) for c in need]))
+    own = entries.select("name", F.array_compact(F.array(
+        F.when(F.size(lost) > 0, F.concat(F.lit("missing "), F.array_join(lost, ","))), F.when(~F.rlike("url", F.lit("^https?://")), "not http(s)"),
+    )).alias("f")).select("name", F.explode("f").alias("fault"))
+    twice = entries.where("name IS NOT NULL").groupBy("name").agg(F.count("*").alias("n")).where("n > 1").select("name", F.lit("repeated name").alias("fault"))
+    shared = entries.where("url IS NOT NULL").groupBy("url").agg(F.count("*").alias("n"), F.min("name").alias("name")).where("n > 1").select("name", F.lit("shared url").alias("fault"))
+    off = entries.agg(F.count_if(F.coalesce("enabled", F.lit(True))).alias("n")).where("n = 0").select(F.lit(None).cast("string").alias("name"), F.lit("none enabled").alias("fault"))
+    return own.unionByName(twice).unionByName(shared).unionByName(off)
+
+
+def rating_config(weights: DataFrame, cuts: DataFrame, floor: float) -> DataFrame:
+    """Checks of a rating's parameters: weights (feature, weight string, active boolean), cuts (cut, threshold) of strong, moderate and weak."""
+    number = F.try_cast("weight", "double") if hasattr(F, "try_cast") else F.expr("try_cast(weight AS double)")
+    bad = weights.agg(F.array_join(F.array_sort(F.collect_set(F.when(number.isNull() | F.isnan(number), F.col("feature")))), ",").alias("v"))
+    both = weights.groupBy("feature").agg(F.countDistinct("active").alias("n")).agg(F.array_join(F.array_sort(F.collect_set(F.when(F.col("n") > 1, F.col("feature")))), ",").alias("v"))
+    of = lambda name: F.max(F.when(F.col("cut") == name, F.col("threshold")))
+    laid = cuts.agg(of("strong").alias("s"), of("moderate").alias("m"), of("weak").alias("w"))
+    order = (F.col("s") > F.col("m")) & (F.col("m") > F.col("w")) & (F.col("w") > 0)
+    limit = cuts.agg(F.lit(float(floor)).alias("v"))
+    return report(
+        row(bad, "numeric_weights", F.col("v") == "", F.col("v")), row(both, "active_or_deferred", F.col("v") == "", F.col("v")),
+        row(laid, "ordered_cuts", order, F.concat_ws(" > ", "s", "m", "w")), row(limit, "floor", F.col("v").between(0, 1), F.col("v")),
+    )
+
+
+def known_date(df: DataFrame, name: str, where: Column, date: str, expected: str) -> DataFrame:
+    """Exactly one row is selected and its date is the expected one."""
+    got = df.where(where).agg(F.count("*").alias("n"), F.max(F.col(date).cast("date")).alias("v"))
+    return row(got, name, (F.col("n") == 1) & (F.col("v") == F.lit(expected).cast("date")), F.concat_ws(" ", F.concat(F.lit("rows="), "n"), F.concat(F.lit("value="), F.col("v").cast("string"))))
+
+
+def unmapped(entries: DataFrame, mapping: DataFrame, key: str) -> DataFrame:
+    """Rows of entries whose key the mapping doesn't have."""
+    return entries.join(mapping.select(key).distinct(), key, "left_anti")
+
+
+def _per_key(verdicts: DataFrame, name: str, key: str, detail: Column) -> DataFrame:
+    return verdicts.select(F.concat(F.lit(f"{name}["), F.col(key).cast("string"), F.lit("]")).alias("name"), "passed", detail.alias("detail"))
+
+
+def price_suite(df: DataFrame, expected: T.StructType, calendar: DataFrame, limits: dict[str, float], known: DataFrame | None = None) -> DataFrame:
+    """Prices of stocks or indices: schema, missing values, rows, each ticker's sessions, and a known value's check if one is handed in."""
+    gaps = _per_key(continuity(df, calendar), "continuity", "ticker", F.format_string("missing=%d off=%d twice=%d", "missing", "off_session", "duplicates"))
+    checks = [schema(df, expected), missing_ratio(df, limits), not_empty(df, calendar.count()), gaps]
+    return report(*checks, *([known] if known is not None else []))
+
+
+def flow_suite(df: DataFrame, expected: T.StructType, calendar: DataFrame, limits: dict[str, float], late: dict[str, float], parts: Sequence[str], lag: int, known: DataFrame | None = None) -> DataFrame:
+    """Investor flows: as prices, and the flows' identity; columns in ``late`` are judged without the last ``lag`` sessions."""
+    settled = settled_rows(df, lag)
+    short = missing_ratio(settled, late).withColumn("name", F.concat(F.lit("settled."), "name"))
+    none = settled.agg(F.count("*").alias("_n"))
+    short = short.join(F.broadcast(none), F.lit(True)).select("name", (F.col("passed") | (F.col("_n") == 0)).alias("passed"), "detail")
+    return report(price_suite(df, expected, calendar, limits, known), short, identity(df, parts))
+
+
+def macro_suite(df: DataFrame, expected: T.StructType, calendar: DataFrame, limits: dict[str, float], known: DataFrame | None = None) -> DataFrame:
+    """Series: schema, missing values, coverage of each series, a known value."""
+    covered = _per_key(coverage(df, calendar), "coverage", "series", F.format_string("ratio=%.4f stale=%d", "ratio", F.col("stale_sessions").cast("long")))
+    return report(schema(df, expected), missing_ratio(df, limits), covered, *([known] if known is not None else []))
+
+
+def calendar_suite(df: DataFrame, expected: T.StructType, limits: dict[str, float], *known: DataFrame) -> DataFrame:
+    """Events: schema, missing values, gaps of each event, known dates."""
+    gaps = _per_key(event_gaps(df), "event_continuity", "event", F.format_string("gap=%d", F.col("max_gap").cast("long")))
+    return report(schema(df, expected), missing_ratio(df, limits), gaps, *known)
+
+
+def news_suite(df: DataFrame, expected: T.StructType, limits: dict[str, float], ledger: DataFrame, buffer: DataFrame, stored: DataFrame, feeds: DataFrame, now: str) -> DataFrame:
+    """Articles: schema, missing values (none without rows), the last run, lost hours of each feed, and what can't be right."""
+    n = df.agg(F.count("*").alias("_n"))
+    full = missing_ratio(df, limits).join(F.broadcast(n), F.lit(True)).select("name", (F.col("passed") | (F.col("_n") == 0)).alias("passed"), "detail")
+    lost = feed_continuity(buffer, stored, feeds, now).withColumn("passed", ~F.col("state").isin("lost", "silent"))
+    odd = structural(df, now).withColumn("passed", F.col("too_old") + F.col("in_future") + F.col("foreign_host") + F.col("duplicates") == 0)
+    return report(
+        schema(df, expected), full, collection_gap(ledger, now), _per_key(lost, "feed_continuity", "feed", F.col("state")),
+        _per_key(odd, "structural", "feed", F.format_string("old=%d ahead=%d foreign=%d twice=%d", "too_old", "in_future", "foreign_host", "duplicates")),
+    )
+
+
+def suites(**checks: DataFrame) -> DataFrame:
+    """(collector, name, passed, detail) of each collector's checks."""
+    return reduce(DataFrame.unionByName, [c.select(F.lit(name).alias("collector"), "name", "passed", "detail") for name, c in checks.items()])

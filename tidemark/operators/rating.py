@@ -89,3 +89,22 @@ def refuse_empty(rated: DataFrame) -> DataFrame:
     if not (rated.agg(F.max("weight_coverage")).first()[0] or 0) > 0:
         raise ValueError("no rating has any weight behind it")
     return rated
+
+
+def weight_coverage(weights: DataFrame, produced: DataFrame) -> DataFrame:
+    """(kind, weight, present, missing): absolute weight of active and of deferred features, and of those that are produced.
+
+    weights (feature, weight, active), produced (feature); missing names the others, in order.
+    """
+    held = weights.join(produced.select("feature").distinct().withColumn("_is", F.lit(True)), "feature", "left")
+    size = F.abs(F.col("weight").cast("double"))
+    return held.groupBy(F.when(F.col("active"), "active").otherwise("deferred").alias("kind")).agg(
+        F.sum(size).alias("weight"), F.coalesce(F.sum(F.when(F.col("_is"), size)), F.lit(0.0)).alias("present"),
+        F.array_join(F.array_sort(F.collect_set(F.when(F.col("_is").isNull(), F.col("feature")))), ",").alias("missing"),
+    )
+
+
+def produced(features: DataFrame, names: Mapping[str, float]) -> DataFrame:
+    """(feature) of those that have a score on any row."""
+    some = features.agg(*[F.count(f"{f}_z").alias(f) for f in names])
+    return some.unpivot([], list(names), "feature", "n").where("n > 0").select("feature")

@@ -2,11 +2,19 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import numpy as np
+import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql import Window, WindowSpec
 
-from tidemark.functions.columns import col, pearson, safe_ratio, when_full
+from tidemark.functions.columns import col, safe_ratio, when_full
+from tidemark.operators.storage import written
 
 
 def by(key: str = "ticker", order: str = "date") -> WindowSpec:
@@ -26,12 +34,33 @@ def rolling_z(value: str | Column, over: WindowSpec, size: int = 252) -> Column:
     return F.when(F.count(x).over(w) == size, F.try_divide(x - F.avg(x).over(w), F.stddev_samp(x).over(w)))
 
 
-def rolling_percentile(value: str | Column, over: WindowSpec, size: int = 756) -> Column:
-    """Share of the other rows of the window, this one included in it, that don't exceed this value."""
-    w, x = over.rowsBetween(1 - size, 0), col(value)
-    seen = F.collect_list(x).over(w)
-    below = F.size(F.filter(seen, lambda v: v <= x)) - 1
-    return F.when(x.isNotNull() & (F.count(x).over(w) == size), F.try_divide(below.cast("double"), (F.size(seen) - 1).cast("double")))
+def with_rolling_percentile(df: DataFrame, value: str, out: str, size: int = 756, key: str = "ticker", order: str = "date") -> DataFrame:
+    """df with the share of the other rows of the window, this one included in it, that don't exceed this value.
+
+    NULL unless all of the window's values are there. Rows are dealt by key and stream in order; a task
+    holds the last rows of one key, and a skip list ranks each value among them.
+    """
+    from pyspark.sql.pandas.types import to_arrow_schema
+
+    schema = T.StructType([*df.schema.fields, T.StructField(out, T.DoubleType())])
+    target, at = to_arrow_schema(schema), {c: i for i, c in enumerate(df.columns)}
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        last, tail = None, np.empty(0)
+        for batch in batches:
+            keys, x = batch.column(at[key]), batch.column(at[value]).cast(pa.float64()).to_numpy(zero_copy_only=False)
+            share = np.full(len(x), np.nan)
+            runs = pc.run_end_encode(keys)
+            begin = 0
+            for k, end in zip(runs.values.to_pylist(), runs.run_ends.to_pylist(), strict=True):
+                held = tail if k == last else np.empty(0)
+                seen = np.concatenate([held, x[begin:end]])
+                share[begin:end] = ((pd.Series(seen).rolling(size, min_periods=size).rank(method="max") - 1) / (size - 1 or np.nan)).to_numpy()[len(held) :]
+                last, tail, begin = k, seen[len(seen) - min(len(seen), size - 1) :], end
+            columns = [*[c if c.type == f.type else c.cast(f.type) for c, f in zip(batch.columns, target, strict=False)], pa.array(share, pa.float64(), from_pandas=True)]
+            yield pa.RecordBatch.from_arrays(columns, schema=target)
+
+    return df.repartition(key).sortWithinPartitions(key, order).mapInArrow(run, schema)
 
 
 def band(percentile: Column) -> Column:
@@ -88,16 +117,14 @@ def average_rank(value: str, *partition: str) -> Column:
 
 
 def correlation(df: DataFrame, x: str, y: str, *groups: str) -> DataFrame:
-    """(groups, n, corr) over rows that have both values; NULL for one pair or a constant side."""
+    """(groups, n, corr) over rows that have both values; NULL for one pair or a constant side.
+
+    One aggregation, combined before it is shuffled, by merged moments about the mean.
+    """
     both = df.where(F.col(x).isNotNull() & F.col(y).isNotNull()).select(*groups, F.col(x).cast("double").alias("_x"), F.col(y).cast("double").alias("_y"))
-    center = both.groupBy(*groups).agg(F.avg("_x").alias("_mx"), F.avg("_y").alias("_my")) if groups else both.agg(F.avg("_x").alias("_mx"), F.avg("_y").alias("_my"))
-    moved = (both.join(center, list(groups)) if groups else both.crossJoin(F.broadcast(center))).withColumns({"_x": F.col("_x") - F.col("_mx"), "_y": F.col("_y") - F.col("_my")})
-    total = moved.groupBy(*groups).agg(
-        F.count("*").alias("n"), F.sum("_x").alias("a"), F.sum("_y").alias("b"), F.sum(F.col("_x") * F.col("_x")).alias("aa"),
-        F.sum(F.col("_y") * F.col("_y")).alias("bb"), F.sum(F.col("_x") * F.col("_y")).alias("ab"), F.countDistinct("_x").alias("ux"), F.countDistinct("_y").alias("uy"),
-    )
-    c = F.when((F.col("ux") > 1) & (F.col("uy") > 1), pearson(F.col("n"), F.col("a"), F.col("b"), F.col("aa"), F.col("bb"), F.col("ab")))
-    return total.select(*groups, "n", c.alias("corr"))
+    varies = (F.min("_x") < F.max("_x")) & (F.min("_y") < F.max("_y"))
+    got = both.groupBy(*groups).agg(F.count("*").alias("n"), varies.alias("v"), F.covar_pop("_x", "_y").alias("xy"), F.var_pop("_x").alias("xx"), F.var_pop("_y").alias("yy"))
+    return got.select(*groups, "n", F.when(F.col("v"), F.try_divide("xy", F.sqrt("xx") * F.sqrt("yy"))).alias("corr"))
 
 
 def spearman(df: DataFrame, x: str, y: str, *groups: str) -> DataFrame:
@@ -105,3 +132,23 @@ def spearman(df: DataFrame, x: str, y: str, *groups: str) -> DataFrame:
     both = df.where(F.col(x).isNotNull() & F.col(y).isNotNull())
     ranked = both.select(*groups, average_rank(x, *groups).alias("_rx"), average_rank(y, *groups).alias("_ry"))
     return correlation(ranked, "_rx", "_ry", *groups)
+
+
+def running_total(df: DataFrame, amount: str | Column, out: str, *order: str | Column) -> DataFrame:
+    """df with the sum of amount over the rows before each in a global order; ties must be broken by the order.
+
+    Rows are dealt to ranges of the order and written, which fixes the ranges; their totals, a row a range,
+    are carried over them. So no task sees more than a range.
+    """
+    ranged = written(df.withColumn("_amount", col(amount)).repartitionByRange(*order).withColumn("_range", F.spark_partition_id()))
+    totals = ranged.groupBy("_range").agg(F.sum("_amount").alias("_sum"))
+    ahead = Window.orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
+    begins = totals.select("_range", F.coalesce(F.sum("_sum").over(ahead), F.lit(0)).alias("_begin"))  # a row a range
+    before = Window.partitionBy("_range").orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
+    inner = F.coalesce(F.sum("_amount").over(before), F.lit(0))
+    return ranged.join(F.broadcast(begins), "_range").withColumn(out, F.col("_begin") + inner).drop("_amount", "_range", "_begin")
+
+
+def placed(df: DataFrame, out: str, *order: str | Column) -> DataFrame:
+    """df with each row's place in a global order, from 1."""
+    return running_total(df, F.lit(1), out, *order).withColumn(out, (F.col(out) + 1).cast("int"))

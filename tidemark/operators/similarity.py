@@ -22,23 +22,35 @@ def tokens(text: str):
     return F.array_distinct(F.regexp_extract_all(F.coalesce(F.col(text), F.lit("")), F.lit(TOKEN), 0))
 
 
-def same_event_pairs(articles: DataFrame, key: str = "ticker", text: str = "title", least: float = 0.5) -> DataFrame:
+def same_event_pairs(articles: DataFrame, key: str = "ticker", text: str = "title", least: float = 0.5, overlap: bool = False) -> DataFrame:
     """(key, a, b, jaccard) of different articles of a key whose token sets reach the threshold.
 
-    By prefix filter: a pair at least that alike shares one of each side's rarest tokens, as many as the
-    threshold leaves over, so only those tokens are joined on; then the whole sets are compared.
+    With overlap the shared tokens are measured against the smaller set, as ``overlap``. Equal sets are one
+    class; only classes are compared, and pairs of articles are made of alike classes at the end. By prefix
+    filter: a pair at least that alike shares one of the rarest tokens of the smaller side, as many as the
+    threshold leaves over, so only those are joined on; then the whole sets are compared.
     """
-    base = articles.select(key, "article_id", tokens(text).alias("t")).where(F.size("t") > 0)
-    exploded = base.select(key, "article_id", F.explode("t").alias("w"))
+    base = articles.select(key, "article_id", F.array_sort(tokens(text)).alias("t")).where(F.size("t") > 0)
+    classes = base.groupBy(key, "t").agg(F.min("article_id").alias("c"))
+    members = base.join(classes, [key, "t"]).select(key, "c", "article_id")
+    exploded = classes.select(key, "c", F.size("t").alias("n"), F.explode("t").alias("w"))
     rare = exploded.groupBy(key, "w").agg(F.count("*").alias("df"))
-    ranked = exploded.join(rare, [key, "w"]).groupBy(key, "article_id").agg(F.array_sort(F.collect_list(F.struct("df", "w"))).alias("o"))
+    ranked = exploded.join(rare, [key, "w"]).groupBy(key, "c", "n").agg(F.array_sort(F.collect_list(F.struct("df", "w"))).alias("o"))
     keep = F.size("o") - F.ceil(F.size("o") * least).cast("int") + 1
-    prefix = ranked.select(key, "article_id", F.explode(F.slice("o", F.lit(1), keep)).alias("p")).select(key, "article_id", F.col("p.w").alias("w"))
-    ids = prefix.alias("l").join(prefix.alias("r"), [key, "w"]).where("l.article_id < r.article_id").select(key, F.col("l.article_id").alias("a"), F.col("r.article_id").alias("b")).distinct()
-    sets = lambda side: base.select(key, F.col("article_id").alias(side), F.col("t").alias(f"t_{side}"))
-    both = ids.join(sets("a"), [key, "a"]).join(sets("b"), [key, "b"])
-    j = F.size(F.array_intersect("t_a", "t_b")) / F.size(F.array_union("t_a", "t_b"))
-    return both.select(key, "a", "b", j.alias("jaccard")).where(F.col("jaccard") >= least)
+    prefix = ranked.select(key, "c", "n", F.explode(F.slice("o", F.lit(1), keep)).alias("p")).select(key, F.col("c").alias("x"), F.col("n").alias("nx"), F.col("p.w").alias("w"))
+    other = exploded.select(key, F.col("c").alias("y"), F.col("n").alias("ny"), "w") if overlap else prefix.select(key, F.col("x").alias("y"), F.col("nx").alias("ny"), "w")
+    fits = (F.col("nx") < F.col("ny")) | ((F.col("nx") == F.col("ny")) & (F.col("x") < F.col("y")))
+    near = fits if overlap else fits & (F.col("nx") >= least * F.col("ny"))
+    ids = prefix.join(other, [key, "w"]).where((F.col("x") != F.col("y")) & near).select(key, "x", "y").distinct()
+    sets = lambda side: classes.select(key, F.col("c").alias(side), F.col("t").alias(f"t_{side}"))
+    both = ids.join(sets("x"), [key, "x"]).join(sets("y"), [key, "y"])
+    shared = F.size(F.array_intersect("t_x", "t_y"))
+    whole = F.least(F.size("t_x"), F.size("t_y")) if overlap else F.size("t_x") + F.size("t_y") - shared
+    alike = both.select(key, "x", "y", (shared / whole).alias("s")).where(F.col("s") >= least)
+    alike = alike.union(classes.select(key, F.col("c"), F.col("c"), F.lit(1.0)))
+    of = lambda side, name: members.select(key, F.col("c").alias(side), F.col("article_id").alias(name))
+    pairs = alike.join(of("x", "p"), [key, "x"]).join(of("y", "q"), [key, "y"]).where((F.col("x") != F.col("y")) | (F.col("p") < F.col("q")))
+    return pairs.select(key, F.least("p", "q").alias("a"), F.greatest("p", "q").alias("b"), F.col("s").alias("overlap" if overlap else "jaccard"))
 
 
 def similarity_pairs(vectors: DataFrame, least: float, key: str = "ticker", item: str = "article_id", vector: str = "vector") -> DataFrame:
@@ -96,6 +108,13 @@ def topicality(items: DataFrame, profiles: DataFrame, least: float, key: str = "
     return got.withColumn("cosine", dot(vector, "_profile")).where(F.col("cosine") >= least).drop("_profile")
 
 
+def topicality_report(items: DataFrame, kept: DataFrame, key: str = "ticker") -> DataFrame:
+    """(key, pairs, kept, dropped) of what a topicality filter was given and what it left."""
+    left = kept.groupBy(key).agg(F.count("*").alias("kept"))
+    got = items.groupBy(key).agg(F.count("*").alias("pairs")).join(left, key, "left").fillna({"kept": 0})
+    return got.select(key, "pairs", "kept", (F.col("pairs") - F.col("kept")).alias("dropped"))
+
+
 def without_profile(items: DataFrame, profiles: DataFrame, key: str = "ticker") -> DataFrame:
     """Keys of items that have no profile; such a table is in error."""
     return items.select(key).distinct().join(profiles.select(key), key, "left_anti")

@@ -3,11 +3,11 @@
 from __future__ import annotations
 
 from pyspark.sql import functions as F
-from pyspark.sql import Window
 
 from tidemark.operators import labels, rolling
 from tidemark.plans.names import query, r
 from tidemark.plans.panels import articles, attempts, sql, table
+from tidemark.sources import articles as feed
 
 _T, _A = sql("attempts"), sql("articles")
 _DIMS = ("relevance", "polarity")
@@ -37,7 +37,7 @@ def _(s, d):
 
 @query("answered", f"{_T} SELECT model, example, repeat, ok OR coalesce(failure, '') <> 'transport' AS answered FROM attempts")
 def _(s, d):
-    return attempts(s, d).select("model", "example", "repeat", (F.col("ok") | (F.coalesce("failure", F.lit("")) != "transport")).alias("answered"))
+    return attempts(s, d).select("model", "example", "repeat", labels.answered().alias("answered"))
 
 
 @query("cost_per_valid_signal", f"{_T} SELECT model, {r('sum(CAST(cost_usd AS DECIMAL(18,4)))::DOUBLE / nullif(count(DISTINCT CASE WHEN ok AND relevance > 0.5 THEN example END), 0)', 'cost')} FROM attempts GROUP BY model")
@@ -45,9 +45,9 @@ def _(s, d):
     return labels.cost_per_signal(attempts(s, d).withColumn("cost_usd", F.col("cost_usd").cast("decimal(18,4)")))
 
 
-@query("mean_latency", f"{_T} SELECT model, {r('avg(latency_s)', 'latency_s')}, count(*) AS calls FROM attempts GROUP BY model")
+@query("mean_latency", f"{_T} SELECT model, {r('avg(latency_s)', 'latency_s')}, count(*) AS calls, string_agg(DISTINCT CAST(example % 3 AS VARCHAR), ',' ORDER BY CAST(example % 3 AS VARCHAR)) AS temperatures FROM attempts GROUP BY model")
 def _(s, d):
-    return labels.mean_latency(attempts(s, d))
+    return labels.mean_latency(attempts(s, d).withColumn("temperature", (F.col("example") % 3).cast("string")))
 
 
 _INTER = f"{_LONG}, pairs AS (SELECT a.model AS model_a, b.model AS model_b, a.dimension, a.value AS x, b.value AS y FROM first a JOIN first b USING (example, dimension) WHERE a.model < b.model AND a.value IS NOT NULL AND b.value IS NOT NULL), {_corr('pairs', 'model_a, model_b, dimension')}"
@@ -63,6 +63,22 @@ def _(s, d):
     return labels.gate_verdict(labels.inter_model(attempts(s, d), ["example"], _DIMS), -0.2)
 
 
+_BARS = {"relevance": 0.0, "polarity": 0.01}
+
+
+@query("model_bars", f"""{_LONG}, pairs AS (SELECT a.model, a.dimension, a.value AS x, b.value AS y FROM first a JOIN long b ON b.model = 'click' AND b.repeat = 1 AND b.example = a.example AND b.dimension = a.dimension WHERE a.value IS NOT NULL AND b.value IS NOT NULL), {_corr('pairs', 'model, dimension')},
+e AS (SELECT model, dimension, example, stddev_samp(value) AS sd FROM long WHERE ok AND value IS NOT NULL GROUP BY ALL HAVING count(*) > 1), sds AS (SELECT model, avg(sd) AS sd FROM e WHERE dimension = 'polarity' GROUP BY model),
+comp AS (SELECT model, (count(*) FILTER (WHERE ok))::DOUBLE / nullif(count(*) FILTER (WHERE ok OR failure <> 'transport'), 0) AS ratio FROM attempts GROUP BY model),
+j AS (SELECT comp.model, ratio, sd, r.corr AS rc, p.corr AS pc FROM comp LEFT JOIN sds USING (model) LEFT JOIN corrs r ON r.model = comp.model AND r.dimension = 'relevance' LEFT JOIN corrs p ON p.model = comp.model AND p.dimension = 'polarity'),
+t AS (SELECT model, concat_ws('; ', CASE WHEN NOT coalesce(rc > 0.0, FALSE) THEN 'relevance correlation ' || coalesce(printf('%.2f', rc), '—') || ' <= 0.0' END, CASE WHEN NOT coalesce(pc > 0.01, FALSE) THEN 'polarity correlation ' || coalesce(printf('%.2f', pc), '—') || ' <= 0.01' END,
+CASE WHEN NOT coalesce(sd < 0.05, FALSE) THEN 'polarity deviation ' || coalesce(printf('%.3f', sd), '—') || ' >= 0.05' END, CASE WHEN ratio IS NULL THEN 'compliance unmeasured' WHEN ratio <= 0.95 THEN 'compliance ' || printf('%.3f', ratio) || ' <= 0.95' END) AS reasons FROM j)
+SELECT model, reasons = '' AS passed, reasons FROM t""")
+def _(s, d):
+    a = attempts(s, d)
+    correlation = labels.rater_correlation(labels.first_pass(a), a.where("model = 'click' AND repeat = 1"), ["example"], _DIMS, "model")
+    return labels.model_bars(correlation, labels.self_consistency(a, ["example"], _DIMS), labels.compliance(a), _BARS, ("polarity", 0.05), 0.95)
+
+
 @query("rater_correlation", f"{_LONG}, pairs AS (SELECT a.model, a.dimension, a.value AS x, b.value AS y FROM first a JOIN long b ON b.model = 'click' AND b.repeat = 1 AND b.example = a.example AND b.dimension = a.dimension WHERE a.value IS NOT NULL AND b.value IS NOT NULL), {_corr('pairs', 'model, dimension')} SELECT model, dimension, n, {r('corr')} FROM corrs")
 def _(s, d):
     a = attempts(s, d)
@@ -71,9 +87,7 @@ def _(s, d):
 
 @query("shared_examples", f"{_T} SELECT a.model AS model_a, b.model AS model_b, count(DISTINCT a.example) AS n FROM attempts a JOIN attempts b USING (example) WHERE a.ok AND b.ok AND a.repeat = 0 AND b.repeat = 0 AND a.model < b.model GROUP BY ALL")
 def _(s, d):
-    f = labels.first_pass(attempts(s, d)).select("model", "example")
-    a, b = f.withColumnRenamed("model", "model_a"), f.withColumnRenamed("model", "model_b")
-    return a.join(b, "example").where("model_a < model_b").groupBy("model_a", "model_b").agg(F.countDistinct("example").alias("n"))
+    return labels.shared_examples(attempts(s, d))
 
 
 @query("noise_floor", f"{_LONG} SELECT a.dimension, count(*) AS n, {r('avg(abs(a.value - b.value))', 'mean_gap')}, {r('max(abs(a.value - b.value))', 'max_gap')} FROM long a JOIN long b USING (model, example, dimension) WHERE a.repeat = 0 AND b.repeat = 1 GROUP BY a.dimension")
@@ -84,9 +98,7 @@ def _(s, d):
 
 @query("latest_run_per_model", f"{_T} SELECT model, example, repeat FROM attempts WHERE (model, CAST(run_at AS DATE)) IN (SELECT (model, max(CAST(run_at AS DATE))) FROM attempts GROUP BY model)")
 def _(s, d):
-    a = attempts(s, d).withColumn("day", F.to_date("run_at"))
-    last = a.groupBy("model").agg(F.max("day").alias("day"))
-    return a.join(F.broadcast(last), ["model", "day"], "left_semi").select("model", "example", "repeat")
+    return labels.latest_run_per_model(attempts(s, d)).select("model", "example", "repeat")
 
 
 @query("resume_anti_join", f"{_T} SELECT model, example, repeat FROM attempts WHERE NOT ok")
@@ -135,16 +147,21 @@ def _(s, d):
     return labels.auc(rows, "n_chars", "toxic")
 
 
+@query("best_threshold", "WITH q AS (SELECT n_chars AS score, toxic AS label FROM labels JOIN documents USING (doc_id)), g AS (SELECT score, count(*) FILTER (WHERE label = 1) AS p, count(*) FILTER (WHERE label <> 1) AS q FROM q GROUP BY score), k AS (SELECT score, (sum(p) OVER (ORDER BY score ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING))::DOUBLE / sum(p) OVER () AS recall, coalesce(sum(q) OVER (ORDER BY score ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)::DOUBLE / sum(q) OVER () AS specificity FROM g) SELECT score AS threshold, " + f"{r('recall + specificity - 1', 'youden')}, {r('recall')}, {r('specificity')} FROM k ORDER BY recall + specificity - 1 DESC, score LIMIT 1")
+def _(s, d):
+    rows = table(s, d, "labels").join(table(s, d, "documents").select("doc_id", "n_chars"), "doc_id")
+    return labels.best_threshold(rows, "n_chars", "toxic")
+
+
 @query("label_set_checks", "SELECT CASE quality WHEN 1 THEN 'good' ELSE 'bad' END AS bucket, count(*) AS n, count(*) - count(DISTINCT doc_id) AS duplicates, " + r("avg(toxic)", "toxic_share") + " FROM labels GROUP BY quality")
 def _(s, d):
     bucket = F.when(F.col("quality") == 1, "good").otherwise("bad")
-    return table(s, d, "labels").groupBy(bucket.alias("bucket")).agg(F.count("*").alias("n"), (F.count("*") - F.countDistinct("doc_id")).alias("duplicates"), F.avg("toxic").alias("toxic_share"))
+    return labels.label_set_checks(table(s, d, "labels").withColumn("bucket", bucket))
 
 
 @query("review_influence", "SELECT count(*) AS n, " + r("(count(*) FILTER (WHERE toxic = 1 AND quality = 1))::DOUBLE / count(*)", "share") + ", (count(*) FILTER (WHERE toxic = 1 AND quality = 1))::DOUBLE / count(*) <= 0.15 AS within FROM labels")
 def _(s, d):
-    share = F.try_divide(F.count_if((F.col("toxic") == 1) & (F.col("quality") == 1)).cast("double"), F.count("*"))
-    return table(s, d, "labels").agg(F.count("*").alias("n"), share.alias("share"), (share <= 0.15).alias("within"))
+    return labels.review_influence(table(s, d, "labels"), (F.col("toxic") == 1) & (F.col("quality") == 1))
 
 
 @query("out_of_range", f"{_T} SELECT model, example, repeat, concat_ws(',', CASE WHEN NOT coalesce(relevance BETWEEN 0 AND 0.8, FALSE) THEN 'relevance' END, CASE WHEN NOT coalesce(polarity BETWEEN -1 AND 1, FALSE) THEN 'polarity' END) AS wrong FROM attempts")
@@ -159,47 +176,74 @@ def _(s, d):
     return wrapped.select("event_id", F.get_json_object(labels.unwrap(F.col("j"), ["k"]), "$.k").cast("bigint").alias("k"))
 
 
-@query("stratified_round_robin")
+_SEEDED = lambda seed, *keys: f"md5(concat_ws('|', {', '.join(f'CAST({k} AS VARCHAR)' for k in keys)}, '{seed}'))"
+
+
+@query("stratified_round_robin", f"{_A}, k AS (SELECT ticker, article_id, row_number() OVER (PARTITION BY ticker ORDER BY {_SEEDED(7, 'article_id', 'ticker')}, article_id) AS k, count(*) OVER (PARTITION BY ticker) AS n FROM articles) SELECT ticker, article_id, CAST(k AS INT) AS round FROM k ORDER BY k, n DESC, ticker LIMIT 300")
 def _(s, d):
     return labels.stratified_round_robin(articles(s, d).select("ticker", "article_id"), 300, 7)
 
 
-@query("seeded_recheck_sample")
+@query("seeded_recheck_sample", f"SELECT doc_id, quality, toxic FROM labels ORDER BY {_SEEDED(7, 'doc_id')}, doc_id LIMIT 100")
 def _(s, d):
     return labels.seeded_sample(table(s, d, "labels"), 100, 7, "doc_id")
 
 
-@query("score_batch")
-def _(s, d):
-    def rule(text: str) -> dict[str, float] | None:
-        return {"length": float(len(text)), "lines": float(text.count("\n") + 1)} if text else None
+def _rule(model: str, text: str) -> dict[str, float] | None:
+    if not text:
+        return None
+    return {"length": float(len(text)) * (2 if model == "long" else 1), "lines": float(text.count("\n") + 1)}
 
-    scored = labels.score_batch(table(s, d, "documents").select("doc_id", "text"), rule, ("length", "lines"))
-    return scored.select("doc_id", F.col("scores")["length"].alias("length"), "failure")
+
+@query("score_batch", """WITH calls AS (SELECT doc_id, model, CAST(repeat AS INT) AS repeat, text FROM documents, (VALUES ('long'), ('short')) m(model), range(2) t(repeat)
+WHERE NOT (model = 'short' AND repeat = 0 AND doc_id IN (SELECT doc_id FROM labels WHERE toxic = 0))), x AS (SELECT *, length(text) * CASE WHEN model = 'long' THEN 2.0::DOUBLE ELSE 1.0 END AS length FROM calls)
+SELECT doc_id, model, repeat, CASE WHEN length <= 5000 AND length > 0 THEN (round(length, 6) + 0.0) END AS length, CASE WHEN length <= 5000 AND length > 0 THEN (length(text) - length(replace(text, chr(10), '')) + 1)::DOUBLE END AS lines, CASE WHEN coalesce(length, 0) = 0 OR length > 5000 THEN 'schema' END AS failure, CASE WHEN length > 5000 THEN 'length' END AS detail FROM x""")
+def _(s, d):
+    # A log of an earlier run: answers, and transport failures that are asked again.
+    log = table(s, d, "labels").select("doc_id", F.lit("short").alias("model"), F.lit(0).alias("repeat"), F.when(F.col("toxic") == 1, "transport").alias("failure")).distinct()
+    docs = table(s, d, "documents").select("doc_id", "text")
+    got = labels.scoring_run(docs, ["short", "long"], 2, _rule, {"length": (0.0, 5000.0), "lines": (1.0, 1e9)}, ["doc_id"], log)
+    return got.select("doc_id", "model", "repeat", F.col("scores")["length"].alias("length"), F.col("scores")["lines"].alias("lines"), "failure", "detail")
 
 
-@query("gate_run_counts", f"{_A}, days AS (SELECT DISTINCT CAST(o_orderdate AS DATE) AS day FROM orders UNION SELECT DISTINCT CAST(ts AS DATE) FROM events) SELECT day, count(article_id) AS runs FROM days LEFT JOIN articles ON CAST(published_at AS DATE) = day GROUP BY day")
+@query("gate_run_counts", f"{_A}, days AS (SELECT DISTINCT CAST(o_orderdate AS DATE) AS day FROM orders UNION SELECT DISTINCT CAST(ts AS DATE) FROM events) SELECT day AS session_date, count(article_id) AS runs FROM days LEFT JOIN articles ON CAST(published_at AS DATE) = day GROUP BY day")
 def _(s, d):
-    days = table(s, d, "orders").select(F.to_date("o_orderdate").alias("day")).union(table(s, d, "events").select(F.to_date("ts"))).distinct()
-    runs = articles(s, d).groupBy(F.to_date("published_at").alias("day")).agg(F.count("*").alias("runs"))
-    return days.join(runs, "day", "left").fillna({"runs": 0})
+    days = table(s, d, "orders").select(F.to_date("o_orderdate").alias("session_date")).union(table(s, d, "events").select(F.to_date("ts")))
+    return feed.runs_per_session(days, articles(s, d), "published_at")
 
 
-@query("gate_consistency_counts", f"{_T} SELECT CASE WHEN ok THEN 'confirmed' WHEN failure = 'transport' THEN 'excluded' ELSE 'unparsed' END AS kind, count(*) AS n FROM attempts GROUP BY ALL")
+_REPORTS = """WITH reports AS (SELECT CAST(o_orderdate AS DATE) AS date, CASE o_orderkey % 3 WHEN 0 THEN 'single' WHEN 1 THEN 'morning' ELSE 'evening' END AS run, strftime(o_orderdate, '%Y-%m-%d') || CASE o_orderkey % 3 WHEN 0 THEN '' WHEN 1 THEN '-morning' ELSE '-evening' END || '.md' AS name,
+CASE WHEN o_orderkey % 11 <> 0 THEN o_orderkey % 1000 / 1000.0::DOUBLE END AS ambiguous_pct, CASE WHEN o_orderkey % 11 <> 0 THEN o_custkey END AS articles,
+CASE o_orderkey % 5 WHEN 0 THEN 'kr_flow/schema×2' WHEN 1 THEN 'kr_news/structural_invariants' WHEN 2 THEN 'kr/investor_flow (KeyError)' WHEN 3 THEN 'us_price/not_empty' ELSE 'kr_flow/flow_identity' END AS item, o_orderkey % 5 = 0 AS vendor_disagreement, CASE WHEN o_orderkey % 7 = 0 THEN 'a feed ' || o_custkey || ' h' END AS news_gap FROM orders)"""
+
+
+def _reports(s, d):
+    """Report files made of the orders: names by date and run, header lines, failures, a disagreement, a gap."""
+    k = F.col("o_orderkey")
+    name = F.concat(F.date_format("o_orderdate", "yyyy-MM-dd"), F.element_at(F.array(F.lit(""), F.lit("-morning"), F.lit("-evening")), (k % 3 + 1).cast("int")), F.lit(".md"))
+    item = F.element_at(F.array(*[F.lit(x) for x in ("kr_flow/schema×2", "kr_news/structural_invariants", "kr/investor_flow (KeyError)", "us_price/not_empty", "kr_flow/flow_identity")]), (k % 5 + 1).cast("int"))
+    lines = F.concat_ws(
+        "\n", F.lit("# head"), F.when(k % 11 != 0, F.concat(F.lit("ℹ 엔티티 모호 비율: "), (k % 1000 / 10.0).cast("decimal(10,1)"), F.lit("% (기사 "), F.format_number("o_custkey", 0), F.lit("건)"))),
+        F.concat(F.lit("⚠ 수집 실패: "), item, F.lit(", us_price/coverage×3")), F.when(k % 5 == 0, F.lit("⚠ 미국 시세 벤더 불일치: A")), F.when(k % 7 == 0, F.concat(F.lit("⚠ 뉴스 유실: a feed "), "o_custkey", F.lit(" h"))), F.lit("end"),
+    )
+    return feed.parse_report_headers(table(s, d, "orders").select(name.alias("name"), lines.alias("text")))
+
+
+@query("parse_report_headers", f"{_REPORTS} SELECT name, date, run, {r('ambiguous_pct')}, articles, item || ',us_price/coverage×3' AS failures, vendor_disagreement, news_gap FROM reports")
 def _(s, d):
-    return attempts(s, d).groupBy(F.when(F.col("ok"), "confirmed").when(F.col("failure") == "transport", "excluded").otherwise("unparsed").alias("kind")).agg(F.count("*").alias("n"))
+    return _reports(s, d).withColumn("failures", F.array_join("failures", ","))
 
 
-@query("gate_ambiguous_means", f"{_A}, g AS (SELECT CAST(published_at AS DATE) AS day, count(*) AS n, avg(CASE WHEN seq % 11 = 0 THEN 1.0 ELSE 0.0 END) AS share FROM articles GROUP BY ALL) SELECT {r('avg(share)', 'simple')}, {r('sum(share * n) / sum(n)', 'weighted')}, {r('avg(share) FILTER (WHERE day(day) % 2 = 0)', 'evening')} FROM g")
+@query("gate_consistency_counts", f"{_REPORTS}, f AS (SELECT CASE item WHEN 'kr_flow/schema×2' THEN 'confirmed' WHEN 'kr_flow/flow_identity' THEN 'confirmed' WHEN 'kr_news/structural_invariants' THEN 'ambiguous' WHEN 'us_price/not_empty' THEN 'excluded' ELSE 'unparsed' END AS classification, CASE item WHEN 'kr_flow/schema×2' THEN 2 ELSE 1 END AS c FROM reports UNION ALL SELECT 'ambiguous', 3 FROM reports) SELECT classification, count(*) AS n, CAST(sum(c) AS BIGINT) AS failures FROM f GROUP BY 1")
 def _(s, d):
-    g = articles(s, d).groupBy(F.to_date("published_at").alias("day")).agg(F.count("*").alias("n"), F.avg((F.col("seq") % 11 == 0).cast("double")).alias("share"))
-    return g.agg(F.avg("share").alias("simple"), F.try_divide(F.sum(F.col("share") * F.col("n")), F.sum("n").cast("double")).alias("weighted"), F.avg(F.when(F.dayofmonth("day") % 2 == 0, F.col("share"))).alias("evening"))
+    return feed.failure_items(_reports(s, d)).groupBy("classification").agg(F.count("*").alias("n"), F.sum("count").alias("failures"))
 
 
-@query("reports_for_session", f"{_A}, k AS (SELECT ticker, feed, max(seq) AS seq FROM articles GROUP BY ALL) SELECT ticker, feed, seq FROM k WHERE feed IN ('click', 'view') OR (feed = 'purchase' AND ticker NOT IN (SELECT ticker FROM k WHERE feed IN ('click', 'view')))")
+@query("gate_ambiguous_means", f"{_REPORTS} SELECT {r('avg(ambiguous_pct)', 'simple')}, {r('sum(ambiguous_pct * articles) / sum(articles)', 'weighted')}, {r('avg(ambiguous_pct) FILTER (WHERE run <> $$morning$$)', 'evening')}, count(ambiguous_pct) AS n FROM reports")
 def _(s, d):
-    k = articles(s, d).groupBy("ticker", "feed").agg(F.max("seq").alias("seq"))
-    named = F.max(F.col("feed").isin("click", "view")).over(Window.partitionBy("ticker"))
-    return k.withColumn("named", named).where(F.col("feed").isin("click", "view") | ((F.col("feed") == "purchase") & ~F.col("named"))).select("ticker", "feed", "seq")
+    return feed.ambiguous_means(_reports(s, d))
 
 
+@query("reports_for_session", f"{_REPORTS}, u AS (SELECT DISTINCT date, run, name FROM reports) SELECT date, run, name FROM u WHERE run <> 'single' OR date NOT IN (SELECT date FROM u WHERE run <> 'single')")
+def _(s, d):
+    return feed.reports_for_session(_reports(s, d).select("date", "run", "name").distinct())

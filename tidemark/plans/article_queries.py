@@ -7,9 +7,10 @@ from pyspark.sql import Window
 
 from tidemark.operators import asof, entity, labels, report, rolling, sessions
 from tidemark.plans.names import query, r
-from tidemark.plans.panels import articles, panel, series, sql, table
+from tidemark.plans.panel_queries import _FEATURES, _WEIGHTS, _weight_coverage
+from tidemark.plans.panels import SQL, articles, attempts, panel, series, sql, table
 from tidemark.sources import articles as feed
-from tidemark.sources import vendors
+from tidemark.sources import vendors, versioned
 
 _A, _P = sql("articles"), sql("panel")
 _DAY = "2024-01-15"
@@ -75,7 +76,7 @@ def _(s, d):
 
 @query("buffer_oldest", f"{_A} SELECT feed, min(published_at) AS oldest FROM articles GROUP BY feed")
 def _(s, d):
-    return articles(s, d).groupBy("feed").agg(F.min("published_at").alias("oldest"))
+    return feed.buffer_oldest(articles(s, d))
 
 
 @query("next_tradeable_open", f"""{_A}, days AS (SELECT DISTINCT CAST(ts AS DATE) AS session_date FROM events WHERE dayofweek(ts) NOT IN (0, 6)), opens AS (SELECT session_date + INTERVAL 9 HOUR AS open_utc FROM days)
@@ -95,13 +96,13 @@ def _(s, d):
 @query("sorted_news_counts", f"{_A} SELECT ticker, n, CAST(row_number() OVER (ORDER BY n DESC, ticker) AS INT) AS place FROM (SELECT ticker, count(*) AS n FROM articles GROUP BY ticker)")
 def _(s, d):
     n = articles(s, d).groupBy("ticker").agg(F.count("*").alias("n"))
-    return n.withColumn("place", F.row_number().over(Window.orderBy(F.desc("n"), "ticker")))
+    return rolling.placed(n, "place", F.desc("n"), "ticker")
 
 
 @query("news_score_rollup", f"{_A} SELECT CAST(published_at AS DATE) AS date, ticker, count(*) AS n, {r('sum(score * (seq % 10)) / nullif(sum(seq % 10), 0)', 'polarity')}, arg_max(title, (score, seq)) AS headline FROM articles GROUP BY ALL")
 def _(s, d):
-    w = F.col("seq") % 10
-    return articles(s, d).groupBy(F.to_date("published_at").alias("date"), "ticker").agg(F.count("*").alias("n"), F.try_divide(F.sum(F.col("score") * w), F.sum(w).cast("double")).alias("polarity"), F.max_by("title", F.struct("score", "seq")).alias("headline"))
+    a = articles(s, d).withColumns({"date": F.to_date("published_at"), "polarity": F.col("score"), "intensity": F.col("score"), "relevance": F.col("seq") % 10})
+    return feed.news_score_rollup(a, "date", "ticker")
 
 
 @query("news_volume_z", f"""{_A}, days AS (SELECT unnest(generate_series(DATE '2024-01-01', (SELECT CAST(max(ts) AS DATE) FROM events), INTERVAL 1 DAY))::DATE AS date), c AS (SELECT feed, CAST(published_at AS DATE) AS date, count(*) AS n FROM articles GROUP BY ALL),
@@ -122,9 +123,32 @@ def _(s, d):
     return report.calendar_table(table(s, d, "orders").select(F.col("o_orderkey").alias("event"), F.to_date("o_orderdate").alias("date")), "1995-06-01")
 
 
-@query("header_facts", f"{_P} SELECT 'panel' AS source, max(date) AS newest, count(*) AS rows FROM panel UNION ALL SELECT 'events', CAST(max(ts) AS DATE), count(*) FROM events")
+@query("newest_dates", f"{_P} SELECT 'panel' AS source, max(date) AS newest, count(*) AS rows FROM panel UNION ALL SELECT 'events', CAST(max(ts) AS DATE), count(*) FROM events")
 def _(s, d):
-    return report.header_facts(("panel", panel(s, d), "date"), ("events", table(s, d, "events"), "ts"))
+    return report.newest_dates(("panel", panel(s, d), "date"), ("events", table(s, d, "events"), "ts"))
+
+
+_HEADER = f"""{_FEATURES}, {_WEIGHTS}, {SQL['series']}, {SQL['articles']}, {SQL['attempts']}, m AS (SELECT series, value, lag(value) OVER (PARTITION BY series ORDER BY date) AS before, row_number() OVER (PARTITION BY series ORDER BY date DESC) AS k FROM series),
+fails AS (SELECT failure AS kind, count(*) AS n FROM attempts WHERE failure IS NOT NULL GROUP BY 1), o AS (SELECT feed, CAST(floor((floor(epoch(max(published_at))) - floor(epoch(min(published_at)))) / 3600) AS BIGINT) AS h FROM articles GROUP BY feed),
+apart AS (SELECT ticker, count(*) AS n FROM panel WHERE abs(close - open) / close > 0.35 AND ticker <= 20 GROUP BY ticker)"""
+
+
+@query("header_facts", f"""{_HEADER} SELECT 'info' AS severity, 'market' AS key, string_agg(series || ' ' || printf('%.2f', value) || ' (' || printf('%+.2f%%', 100 * (value / before - 1)) || ')', ' | ' ORDER BY series) AS text FROM m WHERE k = 1
+UNION ALL SELECT 'info', 'data', 'events ' || (SELECT max(CAST(ts AS DATE)) FROM events) || ', panel ' || (SELECT max(date) FROM panel)
+UNION ALL SELECT 'warning', 'failures', string_agg(CASE WHEN n > 1 THEN kind || '×' || n ELSE kind END, ', ' ORDER BY kind) FROM fails
+UNION ALL SELECT 'warning', 'lost news', string_agg(feed || ' ' || h || '.0 h', ', ' ORDER BY feed) FROM o WHERE h > 0
+UNION ALL SELECT 'warning', 'vendors disagree', string_agg(ticker || ' on ' || n || ' days', ', ' ORDER BY ticker) FROM apart HAVING count(*) > 0
+UNION ALL SELECT CASE WHEN missing = '' THEN 'info' ELSE 'warning' END, 'coverage', printf('%.2f/%.2f (%.0f%%)', present, weight, 100 * present / weight) || CASE WHEN missing = '' THEN '' ELSE ' without ' || missing END FROM coverage WHERE kind = 'active'
+UNION ALL SELECT 'info', 'ambiguous', printf('%.1f%% of ', 100.0::DOUBLE * count(*) FILTER (WHERE seq % 11 = 0) / count(*)) || count(*) || ' articles' FROM articles""")
+def _(s, d):
+    a, p = articles(s, d), panel(s, d)
+    fails = attempts(s, d).where("failure IS NOT NULL").groupBy(F.col("failure").alias("kind")).agg(F.count("*").alias("n"))
+    lost = F.floor((F.unix_timestamp(F.max("published_at")) - F.unix_timestamp(F.min("published_at"))) / 3600).cast("double")
+    gaps = a.groupBy("feed").agg(lost.alias("lost_hours"))
+    apart = versioned.vendor_disagreement(p.where("ticker <= 20"), p.withColumn("close", F.col("open")), most=0.35).groupBy("ticker").agg(F.count("*").alias("n"))
+    status = a.agg(F.count("*").alias("articles"), F.count_if(F.col("seq") % 11 == 0).alias("ambiguous"))
+    dates = report.newest_dates(("panel", p, "date"), ("events", table(s, d, "events"), "ts"))
+    return report.header_facts(dates, report.market_line(series(s, d)), fails, gaps, apart, _weight_coverage(s, d), status)
 
 
 @query("render_markdown", """WITH t AS (SELECT r_regionkey, r_name, count(n_nationkey) AS nations FROM region LEFT JOIN nation ON n_regionkey = r_regionkey GROUP BY ALL)

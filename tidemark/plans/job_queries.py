@@ -3,9 +3,9 @@
 from __future__ import annotations
 
 from pyspark.sql import functions as F
-from pyspark.sql import Window
+from pyspark.sql import types as T
 
-from tidemark.operators import conflicts, entity, evaluation, features, labels, quality, rating, report, sessions, similarity
+from tidemark.operators import conflicts, entity, evaluation, features, labels, quality, rating, report, sessions, sets, similarity
 from tidemark.operators.storage import shared_folder, written
 from tidemark.plans.names import query, r
 from tidemark.plans.panel_queries import _BASKET, _RATED, _SCORES, _RANKED, _forward, _held, _pairs, _rated, _track
@@ -60,21 +60,20 @@ def _(s, d):
     return vendors.normalize_price(p, names, sessions.sessions_of(p), {"open": "double", "close": "double", "volume": "bigint", "adj_close": "double"})
 
 
-@query("normalize_calendar", "SELECT DISTINCT 'fomc' AS event, CAST(o_orderdate AS DATE) + 1 AS date, CAST(o_orderdate AS DATE) AS date_start, o_orderpriority = '1-URGENT' AS has_sep FROM orders")
+@query("normalize_calendar", """WITH o AS (SELECT DISTINCT CAST(o_orderdate AS DATE) AS a, o_orderpriority = '1-URGENT' AS sep, o_orderkey % 10 = 0 AS vote FROM orders)
+SELECT 'fomc' AS event, CASE WHEN vote THEN a ELSE a + 1 END AS date, a AS date_start, sep AND NOT vote AS has_sep, CASE WHEN vote THEN 'FOMC notation vote (' || strftime(a, '%m/%d') || ')' ELSE 'FOMC 회의 (' || strftime(a, '%m/%d') || '~' || strftime(a + 1, '%m/%d') || ')' || CASE WHEN sep THEN ' (경제전망요약)' ELSE '' END END AS label FROM (SELECT DISTINCT a, sep AND NOT vote AS sep, vote FROM o)
+UNION ALL SELECT CASE WHEN event_type = 'click' THEN 'cpi' ELSE event_type END, CAST(ts AS DATE), CAST(ts AS DATE), FALSE, CASE WHEN event_type = 'click' THEN 'CPI 발표' ELSE '고용지표 발표' END FROM events WHERE event_id % 13 <> 0""")
 def _(s, d):
-    o = table(s, d, "orders").select(F.to_date("o_orderdate").alias("a"), (F.col("o_orderpriority") == "1-URGENT").alias("sep")).distinct()
+    k = F.col("o_orderkey") % 10 == 0
+    o = table(s, d, "orders").select(F.to_date("o_orderdate").alias("a"), ((F.col("o_orderpriority") == "1-URGENT") & ~k).alias("sep"), k.alias("vote")).distinct()
     b = F.date_add("a", 1)
-    month = F.when(F.month("a") == F.month(b), F.date_format("a", "MMMM")).otherwise(F.concat(F.date_format("a", "MMM"), F.lit("/"), F.date_format(b, "MMM")))
-    text = F.concat(F.dayofmonth("a"), F.lit("-"), F.dayofmonth(b), F.when(F.col("sep"), "*").otherwise(""))
-    return vendors.normalize_meetings(o.select(F.year("a").alias("year"), month.alias("month_text"), text.alias("date_text"))).drop("label")
-
-
-@query("parse_report_headers", "SELECT CAST(o_orderkey AS VARCHAR) AS name, (round(o_orderkey % 1000 / 10.0::DOUBLE, 6) + 0.0) AS ambiguous_pct, o_custkey AS articles, o_orderpriority || ',x×2' AS failures FROM orders")
-def _(s, d):
-    o = table(s, d, "orders")
-    text = F.concat(F.lit("head\nℹ "), (F.col("o_orderkey") % 1000 / 10.0).cast("decimal(10,1)"), F.lit("% (기사 "), "o_custkey", F.lit("건)\n⚠ 수집 실패: "), "o_orderpriority", F.lit(", x×2\n"))
-    got = feed.parse_report_headers(o.select(F.col("o_orderkey").cast("string").alias("name"), text.alias("text")))
-    return got.withColumn("failures", F.array_join("failures", ","))
+    month = F.when(F.col("vote") | (F.month("a") == F.month(b)), F.date_format("a", "MMMM")).otherwise(F.concat(F.date_format("a", "MMM"), F.lit("/"), F.date_format(b, "MMM")))
+    text = F.when(F.col("vote"), F.concat(F.dayofmonth("a"), F.lit(" (notation vote)"))).otherwise(F.concat(F.dayofmonth("a"), F.lit("-"), F.dayofmonth(b), F.when(F.col("sep"), "*").otherwise("")))
+    cells = o.select(F.year("a").alias("year"), month.alias("month_text"), text.alias("date_text"))
+    # Every thirteenth release has a date that can't be read.
+    day = F.when(F.col("event_id") % 13 == 0, "soon").otherwise(F.date_format("ts", "yyyy-MM-dd"))
+    releases = table(s, d, "events").select(F.when(F.col("event_type") == "click", "cpi").otherwise(F.col("event_type")).alias("event"), day.alias("date"))
+    return vendors.normalize_calendar(releases, cells)
 
 
 @query("run_status", f"{_A}, st AS (SELECT feed || '[' || (seq % 7) || ']' AS name, seq % 11 <> 0 AS ok, published_at AS moment FROM articles), newest AS (SELECT max(moment) AS m FROM st), fresh AS (SELECT * FROM st, newest WHERE moment > m - INTERVAL 20 HOUR AND NOT ok) SELECT split_part(name, '[', 1) AS kind, count(*) AS n FROM fresh GROUP BY 1")
@@ -98,27 +97,47 @@ def _(s, d):
     return dim.withColumn("aliases", F.array_join("aliases", ","))
 
 
-@query("backfill_job", f"{_P} SELECT strftime(date, '%Y-%m') AS month, count(*) AS n FROM panel GROUP BY 1")
+@query("backfill_job", f"{_P} SELECT strftime(date, '%Y-%m') AS month, count(*) AS n, round(sum(CAST(close AS DECIMAL(18,4)))::DOUBLE, 6) + 0.0 AS close FROM panel GROUP BY 1")
 def _(s, d):
-    path = shared_folder(s)
-    p = panel(s, d).select(F.date_format("date", "yyyy-MM").alias("month"), "date", "ticker", "close")
-    jobs.backfill(p.where("year(date) < 1995"), path, "month")
-    jobs.backfill(p, path, "month")
-    return s.read.parquet(path).groupBy(F.date_format("date", "yyyy-MM").alias("month")).agg(F.count("*").alias("n"))
+    path, p = shared_folder(s), written(panel(s, d).select("date", "ticker", "close"))
+    calendar = sessions.sessions_of(p)
+    first, last = p.agg(F.min("date"), F.max("date")).first()
+    middle = first + (last - first) / 2
 
+    def fetch(start, end):
+        return p.where(F.col("date").between(F.lit(start), F.lit(end))).withColumn("month", F.date_format("date", "yyyy-MM")).withColumnRenamed("date", "day")
 
-@query("collect_job", f"{_P} SELECT 'panel' AS source, TRUE AS ok, count(*) AS rows FROM panel UNION ALL SELECT 'broken', FALSE, NULL FROM (SELECT count(*) FROM nation) UNION ALL SELECT 'orders', TRUE, count(*) FROM orders")
+    def until_middle(start, end):
+        if start > middle:
+            raise jobs.Refused("no session")
+        return fetch(start, end)
+
+    # The first run is refused half way; the second goes on from the sessions that it left.
+    run = lambda source: jobs.backfill_job(s, path, calendar, source, 400, lambda df: df.withColumnRenamed("day", "date"), lambda df: quality.not_empty(df, 1))
+    assert run(until_middle).where("state LIKE 'stopped%'").count() == 1
+    run(fetch)
+    return versioned.stored(s, path).groupBy("month").agg(F.count("*").alias("n"), F.sum(F.col("close").cast("decimal(18,4)")).cast("double").alias("close"))
+
+
+@query("collect_job", f"{_P} SELECT 'panel' AS source, TRUE AS ok, count(*) AS rows, count(DISTINCT strftime(date, '%Y-%m')) AS new, CAST(0 AS BIGINT) AS revised, CAST(0 AS BIGINT) AS failed FROM panel UNION ALL SELECT 'broken', FALSE, NULL, NULL, NULL, NULL FROM (SELECT count(*) FROM nation) UNION ALL SELECT 'orders', TRUE, count(*), CAST(0 AS BIGINT), count(DISTINCT strftime(o_orderdate, '%Y-%m')) FILTER (WHERE o_orderkey % 50 = 0), CAST(1 AS BIGINT) FROM orders")
 def _(s, d):
     def broken():
         raise ValueError("refused")
 
-    return jobs.collect(s, {"panel": lambda: panel(s, d), "broken": broken, "orders": lambda: table(s, d, "orders")}).select("source", "ok", "rows")
+    root, keys = shared_folder(s), ["month", "ticker", "date"]
+    p = panel(s, d).select(F.date_format("date", "yyyy-MM").alias("month"), "date", "ticker", "close")
+    o = table(s, d, "orders").select(F.date_format("o_orderdate", "yyyy-MM").alias("month"), F.to_date("o_orderdate").alias("date"), F.col("o_orderkey").alias("ticker"), F.col("o_totalprice").alias("close"))
+    jobs.collect(s, {"orders": lambda: o}, root, keys, "month")
+    changed = o.withColumn("close", F.when(F.col("ticker") % 50 == 0, F.col("close") + 1000).otherwise(F.col("close")))
+    failing = {"orders": lambda df: quality.identity(df, ["close"])}
+    return jobs.collect(s, {"panel": lambda: p, "broken": broken, "orders": lambda: changed}, root, keys, "month", failing).drop("detail")
 
 
-@query("write_candidates", f"{_A} SELECT article_id, ticker, title, s_name AS name FROM articles JOIN supplier ON s_suppkey = ticker")
+@query("write_candidates", f"{_A}, k AS (SELECT ticker, article_id, title, link, row_number() OVER (PARTITION BY ticker ORDER BY md5(concat_ws('|', article_id, CAST(ticker AS VARCHAR), '3')), article_id) AS k, count(*) OVER (PARTITION BY ticker) AS n FROM articles), c AS (SELECT * FROM k ORDER BY k, n DESC, ticker LIMIT 200) SELECT article_id, c.ticker, coalesce(s_name, '') AS name, title, link FROM c LEFT JOIN supplier ON s_suppkey = c.ticker")
 def _(s, d):
-    a, names = articles(s, d), table(s, d, "supplier").select(F.col("s_suppkey").alias("ticker"), F.col("s_name").alias("name"))
-    return a.select("article_id", "ticker").join(a.select("article_id", "title"), "article_id").join(names, "ticker").select("article_id", "ticker", "title", "name")
+    a, names, path = articles(s, d), table(s, d, "supplier").select(F.col("s_suppkey").alias("ticker"), F.col("s_name").alias("name")), shared_folder(s)
+    jobs.write_candidates(labels.stratified_round_robin(a.select("ticker", "article_id"), 200, 3), a.select("article_id", "title", "link"), names, path)
+    return jobs.read_jsonl(s, path, T.StructType.fromDDL("article_id string, ticker bigint, name string, title string, link string"))
 
 
 @query("scan_flags", f"{_P} SELECT date, ticker, concat_ws(',', CASE WHEN foreign_net / trading_value > 0.5 THEN 'inflow' END, CASE WHEN foreign_net / trading_value < -0.5 THEN 'outflow' END, CASE WHEN inst_net / trading_value > 0.5 THEN 'volatility' END) AS flags FROM panel")
@@ -130,14 +149,12 @@ def _(s, d):
 @query("spine_left_join", f"{_P} SELECT p.date, p.ticker, {r('f.foreign_net', 'foreign_net')}, {r('h.short_balance', 'short_balance')} FROM panel p LEFT JOIN (SELECT * FROM panel WHERE foreign_net > 0) f USING (date, ticker) LEFT JOIN (SELECT * FROM panel WHERE short_balance > 0) h USING (date, ticker)")
 def _(s, d):
     p, keys = panel(s, d), ["date", "ticker"]
-    spine = p.select(*keys)
-    return spine.join(p.where("foreign_net > 0").select(*keys, "foreign_net"), keys, "left").join(p.where("short_balance > 0").select(*keys, "short_balance"), keys, "left")
+    return sets.spine_left_join(p.select(*keys), keys, p.where("foreign_net > 0").select(*keys, "foreign_net"), p.where("short_balance > 0").select(*keys, "short_balance"))
 
 
 @query("entity_candidate_join", f"{_E} SELECT article_id, ticker FROM j")
 def _(s, d):
-    entries, docs = _entries(s, d), _articles(s, d)
-    return docs.join(F.broadcast(entries.select("ticker", F.element_at("ambiguous_parents", 1).alias("p"))), F.contains("description", F.col("p"))).select("article_id", "ticker")
+    return entity.touching(_articles(s, d), _entries(s, d), codes=False).select("article_id", "ticker")
 
 
 @query("same_event_pairs", f"{_PAIRS.replace('jaccard >= 0.5', 'jaccard >= 0.35')} SELECT ticker, a, b, {r('jaccard')} FROM pairs")
@@ -147,7 +164,7 @@ def _(s, d):
 
 @query("label_text_join", "SELECT l.doc_id, quality, toxic, n_chars FROM labels l JOIN documents USING (doc_id)")
 def _(s, d):
-    return table(s, d, "labels").join(table(s, d, "documents").select("doc_id", "n_chars"), "doc_id")
+    return labels.with_texts(table(s, d, "labels"), table(s, d, "documents").select("doc_id", "n_chars"), "doc_id")
 
 
 @query("remaining_candidates", "SELECT doc_id FROM documents WHERE doc_id NOT IN (SELECT doc_id FROM labels)")
@@ -158,18 +175,17 @@ def _(s, d):
 @query("curve_intersection", f"{_BASKET} SELECT date, {r('c.ret', 'p')}, {r('bench.ret', 'b')} FROM carried c JOIN bench USING (date)")
 def _(s, d):
     f = _forward(s, d)
-    return evaluation.carried_returns(_held(s, d), f).select("date", F.col("ret").alias("p")).join(evaluation.benchmark_returns(f, 1).withColumnRenamed("ret", "b"), "date")
+    return evaluation.shared_sessions(evaluation.carried_returns(_held(s, d), f), evaluation.benchmark_returns(f, 1))
 
 
 @query("basket_members", f"{_BASKET} SELECT p.date, p.ticker, {r('close')} FROM panel p JOIN held h ON h.date = p.date AND h.ticker = p.ticker")
 def _(s, d):
-    return panel(s, d).join(_held(s, d), ["date", "ticker"], "left_semi").select("date", "ticker", "close")
+    return evaluation.members(panel(s, d), _held(s, d)).select("date", "ticker", "close")
 
 
 @query("gate_report_coverage", f"{_PS} SELECT session_date, count(o_orderkey) > 0 AS has_report FROM sessions LEFT JOIN orders ON CAST(o_orderdate AS DATE) = session_date GROUP BY session_date")
 def _(s, d):
-    days = table(s, d, "orders").select(F.to_date("o_orderdate").alias("session_date")).distinct().withColumn("has", F.lit(True))
-    return sessions.sessions_of(panel(s, d)).join(days, "session_date", "left").select("session_date", F.coalesce("has", F.lit(False)).alias("has_report"))
+    return report.gate_report_coverage(sessions.sessions_of(panel(s, d)), table(s, d, "orders"), "o_orderdate")
 
 
 @query("revision_change", f"{_P} SELECT a.date, a.ticker, {r('a.close / nullif(b.close, 0) - 1', 'change')} FROM panel a ASOF LEFT JOIN panel b ON a.ticker = b.ticker AND b.date <= a.date - INTERVAL 28 DAY")
@@ -191,37 +207,33 @@ def _(s, d):
 
 @query("paired_tail", f"{_SCORES}, k AS (SELECT *, row_number() OVER (PARTITION BY ticker ORDER BY date DESC) AS k FROM pairs) SELECT date, ticker, {r('score')}, {r('excess')} FROM k WHERE k <= 60")
 def _(s, d):
-    w = Window.partitionBy("ticker").orderBy(F.desc("date"))
-    return _pairs(s, d).withColumn("_k", F.row_number().over(w)).where("_k <= 60").drop("_k")
+    return evaluation.paired_tail(_pairs(s, d), 60)
 
 
 @query("union_all", f"{_P} SELECT 'panel' AS source, date, {r('close', 'value')} FROM panel UNION ALL SELECT 'orders', CAST(o_orderdate AS DATE), round(o_totalprice, 6) + 0.0 FROM orders")
 def _(s, d):
-    a = panel(s, d).select(F.lit("panel").alias("source"), "date", F.col("close").alias("value"))
-    return a.unionByName(table(s, d, "orders").select(F.lit("orders").alias("source"), F.to_date("o_orderdate").alias("date"), F.col("o_totalprice").alias("value")))
+    return sets.stacked({"panel": panel(s, d).select("date", F.col("close").alias("value")), "orders": table(s, d, "orders").select(F.to_date("o_orderdate").alias("date"), F.col("o_totalprice").alias("value"))})
 
 
 @query("set_difference", f"{_PS}, o AS (SELECT DISTINCT CAST(o_orderdate AS DATE) AS day FROM orders) SELECT session_date AS day, 'missing' AS kind FROM sessions WHERE session_date NOT IN (SELECT day FROM o) UNION ALL SELECT day, 'extra' FROM o WHERE day NOT IN (SELECT session_date FROM sessions)")
 def _(s, d):
     want = sessions.sessions_of(panel(s, d)).select(F.col("session_date").alias("day"))
-    have = table(s, d, "orders").select(F.to_date("o_orderdate").alias("day")).distinct()
-    return want.exceptAll(have).withColumn("kind", F.lit("missing")).union(have.exceptAll(want).withColumn("kind", F.lit("extra")))
+    return sets.set_difference(want, table(s, d, "orders").select(F.to_date("o_orderdate").alias("day")))
 
 
 @query("set_intersection", f"{_PS} SELECT DISTINCT session_date AS day FROM sessions WHERE session_date IN (SELECT CAST(o_orderdate AS DATE) FROM orders)")
 def _(s, d):
-    return sessions.sessions_of(panel(s, d)).select(F.col("session_date").alias("day")).intersect(table(s, d, "orders").select(F.to_date("o_orderdate")))
+    return sets.set_intersection(sessions.sessions_of(panel(s, d)).select(F.col("session_date").alias("day")), table(s, d, "orders").select(F.to_date("o_orderdate").alias("day")))
 
 
 @query("key_set_compare", f"{_P}, o AS (SELECT DISTINCT CAST(o_orderdate AS DATE) AS date, o_custkey AS ticker FROM orders), j AS (SELECT coalesce(p.date, o.date) AS date, p.ticker AS a, o.ticker AS b FROM (SELECT date, ticker FROM panel) p FULL JOIN o USING (date, ticker)) SELECT date, count(*) FILTER (WHERE b IS NULL) AS lost, count(*) FILTER (WHERE a IS NULL) AS gained FROM j GROUP BY date")
 def _(s, d):
-    a = panel(s, d).select("date", "ticker", F.lit(1).alias("a"))
-    b = table(s, d, "orders").select(F.to_date("o_orderdate").alias("date"), F.col("o_custkey").alias("ticker"), F.lit(1).alias("b")).distinct()
-    return a.join(b, ["date", "ticker"], "full_outer").groupBy("date").agg(F.count_if(F.col("b").isNull()).alias("lost"), F.count_if(F.col("a").isNull()).alias("gained"))
+    after = table(s, d, "orders").select(F.to_date("o_orderdate").alias("date"), F.col("o_custkey").alias("ticker"))
+    return sets.key_set_compare(panel(s, d), after, ["date", "ticker"], "date")
 
 
 _LINES = """WITH lines AS (SELECT doc_id, CAST(unnest(range(0, len(string_split(text, chr(10))))) AS INT) AS line, unnest(string_split(text, chr(10))) AS said_text FROM documents),
-mentions AS (SELECT doc_id, line, w AS ticker FROM lines, (VALUES ('Licensed'), ('Released')) v(w) WHERE contains(said_text, w)),
+mentions AS (SELECT doc_id, line, 'Licensed' AS ticker FROM lines WHERE contains(replace(said_text, 'Licensed under CC', chr(1)), 'Licensed') UNION SELECT doc_id, line, 'Released' FROM lines WHERE contains(said_text, 'Released') OR contains(said_text, 'This work')),
 said AS (SELECT doc_id, line, w AS said FROM lines, (VALUES ('License'), ('GNU')) v(w) WHERE contains(said_text, w))"""
 
 
@@ -230,12 +242,12 @@ def _lines(s, d):
 
 
 def _mentions(s, d):
-    return conflicts.mentions(_lines(s, d), {"Licensed": "Licensed", "Released": "Released"})
+    entries = [("Licensed", "Licensed", ["Licensed"], ["Licensed under CC"]), ("Released", None, ["This work"], None)]
+    return entity.mentions(_lines(s, d), s.createDataFrame(entries, "ticker string, canonical string, aliases array<string>, exclude array<string>"))
 
 
 def _said(s, d):
-    got = entity.label_extraction(_lines(s, d), ["License", "GNU"], "said_text")
-    return got.select("doc_id", "line", F.explode("said").alias("said"))
+    return entity.claimed_labels(_lines(s, d), ["License", "GNU"])
 
 
 def _verdicts(s, d):
@@ -271,38 +283,80 @@ def _(s, d):
     return conflicts.consistency_report(_verdicts(s, d))
 
 
-_FLAGS = f"{_PAIRS}, b AS (SELECT doc_id AS article_id, CASE WHEN quality = 1 THEN 'good' ELSE 'bad' END AS bucket FROM labels)"
+_LABELLED = f"""{_PAIRS}, base AS (SELECT t.article_id, ticker, title, quality, toxic FROM titles t JOIN labels ON doc_id = article_id),
+labelled AS (SELECT article_id, ticker, title, CASE WHEN toxic = 1 THEN 'irrelevant' WHEN quality = 1 THEN 'positive' ELSE 'negative' END AS bucket, CASE WHEN article_id % 3 = 0 THEN '한국증권' ELSE 'a company' END AS name, CASE WHEN article_id % 2 = 0 THEN '목표가 상향' ELSE '' END AS description FROM base
+UNION ALL SELECT article_id, 'other', title, CASE WHEN article_id % 2 = 0 THEN 'positive' ELSE 'negative' END, 'another', '' FROM base WHERE article_id % 5 = 0)"""
 
 
-@query("label_conflict_flags", f"{_FLAGS}, f AS (SELECT p.a, p.b FROM pairs p JOIN b x ON x.article_id = a JOIN b y ON y.article_id = p.b WHERE x.bucket <> y.bucket) SELECT DISTINCT a AS article_id, 'same event, other bucket' AS flag FROM f UNION SELECT DISTINCT b, 'same event, other bucket' FROM f")
+def _labelled(s, d):
+    """Labelled titles: a bucket from the labels, brokers and their views by id, and a second entity for every fifth article."""
+    i = F.col("article_id")
+    base = titles(s, d).join(table(s, d, "labels").withColumnRenamed("doc_id", "article_id"), "article_id")
+    own = base.select("article_id", "ticker", "title", F.when(F.col("toxic") == 1, "irrelevant").when(F.col("quality") == 1, "positive").otherwise("negative").alias("bucket"), F.when(i % 3 == 0, "한국증권").otherwise("a company").alias("name"), F.when(i % 2 == 0, "목표가 상향").otherwise("").alias("description"))
+    other = base.where(i % 5 == 0).select("article_id", F.lit("other").alias("ticker"), "title", F.when(i % 2 == 0, "positive").otherwise("negative").alias("bucket"), F.lit("another").alias("name"), F.lit("").alias("description"))
+    return own.unionByName(other)
+
+
+@query("label_conflict_flags", f"""{_LABELLED}, f AS (SELECT p.ticker, p.a, p.b FROM pairs p JOIN labelled x ON x.article_id = a AND x.ticker = p.ticker JOIN labelled y ON y.article_id = p.b AND y.ticker = p.ticker WHERE x.bucket <> y.bucket)
+SELECT a AS article_id, ticker, 'contradiction' AS flag FROM f UNION SELECT b, ticker, 'contradiction' FROM f
+UNION SELECT article_id, ticker, 'shared_sign' FROM labelled WHERE article_id IN (SELECT article_id FROM labelled GROUP BY article_id HAVING count(*) > 1 AND min(bucket) = max(bucket) AND min(bucket) <> 'irrelevant')
+UNION SELECT article_id, ticker, 'author_mention' FROM labelled WHERE bucket <> 'irrelevant' AND contains(name, '증권') AND contains(description, '목표가')""")
+def _(s, d):
+    return conflicts.label_conflicts(_labelled(s, d), similarity.same_event_pairs(titles(s, d)))
+
+
+_WORDS = ("외국인 순매수", "기관 수급에 급등", "외인 매물에 급락", "공급 계약에 급등", "plain")
+_RANGED = f"""{_A}, rows AS (SELECT article_id, ticker, CASE seq % 4 WHEN 0 THEN 'positive' WHEN 1 THEN 'negative' WHEN 2 THEN 'irrelevant' ELSE 'mixed' END AS bucket, CASE WHEN seq % 6 = 0 THEN '한국증권' ELSE 'a company' END AS name, CASE seq % 5 {' '.join(f"WHEN {i} THEN '{w}'" for i, w in enumerate(_WORDS))} END AS title,
+CASE WHEN seq % 7 = 0 THEN '투자의견' ELSE '' END AS description, CASE WHEN seq % 17 <> 0 THEN (seq % 11) / 10.0::DOUBLE END AS relevance, CASE WHEN seq % 19 <> 0 THEN (seq % 21) / 10.0::DOUBLE - 1 END AS polarity, (seq % 13) / 12.0::DOUBLE AS intensity FROM articles)"""
+
+
+@query("score_conflicts", f"""{_RANGED}, x AS (SELECT *, contains(name, '증권') AND contains(description, '투자의견') AS author,
+regexp_matches(title, '초고수|차익실현|차익 실현|수급|매수세|매도세|공매도|패시브|지수 편입|거래대금|순매수|순매도') AS structure, regexp_matches(title, '폭락|급등|급락|반등') AND regexp_matches(title, '외인|외국인|기관|수급') AS price FROM rows)
+SELECT article_id, ticker, 'polarity' AS dimension, 'sign against bucket' AS flag FROM x WHERE (bucket = 'positive' AND polarity <= 0) OR (bucket = 'negative' AND polarity >= 0)
+UNION ALL SELECT article_id, ticker, 'polarity', 'polar though irrelevant' FROM x WHERE bucket = 'irrelevant' AND abs(polarity) >= 0.4
+UNION ALL SELECT article_id, ticker, 'polarity', 'polar though an author' FROM x WHERE author AND abs(polarity) >= 0.2
+UNION ALL SELECT article_id, ticker, 'relevance', CASE WHEN bucket = 'irrelevant' THEN 'relevant though irrelevant' WHEN structure THEN 'market structure' ELSE 'price move' END FROM x WHERE relevance >= 0.5 AND (bucket = 'irrelevant' OR structure OR price)
+UNION ALL SELECT article_id, ticker, unnest(['relevance', 'intensity']), 'detached' FROM x WHERE relevance <= 0.3 AND intensity >= 0.7""")
 def _(s, d):
-    bucket = table(s, d, "labels").select(F.col("doc_id").alias("article_id"), F.when(F.col("quality") == 1, "good").otherwise("bad").alias("bucket"))
-    return conflicts.label_conflicts(similarity.same_event_pairs(titles(s, d)), bucket)
+    k, a = F.col("seq"), articles(s, d)
+    rows = a.select(
+        "article_id", "ticker", F.element_at(F.array(*map(F.lit, ("positive", "negative", "irrelevant", "mixed"))), (k % 4 + 1).cast("int")).alias("bucket"), F.when(k % 6 == 0, "한국증권").otherwise("a company").alias("name"),
+        F.element_at(F.array(*map(F.lit, _WORDS)), (k % 5 + 1).cast("int")).alias("title"), F.when(k % 7 == 0, "투자의견").otherwise("").alias("description"),
+        F.when(k % 17 != 0, (k % 11) / 10.0).alias("relevance"), F.when(k % 19 != 0, (k % 21) / 10.0 - 1).alias("polarity"), ((k % 13) / 12.0).alias("intensity"),
+    )
+    return conflicts.score_conflicts(rows)
 
 
-@query("score_conflicts", f"{_T}, base AS (SELECT * FROM attempts WHERE ok) SELECT model, example, repeat, 'sign against bucket' AS flag FROM base WHERE (example % 2 = 0 AND polarity < 0) OR (example % 2 = 1 AND polarity > 1.5) UNION ALL SELECT model, example, repeat, 'detached' FROM base WHERE relevance <= 0.3 AND polarity >= 0.7")
+@query("score_divergence", f"""{_T}, t AS (SELECT article_id, ticker, list_distinct(regexp_extract_all(title, '[가-힣A-Za-z0-9]+')) AS t, (length % 10) / 9.0::DOUBLE AS relevance, (length % 7) / 6.0::DOUBLE AS polarity FROM titles),
+p AS (SELECT a.ticker, a.article_id AS a, b.article_id AS b, a.relevance AS ra, b.relevance AS rb, a.polarity AS pa, b.polarity AS pb FROM t a JOIN t b ON a.ticker = b.ticker AND a.article_id <> b.article_id WHERE len(a.t) > 0 AND len(b.t) > 0 AND len(list_intersect(a.t, b.t))::DOUBLE / least(len(a.t), len(b.t)) >= 0.35)
+SELECT a AS article_id, ticker, 'relevance' AS dimension, b AS against, {r('abs(ra - rb)', 'gap')} FROM p WHERE abs(ra - rb) >= 0.4 UNION ALL SELECT a, ticker, 'polarity', b, {r('abs(pa - pb)', 'gap')} FROM p WHERE abs(pa - pb) >= 0.4""".replace(_T, sql("titles")))
 def _(s, d):
-    a = attempts(s, d).where("ok").withColumns({"low": F.when(F.col("example") % 2 == 0, 0.0).otherwise(-1e9), "high": F.when(F.col("example") % 2 == 0, 1e9).otherwise(1.5)})
-    return conflicts.score_conflicts(a, ["model", "example", "repeat"], "polarity", "low", "high", "relevance", "polarity")
+    t = titles(s, d)
+    scores = t.select("article_id", "ticker", ((F.col("length") % 10) / 9.0).alias("relevance"), ((F.col("length") % 7) / 6.0).alias("polarity"))
+    return conflicts.divergence(similarity.same_event_pairs(t, least=conflicts.DIVERGENCE_SIMILARITY, overlap=True), scores, ["relevance", "polarity"])
 
 
-@query("live_examples")
+@query("live_examples", f"""{_A}, f AS (SELECT article_id, arg_min(title, published_at) AS title FROM articles WHERE CAST(published_at AS DATE) BETWEEN DATE '2024-01-05' AND DATE '2024-01-20' GROUP BY article_id), p AS (SELECT DISTINCT article_id, ticker FROM articles JOIN f USING (article_id) WHERE feed <> 'view'),
+k AS (SELECT article_id, ticker, row_number() OVER (PARTITION BY ticker ORDER BY md5(concat_ws('|', article_id, CAST(ticker AS VARCHAR), '11')), article_id) AS k, count(*) OVER (PARTITION BY ticker) AS n FROM p), c AS (SELECT * FROM k ORDER BY k, n DESC, ticker LIMIT 300)
+SELECT article_id, c.ticker, coalesce(s_name, '') AS name, title FROM c JOIN f USING (article_id) LEFT JOIN supplier ON s_suppkey = c.ticker""")
 def _(s, d):
-    a = articles(s, d)
-    first = feed.keep_first(a, ["article_id"], ["published_at"])
-    return labels.stratified_round_robin(first.select("ticker", "article_id"), 300, 11)
+    a = articles(s, d).withColumns({"day": F.to_date("published_at"), "description": F.lit("")})
+    copies = a.unionByName(a.where("seq % 4 = 0").withColumns({"published_at": F.col("published_at") + F.expr("interval 1 hour"), "title": F.lit("a later copy")}))
+    resolved = a.select("article_id", "ticker", F.when(F.col("feed") == "view", "ambiguous").otherwise("matched").alias("status"))
+    names = table(s, d, "supplier").select(F.col("s_suppkey").alias("ticker"), F.col("s_name").alias("name"))
+    return labels.live_examples(copies, resolved, names, "2024-01-05", "2024-01-20").drop("description")
 
 
-@query("check_known_date", "SELECT 'first_order' AS name, min(CAST(o_orderdate AS DATE)) <= DATE '1999-01-01' AS passed FROM orders")
+@query("check_known_date", "SELECT 'order_1' AS name, count(*) = 1 AND max(CAST(o_orderdate AS DATE)) = DATE '1996-01-02' AS passed, 'rows=' || count(*) || ' value=' || coalesce(CAST(max(CAST(o_orderdate AS DATE)) AS VARCHAR), '') AS detail FROM orders WHERE o_orderkey = 1")
 def _(s, d):
-    got = table(s, d, "orders").agg(F.min(F.to_date("o_orderdate")).alias("v"))
-    return quality.row(got, "first_order", F.col("v") <= F.lit("1999-01-01").cast("date"), F.col("v")).select("name", "passed")
+    first = table(s, d, "orders").select(F.col("o_orderkey"), F.to_date("o_orderdate").alias("date"))
+    return quality.known_date(first, "order_1", F.col("o_orderkey") == 1, "date", "1996-01-02")
 
 
 @query("news_table", f"{_A} SELECT ticker, n, headline, CAST(row_number() OVER (ORDER BY n DESC, ticker) AS INT) AS place FROM (SELECT ticker, count(*) AS n, arg_min(title, (published_at, article_id)) AS headline FROM articles GROUP BY ticker)")
 def _(s, d):
     a = articles(s, d)
-    return entity.news_rollup(a.select("article_id", "ticker"), a).withColumn("place", F.row_number().over(Window.orderBy(F.desc("n"), "ticker")))
+    return report.news_table(entity.news_rollup(a.select("article_id", "ticker"), a))
 
 
 @query("calendar_table", "SELECT CASE WHEN CAST(ts AS DATE) = DATE '2024-01-15' THEN 'today' ELSE 'tomorrow' END AS \"when\", event_id AS event, CAST(ts AS DATE) AS date FROM events WHERE CAST(ts AS DATE) IN (DATE '2024-01-15', DATE '2024-01-16')")
@@ -312,23 +366,23 @@ def _(s, d):
 
 @query("shadow_table", f"{_BASKET} SELECT date, {r('portfolio')}, {r('benchmark')}, {r('portfolio - benchmark', 'excess')} FROM track")
 def _(s, d):
-    return _track(s, d).withColumn("excess", F.col("portfolio") - F.col("benchmark"))
+    return report.shadow_table(_track(s, d))
 
 
 @query("ic_table", f"{_RANKED} SELECT strftime(date, '%Y') AS year, count(*) AS n, {r('avg(ic)', 'mean_ic')}, {r('stddev_samp(ic)', 'sd_ic')} FROM ic GROUP BY 1")
 def _(s, d):
-    return evaluation.daily_ic(_pairs(s, d)).groupBy(F.date_format("date", "yyyy").alias("year")).agg(F.count("*").alias("n"), F.avg("ic").alias("mean_ic"), F.stddev_samp("ic").alias("sd_ic"))
+    return report.ic_table(evaluation.daily_ic(_pairs(s, d)))
 
 
 @query("calibration_table", f"{_RATED} SELECT rating, count(*) AS n, {r('avg(abs(score))', 'mean_abs')}, {r('avg(coverage)', 'coverage')} FROM rated GROUP BY rating")
 def _(s, d):
-    return _rated(s, d).groupBy("rating").agg(F.count("*").alias("n"), F.avg(F.abs("score")).alias("mean_abs"), F.avg("weight_coverage").alias("coverage"))
+    return report.calibration_table(_rated(s, d))
 
 
 @query("bakeoff_table", f"{_T} SELECT model, count(*) AS calls, {r('(count(*) FILTER (WHERE ok))::DOUBLE / nullif(count(*) FILTER (WHERE ok OR failure <> $$transport$$), 0)', 'ratio')}, {r('avg(latency_s)', 'latency_s')} FROM attempts GROUP BY model")
 def _(s, d):
     a = attempts(s, d)
-    return labels.compliance(a).select("model", "calls", "ratio").join(labels.mean_latency(a).drop("calls"), "model")
+    return report.bakeoff_table(labels.compliance(a), labels.mean_latency(a))
 
 
 def _dropped(s, d):

@@ -107,6 +107,7 @@ def _pairs(s, d):
 
 
 def _held(s, d):
+    """Baskets that are decided anew on some days only, so that there is something to carry forward between them."""
     return evaluation.top_fraction(_scores(s, d)).where(F.dayofmonth("date") % 5 == 0)
 
 
@@ -132,8 +133,16 @@ _columns("rolling_sum_ratio", lambda: rolling.rolling_sum_ratio("foreign_net", "
 _columns("flow_persistence_60d", lambda: rolling.rolling_sum_ratio("foreign_net", "trading_value", _w(), 60), _sum_ratio("foreign_net", "trading_value", 60))
 _columns("rolling_z", lambda: rolling.rolling_z("close", _w(), YEAR), _z("close"))
 _columns("by_ticker", lambda: rolling.rolling_z("trading_value", _w(), 20), _z("trading_value", 20))
-_columns("valuation_band", lambda: rolling.band(rolling.rolling_percentile("close", _w(), VALUATION)), _BAND)
-_columns("rolling_percentile", lambda: rolling.rolling_percentile("close", _w(), VALUATION), f"0.5 - ({_BAND}) / 2")
+@query("rolling_percentile", f"{_P} SELECT date, ticker, {r(f'0.5 - ({_BAND}) / 2', 'value')} FROM panel")
+def _(s, d):
+    return rolling.with_rolling_percentile(panel(s, d), "close", "value", VALUATION).select("date", "ticker", "value")
+
+
+@query("valuation_band", f"{_P} SELECT date, ticker, {r(_BAND, 'value')} FROM panel")
+def _(s, d):
+    return rolling.with_rolling_percentile(panel(s, d), "close", "p", VALUATION).select("date", "ticker", rolling.band(F.col("p")).alias("value"))
+
+
 _columns("lagged_ratio", lambda: rolling.lagged_ratio("short_balance", "volume", _w()), f"lag(short_balance / nullif(volume, 0), 3) OVER ({_W})")
 _columns("safe_ratio", lambda: safe_ratio("short_balance", "trading_value"), "short_balance / nullif(trading_value, 0)")
 
@@ -160,8 +169,7 @@ _strength("rel_strength_120d", 120)
 @query("group_mean_if_peers", f"{_P}, {_FILL}, {_CHANGES[20]} SELECT date, ticker, {r('CASE WHEN count(*) OVER (PARTITION BY date, sector) > 1 THEN avg(ret20) OVER (PARTITION BY date, sector) END', 'mean')} FROM moved20")
 def _(s, d):
     moved = rolling.pct_change(_panel(s, d), "close", 20, _w(), "ret")
-    mean, n = features.group_mean(moved, "ret", "sector")
-    return moved.select("date", "ticker", F.when(n > 1, mean).alias("mean"))
+    return features.group_mean_if_peers(moved, "ret", "sector").select("date", "ticker", "mean")
 
 
 @query("volatility_z", f"""{_P}, {_FILL}, {_CHANGES[1]}, vol AS (SELECT date, ticker, CASE WHEN count(ret1) OVER ({_W} ROWS 19 PRECEDING) = 20 THEN stddev_samp(ret1) OVER ({_W} ROWS 19 PRECEDING) END AS vol FROM moved1)
@@ -230,11 +238,29 @@ def _(s, d):
     return rating.rate_all(watch, _scored(s, d), F.lit("1997-06-02").cast("date")).select("ticker", "rating", "score", "weight_coverage")
 
 
-@query("weight_coverage", f"SELECT 'active' AS kind, {r('0.75::DOUBLE', 'weight')}, CAST(count(DISTINCT s_suppkey) AS BIGINT) AS tickers FROM supplier UNION ALL SELECT 'deferred', round(0.35::DOUBLE, 6) + 0.0, CAST(count(DISTINCT s_suppkey) AS BIGINT) FROM supplier")
+_WEIGHTS = f"""w AS ({' UNION ALL '.join([f"SELECT 'active' AS kind, '{f}' AS feature, {abs(w)}::DOUBLE AS weight, (SELECT count({f}_z) > 0 FROM scored) AS made" for f, w in rating.WEIGHTS.items()] + [f"SELECT 'deferred', '{f}', {abs(w)}::DOUBLE, FALSE" for f, w in rating.DEFERRED.items()])}),
+coverage AS (SELECT kind, sum(weight) AS weight, coalesce(sum(weight) FILTER (WHERE made), 0) AS present, coalesce(string_agg(feature, ',' ORDER BY feature) FILTER (WHERE NOT made), '') AS missing FROM w GROUP BY kind)"""
+
+
+def _weight_coverage(s, d):
+    weights = [(f, float(w), True) for f, w in rating.WEIGHTS.items()] + [(f, float(w), False) for f, w in rating.DEFERRED.items()]
+    return rating.weight_coverage(s.createDataFrame(weights, "feature string, weight double, active boolean"), rating.produced(_scored(s, d), rating.WEIGHTS))
+
+
+@query("weight_coverage", f"{_FEATURES}, {_WEIGHTS} SELECT kind, {r('weight')}, {r('present')}, missing FROM coverage")
+def _(s, d):
+    return _weight_coverage(s, d)
+
+
+@query("news_flags", f"""{_P}, f AS (SELECT p.date, p.ticker, {_BAND} AS band, {_z('volume', 20)} AS news FROM panel p), v AS (SELECT a.date, a.ticker, a.close / nullif(b.close, 0) - 1 AS change FROM panel a ASOF LEFT JOIN panel b ON a.ticker = b.ticker AND b.date <= a.date - INTERVAL 28 DAY),
+filed AS (SELECT DISTINCT CAST(o_orderdate AS DATE) + 1 AS date, o_custkey AS ticker FROM orders)
+SELECT f.date, f.ticker, concat_ws(',', CASE WHEN x.ticker IS NOT NULL THEN 'filing' END, CASE WHEN abs(change) > 0.03 THEN 'earnings_revision' END, CASE WHEN abs(band) >= 0.8 THEN 'valuation_band' END, CASE WHEN news > 2 THEN 'news_spike' END) AS flags FROM f JOIN v USING (date, ticker) LEFT JOIN filed x ON x.date = f.date AND x.ticker = f.ticker""")
 def _(s, d):
-    n = s.read.parquet(f"{d}/supplier.parquet").agg(F.countDistinct("s_suppkey").alias("tickers"))
-    dim = F.array(F.struct(F.lit("active").alias("kind"), F.lit(sum(map(abs, rating.WEIGHTS.values()))).alias("weight")), F.struct(F.lit("deferred").alias("kind"), F.lit(sum(map(abs, rating.DEFERRED.values()))).alias("weight")))
-    return n.select(F.explode(dim).alias("r"), "tickers").select("r.*", "tickers")
+    p, keys = panel(s, d), ["date", "ticker"]
+    base = rolling.with_rolling_percentile(p, "close", "p", VALUATION).select(*keys, rolling.band(F.col("p")).alias("band"), rolling.rolling_z("volume", rolling.by(), 20).alias("news"))
+    filed = s.read.parquet(f"{d}/orders.parquet").select(F.date_add(F.to_date("o_orderdate"), 1).alias("date"), F.col("o_custkey").alias("ticker"), F.lit(True).alias("filed")).distinct()
+    got = base.join(features.revision_change(p, 28, "close"), keys).join(filed, keys, "left")
+    return got.select(*keys, F.array_join(report.more_flags(F.col("filed"), F.col("change"), F.col("band"), F.col("news")), ",").alias("flags"))
 
 
 @query("all_zero_coverage_guard", f"{_RATED} SELECT date, max(coverage) > 0 AS worth_storing FROM rated GROUP BY date")
@@ -317,9 +343,9 @@ def _(s, d):
     return evaluation.quantile_spread(_pairs(s, d))
 
 
-@query("top_fraction_per_group", f"{_BASKET} SELECT date, ticker FROM held")
+@query("top_fraction_per_group", f"{_SCORES} SELECT date, ticker FROM (SELECT date, ticker, row_number() OVER (PARTITION BY date ORDER BY score DESC, ticker) AS k, count(*) OVER (PARTITION BY date) AS n FROM scores WHERE score IS NOT NULL) WHERE k <= greatest(1, ceil(n * 0.2))")
 def _(s, d):
-    return _held(s, d)
+    return evaluation.top_fraction(_scores(s, d))
 
 
 @query("carry_forward_basket", f"{_BASKET} SELECT date, {r('ret')}, n FROM carried")

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidemark.operators import quality, rating, sessions
+from tidemark.operators import quality, sessions
 from tidemark.operators.storage import shared_folder
 from tidemark.plans.names import query, r
 from tidemark.plans.panels import articles, panel, series, sql, table
@@ -131,12 +131,43 @@ def _(s, d):
     return quality.summary(checks).drop("failures")
 
 
-@query("validation_suite", f"""{_P} SELECT 'panel' AS collector, 'not_empty' AS name, count(*) > 0 AS passed FROM panel UNION ALL SELECT 'panel', 'flow_identity', count(*) FILTER (WHERE abs(foreign_net + inst_net + retail_net) > 1e-6) = 0 FROM panel
-UNION ALL SELECT 'orders', 'not_empty', count(*) > 0 FROM orders UNION ALL SELECT 'orders', 'missing_ratio.o_totalprice', avg(CASE WHEN o_totalprice IS NULL THEN 1.0 ELSE 0.0 END) <= 0.0 FROM orders""")
-def _(s, d):
-    p, o = panel(s, d), table(s, d, "orders")
-    of = lambda name, *c: quality.report(*c).select(F.lit(name).alias("collector"), "name", "passed")
-    return of("panel", quality.not_empty(p, 1), quality.identity(p, ["foreign_net", "inst_net", "retail_net", "other_net"])).unionByName(of("orders", quality.not_empty(o, 1), quality.missing_ratio(o, {"o_totalprice": 0.0})))
+_KINDS = "date date, ticker bigint, close double"
+_SUITES = f"""{sql('panel', 'sessions', 'series', 'articles')}, n AS (SELECT session_date, row_number() OVER (ORDER BY session_date) AS i FROM sessions), t AS (SELECT ticker, min(date) AS a, max(date) AS b, count(DISTINCT date) AS c FROM panel GROUP BY ticker),
+gaps AS (SELECT 'continuity[' || ticker || ']' AS name, y.i - x.i + 1 - c = 0 AS passed FROM t JOIN n x ON x.session_date = a JOIN n y ON y.session_date = b),
+idx AS (SELECT count(DISTINCT date) = (SELECT count(*) FROM sessions) AS whole FROM panel),
+ev AS (SELECT DISTINCT event_type AS event, CAST(ts AS DATE) AS date FROM events), evl AS (SELECT event, date, date_diff('day', lag(date) OVER (PARTITION BY event ORDER BY date), date) AS gap FROM ev),
+oday AS (SELECT DISTINCT CAST(o_orderdate AS DATE) AS d FROM orders), oi AS (SELECT d, row_number() OVER (ORDER BY d) AS i FROM oday), cov AS (SELECT series, count(*) AS held, min(i) AS a, max(i) AS b, count(*) FILTER (WHERE dayofweek(date) IN (0, 6)) AS weekend FROM series JOIN oi ON oi.d = date GROUP BY series)"""
+
+
+@query("validation_suite", f"""{_SUITES}
+SELECT 'kr_price' AS collector, 'schema' AS name, TRUE AS passed UNION ALL SELECT 'kr_price', 'missing_ratio.close', avg(CASE WHEN close IS NULL THEN 1.0 ELSE 0.0 END) <= 0.0 FROM panel UNION ALL SELECT 'kr_price', 'not_empty', count(*) > 0 FROM panel UNION ALL SELECT 'kr_price', name, passed FROM gaps UNION ALL SELECT 'kr_price', 'known', count(*) = 1 AND abs(max(close) - 1500) <= 400 FROM panel WHERE ticker = 1 AND date = DATE '1996-03-13'
+UNION ALL SELECT 'us_price', 'schema', FALSE UNION ALL SELECT 'us_price', 'missing_ratio.close', avg(CASE WHEN close IS NULL THEN 1.0 ELSE 0.0 END) <= 0.0 FROM panel UNION ALL SELECT 'us_price', 'not_empty', count(*) > 0 FROM panel UNION ALL SELECT 'us_price', name, passed FROM gaps
+UNION ALL SELECT 'kr_flow', 'schema', TRUE UNION ALL SELECT 'kr_flow', 'missing_ratio.foreign_net', TRUE UNION ALL SELECT 'kr_flow', 'not_empty', count(*) > 0 FROM panel UNION ALL SELECT 'kr_flow', name, passed FROM gaps UNION ALL SELECT 'kr_flow', 'flow_identity', count(*) FILTER (WHERE abs(foreign_net + inst_net + retail_net) > 1e-6) = 0 FROM panel
+UNION ALL SELECT 'kr_flow', 'settled.missing_ratio.short_balance', avg(CASE WHEN short_balance = 0 THEN 1.0 ELSE 0.0 END) <= 0.5 FROM panel WHERE date NOT IN (SELECT DISTINCT date FROM panel ORDER BY date DESC LIMIT 5)
+UNION ALL SELECT 'kr_index', 'schema', TRUE UNION ALL SELECT 'kr_index', 'missing_ratio.close', TRUE UNION ALL SELECT 'kr_index', 'not_empty', whole FROM idx UNION ALL SELECT 'kr_index', 'continuity[0]', whole FROM idx
+UNION ALL SELECT 'macro', 'schema', TRUE UNION ALL SELECT 'macro', 'missing_ratio.value', TRUE UNION ALL SELECT 'macro', 'coverage[' || series || ']', held::DOUBLE / (b - a + 1) >= 0.95 AND (SELECT max(i) FROM oi) - b <= 10 AND weekend = 0 FROM cov
+UNION ALL SELECT 'calendar', 'schema', TRUE UNION ALL SELECT 'calendar', 'missing_ratio.date', TRUE UNION ALL SELECT 'calendar', 'event_continuity[' || event || ']', coalesce(max(gap), 0) <= 45 AND count(*) FILTER (WHERE gap = 0) = 0 AND count(*) FILTER (WHERE dayofweek(date) IN (0, 6)) = 0 FROM evl GROUP BY event
+UNION ALL SELECT 'news', 'schema', TRUE UNION ALL SELECT 'news', 'missing_ratio.title', TRUE UNION ALL SELECT 'news', 'collection_gap', date_diff('second', max(published_at), TIMESTAMP '{_NOW}') / 3600.0 <= 2 FROM articles UNION ALL SELECT 'news', 'feed_continuity[' || feed || ']', TRUE FROM articles GROUP BY feed
+UNION ALL SELECT 'news', 'structural[' || feed || ']', count(*) FILTER (WHERE published_at < TIMESTAMP '{_NOW}' - INTERVAL 30 DAY OR published_at > TIMESTAMP '{_NOW}' + INTERVAL 6 HOUR OR seq % 50 = 0) = 0 FROM articles GROUP BY feed""")
+def _(s, d):
+    p, o, e = panel(s, d), table(s, d, "orders"), table(s, d, "events")
+    cal, kinds = _calendar(s, d), T.StructType.fromDDL(_KINDS)
+    prices = p.select("date", "ticker", "close")
+    known = quality.known_value(prices, "known", (F.col("ticker") == 1) & (F.col("date") == F.lit("1996-03-13").cast("date")), "close", 1500.0, 400.0)
+    flow = p.select("date", "ticker", "foreign_net", "inst_net", "retail_net", "other_net", F.nullif("short_balance", F.lit(0.0)).alias("short_balance"))
+    index = p.groupBy("date").agg(F.sum("trading_value").alias("close")).select("date", F.lit(0).cast("bigint").alias("ticker"), "close")
+    a = articles(s, d).withColumn("domain", F.when(F.col("seq") % 50 == 0, "elsewhere.org").otherwise(F.col("domain")))
+    days = sessions.sessions_of(o.select(F.to_date("o_orderdate").alias("date")))
+    events = e.select(F.col("event_type").alias("event"), F.to_date("ts").alias("date")).distinct()
+    return quality.suites(
+        kr_price=quality.price_suite(prices, kinds, cal, {"close": 0.0}, known),
+        us_price=quality.price_suite(prices.withColumn("volume", F.lit(1)), kinds, cal, {"close": 0.0}),
+        kr_flow=quality.flow_suite(flow, flow.schema, cal, {"foreign_net": 0.0}, {"short_balance": 0.5}, ["foreign_net", "inst_net", "retail_net", "other_net"], 5),
+        kr_index=quality.price_suite(index, index.schema, cal, {"close": 0.0}),
+        macro=quality.macro_suite(series(s, d), series(s, d).schema, days, {"value": 0.0}),
+        calendar=quality.calendar_suite(events, events.schema, {"date": 0.0}),
+        news=quality.news_suite(a, a.schema, {"title": 0.0}, a.select(F.col("published_at").alias("run_at")), a, a, a, _NOW),
+    ).drop("detail")
 
 
 @query("alias_integrity", "SELECT p_name AS alias, string_agg(DISTINCT p_brand, ',' ORDER BY p_brand) AS owners FROM part GROUP BY p_name HAVING count(DISTINCT p_brand) > 1")
@@ -144,27 +175,37 @@ def _(s, d):
     return quality.duplicate_claims(table(s, d, "part").select(F.col("p_name").alias("alias"), "p_brand"), "alias", "p_brand")
 
 
-@query("watchlist_integrity", "SELECT c_nationkey AS market, c_name AS ticker, regexp_full_match(c_name, 'Customer#[0-9]+') AS well_formed, count(*) AS n FROM customer GROUP BY ALL")
+@query("watchlist_integrity", """WITH w AS (SELECT CASE c_nationkey % 3 WHEN 0 THEN 'KR' WHEN 1 THEN 'US' ELSE 'JP' END AS market, CASE WHEN c_custkey % 40 <> 0 THEN lpad(CAST(c_custkey % 1000 AS VARCHAR), 6, '0') END AS ticker, CASE WHEN c_custkey % 30 <> 0 THEN c_name ELSE ' ' END AS name FROM customer)
+SELECT DISTINCT market, ticker, 'no ticker' AS fault FROM w WHERE ticker IS NULL UNION ALL SELECT DISTINCT market, ticker, 'no name' FROM w WHERE trim(name) = '' UNION ALL SELECT DISTINCT market, ticker, 'ticker''s form' FROM w WHERE ticker IS NOT NULL AND market <> 'KR'
+UNION ALL SELECT market, ticker, 'listed twice' FROM w WHERE ticker IS NOT NULL GROUP BY ALL HAVING count(*) > 1""")
 def _(s, d):
-    c = table(s, d, "customer")
-    return c.groupBy(F.col("c_nationkey").alias("market"), F.col("c_name").alias("ticker"), F.col("c_name").rlike("^Customer#[0-9]+$").alias("well_formed")).agg(F.count("*").alias("n"))
+    k = F.col("c_custkey")
+    market = F.element_at(F.array(F.lit("KR"), F.lit("US"), F.lit("JP")), (F.col("c_nationkey") % 3 + 1).cast("int"))
+    entries = table(s, d, "customer").select(market.alias("market"), F.when(k % 40 != 0, F.lpad((k % 1000).cast("string"), 6, "0")).alias("ticker"), F.when(k % 30 != 0, F.col("c_name")).otherwise(" ").alias("name"))
+    return quality.watchlist(entries, {"KR": "^[0-9]{6}$", "US": "^[A-Z.]{1,6}$"})
 
 
 @query("sector_mapping_integrity", "SELECT n_nationkey FROM nation WHERE n_regionkey NOT IN (SELECT r_regionkey FROM region WHERE r_name <> 'ASIA')")
 def _(s, d):
     kept = table(s, d, "region").where("r_name <> 'ASIA'").select(F.col("r_regionkey").alias("n_regionkey"))
-    return table(s, d, "nation").join(kept, "n_regionkey", "left_anti").select("n_nationkey")
+    return quality.unmapped(table(s, d, "nation"), kept, "n_regionkey").select("n_nationkey")
 
 
-@query("feed_config", "SELECT url, string_agg(DISTINCT CAST(page_id AS VARCHAR), ',' ORDER BY CAST(page_id AS VARCHAR)) AS owners FROM pages GROUP BY url HAVING count(DISTINCT page_id) > 1")
+@query("feed_config", """WITH f AS (SELECT CAST(page_id % 200 AS VARCHAR) AS name, CASE WHEN page_id % 9 <> 0 THEN 'o' END AS outlet, CASE WHEN page_id % 7 = 0 THEN 'ftp://' || url ELSE url END AS url, url AS domain FROM pages)
+SELECT name, 'missing outlet' AS fault FROM f WHERE outlet IS NULL UNION ALL SELECT name, 'not http(s)' FROM f WHERE NOT regexp_matches(url, '^https?://') UNION ALL SELECT name, 'repeated name' FROM f GROUP BY name HAVING count(*) > 1 UNION ALL SELECT min(name), 'shared url' FROM f GROUP BY url HAVING count(*) > 1 UNION ALL SELECT NULL, 'none enabled' FROM (SELECT count(*) AS n FROM f) WHERE n > 0""")
 def _(s, d):
-    return quality.duplicate_claims(table(s, d, "pages"), "url", "page_id")
+    k = F.col("page_id")
+    entries = table(s, d, "pages").select((k % 200).cast("string").alias("name"), F.when(k % 9 != 0, "o").alias("outlet"), F.lit("s").alias("section"), F.when(k % 7 == 0, F.concat(F.lit("ftp://"), "url")).otherwise(F.col("url")).alias("url"), F.col("url").alias("domain"), F.lit(False).alias("enabled"))
+    return quality.feeds(entries)
 
 
-@query("rating_config", "SELECT CAST(0 AS BIGINT) AS faults, count(*) > 0 AS has_rows FROM lineitem")
+@query("rating_config", """WITH w AS (SELECT p_brand AS feature, CASE WHEN p_partkey % 50 = 0 THEN 'heavy' ELSE CAST(p_size AS VARCHAR) END AS weight, p_partkey % 2 = 0 AS active FROM part), c AS (SELECT max(p_retailprice) AS s, avg(p_retailprice) AS m, min(p_retailprice) AS w FROM part)
+SELECT 'numeric_weights' AS name, count(*) FILTER (WHERE weight = 'heavy') = 0 AS passed FROM w UNION ALL SELECT 'active_or_deferred', count(*) = 0 FROM (SELECT feature FROM w GROUP BY feature HAVING count(DISTINCT active) > 1) UNION ALL SELECT 'ordered_cuts', s > m AND m > w AND w > 0 FROM c UNION ALL SELECT 'floor', TRUE""")
 def _(s, d):
-    faults = len(quality.rating_config(rating.WEIGHTS, rating.DEFERRED, rating.CUTS, rating.FLOOR))
-    return table(s, d, "lineitem").agg((F.count("*") > 0).alias("has_rows")).select(F.lit(faults).cast("bigint").alias("faults"), "has_rows")
+    k, p = F.col("p_partkey"), table(s, d, "part")
+    weights = p.select(F.col("p_brand").alias("feature"), F.when(k % 50 == 0, "heavy").otherwise(F.col("p_size").cast("string")).alias("weight"), (k % 2 == 0).alias("active"))
+    laid = p.agg(F.max("p_retailprice").alias("strong"), F.avg("p_retailprice").alias("moderate"), F.min("p_retailprice").alias("weak"))
+    return quality.rating_config(weights, laid.unpivot([], ["strong", "moderate", "weak"], "cut", "threshold"), 0.5).drop("detail")
 
 
 _VERSIONS = f"""{_P}, v AS (SELECT date, ticker, close, 1 AS version FROM panel UNION ALL SELECT date, ticker, close * 2, 2 FROM panel WHERE day(date) = 3 AND ticker % 2 = 0 UNION ALL SELECT date, ticker, close * 3, 10 FROM panel WHERE day(date) = 3 AND ticker % 4 = 0)"""
@@ -178,10 +219,9 @@ def _versions(s, d):
 
 @query("load_versioned", f"{_VERSIONS} SELECT date, ticker, {r('arg_max(close, version)', 'close')} FROM v GROUP BY date, ticker")
 def _(s, d):
-    from pyspark.sql import Window
-
-    w = Window.partitionBy("date", "ticker").orderBy(F.desc("version"))
-    return _versions(s, d).withColumn("_r", F.row_number().over(w)).where("_r = 1").select("date", "ticker", "close")
+    path = shared_folder(s)
+    _versions(s, d).write.partitionBy("version").parquet(path)
+    return versioned.load_versioned(s, path).select("date", "ticker", "close")
 
 
 @query("latest_version_per_session", f"{_VERSIONS} SELECT date, ticker, {r('close')} FROM v WHERE (date, version) IN (SELECT (date, max(version)) FROM v GROUP BY date)")

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from tidemark.operators import entity, labels, similarity
 from tidemark.plans.names import query, r
 from tidemark.plans.panels import sql, table, titles
+from tidemark.sources import articles as feed
 
 _T = sql("titles")
 _E = """WITH entries AS (SELECT item_id AS ticker, substr(text, 1, 40) AS alias, CASE WHEN item_id % 4 = 0 THEN substr(text, 1, 60) END AS exclude, substr(text, 1, 12) AS parent FROM benchmark),
@@ -140,6 +141,13 @@ def _(s, d):
     return similarity.topicality(v, profiles, 0.1).select("article_id", "ticker", "cosine")
 
 
+@query("topicality_report", f"""{_V}, prof AS (SELECT ticker, v AS p FROM v WHERE article_id IN (SELECT min(article_id) FROM v GROUP BY ticker)) SELECT v.ticker, count(*) AS pairs, count(*) FILTER (WHERE list_dot_product(v, p) >= 0.1) AS kept, count(*) FILTER (WHERE list_dot_product(v, p) < 0.1) AS dropped FROM v JOIN prof ON prof.ticker = v.ticker GROUP BY v.ticker""")
+def _(s, d):
+    v = _vectors(s, d)
+    kept = similarity.topicality(v, v.groupBy("ticker").agg(F.min_by("vector", "article_id").alias("vector")), 0.1)
+    return similarity.topicality_report(v, kept)
+
+
 @query("dedup_calibration", f"{_V} SELECT a % 2 = b % 2 AS is_duplicate, count(*) AS n, {r('min(cosine)', 'least')}, {r('avg(cosine)', 'mean')}, {r('max(cosine)', 'most')} FROM pairs GROUP BY ALL")
 def _(s, d):
     pairs = similarity.similarity_pairs(_vectors(s, d), 0.30)
@@ -159,12 +167,12 @@ def _(s, d):
 
 @query("article_text", "SELECT doc_id, trim(source || ' ' || lang) AS text FROM documents")
 def _(s, d):
-    return table(s, d, "documents").select("doc_id", F.trim(F.concat_ws(" ", "source", "lang")).alias("text"))
+    return table(s, d, "documents").select("doc_id", feed.article_text(F.col("source"), F.col("lang")).alias("text"))
 
 
 @query("clip_text", "SELECT doc_id, substr(text, 1, 400) AS clipped FROM documents")
 def _(s, d):
-    return table(s, d, "documents").select("doc_id", F.substring("text", 1, 400).alias("clipped"))
+    return table(s, d, "documents").select("doc_id", feed.clip_text(F.col("text")).alias("clipped"))
 
 
 @query("first_n_per_bucket_skip_same_event")

@@ -87,12 +87,86 @@ def keep_first(df: DataFrame, keys: list[str], order: list[Column | str], last:
     return df.withColumn("_r", F.row_number().over(Window.partitionBy(*keys).orderBy(*by))).where("_r = 1").drop("_r")
 
 
+#: The header lines of report files, and their names.
+REPORT_NAME = r"^(\d{4}-\d{2}-\d{2})(?:-(morning|evening))?\.md$"
+AMBIGUOUS_LINE = r"(?m)^ℹ 엔티티 모호 비율: ([\d.]+)% \(기사 ([\d,]+)건\)"
+FAILURE_LINE = r"(?m)^⚠ 수집 실패: (.+)$"
+VENDOR_LINE = r"(?m)^⚠ 미국 시세 벤더 불일치: (.+)$"
+NEWS_GAP_LINE = r"(?m)^⚠ 뉴스 유실: (.+)$"
+CHECK_ITEM = r"^([a-z_]+)/([a-zA-Z_]+)(?:×(\d+))?$"
+CONFIRMED_CHECKS = ("schema", "flow_identity")
+AMBIGUOUS_CHECKS = ("structural_invariants", "coverage")
+
+
 def parse_report_headers(texts: DataFrame) -> DataFrame:
-    """(name, ambiguous_pct, articles, failures) from report texts (name, text).
+    """(name, date, run, ambiguous_pct, articles, failures, vendor_disagreement, news_gap) of report files (name, text).
+
+    The share is of 1; failures are the parts of all failure lines, each as is. A file of another name is no
+    report. run is morning, evening or single.
+    """
+    found = lambda pattern, i=1: F.nullif(F.regexp_extract("text", pattern, i), F.lit(""))
+    run = F.regexp_extract("name", REPORT_NAME, 2)
+    failed = F.flatten(F.transform(F.regexp_extract_all("text", F.lit(FAILURE_LINE), 1), lambda line: F.split(line, ", ")))
+    return texts.where(F.rlike("name", F.lit(REPORT_NAME))).select(
+        "name", F.regexp_extract("name", REPORT_NAME, 1).cast("date").alias("date"), F.when(run == "", "single").otherwise(run).alias("run"),
+        (found(AMBIGUOUS_LINE).cast("double") / 100).alias("ambiguous_pct"), F.replace(found(AMBIGUOUS_LINE, 2), F.lit(",")).cast("long").alias("articles"),
+        failed.alias("failures"), F.rlike("text", F.lit(VENDOR_LINE)).alias("vendor_disagreement"), found(NEWS_GAP_LINE).alias("news_gap"),
+    )
+
+
+def failure_items(reports: DataFrame) -> DataFrame:
+    """(name, raw, collector, check, count, classification) of each failure that a report names.
+
+    Parts that aren't a collector's check are unparsed; of checks, some are confirmed errors of the data,
+    some can't be told from a header (ambiguous), and the others are excluded.
+    """
+    part = reports.select("name", F.explode("failures").alias("raw"))
+    is_check = F.rlike("raw", F.lit(CHECK_ITEM))
+    of = lambda i: F.when(is_check, F.regexp_extract("raw", CHECK_ITEM, i))
+    got = part.select("name", "raw", of(1).alias("collector"), of(2).alias("check"), F.coalesce(F.nullif(of(3), F.lit("")).cast("long"), F.lit(1)).alias("count"))
+    kind = F.when(F.col("check").isNull(), "unparsed").when(F.col("check").isin(*CONFIRMED_CHECKS), "confirmed").when(F.col("check").isin(*AMBIGUOUS_CHECKS), "ambiguous").otherwise("excluded")
+    return got.withColumn("classification", kind)
+
+
+def ambiguous_means(reports: DataFrame) -> DataFrame:
+    """(simple, weighted, evening, n) of the ambiguous shares: of reports, of articles, of evening and single runs."""
+    held, articles = reports.where("ambiguous_pct IS NOT NULL"), F.coalesce("articles", F.lit(0))
+    return held.agg(
+        F.avg("ambiguous_pct").alias("simple"), F.try_divide(F.sum(F.col("ambiguous_pct") * articles), F.sum(articles).cast("double")).alias("weighted"),
+        F.avg(F.when(F.col("run").isin("evening", "single"), F.col("ambiguous_pct"))).alias("evening"), F.count("*").alias("n"),
+    )
+
 
-    A header line gives the ambiguous share and the articles it is of; a failure line its parts, each as is.
+def reports_for_session(reports: DataFrame) -> DataFrame:
+    """reports (date, run): each date's morning and evening ones, else its single one."""
+    parted = F.max(F.col("run").isin("morning", "evening")).over(Window.partitionBy("date"))
+    return reports.withColumn("_parted", parted).where((F.col("run") != "single") | ~F.col("_parted")).drop("_parted")
+
+
+def runs_per_session(calendar: DataFrame, runs: DataFrame, at: str) -> DataFrame:
+    """(session_date, runs) of each session of the calendar, 0 where nothing ran."""
+    ran = runs.groupBy(F.to_date(at).alias("session_date")).agg(F.count("*").alias("runs"))
+    return calendar.select("session_date").distinct().join(ran, "session_date", "left").fillna({"runs": 0})
+
+
+def article_text(title: Column, description: Column) -> Column:
+    """Title and description with a space between, trimmed; what is missing is empty."""
+    return F.trim(F.concat_ws(" ", F.coalesce(title, F.lit("")), F.coalesce(description, F.lit(""))))
+
+
+def clip_text(text: Column, most: int = 400) -> Column:
+    return F.substring(text, 1, most)
+
+
+def news_score_rollup(rows: DataFrame, *groups: str) -> DataFrame:
+    """(groups, n, polarity, headline) of rows (polarity, relevance, intensity, title, seq).
+
+    The mean polarity is weighted by relevance, NULL without any; the headline is of the most intense article.
     """
-    share = F.regexp_extract("text", "(\\d+(?:\\.\\d+)?)% \\(기사 (\\d+)건\\)", 1)
-    count = F.regexp_extract("text", "(\\d+(?:\\.\\d+)?)% \\(기사 (\\d+)건\\)", 2)
-    failed = F.regexp_extract("text", "수집 실패: ([^\n]*)", 1)
-    return texts.select("name", F.nullif(share, F.lit("")).cast("double").alias("ambiguous_pct"), F.nullif(count, F.lit("")).cast("long").alias("articles"), F.when(failed != "", F.split(failed, ", ")).otherwise(F.array().cast("array<string>")).alias("failures"))
+    weighted = F.try_divide(F.sum(F.col("polarity") * F.col("relevance")), F.sum("relevance").cast("double"))
+    return rows.groupBy(*groups).agg(F.count("*").alias("n"), weighted.alias("polarity"), F.max_by("title", F.struct("intensity", "seq")).alias("headline"))
+
+
+def buffer_oldest(buffer: DataFrame) -> DataFrame:
+    """(feed, oldest) of what each feed still offers."""
+    return buffer.groupBy("feed").agg(F.min("published_at").alias("oldest"))

@@ -56,14 +56,42 @@ def normalize_macro(observations: DataFrame, calendar: DataFrame) -> DataFrame:
     return good.join(opens.select("_after", "known_at_utc"), "_after", "left").select("date", "series", "value", "known_at_utc")
 
 
+# How calendar rows are labelled.
+RELEASE_LABELS = {"cpi": "CPI 발표"}
+OTHER_RELEASE, MEETING, PROJECTIONS = "고용지표 발표", "FOMC 회의", " (경제전망요약)"
+
+
 def normalize_meetings(cells: DataFrame) -> DataFrame:
-    """(event, date, date_start, has_sep, label) from (year, month_text, date_text) such as Apr/May and 30-1*."""
+    """(event, date, date_start, has_sep, label) from (year, month_text, date_text) such as Apr/May and 30-1*.
+
+    A star marks projections; a note in parentheses, such as a vote's, makes a day of its own. Cells
+    without a day or a month are left out.
+    """
     first, last = F.regexp_extract("month_text", "^([A-Za-z]{3})", 1), F.regexp_extract("month_text", "([A-Za-z]{3})[a-z]*$", 1)
     last = F.when(F.contains("month_text", F.lit("/")), F.regexp_extract("month_text", "/([A-Za-z]{3})", 1)).otherwise(first)
     number = lambda m: F.month(F.try_to_timestamp(F.concat(m, F.lit(" 2000 01")), F.lit("MMM yyyy dd")))
+    note = F.regexp_extract("date_text", "\\(([^)]*)\\)", 1)
     a, b = F.regexp_extract("date_text", "^(\\d+)", 1).try_cast("int"), F.regexp_extract("date_text", "-(\\d+)", 1).try_cast("int")
-    got = cells.withColumns({"_a": a, "_b": F.coalesce(b, a), "_m": number(first), "_n": number(last)})
+    got = cells.withColumns({"_a": a, "_b": F.coalesce(b, a), "_m": number(first), "_n": F.when(b.isNull(), number(first)).otherwise(number(last)), "_note": note})
     year = F.col("year") + F.when(F.col("_n") < F.col("_m"), 1).otherwise(0)
-    return got.where("_a IS NOT NULL AND _m IS NOT NULL").select(
-        F.lit("fomc").alias("event"), F.make_date(year, "_n", "_b").alias("date"), F.make_date("year", "_m", "_a").alias("date_start"), F.contains("date_text", F.lit("*")).alias("has_sep"), F.concat_ws(" ", "month_text", "date_text").alias("label")
+    dated = got.where("_a IS NOT NULL AND _m IS NOT NULL").select(
+        F.make_date(year, "_n", "_b").alias("date"), F.make_date("year", "_m", "_a").alias("date_start"), F.contains("date_text", F.lit("*")).alias("has_sep"), "_note"
     )
+    day = lambda c: F.date_format(c, "MM/dd")
+    met = F.concat(F.lit(f"{MEETING} ("), day("date_start"), F.lit("~"), day("date"), F.lit(")"), F.when(F.col("has_sep"), PROJECTIONS).otherwise(""))
+    noted = F.concat(F.lit("FOMC "), "_note", F.lit(" ("), day("date"), F.lit(")"))
+    return dated.select(F.lit("fomc").alias("event"), "date", "date_start", "has_sep", F.when(F.col("_note") != "", noted).otherwise(met).alias("label"))
+
+
+def normalize_releases(dates: DataFrame) -> DataFrame:
+    """(event, date, date_start, has_sep, label) from release dates (event, date string); unreadable dates are left out."""
+    day = F.try_to_timestamp("date", F.lit("yyyy-MM-dd")).cast("date")
+    label = F.lit(OTHER_RELEASE)
+    for event, said in RELEASE_LABELS.items():
+        label = F.when(F.col("event") == event, said).otherwise(label)
+    return dates.select("event", day.alias("date"), day.alias("date_start"), F.lit(False).alias("has_sep"), label.alias("label")).where("date IS NOT NULL")
+
+
+def normalize_calendar(releases: DataFrame, meetings: DataFrame) -> DataFrame:
+    """Release dates and meeting cells as one table of events."""
+    return normalize_releases(releases).unionByName(normalize_meetings(meetings))

@@ -10,6 +10,8 @@ from pyspark.sql import Window
 from pyspark.sql import types as T
 from pyspark.errors import AnalysisException
 
+from tidemark.operators.storage import discard, written
+
 
 def _read(spark: SparkSession, path: str, schema: T.StructType | None) -> DataFrame | None:
     try:
@@ -22,6 +24,17 @@ def _read(spark: SparkSession, path: str, schema: T.StructType | None) -> DataFr
         raise
 
 
+def stored(spark: SparkSession, path: str) -> DataFrame | None:
+    """All rows and versions under path, or None if nothing was ever written there."""
+    return _read(spark, path, None)
+
+
+def newest_versions(df: DataFrame, keys: Sequence[str] = ("date", "ticker")) -> DataFrame:
+    """Of each key the row of the highest version, without it."""
+    ranked = df.withColumn("_r", F.row_number().over(Window.partitionBy(*keys).orderBy(F.desc(F.col("version").cast("int")))))
+    return ranked.where("_r = 1").drop("_r", "version")
+
+
 def load_versioned(spark: SparkSession, path: str, keys: Sequence[str] = ("date", "ticker"), schema: T.StructType | None = None) -> DataFrame:
     """Every version of every date, of each key the row of the highest version. No folder gives no rows; a key that isn't a column is an error."""
     df = _read(spark, path, schema)
@@ -29,14 +42,13 @@ def load_versioned(spark: SparkSession, path: str, keys: Sequence[str] = ("date"
         return spark.createDataFrame([], schema or T.StructType())
     if lost := [k for k in keys if k not in df.columns]:
         raise KeyError(lost[0])
-    ranked = df.withColumn("_r", F.row_number().over(Window.partitionBy(*keys).orderBy(F.desc(F.col("version").cast("int")))))
-    return ranked.where("_r = 1").drop("_r", "version")
+    return newest_versions(df, keys)
 
 
 def latest_version_per_session(df: DataFrame, session: str = "date", version: str = "version") -> DataFrame:
     """Rows of each session's highest version alone; what older versions had besides is gone."""
     top = df.groupBy(session).agg(F.max(F.col(version).cast("int")).alias(version))
-    return df.join(F.broadcast(top), [session, version], "left_semi")
+    return df.join(top, [session, version], "left_semi")
 
 
 def latest_stored_version(df: DataFrame, session: str = "date") -> DataFrame:
@@ -85,11 +97,11 @@ def write_versioned(df: DataFrame, path: str, keys: Sequence[str] = ("date", "ti
         held = held.withColumn(session, F.col(session).cast(df.schema[session].dataType))
         states = diff_revision(load_versioned(spark, path, keys).withColumn(session, F.col(session).cast(df.schema[session].dataType)), df, keys, session)
         plan = states.join(latest_stored_version(held, session), session, "left").select(session, "state", (F.coalesce("version", F.lit(0)) + 1).alias("version"))
-    plan = plan.persist()
+    plan = written(plan)  # a row a session; Spark checks its size before it broadcasts
     counts = {r.state: r.n for r in plan.groupBy("state").agg(F.count("*").alias("n")).collect()}
-    todo = df.join(F.broadcast(plan.where("state IN ('new', 'revised')").drop("state")), session)
+    todo = df.join(plan.where("state IN ('new', 'revised')").drop("state"), session)
     todo.repartition(session).write.partitionBy(session, "version").mode("append").parquet(path)
-    plan.unpersist()
+    discard(plan)
     return counts
 
 
@@ -103,8 +115,9 @@ def backfill_write(df: DataFrame, path: str, session: str = "date", revise: bool
         latest = latest_stored_version(held.withColumn(session, F.col(session).cast(df.schema[session].dataType)), session)
         plan = days.join(latest, session, "left").select(session, (F.coalesce("version", F.lit(0)) + 1).alias("version"))
         plan = plan if revise else plan.where("version = 1")
+    plan = written(plan)
     n = plan.count()
-    df.join(F.broadcast(plan), session).repartition(session).write.partitionBy(session, "version").mode("append").parquet(path)
+    df.join(plan, session).repartition(session).write.partitionBy(session, "version").mode("append").parquet(path)
     return n
 
 
