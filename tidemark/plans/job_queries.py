@@ -99,13 +99,14 @@ def _(s, d):
 
 @query("backfill_job", f"{_P} SELECT strftime(date, '%Y-%m') AS month, count(*) AS n, round(sum(CAST(close AS DECIMAL(18,4)))::DOUBLE, 6) + 0.0 AS close FROM panel GROUP BY 1")
 def _(s, d):
-    path, p = shared_folder(s), written(panel(s, d).select("date", "ticker", "close"))
+    """Months stand for sessions, so that the folder holds one partition for each."""
+    path, p = shared_folder(s), written(panel(s, d).select(F.trunc("date", "month").alias("date"), F.col("date").alias("day"), "ticker", "close"))
     calendar = sessions.sessions_of(p)
     first, last = p.agg(F.min("date"), F.max("date")).first()
     middle = first + (last - first) / 2
 
     def fetch(start, end):
-        return p.where(F.col("date").between(F.lit(start), F.lit(end))).withColumn("month", F.date_format("date", "yyyy-MM")).withColumnRenamed("date", "day")
+        return p.where(F.col("date").between(F.lit(start), F.lit(end))).withColumnRenamed("date", "session")
 
     def until_middle(start, end):
         if start > middle:
@@ -113,10 +114,10 @@ def _(s, d):
         return fetch(start, end)
 
     # The first run is refused half way; the second goes on from the sessions that it left.
-    run = lambda source: jobs.backfill_job(s, path, calendar, source, 400, lambda df: df.withColumnRenamed("day", "date"), lambda df: quality.not_empty(df, 1))
+    run = lambda source: jobs.backfill_job(s, path, calendar, source, 800, lambda df: df.withColumnRenamed("session", "date"), lambda df: quality.not_empty(df, 1))
     assert run(until_middle).where("state LIKE 'stopped%'").count() == 1
     run(fetch)
-    return versioned.stored(s, path).groupBy("month").agg(F.count("*").alias("n"), F.sum(F.col("close").cast("decimal(18,4)")).cast("double").alias("close"))
+    return versioned.stored(s, path).groupBy(F.date_format("date", "yyyy-MM").alias("month")).agg(F.count("*").alias("n"), F.sum(F.col("close").cast("decimal(18,4)")).cast("double").alias("close"))
 
 
 @query("collect_job", f"{_P} SELECT 'panel' AS source, TRUE AS ok, count(*) AS rows, count(DISTINCT strftime(date, '%Y-%m')) AS new, CAST(0 AS BIGINT) AS revised, CAST(0 AS BIGINT) AS failed FROM panel UNION ALL SELECT 'broken', FALSE, NULL, NULL, NULL, NULL FROM (SELECT count(*) FROM nation) UNION ALL SELECT 'orders', TRUE, count(*), CAST(0 AS BIGINT), count(DISTINCT strftime(o_orderdate, '%Y-%m')) FILTER (WHERE o_orderkey % 50 = 0), CAST(1 AS BIGINT) FROM orders")
