@@ -35,7 +35,10 @@ def written(df: DataFrame) -> DataFrame:
 def discard(table: DataFrame) -> None:
     """Delete what ``written`` wrote, when nothing will read it again; other tables are left alone."""
     spark = table.sparkSession
+    path_of, conf = spark._jvm.org.apache.hadoop.fs.Path, spark._jsc.hadoopConfiguration()
+    base = path_of(_base(spark))
+    base = base.getFileSystem(conf).makeQualified(base)
     for folder in {f.rpartition("/")[0] for f in table.inputFiles()}:
-        if _base(spark).rpartition(":")[2].lstrip("/") == folder.rpartition("/")[0].partition(":")[2].lstrip("/"):
-            path = spark._jvm.org.apache.hadoop.fs.Path(folder)
-            path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+        path = path_of(folder)
+        if path.getParent().toString() == base.toString():
+            path.getFileSystem(conf).delete(path, True)
