@@ -14,6 +14,7 @@ from tidemark.operators.graph import connected_components
 
 #: Members of a key that one block holds; vector pairs are formed between blocks, never over a whole key at once.
 BLOCK = 512
+#: Fixed value: what the tokens of a title are made of.
 TOKEN = "[가-힣A-Za-z0-9]+"
 
 
