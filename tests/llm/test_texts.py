@@ -272,17 +272,17 @@ def test_toxicity_learns_from_other_folds(spark):
     assert [got[i].score for i in (5000, 5001, 5002)] == [0.0] * 3
     where = toxicity.locate(df.where("doc_id = 0"), model).collect()
     assert where and all(any(b in rows[0][1][w.start : w.end] for b in bad) for w in where)
-    place = lambda w: 0.0 + sum(float(model.weights[f]) for f in toxicity.features(w))
+    place = lambda w: 0.0 + sum(model.weights.get(f, 0.0) for f in toxicity.features(w))
     for i, text in rows[:300] + [(5000, None)]:  # the noisy-or of sentences, plainly
         spans, clean, bad_ones = [(m.start(), m.end()) for m in re.finditer(r"[^.!?\n]+", text or "") if re.search(r"[^\W_]", m[0])], 1.0, []
         for a, b in spans:
             p = 1 / (1 + math.exp(-model.bias - sum(map(place, set(re.findall(r"[^\W_]+", text[a:b].lower()))))))
             clean *= 1 - p
             bad_ones += [f"{a}:{b}"] * (p >= 0.5)
-        assert got[i].score == pytest.approx(1 - clean, abs=1e-6) and got[i].offending == ",".join(bad_ones) and got[i].n_offending == len(bad_ones)
+        assert got[i].score == pytest.approx(1 - clean, abs=1e-9) and got[i].offending == ",".join(bad_ones) and got[i].n_offending == len(bad_ones)
         assert got[i].predicted == int(got[i].score >= 0.5)
     few = toxicity.train(df, lab.where("doc_id < 60"))
-    assert np.any(few.weights)  # a small sample still learns
+    assert any(few.weights.values())  # a small sample still learns
     twice = toxicity.score(df.where("doc_id = 0").union(df.where("doc_id = 0")), model).collect()
     assert len(twice) == 2 and twice[0] == twice[1]
     flat = toxicity.train(df, lab.where("toxic = 0"))

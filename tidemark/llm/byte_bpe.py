@@ -9,7 +9,6 @@ from __future__ import annotations
 
 import base64
 import hashlib
-from functools import lru_cache
 
 import numpy as np
 from pyspark.sql import DataFrame
@@ -17,8 +16,8 @@ from pyspark.sql import DataFrame
 from tidemark.llm.common import map_rows, pick
 from tidemark.llm.sp_model import BPE, UNKNOWN, Piece, model_file
 
-#: Pre-tokens whose ids a worker remembers before it starts afresh, and characters of the longest that it remembers.
-_REMEMBERED, _LONGEST = 400_000, 64
+#: Pre-tokens whose ids a task remembers before it starts afresh, and characters of the longest that it remembers.
+_REMEMBERED, _LONGEST = 100_000, 64
 #: The character that stands for byte b has this code point plus b.
 _SHIFT = 0x3400
 _TO_CHARS = {b: _SHIFT + b for b in range(256)}
@@ -39,7 +38,7 @@ def unmapped(text: str) -> bytes:
 
 
 class ByteBpe:
-    """Encoder and decoder of one vocabulary."""
+    """Encoder and decoder of one vocabulary; one per task, so that a worker that goes on to other work holds none."""
 
     def __init__(self, ranks: dict[bytes, int], pattern: str):
         import regex
@@ -81,12 +80,6 @@ class ByteBpe:
         return b"".join(map(self._bytes_of.__getitem__, np.frombuffer(ids, "<u4").tolist()))
 
 
-@lru_cache(maxsize=2)
-def shared(ranks_path: str, pattern: str) -> ByteBpe:
-    """One for all tasks that a worker runs."""
-    return ByteBpe(read_ranks(ranks_path), pattern)
-
-
 def encode(docs: DataFrame, ranks_path: str, pattern: str, id_col: str = "doc_id", text_col: str = "text", checked: bool = False) -> DataFrame:
     """(doc_id, ids array<int>, n_tokens) for each row; null and empty texts have no ids.
 
@@ -94,7 +87,7 @@ def encode(docs: DataFrame, ranks_path: str, pattern: str, id_col: str = "doc_id
     """
 
     def make():
-        bpe = shared(ranks_path, pattern)
+        bpe = ByteBpe(read_ranks(ranks_path), pattern)
 
         def step(c):
             coded = [bpe.encode(t) for t in c["text"]]
@@ -112,7 +105,7 @@ def decode(encoded: DataFrame, ranks_path: str, pattern: str, id_col: str = "doc
     """(doc_id, text) from ids; bytes that are no UTF-8 become replacement marks, null ids a null text."""
 
     def make():
-        bpe = shared(ranks_path, pattern)
+        bpe = ByteBpe(read_ranks(ranks_path), pattern)
         text = lambda ids: None if ids is None else bpe.decode(np.array(ids, "<u4").tobytes()).decode("utf-8", "replace")
         return lambda c: {"doc_id": c["doc_id"], "text": [text(x) for x in c["ids"]]}
 
@@ -127,7 +120,7 @@ def digests(docs: DataFrame, ranks_path: str, pattern: str, id_col: str = "doc_i
     """
 
     def make():
-        bpe = shared(ranks_path, pattern)
+        bpe = ByteBpe(read_ranks(ranks_path), pattern)
 
         def step(c):
             ids = [bpe.encode(t) for t in c["text"]]

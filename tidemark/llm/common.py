@@ -18,7 +18,7 @@ SLICE, SLICE_BYTES = 512, 8 << 20
 #: Bits of the map that tells which rows of a large table may have a partner in a join: 2000 parts of 4 KB, 8 MB.
 FILTER_BITS = 2000 << 15
 #: Words whose hashes a task remembers before it starts afresh.
-REMEMBERED = 400_000
+REMEMBERED = 150_000
 
 _EMPTY = np.empty(0, np.uint64)
 _MIX = np.uint64(0x9E3779B97F4A7C15)

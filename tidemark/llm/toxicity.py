@@ -20,8 +20,6 @@ from pyspark.sql import functions as F
 
 from tidemark.llm.common import map_rows, pick
 
-#: Bits of a feature's hashed place in the weights.
-BITS = 20
 #: The classifier is fitted on so many labelled documents of each class at most, those of the least hashed ids.
 SAMPLE_PER_CLASS = 4000
 #: Besides itself a word has its beginnings of these lengths as features, so that inflected forms share weight.
@@ -32,31 +30,33 @@ ROUNDS, RATE, SHRINK = 100, 0.1, 1e-4
 
 _SENTENCE = re.compile(r"[^.!?\n]+")
 _WORD = re.compile(r"[^\W_]+")
-_REMEMBERED = 400_000
+_REMEMBERED = 100_000
 
 
 @dataclass(frozen=True)
 class Model:
-    weights: np.ndarray
+    """Weights by the 64-bit hash of a feature; those that aren't there are 0, so unknown words say nothing."""
+
+    weights: dict[int, float]
     bias: float
 
 
 def features(word: str) -> list[int]:
-    """Hashed places of a word's features."""
+    """Hashes of a word's features."""
     names = ["=" + word, *["<" + word[:n] for n in BEGINNINGS if len(word) > n]]
-    return [xxhash.xxh3_64_intdigest(n) & ((1 << BITS) - 1) for n in names]
+    return [xxhash.xxh3_64_intdigest(n) for n in names]
 
 
 class _Weights(dict):
     """Words' summed weights, remembered; emptied when full."""
 
-    def __init__(self, weights: np.ndarray):
+    def __init__(self, weights: dict[int, float]):
         self._weights = weights
 
     def __missing__(self, word: str) -> float:
         if len(self) >= _REMEMBERED:
             self.clear()
-        value = self[word] = float(self._weights[features(word)].sum())
+        value = self[word] = sum(self._weights.get(f, 0.0) for f in features(word))
         return value
 
 
@@ -95,16 +95,16 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
                 bag = _sentence_words(text)
                 out["flat"].append([place.setdefault(w, len(place)) for s in bag for w in s])
                 out["counts"].append([len(s) for s in bag])
-                out["words"].append(list(place))
+                out["words"].append(" ".join(place))  # one string a document: far smaller in the fit than a list of words
             return out
 
         return step
 
-    bags = map_rows(sample, make, "doc_id long, label int, words array<string>, flat array<int>, counts array<int>")
-    fitted = bags.withColumn("all", F.lit(1)).groupBy("all").applyInPandas(_fit, "weights binary, bias double").first()
+    bags = map_rows(sample, make, "doc_id long, label int, words string, flat array<int>, counts array<int>")
+    fitted = bags.withColumn("all", F.lit(1)).groupBy("all").applyInPandas(_fit, "names binary, weights binary, bias double").first()
     if fitted is None:
-        return Model(np.zeros(1 << BITS, np.float32), -8.0)
-    return Model(np.frombuffer(fitted.weights, np.float32), fitted.bias)
+        return Model({}, -8.0)
+    return Model(dict(zip(np.frombuffer(fitted.names, np.uint64).tolist(), np.frombuffer(fitted.weights, np.float64).tolist(), strict=True)), fitted.bias)
 
 
 def _fit(bags: pd.DataFrame) -> pd.DataFrame:
@@ -112,15 +112,18 @@ def _fit(bags: pd.DataFrame) -> pd.DataFrame:
     bags = bags.drop_duplicates("doc_id").sort_values("doc_id")
     bags = bags[bags["counts"].map(len) > 0]
     label = bags["label"].to_numpy(float)
-    weights, bias = np.zeros(1 << BITS), -4.0
+    names, w, bias = np.empty(0, np.uint64), np.empty(0), -4.0
     if 0 < label.sum() < len(label):
         vocabulary: dict[str, int] = {}
-        flat = np.concatenate([np.array([vocabulary.setdefault(w, len(vocabulary)) for w in words])[f] for words, f in zip(bags["words"], bags["flat"], strict=True)])
+        held = [np.array([vocabulary.setdefault(w, len(vocabulary)) for w in words.split(" ")]) for words in bags["words"]]
+        flat = np.concatenate([words[f] for words, f in zip(held, bags["flat"], strict=True)])
         counts, parts = np.concatenate(bags["counts"].to_list()), bags["counts"].map(len).to_numpy()
         of_word = [features(w) for w in vocabulary]
-        owner, place = np.repeat(np.arange(len(of_word)), [len(f) for f in of_word]), np.concatenate(of_word)
-        docs_with = np.bincount(np.concatenate([[vocabulary[w] for w in words] for words in bags["words"]]), minlength=len(of_word))
-        common = np.bincount(place, docs_with[owner], 1 << BITS)[place] >= LEAST_SHARE * len(bags)
+        owner, place = np.repeat(np.arange(len(of_word)), [len(f) for f in of_word]), np.concatenate([np.array(f, np.uint64) for f in of_word])
+        docs_with = np.bincount(np.concatenate(held), minlength=len(of_word))
+        del held, bags["words"], bags["flat"]
+        _, place_of = np.unique(place, return_inverse=True)
+        common = np.bincount(place_of, docs_with[owner])[place_of] >= LEAST_SHARE * len(bags)
         owner, (names, place) = owner[common], np.unique(place[common], return_inverse=True)
         sentence, doc_of = np.repeat(np.arange(len(counts)), counts), np.repeat(np.arange(len(parts)), parts)
         begins = np.concatenate(([0], np.cumsum(parts)[:-1]))
@@ -141,8 +144,7 @@ def _fit(bags: pd.DataFrame) -> pd.DataFrame:
             scale = RATE * np.sqrt(1 - 0.99**t) / (1 - 0.9**t)
             w -= scale * m / (np.sqrt(v) + 1e-8)
             bias -= scale * mb / (np.sqrt(vb) + 1e-8)
-        weights[names] = w
-    return pd.DataFrame({"weights": [weights.astype(np.float32).tobytes()], "bias": [float(bias)]})
+    return pd.DataFrame({"names": [names.tobytes()], "weights": [w.tobytes()], "bias": [float(bias)]})
 
 
 def _probabilities(text: str | None, bias: float, weights: _Weights) -> np.ndarray:
