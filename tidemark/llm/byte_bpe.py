@@ -17,7 +17,7 @@ from tidemark.llm.common import map_rows, pick
 from tidemark.llm.sp_model import BPE, UNKNOWN, Piece, model_file
 
 #: Pre-tokens whose ids a task remembers before it starts afresh, and characters of the longest that it remembers.
-_REMEMBERED, _LONGEST = 100_000, 64
+_REMEMBERED, _LONGEST = 200_000, 64
 #: The character that stands for byte b has this code point plus b.
 _SHIFT = 0x3400
 _TO_CHARS = {b: _SHIFT + b for b in range(256)}
