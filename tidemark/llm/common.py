@@ -8,7 +8,7 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 import xxhash
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tidemark.operators.storage import discard, shared_folder, written  # noqa: F401  for the operators
@@ -127,3 +127,40 @@ def distinct(values: np.ndarray) -> np.ndarray:
         return values
     values = np.sort(values)
     return values[np.concatenate(([True], values[1:] != values[:-1]))]
+
+
+def lined(rows: DataFrame, *order: str) -> DataFrame:
+    """rows with ``at`` and ``total``: sizes before a row and in all, on its line by the order columns.
+
+    Needs the columns line and size. Range partitions keep running sums for each line; their totals, one row for each
+    line and partition, say where a partition begins on it, so no line meets in one task. Rows alike in
+    line and order may change places.
+    """
+    laid = rows.repartitionByRange("line", *order).sortWithinPartitions("line", *order)
+    ddl = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema)
+    run = written(map_rows(laid, _running_sums, f"{ddl}, part int, before long"))
+    sums = run.groupBy("line", "part").agg(F.sum("size").alias("here"))
+    line = Window.partitionBy("line")
+    begins = sums.select(
+        "line", "part", F.sum("here").over(line).alias("total"),
+        F.coalesce(F.sum("here").over(line.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("begin"),
+    )
+    return run.join(begins, ["line", "part"]).withColumn("at", F.col("begin") + F.col("before")).drop("part", "before", "begin")
+
+
+def _running_sums():
+    from pyspark import TaskContext
+
+    part, now, total = TaskContext.get().partitionId(), None, 0
+
+    def step(c):
+        nonlocal now, total
+        before = []
+        for line, size in zip(c["line"], c["size"], strict=True):
+            if line != now:
+                now, total = line, 0
+            before.append(total)
+            total += size
+        return {**c, "part": [part] * len(before), "before": before}
+
+    return step

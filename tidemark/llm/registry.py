@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tidemark.llm import byte_bpe, decontamination, fingerprints, licenses, near_dedup, secrets, sharding, token_counts, toxicity, warc
+from tidemark.llm import byte_bpe, decontamination, fingerprints, licenses, merkle, near_dedup, secrets, sharding, token_counts, toxicity, warc
 from tidemark.llm.oracle import SQL
 
 
@@ -66,9 +66,14 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.score(docs, toxicity.train(docs, _table(spark, sf_dir, "labels")))
 
 
+def op11_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return merkle.audited(merkle.tampered(_table(spark, sf_dir, "documents")))
+
+
 _QUERIES = (
     op1_token_counts, op2_secret_scan, op3_sharding, op4_warc, op5_byte_bpe,
     op6_fingerprints, op7_near_dedup, op8_decontamination, op9_license_scan, op10_toxicity,
+    op11_merkle_manifest,
 )
 
 
