@@ -19,7 +19,6 @@ from tidemark.llm.common import arrow_schema, crc32_of, lined, map_rows, pick, w
 
 #: Children of a node, and levels above the leaves that a block holds: 4096 leaves.
 ARITY, LEVELS = 8, 4
-BLOCK = ARITY**LEVELS
 _DIGEST = 32
 
 
@@ -123,71 +122,68 @@ def fold(digest: str, path: list[str]) -> str:
     return digest
 
 
-def build(nodes: DataFrame) -> list[DataFrame]:
+def build(nodes: DataFrame, height: int = LEVELS) -> list[DataFrame]:
     """Blocks (line, block, total, leaves, tree, root) of each level, lowest first, from nodes (line, at, total, digest).
 
-    Each level is grouped by block, at most 4096 digests, and written; of it the driver sees one number.
+    Each level is grouped by block, at most 8 ** height digests, and written; of it the driver sees one number.
     """
+    most = ARITY**height
     schema = "line string, block long, total long, leaves int, tree binary, root string"
     target = arrow_schema(nodes.sparkSession, schema)
 
     def one(group: pa.Table) -> pa.Table:
         digests = group.sort_by("at")["digest"].to_pylist()
         line, total, at = (group[c][0].as_py() for c in ("line", "total", "at"))
-        block = Block(height_of(total) if total <= BLOCK else LEVELS, len(digests))
+        block = Block(min(height, height_of(total)), len(digests))
         root = block.build(digests)
-        return pa.Table.from_pylist([{"line": line, "block": at // BLOCK, "total": total, "leaves": len(digests), "tree": bytes(block.data), "root": root}], target)
+        return pa.Table.from_pylist([{"line": line, "block": at // most, "total": total, "leaves": len(digests), "tree": bytes(block.data), "root": root}], target)
 
     levels = []
     while True:
-        grouped = nodes.select("line", "at", "total", "digest", F.expr(f"at div {BLOCK}").alias("block")).groupBy("line", "block")
+        grouped = nodes.select("line", "at", "total", "digest", F.expr(f"at div {most}").alias("block")).groupBy("line", "block")
         blocks = written(grouped.applyInArrow(one, schema))
         levels.append(blocks)
-        nodes = blocks.where(F.col("total") > BLOCK).select(
-            "line", F.col("block").alias("at"), F.expr(f"(total + {BLOCK - 1}) div {BLOCK}").alias("total"), F.col("root").alias("digest")
+        nodes = blocks.where(F.col("total") > most).select(
+            "line", F.col("block").alias("at"), F.expr(f"(total + {most - 1}) div {most}").alias("total"), F.col("root").alias("digest")
         )
-        if not (blocks.agg(F.max("total")).first()[0] or 0) > BLOCK:
+        if not (blocks.agg(F.max("total")).first()[0] or 0) > most:
             return levels
 
 
-def roots(levels: list[DataFrame]) -> DataFrame:
+def roots(levels: list[DataFrame], height: int = LEVELS) -> DataFrame:
     """(line, root) of every tree."""
     out = None
     for level in levels:
-        own = level.where(F.col("total") <= BLOCK).select("line", "root")
+        own = level.where(F.col("total") <= ARITY**height).select("line", "root")
         out = own if out is None else out.unionByName(own)
     return out
 
 
-def _block_of(total: int, leaves: int, tree: bytes) -> Block:
-    return Block(height_of(total) if total <= BLOCK else LEVELS, leaves, tree)
-
-
-def with_paths(levels: list[DataFrame], tops: DataFrame, lowest: int = 0) -> DataFrame:
-    """Blocks of the lowest asked level with ``path``, the steps above their roots.
+def with_paths(levels: list[DataFrame], tops: DataFrame, height: int = LEVELS) -> DataFrame:
+    """Blocks of the lowest level with ``path``, the steps above their roots.
 
     tops (line, path) has those above the trees' roots. Blocks are walked from the top; each hands its path down to the blocks
     whose roots are its leaves, by an equi-join on line and block.
     """
     down = None
-    for level in reversed(levels[lowest:]):
-        above = level.where(F.col("total") <= BLOCK).join(tops.select("line", "path"), "line")
+    for level in reversed(levels):
+        above = level.where(F.col("total") <= ARITY**height).join(tops.select("line", "path"), "line")
         if down is not None:
-            above = above.unionByName(level.where(F.col("total") > BLOCK).join(down, ["line", "block"]))
-        down = leaf_paths(above).withColumnRenamed("at", "block")
+            above = above.unionByName(level.where(F.col("total") > ARITY**height).join(down, ["line", "block"]))
+        down = leaf_paths(above, height).withColumnRenamed("at", "block")
     return above
 
 
-def leaf_paths(blocks: DataFrame) -> DataFrame:
+def leaf_paths(blocks: DataFrame, height: int = LEVELS) -> DataFrame:
     """(line, at, path) of each leaf of blocks that have a path."""
 
     def make():
         def step(c):
             out = {"line": [], "at": [], "path": []}
             for line, number, total, leaves, tree, above in zip(*(c[k] for k in ("line", "block", "total", "leaves", "tree", "path")), strict=True):
-                path = _block_of(total, leaves, tree).paths(above)
+                path = Block(min(height, height_of(total)), leaves, tree).paths(above)
                 for i in range(leaves):
-                    for name, value in zip(out, (line, number * BLOCK + i, path(i)), strict=True):
+                    for name, value in zip(out, (line, number * ARITY**height + i, path(i)), strict=True):
                         out[name].append(value)
             return out
 
@@ -202,7 +198,7 @@ def leaf(*fields: Column) -> Column:
     return F.sha2(F.concat(*[F.when(t.isNull(), F.lit("-")).otherwise(F.concat(F.octet_length(t).cast("string"), F.lit(":"), t)) for t in text]).cast("binary"), 256)
 
 
-def audited(docs: DataFrame) -> DataFrame:
+def audited(docs: DataFrame, height: int = LEVELS) -> DataFrame:
     """(doc_id, leaf, subroot, root, proof_sha256, folded_root, verified) for each row of docs.
 
     docs has doc_id, source, lang, n_chars and text; ``changed_text``, where there is such a column, is the
@@ -221,15 +217,15 @@ def audited(docs: DataFrame) -> DataFrame:
         )
     )
     leaves = written(lined(rows, "doc_id", "leaf", "tie").drop("tie", "size"))
-    levels = build(leaves.withColumnRenamed("leaf", "digest"))
-    groups = written(roots(levels).select(F.lit("").alias("line"), F.col("line").alias("name"), F.col("root").alias("digest"), F.lit(1).cast("long").alias("size")))
+    levels = build(leaves.withColumnRenamed("leaf", "digest"), height)
+    groups = written(roots(levels, height).select(F.lit("").alias("line"), F.col("line").alias("name"), F.col("root").alias("digest"), F.lit(1).cast("long").alias("size")))
     groups = written(lined(groups, "name"))
-    upper = build(groups)
-    top = roots(upper).first()  # one row: the root of all
+    upper = build(groups, height)
+    top = roots(upper, height).first()  # one row: the root of all
     root = top.root if top else None
     start = docs.sparkSession.createDataFrame([("", [])], "line string, path array<string>")
-    tops = written(leaf_paths(with_paths(upper, start)).select("at", "path").join(groups.select("at", "name", F.col("digest").alias("subroot")), "at"))
-    blocks = with_paths(levels, tops.select(F.col("name").alias("line"), "path"))
+    tops = written(leaf_paths(with_paths(upper, start, height), height).select("at", "path").join(groups.select("at", "name", F.col("digest").alias("subroot")), "at"))
+    blocks = with_paths(levels, tops.select(F.col("name").alias("line"), "path"), height)
     blocks = blocks.join(tops.select(F.col("name").alias("line"), "subroot"), "line")
     kind = rows.schema["doc_id"].dataType.simpleString()
     schema = f"doc_id {kind}, leaf string, subroot string, root string, proof_sha256 string, folded_root string, verified boolean"
@@ -237,17 +233,17 @@ def audited(docs: DataFrame) -> DataFrame:
 
     def prove(mine: pa.Table, block: pa.Table) -> pa.Table:
         b = block.to_pylist()[0]
-        path_of = _block_of(b["total"], b["leaves"], b["tree"]).paths(b["path"])
+        path_of = Block(min(height, height_of(b["total"])), b["leaves"], b["tree"]).paths(b["path"])
         proof, folded = [], []
         for at, now in zip(mine["at"].to_pylist(), mine["now"].to_pylist(), strict=True):
-            path = path_of(at % BLOCK)
+            path = path_of(at % ARITY**height)
             proof.append(H("".join(s[1:] for s in path).encode()))
             folded.append(fold(now, path))
         n = len(proof)
         columns = [mine["doc_id"], mine["leaf"], [b["subroot"]] * n, [root] * n, proof, folded, [f == root for f in folded]]
         return pa.Table.from_arrays([c.combine_chunks() if isinstance(c, pa.ChunkedArray) else pa.array(c, f.type) for c, f in zip(columns, target, strict=True)], schema=target)
 
-    mine = leaves.withColumn("block", F.expr(f"at div {BLOCK}")).groupBy("line", "block")
+    mine = leaves.withColumn("block", F.expr(f"at div {ARITY**height}")).groupBy("line", "block")
     return mine.cogroup(blocks.groupBy("line", "block")).applyInArrow(prove, schema)
 
 
