@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tidemark.llm import byte_bpe, decontamination, fingerprints, licenses, merkle, near_dedup, secrets, sharding, token_counts, toxicity, warc
+from tidemark.llm import byte_bpe, decontamination, fingerprints, licenses, merkle, mixing, near_dedup, secrets, sharding, token_counts, toxicity, variants, warc
 from tidemark.llm.oracle import SQL
 
 
@@ -70,10 +70,18 @@ def op11_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return merkle.audited(merkle.tampered(_table(spark, sf_dir, "documents")))
 
 
+def op12_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return variants.grouped(variants.count_words(_table(spark, sf_dir, "documents")))
+
+
+def op13_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.mix(_table(spark, sf_dir, "documents")).select("doc_id", "size", "source_size", "target", "taken")
+
+
 _QUERIES = (
     op1_token_counts, op2_secret_scan, op3_sharding, op4_warc, op5_byte_bpe,
     op6_fingerprints, op7_near_dedup, op8_decontamination, op9_license_scan, op10_toxicity,
-    op11_merkle_manifest,
+    op11_merkle_manifest, op12_spelling_variants, op13_source_mix,
 )
 
 
