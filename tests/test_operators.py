@@ -1,5 +1,6 @@
 """Edges of the panel operators on tiny frames."""
 
+import random
 import datetime as dt
 
 import pytest
@@ -288,3 +289,11 @@ def test_as_of_is_strict_and_needs_a_zone(spark):
     assert sessions.visible_as_of(df, "2024-01-01 10:00:00").count() == 1 and sessions.visible_as_of(df, None).count() == 2
     with pytest.raises(ValueError):
         sessions.visible_as_of(df, dt.datetime(2024, 1, 1))
+
+
+def test_exclude_candidates_hold_the_name_anywhere(spark):
+    rng = random.Random(4)
+    names = {"".join(rng.choice("abé") for _ in range(rng.randrange(1, 8))) for _ in range(150)} | {"bank", "newbank", "bankcorp", "x"}
+    got = entity.exclude_candidates(spark.createDataFrame([(n,) for n in [*names, "bank", "", None]], "name string"))
+    assert sorted(map(tuple, got.collect())) == sorted((a, b) for a in names for b in names if a != b and a in b)
+    assert {r.longer for r in got.where("name = 'bank'").collect()} == {"newbank", "bankcorp"}

@@ -180,10 +180,22 @@ def group_prefixes(names: DataFrame, name: str = "name", least_length: int = 2,
 
 
 def exclude_candidates(names: DataFrame, name: str = "name") -> DataFrame:
-    """(name, longer): other names that begin with a name, by joining each name's proper prefixes with all names."""
-    w = names.select(name).distinct()
-    prefixes = w.select(F.col(name).alias("longer"), F.explode(F.sequence(F.lit(1), F.greatest(F.length(name) - 1, F.lit(1)))).alias("n")).select("longer", F.expr("substring(longer, 1, n)").alias(name))
-    return prefixes.where(F.col(name) != F.col("longer")).join(w, name).distinct().select(name, "longer")
+    """(name, longer): other names that hold a name anywhere.
+
+    Every name is posted under its grams of one to three characters; a name looks only at the postings of its rarest gram
+    (of three characters, or of its own length if shorter), which an exact test then judges. Null and empty
+    names are left out, repeats count once.
+    """
+    w = names.select(F.col(name).alias("whole")).where("whole <> ''").distinct()
+    long = F.length("whole")
+    grams = lambda k: F.transform(F.sequence(F.lit(1), long - k + 1), lambda i: F.substring("whole", i, F.lit(k)))
+    of = {k: F.when(long >= k, grams(k)).otherwise(F.array().cast("array<string>")) for k in (1, 2, 3)}
+    posted = w.select(F.col("whole").alias("longer"), F.explode(F.array_distinct(F.concat(*of.values()))).alias("gram"))
+    own = F.when(long >= 3, of[3]).when(long == 2, of[2]).otherwise(of[1])
+    counted = w.select("whole", F.explode(F.array_distinct(own)).alias("gram")).join(posted.groupBy("gram").agg(F.count("*").alias("n")), "gram")
+    rarest = counted.groupBy("whole").agg(F.min(F.struct("n", "gram")).alias("least")).select("whole", F.col("least.gram").alias("gram"))
+    held = rarest.join(posted, "gram").where(F.contains("longer", "whole") & (F.col("longer") != F.col("whole")))
+    return held.select(F.col("whole").alias(name), "longer")
 
 
 def name_lookup(queries: DataFrame, listing: DataFrame, query: str = "query", name: str = "name") -> DataFrame:

@@ -84,10 +84,10 @@ def _(s, d):
     return entity.group_prefixes(table(s, d, "part").select(F.col("p_type").alias("name")))
 
 
-@query("exclude_candidates", "WITH n AS (SELECT DISTINCT c_name AS name FROM customer UNION SELECT DISTINCT substr(c_name, 1, 12) FROM customer) SELECT a.name, b.name AS longer FROM n a JOIN n b ON starts_with(b.name, a.name) AND a.name <> b.name")
+@query("exclude_candidates", "WITH n AS (SELECT DISTINCT c_name AS name FROM customer UNION SELECT DISTINCT substr(c_name, 1, 12) FROM customer UNION SELECT DISTINCT substr(c_name, 10) FROM customer) SELECT a.name, b.name AS longer FROM n a JOIN n b ON contains(b.name, a.name) AND a.name <> b.name")
 def _(s, d):
     c = table(s, d, "customer").select(F.col("c_name").alias("name"))
-    return entity.exclude_candidates(c.union(c.select(F.substring("name", 1, 12))))
+    return entity.exclude_candidates(c.union(c.select(F.substring("name", 1, 12))).union(c.select(F.substring("name", 10, 1000))))
 
 
 @query("name_lookup", "WITH q AS (SELECT DISTINCT p_brand AS query FROM part UNION SELECT n_name FROM nation UNION SELECT 'AN'), l AS (SELECT n_name AS name FROM nation), c AS (SELECT query, count(name) AS n, max(CASE WHEN name = query THEN name END) AS exact, min(name) AS single FROM q LEFT JOIN l ON contains(name, query) GROUP BY query) SELECT query, n, CASE WHEN exact IS NOT NULL THEN 'exact' WHEN n = 0 THEN 'not found' WHEN n > 1 THEN 'ambiguous' ELSE 'found' END AS state, coalesce(exact, CASE WHEN n = 1 THEN single END) AS found FROM c")
