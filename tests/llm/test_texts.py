@@ -9,6 +9,7 @@ from collections import Counter
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from tidemark.llm import byte_bpe, decontamination, licenses, near_dedup, secrets, sp_model, token_counts, toxicity
 
@@ -458,3 +459,12 @@ def test_one_index_serves_several_test_sets(spark):
     assert found("alpha beta gamma", 1) == {place[2]: ([0, 1, 2], ["1"])}
     assert found("beta gamma", None) == {place[1]: ([31, 32], []), place[2]: ([1, 2], [])}
     assert found("unheard of", 3) == {}
+
+
+def test_the_toxicity_model_is_the_same_for_any_partitions(spark):
+    rows = [(i, f"word{i % 7} {'foul vile' if i % 3 == 0 else 'fair kind'} end. next {i % 5}") for i in range(300)]
+    rows += [(i, t[::-1]) for i, t in rows] + rows[:50]
+    labels = spark.createDataFrame([(i, int(i % 3 == 0)) for i in range(300)], "doc_id long, toxic int")
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    models = [toxicity.train(df.orderBy(F.col("text").desc() if n == 3 else "text").repartition(n), labels, per_class=60) for n in (1, 3, 11)]
+    assert models[0] == models[1] == models[2] and models[0].weights

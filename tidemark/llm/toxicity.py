@@ -80,12 +80,15 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
 
     Ids of the sample are chosen first, so only their texts are turned into bags, where they lie; the
     bags (numbers, bounded by the sample) meet in one task. Repeated labels of an id count as the larger;
-    null labels and ids are left out. Without labels of both classes every score is the bias alone.
+    null labels and ids are left out. Of the texts of a repeated id the least hashed one is learnt from, so the model
+    is the same however rows are dealt to tasks. Without labels of both classes every score is the bias alone.
     """
     known = pick(labels, doc_id="doc_id", label=label_col).where("doc_id IS NOT NULL AND label IS NOT NULL").where(~held_out(F.col("doc_id")))
     known = known.groupBy("doc_id").agg(F.max("label").cast("int").alias("label"))
     chosen = [known.where(F.col("label") == c).orderBy(F.xxhash64("doc_id"), "doc_id").limit(per_class) for c in (0, 1)]
-    sample = pick(docs, doc_id=id_col, text=text_col).join(F.broadcast(chosen[0].union(chosen[1])), "doc_id")
+    rows = pick(docs, doc_id=id_col, text=text_col).join(F.broadcast(chosen[0].union(chosen[1])), "doc_id")
+    one = F.min(F.struct(F.xxhash64("text").alias("hash"), "text")).alias("one")
+    sample = rows.groupBy("doc_id", "label").agg(one).select("doc_id", "label", "one.text")
 
     def make():
         def step(c):
@@ -93,7 +96,7 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
             for text in out.pop("text"):
                 place: dict[str, int] = {}
                 bag = _sentence_words(text)
-                out["flat"].append([place.setdefault(w, len(place)) for s in bag for w in s])
+                out["flat"].append([place.setdefault(w, len(place)) for s in bag for w in sorted(s)])
                 out["counts"].append([len(s) for s in bag])
                 out["words"].append(" ".join(place))  # one string a document: far smaller in the fit than a list of words
             return out
@@ -109,7 +112,7 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
 
 def _fit(bags: pd.DataFrame) -> pd.DataFrame:
     """Full-batch Adam on the documents' log-likelihood, words' weights shrunk towards 0."""
-    bags = bags.drop_duplicates("doc_id").sort_values("doc_id")
+    bags = bags.sort_values("doc_id")
     bags = bags[bags["counts"].map(len) > 0]
     label = bags["label"].to_numpy(float)
     names, w, bias = np.empty(0, np.uint64), np.empty(0), -4.0
