@@ -26,7 +26,9 @@ SAMPLE_PER_CLASS = 4000
 BEGINNINGS = (3, 4, 5, 6)
 #: Features that a smaller share of the sampled documents have carry no weight.
 LEAST_SHARE = 1 / 800
-ROUNDS, RATE, SHRINK = 100, 0.1, 1e-4
+ROUNDS, RATE = 100, 0.1
+#: A weight stays 0 unless the likelihood pulls at it by more than this share of what one document of the smaller class can.
+LEAST_PULL = 0.1
 
 _SENTENCE = re.compile(r"[^.!?\n]+")
 _WORD = re.compile(r"[^\W_]+")
@@ -111,7 +113,7 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
 
 
 def _fit(bags: pd.DataFrame) -> pd.DataFrame:
-    """Full-batch Adam on the documents' log-likelihood, words' weights shrunk towards 0."""
+    """Full-batch Adam on the documents' log-likelihood; each step cuts the weights towards 0, so that few are left."""
     bags = bags.sort_values("doc_id")
     bags = bags[bags["counts"].map(len) > 0]
     label = bags["label"].to_numpy(float)
@@ -133,6 +135,7 @@ def _fit(bags: pd.DataFrame) -> pd.DataFrame:
         w = np.zeros(len(names))
         m, v, mb, vb = np.zeros(len(w)), np.zeros(len(w)), 0.0, 0.0
         balance = np.where(label > 0, 0.5 / label.mean(), 0.5 / (1 - label.mean())) / len(label)
+        least = LEAST_PULL * balance.max()
         for t in range(1, ROUNDS + 1):
             word = np.bincount(owner, w[place], len(of_word))
             z = np.bincount(sentence, word[flat], len(counts)) + bias
@@ -142,11 +145,14 @@ def _fit(bags: pd.DataFrame) -> pd.DataFrame:
             slope = balance * np.where(label > 0, -np.exp(clean) / any_, 1.0)  # by the sum of log-odds terms
             gz = slope[doc_of] * p
             gw = np.bincount(flat, gz[sentence], len(of_word))
-            g, gb = np.bincount(place, gw[owner], len(w)) + SHRINK * w, gz.sum()
+            g, gb = np.bincount(place, gw[owner], len(w)), gz.sum()
             m, v, mb, vb = 0.9 * m + 0.1 * g, 0.99 * v + 0.01 * g * g, 0.9 * mb + 0.1 * gb, 0.99 * vb + 0.01 * gb * gb
             scale = RATE * np.sqrt(1 - 0.99**t) / (1 - 0.9**t)
-            w -= scale * m / (np.sqrt(v) + 1e-8)
+            pace = scale / (np.sqrt(v) + 1e-8)
+            w -= pace * m
+            w = np.sign(w) * np.maximum(np.abs(w) - least * pace, 0)
             bias -= scale * mb / (np.sqrt(vb) + 1e-8)
+        names, w = names[w != 0], w[w != 0]
     return pd.DataFrame({"names": [names.tobytes()], "weights": [w.tobytes()], "bias": [float(bias)]})
 
 
