@@ -130,7 +130,7 @@ def _(s, d):
 
 _HEADER = f"""{_FEATURES}, {_WEIGHTS}, {SQL['series']}, {SQL['articles']}, {SQL['attempts']}, m AS (SELECT series, value, lag(value) OVER (PARTITION BY series ORDER BY date) AS before, row_number() OVER (PARTITION BY series ORDER BY date DESC) AS k FROM series),
 fails AS (SELECT failure AS kind, count(*) AS n FROM attempts WHERE failure IS NOT NULL GROUP BY 1), o AS (SELECT feed, CAST(floor((floor(epoch(max(published_at))) - floor(epoch(min(published_at)))) / 3600) AS BIGINT) AS h FROM articles GROUP BY feed),
-apart AS (SELECT ticker, count(*) AS n FROM panel WHERE abs(close - open) / close > 0.35 AND ticker <= 20 GROUP BY ticker)"""
+apart AS (SELECT ticker, count(*) AS n FROM panel WHERE abs(close - open) / close > 0.35 GROUP BY ticker)"""
 
 
 @query("header_facts", f"""{_HEADER} SELECT 'info' AS severity, 'market' AS key, string_agg(series || ' ' || printf('%.2f', value) || ' (' || printf('%+.2f%%', 100 * (value / before - 1)) || ')', ' | ' ORDER BY series) AS text FROM m WHERE k = 1
@@ -145,7 +145,7 @@ def _(s, d):
     fails = attempts(s, d).where("failure IS NOT NULL").groupBy(F.col("failure").alias("kind")).agg(F.count("*").alias("n"))
     lost = F.floor((F.unix_timestamp(F.max("published_at")) - F.unix_timestamp(F.min("published_at"))) / 3600).cast("double")
     gaps = a.groupBy("feed").agg(lost.alias("lost_hours"))
-    apart = versioned.vendor_disagreement(p.where("ticker <= 20"), p.withColumn("close", F.col("open")), most=0.35).groupBy("ticker").agg(F.count("*").alias("n"))
+    apart = versioned.vendor_disagreement(p, p.withColumn("close", F.col("open")), most=0.35).groupBy("ticker").agg(F.count("*").alias("n"))
     status = a.agg(F.count("*").alias("articles"), F.count_if(F.col("seq") % 11 == 0).alias("ambiguous"))
     dates = report.newest_dates(("panel", p, "date"), ("events", table(s, d, "events"), "ts"))
     return report.header_facts(dates, report.market_line(series(s, d)), fails, gaps, apart, _weight_coverage(s, d), status)

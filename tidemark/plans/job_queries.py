@@ -407,11 +407,19 @@ def _(s, d):
     return s.read.parquet(f"{path}/out")
 
 
-@query("stream_entity_counts", f"{_A} SELECT CAST(published_at AS DATE) AS day, feed AS ticker, count(*) + count(*) FILTER (WHERE seq % 2 = 0) AS n FROM articles GROUP BY ALL")
-def _(s, d):
-    path = _dropped(s, d)
-    counts = streams.entity_counts(streams.stream_articles(s, f"{path}/in").withColumn("ticker", F.col("feed")), "60 days")
-    batch = lambda df, i: df.select(F.to_date("window.start").alias("day"), "ticker", "n", F.lit(i).alias("batch")).write.mode("append").parquet(f"{path}/out")
+@query("stream_entity_counts", f"""{_A}, said AS (SELECT article_id, published_at, title || ' ' || a.n_name AS title, b.n_name AS description FROM articles LEFT JOIN nation a ON a.n_nationkey = seq % 25 LEFT JOIN nation b ON b.n_nationkey = ticker % 25)
+SELECT CAST(published_at AS DATE) AS day, n_nationkey AS ticker, count(*) AS n FROM said JOIN nation ON contains(coalesce(title, ''), n_name) OR contains(coalesce(description, ''), n_name) GROUP BY ALL""")
+def _(s, d):
+    path, nation = shared_folder(s), table(s, d, "nation").select("n_nationkey", "n_name")
+    one, other = (nation.select(F.col("n_nationkey").alias(f"{k}_key"), F.col("n_name").alias(f"{k}_name")) for k in ("one", "other"))
+    said = articles(s, d).join(F.broadcast(one), F.col("seq") % 25 == F.col("one_key"), "left").join(F.broadcast(other), F.col("ticker") % 25 == F.col("other_key"), "left")
+    said = said.select("seq", "article_id", "published_at", F.concat("title", F.lit(" "), "one_name").alias("title"), F.col("other_name").alias("description"))
+    said.write.json(f"{path}/in/a")
+    said.where("seq % 2 = 0").write.json(f"{path}/in/b")  # polled again
+    none = F.lit(None).cast("array<string>")
+    entries = nation.select(F.col("n_nationkey").alias("ticker"), F.array("n_name").alias("aliases"), none.alias("exclude"), none.alias("ambiguous_parents"))
+    counts = streams.entity_counts(streams.stream_articles(s, f"{path}/in"), entries, "60 days")
+    batch = lambda df, i: df.write.mode("overwrite").parquet(f"{path}/out/batch={i}")
     _finished(counts.writeStream.outputMode("update").foreachBatch(batch).option("checkpointLocation", f"{path}/cp"))
     return s.read.parquet(f"{path}/out").groupBy("day", "ticker").agg(F.max_by("n", "batch").alias("n"))
 
@@ -424,16 +432,29 @@ def _(s, d):
     return s.read.parquet(f"{path}/out").groupBy("feed").agg(F.sum("n").alias("n"), F.sum("foreign_host").alias("foreign_host"))
 
 
-@query("stream_feed_progress", f"{_A} SELECT feed, date_trunc('millisecond', max(published_at)) AS newest FROM articles GROUP BY feed")
+_HALF = "(SELECT CAST(min(published_at) AS DATE) + CAST(date_diff('day', min(published_at), max(published_at)) // 2 AS INT) FROM articles)"
+
+
+@query("stream_feed_progress", f"""{_A}, polled AS (SELECT feed, date_trunc('millisecond', published_at) AS moment, published_at >= {_HALF} AS later FROM articles WHERE feed <> 'error' OR published_at < {_HALF}),
+polls AS (SELECT feed, max(moment) FILTER (WHERE NOT later) AS before, min(moment) FILTER (WHERE later) AS oldest, max(moment) AS newest FROM polled GROUP BY feed)
+SELECT feed, newest, {r("coalesce(epoch_us(oldest) - epoch_us(before), 0) / 3.6e9", "lost_hours")}, newest < (SELECT max(newest) FROM polls) - INTERVAL 24 HOUR AS silent FROM polls""")
 def _(s, d):
-    path, key = _dropped(s, d), "spark.sql.streaming.stateStore.providerClass"
+    """Two polls, the second without one feed, which falls silent."""
+    path, key = shared_folder(s), "spark.sql.streaming.stateStore.providerClass"
+    a = articles(s, d).select("article_id", "feed", "published_at")
+    low, high = F.to_date(F.min("published_at")), F.to_date(F.max("published_at"))
+    half = F.lit(a.agg(F.date_add(low, F.floor(F.datediff(high, low) / 2).cast("int")).cast("string")).first()[0]).cast("timestamp")
     before = s.conf.get(key, None)
     s.conf.set(key, "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider")
     try:
-        got = streams.feed_progress(streams.stream_articles(s, f"{path}/in"))
-        _finished(got.writeStream.outputMode("update").foreachBatch(lambda df, i: df.write.mode("append").parquet(f"{path}/out")).option("checkpointLocation", f"{path}/cp"))
+        for poll in (a.where(F.col("published_at") < half), a.where((F.col("published_at") >= half) & (F.col("feed") != "error"))):
+            poll.write.mode("append").json(f"{path}/in")
+            got = streams.feed_progress(streams.stream_articles(s, f"{path}/in", 1_000_000), late="60 days")
+            batch = lambda df, i: df.write.mode("overwrite").parquet(f"{path}/out/batch={i}")
+            _finished(got.writeStream.outputMode("update").foreachBatch(batch).option("checkpointLocation", f"{path}/cp"))
     finally:
         s.conf.set(key, before) if before else s.conf.unset(key)
-    return s.read.parquet(f"{path}/out").groupBy("feed").agg(F.max("newest").alias("newest"))
+    said = s.read.parquet(f"{path}/out")
+    return said.groupBy("feed").agg(F.max("newest").alias("newest"), F.max("lost_hours").alias("lost_hours"), F.max_by("silent", F.struct("newest", "silent")).alias("silent"))
 
 

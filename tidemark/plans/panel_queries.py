@@ -333,7 +333,7 @@ def _(s, d):
 
 @query("bootstrap_ci")
 def _(s, d):
-    return evaluation.bootstrap_ci(evaluation.daily_ic(_pairs(s, d)), draws=1000)
+    return evaluation.bootstrap_ci(evaluation.daily_ic(_pairs(s, d)))
 
 
 @query("quantile_spread", f"""{_SCORES}, k AS (SELECT date, excess, count(*) OVER (PARTITION BY date) AS n, greatest(1, ceil(count(*) OVER (PARTITION BY date) * 0.2)) AS k,
