@@ -28,6 +28,30 @@ def test_z_ends_before_the_row_and_needs_a_full_varying_window(spark):
     assert values(got, "z", "b") == [None] * 4 and values(got, "z", "c") == [None] * 4
 
 
+@pytest.mark.parametrize("size", [1, 2, 5, 60])
+def test_wide_scores_are_those_of_sliding_frames(spark, size):
+    draw = random.Random(size)
+    near = lambda n: [None if draw.random() < 0.01 else draw.choice([0.1, 0.1, 0.3, draw.random()]) for _ in range(n)]
+    rows = {"a": near(700), "b": [0.1] * 90 + [0.7] + [0.1] * 90, "c": [1e12] + near(300), "d": near(3), "e": [float("nan")] + near(150), "f": [float("inf")] + near(150), None: near(80)}
+    df = panel(spark, rows).repartition(3)
+    before = spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "50")
+    try:
+        both = rolling.with_rolling_z(df.withColumn("z", rolling.rolling_z("x", rolling.by(), size)), {"got": "x"}, size).collect()
+    finally:
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", before)
+    assert len(both) == sum(map(len, rows.values())) and (size == 1 or any(r.z is not None for r in both))
+    off = [r for r in both if (r.z is None) != (r.got is None) or r.z is not None and r.got != pytest.approx(r.z, rel=1e-6, abs=1e-6, nan_ok=True)]
+    assert not off
+
+
+def test_wide_windows_of_features_are_no_sliding_frames(spark):
+    cols = ", ".join(f"{c} double" for c in ("open", "close", "foreign_net", "inst_net", "trading_value", "short_balance", "shares_outstanding", "pbr"))
+    p = spark.createDataFrame([], f"date date, ticker string, sector string, {cols}")
+    for made in (features.panel_features(p), features.volatility_z(p)):
+        assert "-252" not in made._jdf.queryExecution().analyzed().toString()
+
+
 def test_percentile_counts_the_row_itself(spark):
     df = panel(spark, {"a": [1.0, 2.0, 3.0, 4.0], "b": [4.0, 3.0, 2.0, 1.0], "c": [1.0, 1.0, None, 1.0]})
     got = rolling.with_rolling_percentile(df, "x", "p", 3)

@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window
 
 from tidemark.functions.columns import group_or_own, safe_ratio
-from tidemark.operators.rolling import band, by, lagged_ratio, pct_change, rolling_spread, rolling_sum_ratio, rolling_z, with_rolling_percentile
+from tidemark.operators.rolling import band, by, lagged_ratio, pct_change, rolling_spread, rolling_sum_ratio, scores, shares, with_rolling, with_rolling_z
 
 FEATURES = ("foreign_flow_5d", "inst_flow_5d", "short_ratio", "valuation_band", "rel_strength_20d")
 
@@ -37,28 +39,30 @@ def excess_return(df: DataFrame, value: str = "forward", group: str = "sector",
     return df.withColumn(out, F.col(value) - F.when(peers, mean).otherwise(everyone))
 
 
-def panel_features(panel: DataFrame, window: int = 252, valuation_window: int = 756, short_lag: int = 3, flow_days: int = 5, strength_days: int = 20) -> DataFrame:
+def panel_features(panel: DataFrame, window: int = 252, valuation_window: int = 756, short_lag: int = 3, flow_days: int = 5, strength_days: int = 20, keep: Sequence[str] | None = None) -> DataFrame:
     """panel with the five features and their standard scores (``*_z``); the band is its own score.
 
-    Everything per ticker shares one shuffle and sort; the group means take one more by date.
+    keep names the panel's columns that stay, all of them by default; others aren't carried through the shuffles.
+    Short frames share one shuffle and sort by ticker, the group means take one by date, and all wide windows
+    one more by ticker.
     """
     w = by()
-    base = with_rolling_percentile(panel.withColumn("sector", group_or_own("sector", "ticker")), "pbr", "_percentile", valuation_window)
-    made = base.withColumns({
+    made = panel.withColumn("sector", group_or_own("sector", "ticker")).withColumns({
         "foreign_flow_5d": rolling_sum_ratio("foreign_net", "trading_value", w, flow_days),
         "inst_flow_5d": rolling_sum_ratio("inst_net", "trading_value", w, flow_days),
         "short_ratio": lagged_ratio("short_balance", "shares_outstanding", w, short_lag),
-        "valuation_band": band(F.col("_percentile")),
-    }).drop("_percentile")
+    })
     made = rel_strength(made, strength_days, out="rel_strength_20d")
-    scores = {f"{f}_z": rolling_z(f, w, window) for f in FEATURES if f != "valuation_band"}
-    return made.withColumns(scores | {"valuation_band_z": F.col("valuation_band")})
+    made = made.select(*(panel.columns if keep is None else keep), F.col("pbr").alias("_pbr"), *[f for f in FEATURES if f != "valuation_band"])
+    wide = {"_percentile": (shares, "_pbr", valuation_window)} | {f"{f}_z": (scores, f, window) for f in FEATURES if f != "valuation_band"}
+    made = with_rolling(made, wide).withColumn("valuation_band", band(F.col("_percentile"))).drop("_percentile", "_pbr")
+    return made.withColumn("valuation_band_z", F.col("valuation_band"))
 
 
 def volatility_z(panel: DataFrame, window: int = 252, days: int = 20) -> DataFrame:
     """(date, ticker, volatility_z): deviation of daily returns over days rows, as a standard score."""
     moved = pct_change(panel, "close", 1, by(), "ret").withColumn("vol", rolling_spread("ret", by(), days))
-    return moved.select("date", "ticker", rolling_z("vol", by(), window).alias("volatility_z"))
+    return with_rolling_z(moved.select("date", "ticker", "vol"), {"volatility_z": "vol"}, window).drop("vol")
 
 
 def realised_volatility(panel: DataFrame, days: int = 20) -> DataFrame:

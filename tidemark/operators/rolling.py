@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator, Mapping
 
 import numpy as np
 import pandas as pd
@@ -16,6 +16,9 @@ from pyspark.sql import Window, WindowSpec
 from tidemark.functions.columns import col, safe_ratio, when_full
 from tidemark.operators.storage import written
 
+#: Windows whose moments are taken at once.
+CHUNK = 1024
+
 
 def by(key: str = "ticker", order: str = "date") -> WindowSpec:
     return Window.partitionBy(key).orderBy(order)
@@ -29,7 +32,10 @@ def rolling_sum_ratio(num: str | Column, den: str | Column, over: WindowSpec, si
 
 
 def rolling_z(value: str | Column, over: WindowSpec, size: int = 252) -> Column:
-    """Standard score against the size rows strictly before; NULL unless all are there and they vary."""
+    """Standard score against the size rows strictly before; NULL unless all are there and they vary.
+
+    Spark goes through the frame anew for every row: for wide windows take ``with_rolling_z``.
+    """
     w, x = over.rowsBetween(-size, -1), col(value)
     return F.when(F.count(x).over(w) == size, F.try_divide(x - F.avg(x).over(w), F.stddev_samp(x).over(w)))
 
@@ -37,28 +43,74 @@ def rolling_z(value: str | Column, over: WindowSpec, size: int = 252) -> Column:
 def with_rolling_percentile(df: DataFrame, value: str, out: str, size: int = 756, key: str = "ticker", order: str = "date") -> DataFrame:
     """df with the share of the other rows of the window, this one included in it, that don't exceed this value.
 
-    NULL unless all of the window's values are there. Rows are dealt by key and stream in order; a task
-    holds the last rows of one key, and a skip list ranks each value among them.
+    NULL unless all of the window's values are there.
+    """
+    return with_rolling(df, {out: (shares, value, size)}, key, order)
+
+
+def with_rolling_z(df: DataFrame, values: Mapping[str, str], size: int = 252, key: str = "ticker", order: str = "date") -> DataFrame:
+    """df with the standard scores of ``rolling_z``, out by value, at a cost a row that Spark's sliding frames don't have."""
+    return with_rolling(df, {out: (scores, value, size) for out, value in values.items()}, key, order)
+
+
+def shares(x: np.ndarray, missing: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray]:
+    """(value, whether it is missing) of the rolling percentile at each place; a skip list ranks."""
+    share = ((pd.Series(x).rolling(size, min_periods=size).rank(method="max") - 1) / (size - 1 or np.nan)).to_numpy()
+    return share, np.isnan(share)
+
+
+def scores(x: np.ndarray, missing: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray]:
+    """(value, whether it is missing) of the standard score against the size places before each.
+
+    Moments are taken anew of each window, so no outlier that has left it leaves an error behind; a window of
+    equal values has no deviation, whatever their mean rounds to.
+    """
+    n, z, out = len(x), np.full(len(x), np.nan), np.ones(len(x), bool)
+    if size < 2 or n <= size:
+        return z, out
+    before, places = np.concatenate([[0], np.cumsum(missing)]), np.arange(size, n)
+    changed = np.maximum.accumulate(np.concatenate([[0], np.where(x[1:] != x[:-1], np.arange(1, n), 0)]))
+    out[size:] = missing[size:] | (before[places] > before[places - size]) | (changed[places - 1] <= places - size)
+    windows = np.lib.stride_tricks.sliding_window_view(x[:-1], size)
+    with np.errstate(all="ignore"):
+        for at in range(0, len(windows), CHUNK):
+            w = windows[at : at + CHUNK]
+            mean = w.mean(axis=1)
+            apart = w - mean[:, None]
+            deviation = np.sqrt(np.einsum("ij,ij->i", apart, apart) / (size - 1))
+            z[size + at : size + at + len(w)] = (x[size + at : size + at + len(w)] - mean) / deviation
+            out[size + at : size + at + len(w)] |= deviation == 0
+    return z, out
+
+
+def with_rolling(df: DataFrame, columns: Mapping[str, tuple[Callable, str, int]], key: str = "ticker", order: str = "date") -> DataFrame:
+    """df with columns of rolling windows: out by (function of values, missing and size; value; size).
+
+    Rows are dealt by key and stream in order; a task holds the last rows of one key, as many as the widest window.
     """
     from pyspark.sql.pandas.types import to_arrow_schema
 
-    schema = T.StructType([*df.schema.fields, T.StructField(out, T.DoubleType())])
+    schema = T.StructType([*df.schema.fields, *[T.StructField(out, T.DoubleType()) for out in columns]])
     target, at = to_arrow_schema(schema), {c: i for i, c in enumerate(df.columns)}
+    values, held = list(dict.fromkeys(value for _, value, _ in columns.values())), max(size for _, _, size in columns.values())
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        last, tail = None, np.empty(0)
+        last, tails = None, {}
         for batch in batches:
-            keys, x = batch.column(at[key]), batch.column(at[value]).cast(pa.float64()).to_numpy(zero_copy_only=False)
-            share = np.full(len(x), np.nan)
-            runs = pc.run_end_encode(keys)
+            arrays = {v: batch.column(at[v]) for v in values}
+            now = {v: (a.cast(pa.float64()).to_numpy(zero_copy_only=False), a.is_null().to_numpy(zero_copy_only=False)) for v, a in arrays.items()}
+            made = {out: (np.empty(len(batch)), np.empty(len(batch), bool)) for out in columns}
+            runs = pc.run_end_encode(batch.column(at[key]))
             begin = 0
             for k, end in zip(runs.values.to_pylist(), runs.run_ends.to_pylist(), strict=True):
-                held = tail if k == last else np.empty(0)
-                seen = np.concatenate([held, x[begin:end]])
-                share[begin:end] = ((pd.Series(seen).rolling(size, min_periods=size).rank(method="max") - 1) / (size - 1 or np.nan)).to_numpy()[len(held) :]
-                last, tail, begin = k, seen[len(seen) - min(len(seen), size - 1) :], end
-            columns = [*[c if c.type == f.type else c.cast(f.type) for c, f in zip(batch.columns, target, strict=False)], pa.array(share, pa.float64(), from_pandas=True)]
-            yield pa.RecordBatch.from_arrays(columns, schema=target)
+                old = tails if k == last else {}
+                seen = {v: [np.concatenate([o, c[begin:end]]) if v in old else c[begin:end] for o, c in zip(old.get(v, now[v]), now[v], strict=True)] for v in values}
+                for out, (function, value, size) in columns.items():
+                    for whole, part in zip(made[out], function(*seen[value], size), strict=True):
+                        whole[begin:end] = part[len(part) - (end - begin) :]
+                last, tails, begin = k, {v: [c[-held:] for c in seen[v]] for v in values}, end
+            old_columns = [c if c.type == f.type else c.cast(f.type) for c, f in zip(batch.columns, target, strict=False)]
+            yield pa.RecordBatch.from_arrays([*old_columns, *[pa.array(x, pa.float64(), mask=missing) for x, missing in made.values()]], schema=target)
 
     return df.repartition(key).sortWithinPartitions(key, order).mapInArrow(run, schema)
 

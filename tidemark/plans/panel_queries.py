@@ -86,7 +86,7 @@ def _calendar(s, d):
 
 
 def _scored(s, d):
-    return features.panel_features(panel(s, d), YEAR, VALUATION)
+    return features.panel_features(panel(s, d), YEAR, VALUATION, keep=("date", "ticker"))
 
 
 def _rated(s, d):
@@ -131,7 +131,11 @@ def _columns(name: str, column, expression: str, source: str = "panel"):
 _w = rolling.by
 _columns("rolling_sum_ratio", lambda: rolling.rolling_sum_ratio("foreign_net", "trading_value", _w()), _sum_ratio("foreign_net", "trading_value"))
 _columns("flow_persistence_60d", lambda: rolling.rolling_sum_ratio("foreign_net", "trading_value", _w(), 60), _sum_ratio("foreign_net", "trading_value", 60))
-_columns("rolling_z", lambda: rolling.rolling_z("close", _w(), YEAR), _z("close"))
+@query("rolling_z", f"{_P} SELECT date, ticker, {r(_z('close'), 'value')} FROM panel")
+def _(s, d):
+    return rolling.with_rolling_z(panel(s, d).select("date", "ticker", "close"), {"value": "close"}, YEAR).drop("close")
+
+
 _columns("by_ticker", lambda: rolling.rolling_z("trading_value", _w(), 20), _z("trading_value", 20))
 @query("rolling_percentile", f"{_P} SELECT date, ticker, {r(f'0.5 - ({_BAND}) / 2', 'value')} FROM panel")
 def _(s, d):
