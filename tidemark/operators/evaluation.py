@@ -161,10 +161,12 @@ def cut_point_table(scores: DataFrame, cuts: dict[str, float], score: str = "sco
 
 def bucket_counts(ratings: DataFrame, rebucketed: Column, levels: Sequence[str]) -> DataFrame:
     """(rating, published, current) for every level, counts of labels as stored and as the current cuts give."""
-    stored = ratings.groupBy("rating").agg(F.count("*").alias("published"))
-    now = ratings.select(rebucketed.alias("rating")).groupBy("rating").agg(F.count("*").alias("current"))
+    both = ratings.groupBy("rating", rebucketed.alias("again")).agg(F.count("*").alias("n"))
+    none, n = F.lit(0).cast("long"), F.col("n")
+    sides = F.array(*[F.struct(F.col(c).alias("rating"), p.alias("published"), q.alias("current")) for c, p, q in (("rating", n, none), ("again", none, n))])
+    counts = both.select(F.explode(sides).alias("s")).select("s.*").groupBy("rating").agg(F.sum("published").alias("published"), F.sum("current").alias("current"))
     dim = ratings.sparkSession.createDataFrame([(x,) for x in levels], "rating string")
-    return dim.join(stored, "rating", "left").join(now, "rating", "left").fillna(0, ["published", "current"])
+    return dim.join(counts, "rating", "left").fillna(0, ["published", "current"])
 
 
 def weight_influence(features: DataFrame, weights: dict[str, float]) -> DataFrame:
