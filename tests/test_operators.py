@@ -52,6 +52,22 @@ def test_wide_windows_of_features_are_no_sliding_frames(spark):
         assert "-252" not in made._jdf.queryExecution().analyzed().toString()
 
 
+def test_what_is_counted_is_made_once(spark):
+    from tidemark.plans.panel_queries import rating as levels
+
+    made = spark.sparkContext.accumulator(0)
+
+    def seen(batches):
+        for b in batches:
+            made.add(b.num_rows)
+            yield b
+
+    rows = spark.range(1000).select(F.lit("HOLD").alias("rating"), (F.col("id") % 70 / 20).alias("score")).mapInArrow(seen, "rating string, score double")
+    got = {r.rating: (r.published, r.current) for r in evaluation.bucket_counts(rows, levels.bucket(F.col("score")), levels.LEVELS).collect()}
+    assert made.value == 1000 and got["HOLD"][0] == 1000 and sum(c for _, c in got.values()) == 1000 and got["STRONG_SELL"] == (0, 0)
+    assert evaluation.score_percentiles(rows).count() == 5 and made.value == 2000
+
+
 def test_percentile_counts_the_row_itself(spark):
     df = panel(spark, {"a": [1.0, 2.0, 3.0, 4.0], "b": [4.0, 3.0, 2.0, 1.0], "c": [1.0, 1.0, None, 1.0]})
     got = rolling.with_rolling_percentile(df, "x", "p", 3)

@@ -143,7 +143,7 @@ def score_percentiles(scores: DataFrame, score: str = "score", points: Sequence[
     """
     known = scores.select(F.abs(score).alias("v")).where("v IS NOT NULL").groupBy("v").agg(F.count("*").alias("n"))
     laid = running_total(known, "n", "before", "v")
-    total = known.agg(F.sum("n")).first()[0] or 0
+    total = laid.agg(F.sum("n")).first()[0] or 0  # of what is written, so that the scores are made once
     place = [(float(p), (total - 1) * float(p)) for p in points]
     lower = lambda at: F.max(F.when(F.col("before") <= F.floor(F.lit(at)), F.col("v")))
     upper = lambda at: F.max(F.when(F.col("before") <= F.ceil(F.lit(at)), F.col("v")))
