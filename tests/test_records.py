@@ -251,3 +251,35 @@ def test_storage_keeps_to_its_own(spark, tmp_path):
     with pytest.raises(Exception):  # noqa: B017  its files aren't there any more
         gone.count()
     assert shared_folder(spark) != shared_folder(spark)
+
+
+def _titles(spark, n=90):
+    draw = random.Random(8)
+    made = [" ".join(draw.sample("abcdefgh", draw.randint(0, 5))) for _ in range(n // 3)]
+    return spark.createDataFrame([(draw.choice(["k", "l", None]), i % 80, draw.choice(made) if i % 9 else None, float(i)) for i in range(n)], "ticker string, article_id long, title string, v double")
+
+
+@pytest.mark.parametrize("least, overlap", [(0.35, False), (0.5, False), (0.35, True), (1.0, True)])
+def test_title_pairs_of_blocks_and_chunks_are_all_pairs(spark, monkeypatch, least, overlap):
+    monkeypatch.setattr(similarity, "TITLES", 4)
+    monkeypatch.setattr(similarity, "MEMBERS", 2)
+    t = _titles(spark)
+    got = similarity.same_event_pairs(t, least=least, overlap=overlap, carry=["v"])
+    assert not any(line.strip().startswith("Join") and "w#" in line for line in got._jdf.queryExecution().analyzed().toString().splitlines())
+    rows, want = [(r.ticker, r.article_id, set((r.title or "").split()), r.v) for r in t.collect()], []
+    for p in rows:
+        for q in rows:
+            if p[0] and p[0] == q[0] and p[1] < q[1] and p[2] and q[2]:
+                shared = len(p[2] & q[2])
+                s = shared / (min(len(p[2]), len(q[2])) if overlap else len(p[2] | q[2]))
+                want += [(p[0], p[1], q[1], s, p[3], q[3])] if s >= least else []
+    assert len(want) > 20 and sorted(map(tuple, got.collect())) == sorted(want)
+
+
+def test_contradictions_of_classes_are_those_of_pairs(spark):
+    t = _titles(spark)
+    rows = t.where("ticker IS NOT NULL").select("article_id", "ticker", F.element_at(F.array(F.lit("positive"), F.lit("negative"), F.lit(None)), (F.col("v") % 7 % 3 + 1).cast("int")).alias("bucket"), F.lit("n").alias("name"), "title", F.lit("").alias("description"))
+    members = similarity.titled(t)
+    flags = lambda got: sorted(map(tuple, got.collect()))
+    want = flags(conflicts.label_conflicts(rows, similarity.same_event_pairs(t)))
+    assert any(f == "contradiction" for *_, f in want) and flags(conflicts.label_conflicts(rows, similarity.alike_classes(members), members)) == want

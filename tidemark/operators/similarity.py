@@ -2,18 +2,24 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Sequence
 
+import numpy as np
 import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidemark.functions.columns import dot
 from tidemark.operators.graph import connected_components
+from tidemark.operators.storage import written
 
 #: Members of a key that one block holds; vector pairs are formed between blocks, never over a whole key at once.
 BLOCK = 512
+#: Classes of titles, and tokens in them, that a block holds; members of a class that a chunk holds.
+TITLES, TOKENS, MEMBERS = 4096, 1 << 19, 1000
 #: Fixed value: what the tokens of a title are made of.
 TOKEN = "[가-힣A-Za-z0-9]+"
 
@@ -23,35 +29,85 @@ def tokens(text: str):
     return F.array_distinct(F.regexp_extract_all(F.coalesce(F.col(text), F.lit("")), F.lit(TOKEN), 0))
 
 
-def same_event_pairs(articles: DataFrame, key: str = "ticker", text: str = "title", least: float = 0.5, overlap: bool = False) -> DataFrame:
+def titled(articles: DataFrame, key: str = "ticker", text: str = "title", carry: Sequence[str] = ()) -> DataFrame:
+    """(key, c, article_id, carry, t) of articles whose text has tokens; those of equal sets have one class c."""
+    base = articles.where(F.col(key).isNotNull()).select(key, "article_id", *carry, F.array_sort(tokens(text)).alias("t")).where(F.size("t") > 0)
+    return base.withColumn("c", F.unhex(F.md5(F.array_join("t", " "))))
+
+
+def alike_classes(members: DataFrame, key: str = "ticker", least: float = 0.5, overlap: bool = False) -> DataFrame:
+    """(key, x, y, s), once each, of different classes of ``titled`` whose token sets reach the threshold.
+
+    Classes of a key are dealt to blocks, and a task counts what two blocks share from the postings of one of
+    them. Only what reaches the threshold leaves it, so candidates are never shuffled; sets are, once a block.
+    """
+    classes = members.groupBy(key, "c").agg(F.any_value("t").alias("t"))
+    wide = F.greatest(F.count("*") / TITLES, F.sum(F.size("t")) / TOKENS)
+    blocks = classes.groupBy(key).agg(F.ceil(wide).cast("int").alias("n"))
+    own = classes.join(F.broadcast(blocks), key).withColumn("t", F.array_join("t", " ")).withColumn("own", F.pmod(F.xxhash64("c"), F.col("n")).cast("int"))
+    pair = F.transform(F.sequence(F.lit(0), F.col("n") - 1), lambda o: F.struct(F.least(o, "own").alias("u"), F.greatest(o, "own").alias("v")))
+    dealt = own.withColumn("p", F.explode(pair)).select(key, "p.u", "p.v", "own", "c", "t")  # a set as one string: shorter rows
+
+    def compare(group: pa.Table) -> pa.Table:
+        own, u, v = group["own"].to_numpy(), group["u"][0].as_py(), group["v"][0].as_py()
+        text = group["t"].combine_chunks()
+        sets = pc.split_pattern(pa.concat_arrays(text.chunks) if isinstance(text, pa.ChunkedArray) else text, " ")
+        sizes = pc.list_value_length(sets).to_numpy(zero_copy_only=False)
+        word = sets.flatten().dictionary_encode().indices.to_numpy()
+        begins = np.concatenate([[0], np.cumsum(sizes)])
+        left, right = np.flatnonzero(own == u), np.flatnonzero(own == v)
+        place = np.full(len(own), -1)
+        place[right] = np.arange(len(right))
+        of = np.repeat(place, sizes)
+        held, at = word[of >= 0], of[of >= 0]
+        posted = at[np.argsort(held, kind="stable")]
+        starts = np.concatenate([[0], np.cumsum(np.bincount(held, minlength=int(word.max()) + 1))])
+        xs, ys, likes, n = [], [], [], sizes[right]
+        for i in left if len(right) else ():
+            count = np.bincount(np.concatenate([posted[starts[w] : starts[w + 1]] for w in word[begins[i] : begins[i + 1]]]), minlength=len(right))
+            like = count / (np.minimum(n, sizes[i]) if overlap else n + sizes[i] - count)
+            hit = np.flatnonzero(like >= least)
+            hit = hit[hit > place[i]] if u == v else hit
+            xs.append(np.full(len(hit), i))
+            ys.append(right[hit])
+            likes.append(like[hit])
+        x, y, like = (np.concatenate([np.empty(0, kind), *parts]).astype(kind) for parts, kind in ((xs, np.int64), (ys, np.int64), (likes, np.float64)))
+        c = group["c"].combine_chunks()
+        c = pa.concat_arrays(c.chunks) if isinstance(c, pa.ChunkedArray) else c
+        return pa.table({key: group[key].take(np.zeros(len(x), np.int64)), "x": c.take(pa.array(x)), "y": c.take(pa.array(y)), "s": like})
+
+    schema = T.StructType([members.schema[key], T.StructField("x", T.BinaryType()), T.StructField("y", T.BinaryType()), T.StructField("s", T.DoubleType())])
+    return dealt.groupBy(key, "u", "v").applyInArrow(compare, schema)
+
+
+def same_event_pairs(articles: DataFrame, key: str = "ticker", text: str = "title", least: float = 0.5, overlap: bool = False, carry: Sequence[str] = ()) -> DataFrame:
     """(key, a, b, jaccard) of different articles of a key whose token sets reach the threshold.
 
-    With overlap the shared tokens are measured against the smaller set, as ``overlap``. Equal sets are one
-    class; only classes are compared, and pairs of articles are made of alike classes at the end. By prefix
-    filter: a pair at least that alike shares one of the rarest tokens of the smaller side, as many as the
-    threshold leaves over, so only those are joined on; then the whole sets are compared.
+    With overlap the shared tokens are measured against the smaller set, as ``overlap``. Columns to carry come
+    with both sides, as ``_a`` and ``_b``. Classes of equal sets are compared; their members are held in bounded
+    chunks, and the pairs of two chunks are made only at the end, after they have been dealt out.
     """
-    base = articles.select(key, "article_id", F.array_sort(tokens(text)).alias("t")).where(F.size("t") > 0)
-    classes = base.groupBy(key, "t").agg(F.min("article_id").alias("c"))
-    members = base.join(classes, [key, "t"]).select(key, "c", "article_id")
-    exploded = classes.select(key, "c", F.size("t").alias("n"), F.explode("t").alias("w"))
-    rare = exploded.groupBy(key, "w").agg(F.count("*").alias("df"))
-    ranked = exploded.join(rare, [key, "w"]).groupBy(key, "c", "n").agg(F.array_sort(F.collect_list(F.struct("df", "w"))).alias("o"))
-    keep = F.size("o") - F.ceil(F.size("o") * least).cast("int") + 1
-    prefix = ranked.select(key, "c", "n", F.explode(F.slice("o", F.lit(1), keep)).alias("p")).select(key, F.col("c").alias("x"), F.col("n").alias("nx"), F.col("p.w").alias("w"))
-    other = exploded.select(key, F.col("c").alias("y"), F.col("n").alias("ny"), "w") if overlap else prefix.select(key, F.col("x").alias("y"), F.col("nx").alias("ny"), "w")
-    fits = (F.col("nx") < F.col("ny")) | ((F.col("nx") == F.col("ny")) & (F.col("x") < F.col("y")))
-    near = fits if overlap else fits & (F.col("nx") >= least * F.col("ny"))
-    ids = prefix.join(other, [key, "w"]).where((F.col("x") != F.col("y")) & near).select(key, "x", "y").distinct()
-    sets = lambda side: classes.select(key, F.col("c").alias(side), F.col("t").alias(f"t_{side}"))
-    both = ids.join(sets("x"), [key, "x"]).join(sets("y"), [key, "y"])
-    shared = F.size(F.array_intersect("t_x", "t_y"))
-    whole = F.least(F.size("t_x"), F.size("t_y")) if overlap else F.size("t_x") + F.size("t_y") - shared
-    alike = both.select(key, "x", "y", (shared / whole).alias("s")).where(F.col("s") >= least)
-    alike = alike.union(classes.select(key, F.col("c"), F.col("c"), F.lit(1.0)))
-    of = lambda side, name: members.select(key, F.col("c").alias(side), F.col("article_id").alias(name))
-    pairs = alike.join(of("x", "p"), [key, "x"]).join(of("y", "q"), [key, "y"]).where((F.col("x") != F.col("y")) | (F.col("p") < F.col("q")))
-    return pairs.select(key, F.least("p", "q").alias("a"), F.greatest("p", "q").alias("b"), F.col("s").alias("overlap" if overlap else "jaccard"))
+    members = written(titled(articles, key, text, carry))  # read for classes, chunks and their sizes: texts are split once
+    sizes = members.groupBy(key, "c").agg(F.ceil(F.count("*") / MEMBERS).alias("k"))
+    item = F.struct("article_id", *carry)
+    chunks = members.select(key, "c", "article_id", *carry).join(sizes, [key, "c"]).groupBy(key, "c", F.pmod(F.xxhash64("article_id"), F.col("k")).alias("k")).agg(F.collect_list(item).alias("i"))
+    alike = alike_classes(members, key, least, overlap)
+    alike = alike.union(sizes.select(key, F.col("c"), F.col("c"), F.lit(1.0)))
+    of = lambda side, name: chunks.select(key, F.col("c").alias(side), F.col("k").alias(f"k_{name}"), F.col("i").alias(name))
+    both = alike.join(of("x", "ps"), [key, "x"]).join(of("y", "qs"), [key, "y"])
+    both = both.where((F.col("x") != F.col("y")) | (F.col("k_ps") < F.col("k_qs")) | ((F.col("k_ps") == F.col("k_qs")) & (F.size("ps") > 1)))
+    own = (F.col("x") == F.col("y")) & (F.col("k_ps") == F.col("k_qs"))
+    parts = int(articles.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    dealt = both.repartition(parts, "x", "y", "k_ps", "k_qs").select(key, own.alias("own"), "s", "ps", "qs")
+    pairs = dealt.select(key, "own", "s", "qs", F.explode("ps").alias("p")).select(key, "own", "s", "p", F.explode("qs").alias("q"))
+    first = F.col("p.article_id") < F.col("q.article_id")
+    pairs = pairs.where(first | (~F.col("own") & (F.col("p.article_id") != F.col("q.article_id"))))
+    low, high = (F.when(first, F.col(x)).otherwise(F.col(y)) for x, y in (("p", "q"), ("q", "p")))
+    pairs = pairs.select(key, low.alias("a"), high.alias("b"), "s")
+    return pairs.select(
+        key, F.col("a.article_id").alias("a"), F.col("b.article_id").alias("b"), F.col("s").alias("overlap" if overlap else "jaccard"),
+        *[F.col(f"{side}.{c}").alias(f"{c}_{side}") for c in carry for side in "ab"],
+    )
 
 
 def similarity_pairs(vectors: DataFrame, least: float, key: str = "ticker", item: str = "article_id", vector: str = "vector") -> DataFrame:

@@ -303,7 +303,8 @@ SELECT a AS article_id, ticker, 'contradiction' AS flag FROM f UNION SELECT b, t
 UNION SELECT article_id, ticker, 'shared_sign' FROM labelled WHERE article_id IN (SELECT article_id FROM labelled GROUP BY article_id HAVING count(*) > 1 AND min(bucket) = max(bucket) AND min(bucket) <> 'irrelevant')
 UNION SELECT article_id, ticker, 'author_mention' FROM labelled WHERE bucket <> 'irrelevant' AND contains(name, '증권') AND contains(description, '목표가')""")
 def _(s, d):
-    return conflicts.label_conflicts(_labelled(s, d), similarity.same_event_pairs(titles(s, d)))
+    members = written(similarity.titled(titles(s, d)))
+    return conflicts.label_conflicts(_labelled(s, d), similarity.alike_classes(members), members)
 
 
 _WORDS = ("외국인 순매수", "기관 수급에 급등", "외인 매물에 급락", "공급 계약에 급등", "plain")
@@ -332,9 +333,9 @@ def _(s, d):
 p AS (SELECT a.ticker, a.article_id AS a, b.article_id AS b, a.relevance AS ra, b.relevance AS rb, a.polarity AS pa, b.polarity AS pb FROM t a JOIN t b ON a.ticker = b.ticker AND a.article_id <> b.article_id WHERE len(a.t) > 0 AND len(b.t) > 0 AND len(list_intersect(a.t, b.t))::DOUBLE / least(len(a.t), len(b.t)) >= 0.35)
 SELECT a AS article_id, ticker, 'relevance' AS dimension, b AS against, {r('abs(ra - rb)', 'gap')} FROM p WHERE abs(ra - rb) >= 0.4 UNION ALL SELECT a, ticker, 'polarity', b, {r('abs(pa - pb)', 'gap')} FROM p WHERE abs(pa - pb) >= 0.4""".replace(_T, sql("titles")))
 def _(s, d):
-    t = titles(s, d)
-    scores = t.select("article_id", "ticker", ((F.col("length") % 10) / 9.0).alias("relevance"), ((F.col("length") % 7) / 6.0).alias("polarity"))
-    return conflicts.divergence(similarity.same_event_pairs(t, least=conflicts.DIVERGENCE_SIMILARITY, overlap=True), scores, ["relevance", "polarity"])
+    t = titles(s, d).withColumns({"relevance": (F.col("length") % 10) / 9.0, "polarity": (F.col("length") % 7) / 6.0})
+    dims = ["relevance", "polarity"]
+    return conflicts.divergence(similarity.same_event_pairs(t, least=conflicts.DIVERGENCE_SIMILARITY, overlap=True, carry=dims), dims)
 
 
 @query("live_examples", f"""{_A}, f AS (SELECT article_id, arg_min(title, published_at) AS title FROM articles WHERE CAST(published_at AS DATE) BETWEEN DATE '2024-01-05' AND DATE '2024-01-20' GROUP BY article_id), p AS (SELECT DISTINCT article_id, ticker FROM articles JOIN f USING (article_id) WHERE feed <> 'view'),
