@@ -10,6 +10,7 @@ from pyspark.sql import Window
 
 from tidemark.functions.columns import group_or_own, safe_ratio
 from tidemark.operators.rolling import band, by, lagged_ratio, pct_change, rolling_spread, rolling_sum_ratio, scores, shares, with_rolling, with_rolling_z
+from tidemark.operators.storage import written
 
 FEATURES = ("foreign_flow_5d", "inst_flow_5d", "short_ratio", "valuation_band", "rel_strength_20d")
 
@@ -26,6 +27,12 @@ def group_mean_if_peers(df: DataFrame, value: str, group: str, out: str = "mean"
     return df.withColumn(out, F.when(peers, mean))
 
 
+def written_means(df: DataFrame, value: str, group: str, date: str = "date", key: str = "ticker") -> DataFrame:
+    """(_date, _group, _mean) of each date's groups of several members, those without a value included; written, so that their size is known."""
+    made = df.groupBy(F.col(date).alias("_date"), F.col(group).alias("_group")).agg(F.avg(value).alias("_mean"), (F.min(key) < F.max(key)).alias("_peers"))
+    return written(made.where("_peers").drop("_peers"))
+
+
 def rel_strength(df: DataFrame, n: int = 20, value: str = "close", group: str = "sector", out: str = "rel_strength") -> DataFrame:
     """Own change over n sessions less the group's mean; NULL in a group of one."""
     moved = group_mean_if_peers(pct_change(df, value, n, by(), "_ret"), "_ret", group, "_mean")
@@ -43,16 +50,18 @@ def panel_features(panel: DataFrame, window: int = 252, valuation_window: int =
     """panel with the five features and their standard scores (``*_z``); the band is its own score.
 
     keep names the panel's columns that stay, all of them by default; others aren't carried through the shuffles.
-    Short frames share one shuffle and sort by ticker, the group means take one by date, and all wide windows
-    one more by ticker.
+    All windows share one shuffle and sort by ticker. The group means, a row a date and group, are made and written
+    first; where Spark finds them small they are broadcast, else panel and means are shuffled by date and group.
     """
     w = by()
-    made = panel.withColumn("sector", group_or_own("sector", "ticker")).withColumns({
+    made = panel.withColumn("sector", group_or_own("sector", "ticker"))
+    means = written_means(pct_change(made.select("date", "ticker", "sector", "close"), "close", strength_days, w, "_ret"), "_ret", "sector")
+    made = pct_change(made, "close", strength_days, w, "_ret").withColumns({
         "foreign_flow_5d": rolling_sum_ratio("foreign_net", "trading_value", w, flow_days),
         "inst_flow_5d": rolling_sum_ratio("inst_net", "trading_value", w, flow_days),
         "short_ratio": lagged_ratio("short_balance", "shares_outstanding", w, short_lag),
     })
-    made = rel_strength(made, strength_days, out="rel_strength_20d")
+    made = made.join(means, F.col("date").eqNullSafe(F.col("_date")) & F.col("sector").eqNullSafe(F.col("_group")), "left").withColumn("rel_strength_20d", F.col("_ret") - F.col("_mean"))
     made = made.select(*(panel.columns if keep is None else keep), F.col("pbr").alias("_pbr"), *[f for f in FEATURES if f != "valuation_band"])
     wide = {"_percentile": (shares, "_pbr", valuation_window)} | {f"{f}_z": (scores, f, window) for f in FEATURES if f != "valuation_band"}
     made = with_rolling(made, wide).withColumn("valuation_band", band(F.col("_percentile"))).drop("_percentile", "_pbr")
@@ -65,6 +74,13 @@ def volatility_z(panel: DataFrame, window: int = 252, days: int = 20) -> DataFra
     return with_rolling_z(moved.select("date", "ticker", "vol"), {"volatility_z": "vol"}, window).drop("vol")
 
 
+def scan_scores(panel: DataFrame, window: int = 252, flow_days: int = 5, days: int = 20) -> DataFrame:
+    """(date, ticker, foreign_flow_5d_z, volatility_z) in one pass over the panel."""
+    moved = pct_change(panel, "close", 1, by(), "ret").withColumn("foreign_flow_5d", rolling_sum_ratio("foreign_net", "trading_value", by(), flow_days))
+    moved = moved.withColumn("vol", rolling_spread("ret", by(), days)).select("date", "ticker", "foreign_flow_5d", "vol")
+    return with_rolling_z(moved, {"foreign_flow_5d_z": "foreign_flow_5d", "volatility_z": "vol"}, window).drop("foreign_flow_5d", "vol")
+
+
 def realised_volatility(panel: DataFrame, days: int = 20) -> DataFrame:
     """(date, ticker, rv): yearly deviation of log returns."""
     ratio = safe_ratio("close", F.lag("close").over(by()))

@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 from collections.abc import Mapping
+from functools import reduce
+from operator import add
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -45,14 +47,16 @@ def rate(features: DataFrame, weights: Mapping[str, float] = WEIGHTS, cuts: Mapp
     present is a HOLD of score 0 and coverage 0. Below the floor the rating is HOLD of low confidence.
     """
     whole = sum(abs(w) for w in weights.values())
-    add = lambda f: F.aggregate("terms", F.lit(0.0), lambda s, t: s + f(t))
-    made = features.select("date", "ticker", contributions(weights).alias("terms"), F.array_compact(F.array(*[F.when(F.col(f"{f}_z").isNull(), F.lit(f)) for f in weights])).alias("missing"))
-    made = made.withColumn("weight_coverage", add(lambda t: F.abs(t["weight"])) / whole)
-    made = made.withColumn("score", F.coalesce(F.try_divide(add(lambda t: t["value"]), F.col("weight_coverage")), F.lit(0.0)))
+    z = {f: F.col(f"{f}_z") for f in weights}
+    carried = reduce(add, [F.when(z[f].isNull(), 0.0).otherwise(abs(w)) for f, w in weights.items()], F.lit(0.0))
+    raw = reduce(add, [F.coalesce(z[f] * w, F.lit(0.0)) for f, w in weights.items()], F.lit(0.0))
+    missing = F.concat_ws(",", *[F.when(z[f].isNull(), F.lit(f)) for f in weights])
+    made = features.select("date", "ticker", contributions(weights).alias("terms"), missing.alias("missing"), (carried / whole).alias("weight_coverage"), raw.alias("_raw"))
+    made = made.withColumn("score", F.coalesce(F.try_divide("_raw", "weight_coverage"), F.lit(0.0)))
     low = F.col("weight_coverage") < floor - 1e-9
     return made.select(
         "date", "ticker", F.when(low, "HOLD").otherwise(bucket(F.col("score"), cuts)).alias("rating"), "score", "weight_coverage",
-        F.array_join("missing", ",").alias("missing"), low.alias("low_confidence"), "terms",
+        "missing", low.alias("low_confidence"), "terms",
     )
 
 
