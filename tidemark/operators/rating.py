@@ -68,15 +68,13 @@ def rate_all(watchlist: DataFrame, features: DataFrame, date: Column, **options)
 
 def rationale(rated: DataFrame, terms: int = TERMS) -> DataFrame:
     """rated with its largest contributions (ties keep the weights' order) and the sum of the others."""
-    larger = lambda a, b: (
-        F.when(F.abs(a["value"]) > F.abs(b["value"]), -1).when(F.abs(a["value"]) < F.abs(b["value"]), 1).otherwise(a["place"] - b["place"])
-    )
-    ranked = rated.withColumn("_ranked", F.array_sort("terms", larger))
-    total = lambda c: F.aggregate(c, F.lit(0.0), lambda s, t: s + t["value"])
+    sized = F.transform("terms", lambda t: F.struct(F.abs(t["value"]).alias("size"), (-t["place"]).alias("turn"), t.alias("term")))
+    ranked = rated.withColumn("_ranked", F.sort_array(sized, asc=False))
+    total = lambda c, value: F.aggregate(c, F.lit(0.0), lambda s, t: s + value(t))
     return ranked.withColumns({
-        "top": F.slice("_ranked", 1, terms),
-        "residual": total(F.slice("_ranked", terms + 1, 1000)),
-        "subtotal": total(F.col("terms")),
+        "top": F.transform(F.slice("_ranked", 1, terms), lambda r: r["term"]),
+        "residual": total(F.slice("_ranked", terms + 1, 1000), lambda r: r["term"]["value"]),
+        "subtotal": total(F.col("terms"), lambda t: t["value"]),
     }).drop("_ranked")
 
 

@@ -231,7 +231,7 @@ def _(s, d):
 k AS (SELECT *, row_number() OVER (PARTITION BY date, ticker ORDER BY abs(value) DESC, place) AS k FROM long)
 SELECT date, ticker, string_agg(feature, ',' ORDER BY k) FILTER (WHERE k <= 4) AS top, {r('coalesce(sum(value) FILTER (WHERE k > 4), 0)', 'residual')} FROM k GROUP BY date, ticker""")
 def _(s, d):
-    top = rating.rationale(_rated(s, d).where(F.size("terms") > 0))
+    top = rating.rationale(_rated(s, d).where("weight_coverage > 0"))
     return top.select("date", "ticker", F.array_join(F.transform("top", lambda t: t["feature"]), ",").alias("top"), "residual")
 
 
