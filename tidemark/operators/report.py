@@ -49,9 +49,9 @@ def more_flags(filed, revision, band, news_z):
     return flags([("filing", filed), ("earnings_revision", F.abs(revision) > REVISED), ("valuation_band", F.abs(band) >= BAND_EDGE), ("news_spike", news_z > SPIKE)])
 
 
-def scan(features: DataFrame, volatility: DataFrame, news: DataFrame) -> DataFrame:
-    """(date, ticker, flow_z, vol_z, articles, flags); rows without any value are dropped."""
-    got = features.select("date", "ticker", F.col("foreign_flow_5d_z").alias("flow_z")).join(volatility.select("date", "ticker", F.col("volatility_z").alias("vol_z")), ["date", "ticker"], "left").join(news.select("date", "ticker", F.col("n").alias("articles")), ["date", "ticker"], "left")
+def scan(scores: DataFrame, news: DataFrame) -> DataFrame:
+    """(date, ticker, flow_z, vol_z, articles, flags) from scores of ``features.scan_scores``; rows without any value are dropped."""
+    got = scores.select("date", "ticker", F.col("foreign_flow_5d_z").alias("flow_z"), F.col("volatility_z").alias("vol_z")).join(news.select("date", "ticker", F.col("n").alias("articles")), ["date", "ticker"], "left")
     return got.where("flow_z IS NOT NULL OR vol_z IS NOT NULL OR articles IS NOT NULL").withColumn("flags", F.array_join(scan_flags(F.col("flow_z"), F.col("vol_z")), ","))
 
 

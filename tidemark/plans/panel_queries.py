@@ -530,4 +530,4 @@ SELECT date, ticker, {r('flow_z')}, {r('vol_z')}, articles, concat_ws(',', CASE
 FROM j WHERE flow_z IS NOT NULL OR vol_z IS NOT NULL OR articles IS NOT NULL""")
 def _(s, d):
     news = s.read.parquet(f"{d}/orders.parquet").groupBy(F.to_date("o_orderdate").alias("date"), (F.col("o_custkey") % 100 + 1).alias("ticker")).agg(F.count("*").alias("n"))
-    return report.scan(_scored(s, d), features.volatility_z(panel(s, d), YEAR), news)
+    return report.scan(features.scan_scores(panel(s, d), YEAR), news)
