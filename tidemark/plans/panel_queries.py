@@ -198,7 +198,7 @@ def _(s, d):
     scored = _scored(s, d)
     last = panel(s, d).agg(F.max("date").alias("date"))
     keys = panel(s, d).select("date", "ticker").join(F.broadcast(last), "date", "left_semi")
-    return features.z_scores_for(scored, keys).select("ticker", *[F.col("z")[f].alias(f) for f in features.FEATURES])
+    return features.z_scores_for(scored.join(F.broadcast(last), "date", "left_semi"), keys).select("ticker", *[F.col("z")[f].alias(f) for f in features.FEATURES])
 
 
 @query("sector_map", "SELECT s_suppkey AS ticker, CASE WHEN s_nationkey % 5 = 0 THEN '__no_sector__:' || s_suppkey ELSE CAST(s_nationkey AS VARCHAR) END AS sector FROM supplier")
