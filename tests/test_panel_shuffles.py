@@ -11,6 +11,7 @@ SF = "/root/testdata/sf0.001"
 #: Query and the keys by which it may shuffle further: places within a date, and aggregates of a few rows.
 FURTHER = [
     ("ratings_table", {"date"}),
+    ("bucket", {"rating"}),
     # next
 ]
 
