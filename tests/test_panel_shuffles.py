@@ -12,6 +12,7 @@ SF = "/root/testdata/sf0.001"
 FURTHER = [
     ("ratings_table", {"date"}),
     ("bucket", {"rating"}),
+    ("feature_attach", set()),
     # next
 ]
 
