@@ -13,6 +13,7 @@ FURTHER = [
     ("ratings_table", {"date"}),
     ("bucket", {"rating"}),
     ("feature_attach", set()),
+    ("coverage_floor", set()),
     # next
 ]
 
