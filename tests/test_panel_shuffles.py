@@ -4,7 +4,7 @@ import re
 
 import pytest
 
-from tidemark.plans import registry
+from tidemark.plans import job_queries, registry
 
 SF = "/root/testdata/sf0.001"
 
@@ -27,3 +27,12 @@ def keys(df):
 def test_lines_are_dealt_by_ticker_once(spark, name, further):
     got = keys(registry.queries()[name](spark, SF))
     assert got.count("ticker") == 1 and set(got) - {"ticker"} <= further
+
+
+def test_the_archive_writes_ratings_of_lines_dealt_once(spark, monkeypatch):
+    seen = []
+    monkeypatch.setattr(job_queries, "written", lambda df: seen.append(keys(df)) or df)
+    monkeypatch.setattr(job_queries.rating, "refuse_empty", lambda df: df)
+    monkeypatch.setattr(job_queries.versioned, "write_versioned", lambda df, path, *_: df.limit(1).selectExpr("date", "ticker", "score", "month", "1 AS version").write.parquet(path))
+    registry.queries()["write_ratings_archive"](spark, SF)
+    assert seen == [["ticker"]]
