@@ -14,6 +14,7 @@ FURTHER = [
     ("bucket", {"rating"}),
     ("feature_attach", set()),
     ("coverage_floor", set()),
+    ("weight_coverage", {"feature", "_groupingexpression"}),
     # next
 ]
 
