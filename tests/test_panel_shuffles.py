@@ -15,6 +15,7 @@ FURTHER = [
     ("feature_attach", set()),
     ("coverage_floor", set()),
     ("weight_coverage", {"feature", "_groupingexpression"}),
+    ("rating_order", {"date"}),
     # next
 ]
 
