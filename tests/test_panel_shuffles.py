@@ -16,6 +16,7 @@ FURTHER = [
     ("coverage_floor", set()),
     ("weight_coverage", {"feature", "_groupingexpression"}),
     ("rating_order", {"date"}),
+    ("weight_influence", {"feature"}),
     # next
 ]
 
