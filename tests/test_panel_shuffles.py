@@ -17,6 +17,7 @@ FURTHER = [
     ("weight_coverage", {"feature", "_groupingexpression"}),
     ("rating_order", {"date"}),
     ("weight_influence", {"feature"}),
+    ("calibration_table", {"rating"}),
     # next
 ]
 
