@@ -18,6 +18,7 @@ FURTHER = [
     ("rating_order", {"date"}),
     ("weight_influence", {"feature"}),
     ("calibration_table", {"rating"}),
+    ("cut_point_table", set()),
     # next
 ]
 
