@@ -19,7 +19,6 @@ FURTHER = [
     ("weight_influence", {"feature"}),
     ("calibration_table", {"rating"}),
     ("cut_point_table", set()),
-    # next
 ]
 
 
