@@ -16,8 +16,8 @@ from pyspark.sql import Window, WindowSpec
 from tidemark.functions.columns import col, safe_ratio, when_full
 from tidemark.operators.storage import written
 
-#: Windows whose moments are taken at once.
-CHUNK = 1024
+#: The widest window in which values are compared one by one.
+COUNTED = 1024
 
 
 def by(key: str = "ticker", order: str = "date") -> WindowSpec:
@@ -53,40 +53,71 @@ def with_rolling_z(df: DataFrame, values: Mapping[str, str], size: int = 252, ke
     return with_rolling(df, {out: (scores, value, size) for out, value in values.items()}, key, order)
 
 
-def shares(x: np.ndarray, missing: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray]:
-    """(value, whether it is missing) of the rolling percentile at each place; a skip list ranks."""
-    share = ((pd.Series(x).rolling(size, min_periods=size).rank(method="max") - 1) / (size - 1 or np.nan)).to_numpy()
+def shares(x: np.ndarray, missing: np.ndarray, place: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray]:
+    """(value, whether it is missing) of the rolling percentile at each row.
+
+    Rows of several keys follow each other; place is the row's among those of its key. The values that don't exceed a
+    row's are counted lag by lag, over all rows at once; a window too wide for that is ranked by a skip list.
+    """
+    if size > COUNTED:
+        rank = pd.Series(x).rolling(size, min_periods=size).rank(method="max").to_numpy()
+    else:
+        rank, few, lost = np.zeros(len(x)), np.zeros(len(x), np.uint8), np.concatenate([[0], np.cumsum(~np.isfinite(x))])
+        for lag in range(min(size, len(x))):
+            few[lag:] += (x[: len(x) - lag] <= x[lag:]).view(np.uint8)
+            if lag % 255 == 254:
+                rank, few = rank + few, np.zeros(len(x), np.uint8)
+        rank = rank + few
+        rank[size - 1 :][lost[size:] > lost[:-size]] = np.nan
+    share = np.where(place >= size - 1, (rank - 1) / (size - 1 or np.nan), np.nan)
     return share, np.isnan(share)
 
 
-def scores(x: np.ndarray, missing: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray]:
-    """(value, whether it is missing) of the standard score against the size places before each.
+def moments(x: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray]:
+    """(mean, sum of squared deviations from it) of each size successive values, merged from windows of powers of two.
+
+    All that goes into a window's moments is its own values, so nothing outside it, an outlier or no number, leaves an error.
+    """
+
+    def merged(a: tuple, b: tuple, m: int, n: int) -> tuple[np.ndarray, np.ndarray]:
+        """Moments of m values and the n after them."""
+        b = [c[m:] for c in b]
+        a = [c[: len(b[0])] for c in a]
+        apart = b[0] - a[0]
+        return a[0] + apart * (n / (m + n)), a[1] + b[1] + apart * apart * (m * n / (m + n))
+
+    some, have, block, n = None, 0, (x, np.zeros(len(x))), 1
+    while True:
+        if size & n:
+            some, have = merged(some, block, have, n) if have else block, have + n
+        if have == size:
+            return some
+        block, n = merged(block, block, n, n), 2 * n
+
+
+def scores(x: np.ndarray, missing: np.ndarray, place: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray]:
+    """(value, whether it is missing) of the standard score against the size rows before each; place as in ``shares``.
 
-    Moments are taken anew of each window, so no outlier that has left it leaves an error behind; a window of
-    equal values has no deviation, whatever their mean rounds to.
+    A window of equal values has no deviation, whatever their mean rounds to.
     """
     n, z, out = len(x), np.full(len(x), np.nan), np.ones(len(x), bool)
     if size < 2 or n <= size:
         return z, out
-    before, places = np.concatenate([[0], np.cumsum(missing)]), np.arange(size, n)
-    changed = np.maximum.accumulate(np.concatenate([[0], np.where(x[1:] != x[:-1], np.arange(1, n), 0)]))
-    out[size:] = missing[size:] | (before[places] > before[places - size]) | (changed[places - 1] <= places - size)
-    windows = np.lib.stride_tricks.sliding_window_view(x[:-1], size)
+    before, at = np.concatenate([[0], np.cumsum(missing)]), np.arange(size, n)
     with np.errstate(all="ignore"):
-        for at in range(0, len(windows), CHUNK):
-            w = windows[at : at + CHUNK]
-            mean = w.mean(axis=1)
-            apart = w - mean[:, None]
-            deviation = np.sqrt(np.einsum("ij,ij->i", apart, apart) / (size - 1))
-            z[size + at : size + at + len(w)] = (x[size + at : size + at + len(w)] - mean) / deviation
-            out[size + at : size + at + len(w)] |= deviation == 0
+        changed = np.maximum.accumulate(np.concatenate([[0], np.where(x[1:] != x[:-1], np.arange(1, n), 0)]))
+        mean, squares = moments(x[:-1], size)
+        deviation = np.sqrt(squares / (size - 1))
+        z[size:] = (x[size:] - mean) / deviation
+    out[size:] = missing[size:] | (place[size:] < size) | (before[at] > before[at - size]) | (changed[at - 1] <= at - size) | (deviation == 0)
     return z, out
 
 
 def with_rolling(df: DataFrame, columns: Mapping[str, tuple[Callable, str, int]], key: str = "ticker", order: str = "date") -> DataFrame:
-    """df with columns of rolling windows: out by (function of values, missing and size; value; size).
+    """df with columns of rolling windows: out by (function of values, missing, places and size; value; size).
 
-    Rows are dealt by key and stream in order; a task holds the last rows of one key, as many as the widest window.
+    Rows are dealt by key and stream in order; a function sees a batch, whatever keys are in it, after the last rows of
+    the key that the batch goes on with, as many as the widest window.
     """
     from pyspark.sql.pandas.types import to_arrow_schema
 
@@ -95,22 +126,24 @@ def with_rolling(df: DataFrame, columns: Mapping[str, tuple[Callable, str, int]]
     values, held = list(dict.fromkeys(value for _, value, _ in columns.values())), max(size for _, _, size in columns.values())
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        last, tails = None, {}
+        last, tails, tail = None, {}, 0
         for batch in batches:
-            arrays = {v: batch.column(at[v]) for v in values}
-            now = {v: (a.cast(pa.float64()).to_numpy(zero_copy_only=False), a.is_null().to_numpy(zero_copy_only=False)) for v, a in arrays.items()}
-            made = {out: (np.empty(len(batch)), np.empty(len(batch), bool)) for out in columns}
+            if not len(batch):
+                continue
             runs = pc.run_end_encode(batch.column(at[key]))
-            begin = 0
-            for k, end in zip(runs.values.to_pylist(), runs.run_ends.to_pylist(), strict=True):
-                old = tails if k == last else {}
-                seen = {v: [np.concatenate([o, c[begin:end]]) if v in old else c[begin:end] for o, c in zip(old.get(v, now[v]), now[v], strict=True)] for v in values}
-                for out, (function, value, size) in columns.items():
-                    for whole, part in zip(made[out], function(*seen[value], size), strict=True):
-                        whole[begin:end] = part[len(part) - (end - begin) :]
-                last, tails, begin = k, {v: [c[-held:] for c in seen[v]] for v in values}, end
+            keys, ends = runs.values, runs.run_ends.to_numpy()
+            tail = tail if keys[0].as_py() == last else 0
+            arrays = {v: batch.column(at[v]) for v in values}
+            seen = {v: (a.cast(pa.float64()).to_numpy(zero_copy_only=False), a.is_null().to_numpy(zero_copy_only=False)) for v, a in arrays.items()}
+            if tail:
+                seen = {v: tuple(map(np.concatenate, zip(tails[v], now, strict=True))) for v, now in seen.items()}
+            begins = np.concatenate([[0], ends[:-1] + tail])
+            place = np.arange(len(batch) + tail) - np.repeat(begins, np.diff(np.append(begins, len(batch) + tail)))
+            made = {out: function(*seen[value], place, size) for out, (function, value, size) in columns.items()}
             old_columns = [c if c.type == f.type else c.cast(f.type) for c, f in zip(batch.columns, target, strict=False)]
-            yield pa.RecordBatch.from_arrays([*old_columns, *[pa.array(x, pa.float64(), mask=missing) for x, missing in made.values()]], schema=target)
+            yield pa.RecordBatch.from_arrays([*old_columns, *[pa.array(x[tail:], pa.float64(), mask=missing[tail:]) for x, missing in made.values()]], schema=target)
+            last, keep = keys[-1].as_py(), max(begins[-1], len(place) - held)
+            tails, tail = {v: [c[keep:] for c in now] for v, now in seen.items()}, len(place) - keep
 
     return df.repartition(key).sortWithinPartitions(key, order).mapInArrow(run, schema)
 
