@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Sequence
+from collections.abc import Callable, Iterator, Sequence
 
 import numpy as np
 import pandas as pd
@@ -18,8 +18,12 @@ from tidemark.operators.storage import written
 
 #: Members of a key that one block holds; vector pairs are formed between blocks, never over a whole key at once.
 BLOCK = 512
-#: Classes of titles, and tokens in them, that a block holds; members of a class that a chunk holds.
-TITLES, TOKENS, MEMBERS = 4096, 1 << 19, 1000
+#: Chunks of titles, and tokens in them, that a block holds; articles of a class that a chunk holds.
+TITLES, TOKENS, MEMBERS = 4096, 1 << 18, 256
+#: Blocks of a key before they grow, as each goes to as many tasks, and times that they may grow before there are more.
+BLOCKS, GROWN = 8, 16
+#: Pairs that an Arrow batch holds, or those of two chunks.
+PAIRS = 1 << 16
 #: Fixed value: what the tokens of a title are made of.
 TOKEN = "[가-힣A-Za-z0-9]+"
 
@@ -35,76 +39,113 @@ def titled(articles: DataFrame, key: str = "ticker", text: str = "title", carry:
     return base.withColumn("c", F.unhex(F.md5(F.array_join("t", " "))))
 
 
+def _blocks(classes: DataFrame, key: str) -> DataFrame:
+    """(key, n): blocks of a key, of classes (key, chunks, tokens, articles). Past BLOCKS they grow first, so that what is sent grows with the titles."""
+    wide = F.greatest(F.sum("chunks") / TITLES, F.sum(F.col("chunks") * F.col("tokens")) / TOKENS, F.sum("articles") / (TITLES * 8))
+    return classes.groupBy(key).agg(F.ceil(F.greatest(F.least(wide, F.lit(BLOCKS)), wide / GROWN)).cast("int").alias("n"))
+
+
+def _dealt(chunks: DataFrame, blocks: DataFrame, key: str, by: Sequence[str], carry: Sequence[str]) -> DataFrame:
+    """(key, u, v, own, carry) of chunks, once for each pair of blocks (u, v) that its own one is of. The number of tasks is kept: they make more than they read."""
+    own = chunks.join(F.broadcast(blocks), key).withColumn("own", F.pmod(F.xxhash64(*by), F.col("n")).cast("int"))
+    pair = F.transform(F.sequence(F.lit(0), F.col("n") - 1), lambda o: F.struct(F.least(o, "own").alias("u"), F.greatest(o, "own").alias("v")))
+    parts = int(chunks.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return own.withColumn("p", F.explode(pair)).select(key, "p.u", "p.v", "own", *carry).repartition(parts, key, "u", "v")
+
+
+def _joined(column: pa.ChunkedArray) -> pa.Array:
+    """A column in one piece."""
+    return pa.concat_arrays(column.chunks)
+
+
+def _alike(group: pa.Table, least: float, overlap: bool, itself: bool) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+    """Places (x, y) of sets, one of block u and one of v, that reach the threshold, and their likeness, from the postings of v; some PAIRS a time."""
+    own, u, v = group["own"].to_numpy(), group["u"][0].as_py(), group["v"][0].as_py()
+    sets = pc.split_pattern(_joined(group["t"]), " ")
+    sizes = pc.list_value_length(sets).to_numpy(zero_copy_only=False)
+    word = sets.flatten().dictionary_encode().indices.to_numpy()
+    begins = np.concatenate([[0], np.cumsum(sizes)])
+    left, right = np.flatnonzero(own == u), np.flatnonzero(own == v)
+    place = np.full(len(own), -1)
+    place[right] = np.arange(len(right))
+    of = np.repeat(place, sizes)
+    held, at = word[of >= 0], of[of >= 0]
+    posted = at[np.argsort(held, kind="stable")]
+    starts = np.concatenate([[0], np.cumsum(np.bincount(held, minlength=int(word.max()) + 1))])
+    xs, ys, likes, n, found = [], [], [], sizes[right], 0
+    for i in left if len(right) else ():
+        count = np.bincount(np.concatenate([posted[starts[w] : starts[w + 1]] for w in word[begins[i] : begins[i + 1]]]), minlength=len(right))
+        like = count / (np.minimum(n, sizes[i]) if overlap else n + sizes[i] - count)
+        hit = np.flatnonzero(like >= least)
+        hit = hit[hit >= place[i] + (not itself)] if u == v else hit
+        xs.append(np.full(len(hit), i))
+        ys.append(right[hit])
+        likes.append(like[hit])
+        found += len(hit)
+        if found >= PAIRS:
+            yield np.concatenate(xs), np.concatenate(ys), np.concatenate(likes)
+            xs, ys, likes, found = [], [], [], 0
+    if found:
+        yield np.concatenate(xs), np.concatenate(ys), np.concatenate(likes)
+
+
 def alike_classes(members: DataFrame, key: str = "ticker", least: float = 0.5, overlap: bool = False) -> DataFrame:
     """(key, x, y, s), once each, of different classes of ``titled`` whose token sets reach the threshold.
 
     Classes of a key are dealt to blocks, and a task counts what two blocks share from the postings of one of
     them. Only what reaches the threshold leaves it, so candidates are never shuffled; sets are, once a block.
     """
-    classes = members.groupBy(key, "c").agg(F.any_value("t").alias("t"))
-    wide = F.greatest(F.count("*") / TITLES, F.sum(F.size("t")) / TOKENS)
-    blocks = classes.groupBy(key).agg(F.ceil(wide).cast("int").alias("n"))
-    own = classes.join(F.broadcast(blocks), key).withColumn("t", F.array_join("t", " ")).withColumn("own", F.pmod(F.xxhash64("c"), F.col("n")).cast("int"))
-    pair = F.transform(F.sequence(F.lit(0), F.col("n") - 1), lambda o: F.struct(F.least(o, "own").alias("u"), F.greatest(o, "own").alias("v")))
-    dealt = own.withColumn("p", F.explode(pair)).select(key, "p.u", "p.v", "own", "c", "t")  # a set as one string: shorter rows
-
-    def compare(group: pa.Table) -> pa.Table:
-        own, u, v = group["own"].to_numpy(), group["u"][0].as_py(), group["v"][0].as_py()
-        text = group["t"].combine_chunks()
-        sets = pc.split_pattern(pa.concat_arrays(text.chunks) if isinstance(text, pa.ChunkedArray) else text, " ")
-        sizes = pc.list_value_length(sets).to_numpy(zero_copy_only=False)
-        word = sets.flatten().dictionary_encode().indices.to_numpy()
-        begins = np.concatenate([[0], np.cumsum(sizes)])
-        left, right = np.flatnonzero(own == u), np.flatnonzero(own == v)
-        place = np.full(len(own), -1)
-        place[right] = np.arange(len(right))
-        of = np.repeat(place, sizes)
-        held, at = word[of >= 0], of[of >= 0]
-        posted = at[np.argsort(held, kind="stable")]
-        starts = np.concatenate([[0], np.cumsum(np.bincount(held, minlength=int(word.max()) + 1))])
-        xs, ys, likes, n = [], [], [], sizes[right]
-        for i in left if len(right) else ():
-            count = np.bincount(np.concatenate([posted[starts[w] : starts[w + 1]] for w in word[begins[i] : begins[i + 1]]]), minlength=len(right))
-            like = count / (np.minimum(n, sizes[i]) if overlap else n + sizes[i] - count)
-            hit = np.flatnonzero(like >= least)
-            hit = hit[hit > place[i]] if u == v else hit
-            xs.append(np.full(len(hit), i))
-            ys.append(right[hit])
-            likes.append(like[hit])
-        x, y, like = (np.concatenate([np.empty(0, kind), *parts]).astype(kind) for parts, kind in ((xs, np.int64), (ys, np.int64), (likes, np.float64)))
-        c = group["c"].combine_chunks()
-        c = pa.concat_arrays(c.chunks) if isinstance(c, pa.ChunkedArray) else c
-        return pa.table({key: group[key].take(np.zeros(len(x), np.int64)), "x": c.take(pa.array(x)), "y": c.take(pa.array(y)), "s": like})
+    classes = members.groupBy(key, "c").agg(F.any_value(F.array_join("t", " ")).alias("t"), F.any_value(F.size("t")).alias("tokens"))
+    blocks = _blocks(classes.select(key, F.lit(1).alias("chunks"), "tokens", F.lit(1).alias("articles")), key)
+
+    def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        group = pa.Table.from_batches(list(batches))
+        name, c = _joined(group[key]), _joined(group["c"])
+        for x, y, like in _alike(group, least, overlap, itself=False):
+            yield pa.RecordBatch.from_arrays([name.take(pa.array(np.zeros(len(x), np.int64))), c.take(pa.array(x)), c.take(pa.array(y)), pa.array(like)], [key, "x", "y", "s"])
 
     schema = T.StructType([members.schema[key], T.StructField("x", T.BinaryType()), T.StructField("y", T.BinaryType()), T.StructField("s", T.DoubleType())])
-    return dealt.groupBy(key, "u", "v").applyInArrow(compare, schema)
+    return _dealt(classes, blocks, key, ["c"], ["c", "t"]).groupBy(key, "u", "v").applyInArrow(compare, schema)
 
 
 def same_event_pairs(articles: DataFrame, key: str = "ticker", text: str = "title", least: float = 0.5, overlap: bool = False, carry: Sequence[str] = ()) -> DataFrame:
     """(key, a, b, jaccard) of different articles of a key whose token sets reach the threshold.
 
     With overlap the shared tokens are measured against the smaller set, as ``overlap``. Columns to carry come
-    with both sides, as ``_a`` and ``_b``. Classes of equal sets are compared; their members are held in bounded
-    chunks, and the pairs of two chunks are made only at the end, after they have been dealt out.
+    with both sides, as ``_a`` and ``_b``. Articles of equal sets are held in bounded chunks, which are dealt to
+    blocks; the task that compares two blocks makes their pairs, in bounded batches, so no pair is ever shuffled.
     """
-    members = written(titled(articles, key, text, carry))  # read for classes, chunks and their sizes: texts are split once
-    sizes = members.groupBy(key, "c").agg(F.ceil(F.count("*") / MEMBERS).alias("k"))
-    item = F.struct("article_id", *carry)
-    chunks = members.select(key, "c", "article_id", *carry).join(sizes, [key, "c"]).groupBy(key, "c", F.pmod(F.xxhash64("article_id"), F.col("k")).alias("k")).agg(F.collect_list(item).alias("i"))
-    alike = alike_classes(members, key, least, overlap)
-    alike = alike.union(sizes.select(key, F.col("c"), F.col("c"), F.lit(1.0)))
-    of = lambda side, name: chunks.select(key, F.col("c").alias(side), F.col("k").alias(f"k_{name}"), F.col("i").alias(name))
-    both = alike.join(of("x", "ps"), [key, "x"]).join(of("y", "qs"), [key, "y"])
-    both = both.where((F.col("x") != F.col("y")) | (F.col("k_ps") < F.col("k_qs")) | ((F.col("k_ps") == F.col("k_qs")) & (F.size("ps") > 1)))
-    own = (F.col("x") == F.col("y")) & (F.col("k_ps") == F.col("k_qs"))
-    parts = int(articles.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    dealt = both.repartition(parts, "x", "y", "k_ps", "k_qs").select(key, own.alias("own"), "s", "ps", "qs")
-    pairs = dealt.select(key, "own", "s", "qs", F.explode("ps").alias("p")).select(key, "own", "s", "p", F.explode("qs").alias("q"))
+    members = written(titled(articles, key, text, carry))  # read for classes and chunks: texts are split once
+    classes = members.groupBy(key, "c").agg(F.count("*").alias("articles"), F.any_value(F.size("t")).alias("tokens")).withColumn("chunks", F.ceil(F.col("articles") / MEMBERS))
+    many = classes.where("chunks > 1").select(key, "c", F.col("chunks").alias("_k"))  # at most one for so many articles as a chunk holds
+    kept = members.select(key, "c", F.array_join("t", " ").alias("t"), F.struct("article_id", *carry).alias("i"))
+    kept = kept.join(F.broadcast(many), [key, "c"], "left").withColumn("k", F.pmod(F.xxhash64("i.article_id"), F.coalesce("_k", F.lit(1))))
+    chunks = kept.groupBy(key, "c", "k").agg(F.any_value("t").alias("t"), F.collect_list("i").alias("i"))
+    item = members.select(F.struct("article_id", *carry).alias("i")).schema["i"].dataType
+
+    def pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        group = pa.Table.from_batches(list(batches))
+        name, lists = _joined(group[key]), _joined(group["i"])
+        items, n = lists.flatten(), pc.list_value_length(lists).to_numpy(zero_copy_only=False).astype(np.int64)
+        begins = np.cumsum(n) - n
+        for xs, ys, likes in _alike(group, least, overlap, itself=True):
+            sums = np.concatenate([[0], np.cumsum(n[xs] * n[ys])])
+            cuts = np.unique(np.concatenate([np.searchsorted(sums, np.arange(0, sums[-1], PAIRS)), [len(xs)]]))
+            for low, high in zip(cuts[:-1], cuts[1:], strict=True):
+                x, y = xs[low:high], ys[low:high]
+                made = n[x] * n[y]
+                of = np.repeat(np.arange(len(x)), made)
+                at = np.arange(len(of)) - np.repeat(sums[low:high] - sums[low], made)
+                p, q = begins[x][of] + at // n[y][of], begins[y][of] + at % n[y][of]
+                once = np.flatnonzero((x != y)[of] | (p < q))
+                yield pa.RecordBatch.from_arrays([name.take(pa.array(np.zeros(len(once), np.int64))), pa.array(likes[low:high][of[once]]), items.take(pa.array(p[once])), items.take(pa.array(q[once]))], [key, "s", "p", "q"])
+
+    schema = T.StructType([members.schema[key], T.StructField("s", T.DoubleType()), T.StructField("p", item), T.StructField("q", item)])
+    found = _dealt(chunks, _blocks(classes, key), key, ["c", "k"], ["t", "i"]).groupBy(key, "u", "v").applyInArrow(pairs, schema)
     first = F.col("p.article_id") < F.col("q.article_id")
-    pairs = pairs.where(first | (~F.col("own") & (F.col("p.article_id") != F.col("q.article_id"))))
     low, high = (F.when(first, F.col(x)).otherwise(F.col(y)) for x, y in (("p", "q"), ("q", "p")))
-    pairs = pairs.select(key, low.alias("a"), high.alias("b"), "s")
-    return pairs.select(
+    found = found.where(F.col("p.article_id") != F.col("q.article_id")).select(key, low.alias("a"), high.alias("b"), "s")
+    return found.select(
         key, F.col("a.article_id").alias("a"), F.col("b.article_id").alias("b"), F.col("s").alias("overlap" if overlap else "jaccard"),
         *[F.col(f"{side}.{c}").alias(f"{c}_{side}") for c in carry for side in "ab"],
     )
