@@ -121,12 +121,12 @@ def same_event_pairs(articles: DataFrame, key: str = "ticker", text: str = "titl
     kept = members.select(key, "c", F.array_join("t", " ").alias("t"), F.struct("article_id", *carry).alias("i"))
     kept = kept.join(F.broadcast(many), [key, "c"], "left").withColumn("k", F.pmod(F.xxhash64("i.article_id"), F.coalesce("_k", F.lit(1))))
     chunks = kept.groupBy(key, "c", "k").agg(F.any_value("t").alias("t"), F.collect_list("i").alias("i"))
-    item = members.select(F.struct("article_id", *carry).alias("i")).schema["i"].dataType
+    item = members.select("article_id", *carry).schema
 
     def pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         group = pa.Table.from_batches(list(batches))
         name, lists = _joined(group[key]), _joined(group["i"])
-        items, n = lists.flatten(), pc.list_value_length(lists).to_numpy(zero_copy_only=False).astype(np.int64)
+        parts, n = lists.flatten().flatten(), pc.list_value_length(lists).to_numpy(zero_copy_only=False).astype(np.int64)
         begins = np.cumsum(n) - n
         for xs, ys, likes in _alike(group, least, overlap, itself=True):
             sums = np.concatenate([[0], np.cumsum(n[xs] * n[ys])])
@@ -138,16 +138,17 @@ def same_event_pairs(articles: DataFrame, key: str = "ticker", text: str = "titl
                 at = np.arange(len(of)) - np.repeat(sums[low:high] - sums[low], made)
                 p, q = begins[x][of] + at // n[y][of], begins[y][of] + at % n[y][of]
                 once = np.flatnonzero((x != y)[of] | (p < q))
-                yield pa.RecordBatch.from_arrays([name.take(pa.array(np.zeros(len(once), np.int64))), pa.array(likes[low:high][of[once]]), items.take(pa.array(p[once])), items.take(pa.array(q[once]))], [key, "s", "p", "q"])
-
-    schema = T.StructType([members.schema[key], T.StructField("s", T.DoubleType()), T.StructField("p", item), T.StructField("q", item)])
-    found = _dealt(chunks, _blocks(classes, key), key, ["c", "k"], ["t", "i"]).groupBy(key, "u", "v").applyInArrow(pairs, schema)
-    first = F.col("p.article_id") < F.col("q.article_id")
-    low, high = (F.when(first, F.col(x)).otherwise(F.col(y)) for x, y in (("p", "q"), ("q", "p")))
-    found = found.where(F.col("p.article_id") != F.col("q.article_id")).select(key, low.alias("a"), high.alias("b"), "s")
+                sides = [part.take(pa.array(side[once])) for side in (p, q) for part in parts]
+                yield pa.RecordBatch.from_arrays([name.take(pa.array(np.zeros(len(once), np.int64))), pa.array(likes[low:high][of[once]]), *sides], names)
+
+    schema = T.StructType([members.schema[key], T.StructField("s", T.DoubleType()), *[T.StructField(f"{side}_{f.name}", f.dataType) for side in "pq" for f in item]])
+    names = schema.names
+    found = _dealt(chunks, _blocks(classes, key), key, ["c", "k"], ["t", "i"]).groupBy(key, "u", "v").applyInArrow(pairs, schema).where("p_article_id <> q_article_id")
+    first = F.col("p_article_id") < F.col("q_article_id")
+    low, high = (lambda c, x=x, y=y: F.when(first, F.col(f"{x}_{c}")).otherwise(F.col(f"{y}_{c}")) for x, y in ("pq", "qp"))
     return found.select(
-        key, F.col("a.article_id").alias("a"), F.col("b.article_id").alias("b"), F.col("s").alias("overlap" if overlap else "jaccard"),
-        *[F.col(f"{side}.{c}").alias(f"{c}_{side}") for c in carry for side in "ab"],
+        key, low("article_id").alias("a"), high("article_id").alias("b"), F.col("s").alias("overlap" if overlap else "jaccard"),
+        *[side(c).alias(f"{c}_{name}") for c in carry for side, name in ((low, "a"), (high, "b"))],
     )
 
 
